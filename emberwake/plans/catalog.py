@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberwake.functions import scalars as S
+from emberwake.operators import boost as B
 from emberwake.operators import events as E
+from emberwake.operators import newton as N
+from emberwake.sources import points as P
 from emberwake.plans.load import LoadSpec, TS_NTZ_FORMAT, load, open_source, stage_as_csv
 from emberwake.session import scratch_path
 from emberwake.sinks.tables import Destination, profile, write_by_class
@@ -37,10 +40,6 @@ EV = ("WITH ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER)
       "FROM events) ")
 
 
-def r6(c: str) -> str:
-    return f"round({c}, 6)"
-
-
 # ---------------------------------------------------------------------------
 # Loader
 # ---------------------------------------------------------------------------
@@ -384,6 +383,66 @@ WHERE rn = 1
 """
 
 
+# ---------------------------------------------------------------------------
+# Boosting (label: returned lines)
+# ---------------------------------------------------------------------------
+
+BOOST_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+BOOST_ROUNDS = 10
+HIST_THRESHOLDS = [[5.0 * i for i in range(1, 11)], [0.02, 0.04, 0.06, 0.08]]
+
+
+def _returned(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.withColumn("label", (F.col("l_returnflag") == "R").cast("double"))
+
+
+def q_boost_fit_predict(spark, sf_dir):
+    """GBT with the reference's parameter map, fitted and applied to all lines."""
+    data = _returned(spark, sf_dir).withColumn("features", P.features(BOOST_FEATURES))
+    model = B.fit_boosted(data, B.BoostParams(rounds=BOOST_ROUNDS), workers=8)
+    return B.predict(model, data).select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
+def q_feature_score(spark, sf_dir):
+    data = _returned(spark, sf_dir).withColumn("features", P.features(BOOST_FEATURES))
+    model = B.fit_boosted(data, B.BoostParams(rounds=BOOST_ROUNDS), workers=8)
+    return B.feature_score(spark, model)
+
+
+def q_newton_histogram(spark, sf_dir):
+    """Round-1 gradient histogram (margin 0: g = 0.5 - y, h = 0.25)."""
+    li = _returned(spark, sf_dir)
+    binned = N.binned_table(li, "label", ["l_quantity", "l_discount"], HIST_THRESHOLDS)
+    hist = N.gradient_histogram(binned, 2, F.lit(0), F.lit(0.5) - F.col("__y"), F.lit(0.25))
+    return hist.select("node", "feature", "bin", "n", F.round("sum_g", 6).alias("sum_g"),
+                       F.round("sum_h", 6).alias("sum_h"))
+
+
+def _bin_sql(col: str, ts: list[float]) -> str:
+    return "(" + " + ".join(f"CASE WHEN {col} >= {t} THEN 1 ELSE 0 END" for t in ts) + ")"
+
+
+SQL_NEWTON_HISTOGRAM = f"""
+WITH b AS (SELECT CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS y,
+                  {_bin_sql('l_quantity', HIST_THRESHOLDS[0])} AS bin0,
+                  {_bin_sql('l_discount', HIST_THRESHOLDS[1])} AS bin1 FROM lineitem),
+e AS (SELECT 0 AS feature, bin0 AS bin, y FROM b UNION ALL SELECT 1 AS feature, bin1 AS bin, y FROM b)
+SELECT 0 AS node, feature, bin, count(*) AS n,
+       round(sum(CAST(0.5 AS DOUBLE) - y), 6) AS sum_g, round(sum(CAST(0.25 AS DOUBLE)), 6) AS sum_h
+FROM e GROUP BY feature, bin
+"""
+
+
+def q_newton_fit(spark, sf_dir):
+    """Second-order boosted trees on all lines, applied to all lines."""
+    li = _returned(spark, sf_dir)
+    model = N.newton_fit(li, "label", BOOST_FEATURES, N.NewtonParams(rounds=BOOST_ROUNDS))
+    return model.transform(li).select("l_orderkey", "l_linenumber", "label",
+                                      F.round("probability", 6).alias("probability"),
+                                      "prediction")
+
+
 # ---------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------
@@ -409,4 +468,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dispatch": (q_dispatch, SQL_DISPATCH),
     "top_priority": (q_top_priority, SQL_TOP_PRIORITY),
     "first_item_of_active": (q_first_item_of_active, SQL_FIRST_ITEM_OF_ACTIVE),
+    "newton_histogram": (q_newton_histogram, SQL_NEWTON_HISTOGRAM),
+    "boost_fit_predict": (q_boost_fit_predict, None),
+    "feature_score": (q_feature_score, None),
+    "newton_fit": (q_newton_fit, None),
 }
