@@ -1,4 +1,4 @@
-"""Event-table operators.
+"""Event-table operators.
 
 Scale rules followed throughout (one key may hold a third of all rows):
 
@@ -10,9 +10,11 @@ Scale rules followed throughout (one key may hold a third of all rows):
   the rows with a small per-key table instead of a per-key window; AQE
   broadcasts that table when its measured size allows and otherwise splits
   skewed join partitions.
-* The one true sequence operator here (``lag`` for displacement) is computed
-  inside range buckets of (key, time) and stitched at bucket borders with a
-  carry-in table, so a hot key is spread over as many tasks as it has buckets.
+* Sequence questions (previous row, running maximum) are computed inside
+  range buckets of (key, time) and stitched at bucket borders with a carry-in
+  table, so a hot key is spread over as many tasks as it has buckets.
+* The throttle is sequential by nature; it is cut into independent segments
+  at events that must pass, and only the segments are scanned in order.
 """
 
 from __future__ import annotations
@@ -52,37 +54,81 @@ def range_bucket(df: DataFrame, col: str, width) -> Column:
     return F.floor(c / F.lit(width))
 
 
+def epoch_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since 1970-01-01 of a time column (no zone arithmetic for NTZ)."""
+    dt = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("long") * F.lit(86_400_000_000)
+    return c.cast("long")
+
+
 # ---------------------------------------------------------------------------
-# Displacement between consecutive samples of a key
+# Per-key sequence helpers that never put a whole key into one task
 # ---------------------------------------------------------------------------
 
-def displacement(df: DataFrame, key: str, x: str, y: str,
-                 order: Sequence[str] = ("ts", "event_id"), bucket_width=60) -> DataFrame:
-    """Add ``dx, dy, distance`` to every row: the delta to the key's previous
-    sample in ``order``. A key's first sample only seeds (nulls).
+BUCKET = "__b"
+
 
-    Plan: ``lag`` within (key, range bucket) windows; the first row of each
-    bucket takes the previous bucket's last sample from a per-(key, bucket)
-    summary (a partial ``max_by`` aggregate, ``lag`` over buckets, one join).
+def with_previous(df: DataFrame, key: str, values: Mapping[str, Column],
+                  order: Sequence[str], bucket_width=60, out: str = "__prev") -> DataFrame:
+    """Add ``out``: a struct of ``values`` taken from the key's previous row in
+    ``order`` (null for the key's first row).
+
+    ``lag`` runs inside (key, range bucket) windows; the first row of a bucket
+    takes the previous non-empty bucket's last row from a per-(key, bucket)
+    summary (partial ``max_by``, ``lag`` over the small summary, one join). A
+    hot key is spread over as many tasks as it has buckets.
     """
     order = _cols(order)
-    b = "__b"
-    base = df.withColumn(b, range_bucket(df, order[0], bucket_width))
-    w = Window.partitionBy(key, b).orderBy(*order)
-    point = F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    inner = (base
-             .withColumn("__prev", F.lag(point).over(w))
+    base = df.withColumn(BUCKET, range_bucket(df, order[0], bucket_width))
+    w = Window.partitionBy(key, BUCKET).orderBy(*order)
+    point = F.struct(*[c.alias(n) for n, c in values.items()])
+    inner = (base.withColumn("__lag", F.lag(point).over(w))
              .withColumn("__seeded", F.lag(F.lit(True)).over(w).isNotNull()))
-    last = (base.groupBy(key, b)
-            .agg(F.max_by(point, F.struct(*order)).alias("__last")))
-    carry = last.select(
-        key, b, F.lag("__last").over(Window.partitionBy(key).orderBy(b)).alias("__carry"))
-    joined = inner.join(carry, [key, b], "left")
-    prev = F.when(F.col("__seeded"), F.col("__prev")).otherwise(F.col("__carry"))
-    dx = (F.col(x) - prev["x"])
-    dy = (F.col(y) - prev["y"])
-    return (joined
-            .withColumn("dx", dx).withColumn("dy", dy)
+    last = base.groupBy(key, BUCKET).agg(F.max_by(point, F.struct(*order)).alias("__last"))
+    carry = last.select(key, BUCKET, F.lag("__last").over(
+        Window.partitionBy(key).orderBy(BUCKET)).alias("__carry"))
+    return (inner.join(carry, [key, BUCKET], "left")
+            .withColumn(out, F.when(F.col("__seeded"), F.col("__lag")).otherwise(F.col("__carry")))
+            .drop("__lag", "__seeded", "__carry", BUCKET))
+
+
+def with_running_max(df: DataFrame, key: str, value: Column, order: Sequence[str],
+                     bucket_width=60, out: str = "__max") -> DataFrame:
+    """Add ``out``: the running maximum of ``value`` over the key's rows up to
+    and including this one. Same bucketed plan as :func:`with_previous`, with a
+    prefix maximum over the per-(key, bucket) summary as the carry-in."""
+    order = _cols(order)
+    base = df.withColumn(BUCKET, range_bucket(df, order[0], bucket_width))
+    w = (Window.partitionBy(key, BUCKET).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = base.withColumn("__rm", F.max(value).over(w))
+    summary = base.groupBy(key, BUCKET).agg(F.max(value).alias("__bm"))
+    carry = summary.select(key, BUCKET, F.max("__bm").over(
+        Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    ).alias("__carry"))
+    return (inner.join(carry, [key, BUCKET], "left")
+            .withColumn(out, F.greatest(F.col("__rm"), F.col("__carry")))
+            .drop("__rm", "__carry", BUCKET))
+
+
+# ---------------------------------------------------------------------------
+# Displacement between consecutive samples of a key
+# ---------------------------------------------------------------------------
+
+def displacement(df: DataFrame, key: str, x: str, y: str,
+                 order: Sequence[str] = ("ts", "event_id"), bucket_width=60) -> DataFrame:
+    """Add ``dx, dy, distance`` to every row: the delta to the key's previous
+    sample in ``order``. A key's first sample only seeds (nulls)."""
+    prev = with_previous(df, key, {"x": F.col(x), "y": F.col(y)}, order, bucket_width)
+    dx = F.col(x) - F.col("__prev.x")
+    dy = F.col(y) - F.col("__prev.y")
+    return (prev.withColumn("dx", dx).withColumn("dy", dy)
             .withColumn("distance", norm(F.col("dx"), F.col("dy")))
             .select(*df.columns, "dx", "dy", "distance"))
 
@@ -276,3 +322,62 @@ def tick_flags(df: DataFrame, key: str, ts: str, every: str,
     return (df.groupBy(key, F.window(ts, every).alias("__tick")).agg(*aggs)
             .select(key, F.col("__tick.start").alias("tick_start"),
                     F.col("__tick.end").alias("tick_end"), *flags.keys()))
+
+
+# ---------------------------------------------------------------------------
+# Throttle -- pass at most one event per period, the timer resetting on pass
+# ---------------------------------------------------------------------------
+
+def _throttle_scan(key: str, every_us: int, drop: list[str]):
+    import numpy as np
+
+    def scan(batches):
+        group, last = None, None
+        for pdf in batches:
+            k = pdf[key].to_numpy()
+            seg = pdf["__seg"].to_numpy()
+            t = pdf["__t"].to_numpy()
+            first = pdf["__first"].to_numpy()
+            keep = np.zeros(len(pdf), dtype=bool)
+            for i in range(len(pdf)):
+                g = (k[i], seg[i])
+                if g != group:          # a segment starts with an event that passes
+                    group, last = g, t[i]
+                    keep[i] = not first[i]   # ... except the key's seed event
+                elif t[i] - last > every_us:
+                    last = t[i]
+                    keep[i] = True
+            if keep.any():
+                yield pdf[keep].drop(columns=drop)
+    return scan
+
+
+def throttle(df: DataFrame, key: str, every_seconds: float,
+             order: Sequence[str] = ("ts", "event_id"), bucket_width=60) -> DataFrame:
+    """Events that pass a per-key throttle (W6): the key's first event starts
+    the timer and is not emitted; a later event passes when more than
+    ``every_seconds`` have elapsed since the last passing event, and restarts
+    the timer.
+
+    The rule is sequential, but an event more than one period after its
+    predecessor always passes. Those anchor events cut each key into
+    independent segments (previous-row and running-max helpers, no per-key
+    window); segments are hash-distributed and each is scanned in order by a
+    streamed ``mapInPandas`` pass with constant memory. Only a key with no gap
+    longer than the period is one sequential scan.
+    """
+    order = _cols(order)
+    every_us = int(round(every_seconds * 1_000_000))
+    t = epoch_micros(df, order[0])
+    base = df.withColumn("__t", t)
+    prev = with_previous(base, key, {"t": F.col("__t")}, order, bucket_width)
+    first = F.col("__prev").isNull()
+    anchor = first | ((F.col("__t") - F.col("__prev.t")) > F.lit(every_us))
+    marked = prev.withColumn("__first", first).withColumn(
+        "__anchor_t", F.when(anchor, F.col("__t")))
+    seg = with_running_max(marked, key, F.col("__anchor_t"), order, bucket_width, out="__seg")
+    work = seg.select(*df.columns, "__t", "__seg", "__first")
+    drop = ["__t", "__seg", "__first"]
+    return (work.repartition(key, "__seg")
+            .sortWithinPartitions(key, "__seg", *order)
+            .mapInPandas(_throttle_scan(key, every_us, drop), df.schema))

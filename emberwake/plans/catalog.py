@@ -383,6 +383,29 @@ WHERE rn = 1
 """
 
 
+THROTTLE_SECONDS = 86_400
+
+
+def q_throttle(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return E.throttle(ev, "user_id", THROTTLE_SECONDS).select("event_id", "user_id", "ts")
+
+
+SQL_THROTTLE = f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, ts,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r(user_id, rn, last_ts, passed) AS (
+  SELECT user_id, rn, ts, false FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn,
+         CASE WHEN e.ts - r.last_ts > INTERVAL {THROTTLE_SECONDS} SECOND THEN e.ts ELSE r.last_ts END,
+         e.ts - r.last_ts > INTERVAL {THROTTLE_SECONDS} SECOND
+  FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+SELECT e.event_id, e.user_id, e.ts FROM r JOIN e USING (user_id, rn) WHERE r.passed
+"""
+
+
 # ---------------------------------------------------------------------------
 # Boosting (label: returned lines)
 # ---------------------------------------------------------------------------
@@ -468,6 +491,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dispatch": (q_dispatch, SQL_DISPATCH),
     "top_priority": (q_top_priority, SQL_TOP_PRIORITY),
     "first_item_of_active": (q_first_item_of_active, SQL_FIRST_ITEM_OF_ACTIVE),
+    "throttle": (q_throttle, SQL_THROTTLE),
     "newton_histogram": (q_newton_histogram, SQL_NEWTON_HISTOGRAM),
     "boost_fit_predict": (q_boost_fit_predict, None),
     "feature_score": (q_feature_score, None),
