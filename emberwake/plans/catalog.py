@@ -21,6 +21,7 @@ from emberwake.sources import points as P
 from emberwake.plans.load import LoadSpec, TS_NTZ_FORMAT, load, open_source, stage_as_csv
 from emberwake.session import scratch_path
 from emberwake.sinks.tables import Destination, profile, write_by_class
+from emberwake.streaming import pipelines as ST
 
 QUOTA = 20
 SENTINEL = "error"
@@ -266,15 +267,18 @@ def q_key_label(spark, sf_dir):
         S.key_override(F.col("k"), ch).alias("character"))
 
 
-SQL_KEY_LABEL = EV + f""",
+KEY_VIEW_SQL = EV + f""",
 dim(code, name) AS (VALUES {_key_values_sql()}),
 kv AS (SELECT ev.*, CASE WHEN k < 26 THEN chr(k + 97) END AS ch,
               coalesce(dim.name, CAST({S.FUNCTION_AREA_START} + k AS VARCHAR)) AS key_name
        FROM ev LEFT JOIN dim ON dim.code = {S.FUNCTION_AREA_START} + ev.k)
-SELECT event_id,
-       CASE WHEN event_type = 'view' THEN coalesce(ch, key_name) || ' released'
+"""
+KEY_LABEL_SQL = """CASE WHEN event_type = 'view' THEN coalesce(ch, key_name) || ' released'
             WHEN ch IS NOT NULL THEN 'alphanumeric key ' || ch || ' pressed'
-            ELSE 'special key ' || key_name || ' pressed' END AS label,
+            ELSE 'special key ' || key_name || ' pressed' END AS label"""
+
+SQL_KEY_LABEL = KEY_VIEW_SQL + f"""
+SELECT event_id, {KEY_LABEL_SQL},
        CASE WHEN k = 36 THEN 'Enter' WHEN k = 51 THEN 'Backspace' ELSE ch END AS character
 FROM kv
 """
@@ -406,6 +410,135 @@ SELECT e.event_id, e.user_id, e.ts FROM r JOIN e USING (user_id, rn) WHERE r.pas
 """
 
 
+# ---------------------------------------------------------------------------
+# Streams: events staged as time-ordered file groups, one group per micro-batch
+# ---------------------------------------------------------------------------
+
+STREAM_BATCHES = 3
+FILES_PER_BATCH = 2
+
+
+def stage_event_files(spark, sf_dir, name: str):
+    """Write ``events`` as STREAM_BATCHES time ranges, each as FILES_PER_BATCH
+    files appended in time order, so a file stream with ``maxFilesPerTrigger =
+    FILES_PER_BATCH`` replays the table in event-time order."""
+    ev = table(spark, sf_dir, "events")
+    t = E.epoch_micros(ev, "ts")
+    probs = [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)]
+    cuts = ev.select(t.alias("t")).approxQuantile("t", probs, 0.001)
+    bounds = [None] + [int(c) for c in cuts] + [None]
+    base = scratch_path(spark, name)
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (t < F.lit(hi))
+        ev.filter(cond).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{base}/in")
+    return f"{base}/in", ev.schema, base
+
+
+def _run_to_files(stream: DataFrame, base: str) -> str:
+    out, ck = f"{base}/out", f"{base}/checkpoint"
+    q = ST.to_files(stream, out, ck)
+    q.awaitTermination()
+    return out
+
+
+def _events_stream(spark, sf_dir, name):
+    path, schema, base = stage_event_files(spark, sf_dir, name)
+    return ST.event_stream(spark, path, schema, files_per_trigger=FILES_PER_BATCH), base
+
+
+def _ntz(c: str):
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+def q_stream_mask_label(spark, sf_dir):
+    """Stateless stream -- mask filter, key look-up, key label -- to a file sink."""
+    st, base = _events_stream(spark, sf_dir, "stream_mask_label")
+    st = st.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    st = E.mask_filter(st.withColumn("code", F.pmod("k", F.lit(24))), "code", S.FULL_MASK,
+                       drop_types=(S.KEY_UP,))
+    st = E.label_lookup(st.withColumn("key_code", F.lit(S.FUNCTION_AREA_START) + F.col("k")),
+                        "key_code")
+    ch = F.when(F.col("k") < 26, F.char(F.col("k") + 97))
+    st = st.select("event_id", "code",
+                   S.key_label(ch, F.col("key_name"), F.col("event_type") == "view").alias("label"))
+    return spark.read.parquet(_run_to_files(st, base))
+
+
+SQL_STREAM_MASK_LABEL = KEY_VIEW_SQL + f"""
+SELECT event_id, k % 24 AS code, {KEY_LABEL_SQL}
+FROM kv WHERE ((CAST(1 AS BIGINT) << (k % 24)) & {MASK}) <> 0
+"""
+
+
+def q_stream_displacement(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_displacement")
+    st = st.withColumn("y", F.get_json_object("props", "$.k").cast("double"))
+    d = ST.stream_displacement(st.select("event_id", "user_id", "ts", "value", "y"),
+                               "user_id", "value", "y")
+    out = spark.read.parquet(_run_to_files(d, base))
+    return E.moved(out).select("event_id", "user_id", _ntz("ts"),
+                               F.round("dx", 6).alias("dx"), F.round("dy", 6).alias("dy"),
+                               F.round("distance", 6).alias("distance"))
+
+
+def q_stream_take_until(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_take_until")
+    kept = ST.stream_take_until(st.select("event_id", "user_id", "ts", "event_type"), "user_id",
+                                F.col("event_type") == SENTINEL)
+    out = spark.read.parquet(_run_to_files(kept, base))
+    return out.select("event_id", "user_id", _ntz("ts"), "event_type")
+
+
+def q_stream_throttle(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_throttle")
+    passed = ST.stream_throttle(st.select("event_id", "user_id", "ts"), "user_id", THROTTLE_SECONDS)
+    out = spark.read.parquet(_run_to_files(passed, base))
+    return out.select("event_id", "user_id", _ntz("ts"))
+
+
+def q_stream_tick_flags(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_tick_flags")
+    flags = ST.stream_tick_flags(st, "user_id", "ts", TICK, {
+        "moved": F.col("event_type") == "view",
+        "clicked": F.col("event_type") == "click",
+        "scrolled": F.col("event_type") == "purchase",
+    })
+    out = spark.read.parquet(_run_to_files(flags, base))
+    return out.select("user_id", _ntz("tick_start"), _ntz("tick_end"), "moved", "clicked", "scrolled")
+
+
+SQL_STREAM_TICK_FLAGS = ("SELECT * FROM (" + SQL_TICK_FLAGS + ") "
+                         "WHERE tick_end <= (SELECT max(ts) FROM events)")
+
+
+def q_stream_last_per_second(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_last_per_second")
+    st = (st.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+          .withColumn("class", S.classify(F.pmod("k", F.lit(3))))
+          .select("class", "event_id", "ts", "user_id", "event_type", "value"))
+    last = ST.stream_last_per_second(st, "class", "ts")
+    out = spark.read.parquet(_run_to_files(last, base))
+    return out.select("class", "second_key", "event_id", _ntz("ts"), "user_id", "event_type",
+                      "value", S.item_key(F.col("class"), F.col("second_key")).alias("item_key"))
+
+
+SQL_STREAM_LAST_PER_SECOND = (
+    "SELECT * FROM (" + SQL_CLASS_ROUTE + ") WHERE strptime(second_key, '%Y%m%d%H%M%S') "
+    "+ INTERVAL 1 SECOND <= (SELECT max(ts) FROM events)")
+
+
+def q_stream_retain(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_retain")
+    sink = ST.RetainSink(f"{base}/kept", "event_type", QUOTA)
+    ST.for_each_batch(st, sink, f"{base}/checkpoint").awaitTermination()
+    out = sink.result(spark)
+    return out.select("event_id", _ntz("ts"), "user_id", "event_type", "value", "props")
+
+
 # ---------------------------------------------------------------------------
 # Boosting (label: returned lines)
 # ---------------------------------------------------------------------------
@@ -492,6 +625,13 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "top_priority": (q_top_priority, SQL_TOP_PRIORITY),
     "first_item_of_active": (q_first_item_of_active, SQL_FIRST_ITEM_OF_ACTIVE),
     "throttle": (q_throttle, SQL_THROTTLE),
+    "stream_mask_label": (q_stream_mask_label, SQL_STREAM_MASK_LABEL),
+    "stream_displacement": (q_stream_displacement, SQL_DISPLACEMENT),
+    "stream_take_until": (q_stream_take_until, SQL_TAKE_UNTIL),
+    "stream_throttle": (q_stream_throttle, SQL_THROTTLE),
+    "stream_tick_flags": (q_stream_tick_flags, SQL_STREAM_TICK_FLAGS),
+    "stream_last_per_second": (q_stream_last_per_second, SQL_STREAM_LAST_PER_SECOND),
+    "stream_retain": (q_stream_retain, SQL_RETAIN_NEWEST),
     "newton_histogram": (q_newton_histogram, SQL_NEWTON_HISTOGRAM),
     "boost_fit_predict": (q_boost_fit_predict, None),
     "feature_score": (q_feature_score, None),
