@@ -9,10 +9,10 @@ Each tree level is one Spark job:
 3. rows fan out to (node, feature, bin) and are summed with a partial
    aggregate, so the shuffle carries at most nodes x features x bins rows per
    task (the gradient histogram, A5);
-4. running sums over bins (a window over that small result) give every
-   candidate split's left/right sums and gain; the best bin per (node,
-   feature) is a ``max_by``. Only those nodes x features rows reach the driver,
-   which picks the split per node and builds the next expression.
+4. only that histogram (nodes x features x bins rows, independent of the
+   data size) reaches the driver, where running sums over bins give every
+   candidate split's left/right sums and gain; the driver picks the split per
+   node and builds the next expression.
 
 Split candidates are per-feature thresholds (``approxQuantile``, or given);
 a row goes left when ``x < threshold``. Gain, leaf weight and the child-weight
@@ -32,7 +32,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberwake.session import shared_dir
@@ -122,8 +122,7 @@ def quantile_thresholds(df: DataFrame, features: list[str], bins: int,
     qs = df.approxQuantile([f for f in features], probs, rel_error)
     out = []
     for f, q in zip(features, qs):
-        # a threshold t splits x < t from x >= t; include the distinct quantiles
-        # and the minimum's successor so that two-valued features split too.
+        # a threshold t splits x < t from x >= t; repeated quantiles collapse
         vals = sorted(set(float(v) for v in q))
         out.append(vals)
     return out
@@ -158,46 +157,43 @@ def gradient_histogram(binned: DataFrame, n_features: int, node: Column, g: Colu
                  F.sum("h").alias("sum_h")))
 
 
-def best_splits(hist: DataFrame, p: NewtonParams) -> DataFrame:
-    """Per (node, feature): totals and the best valid split bin by gain."""
-    w = Window.partitionBy("node", "feature").orderBy("bin")
-    tot = Window.partitionBy("node", "feature")
-    lam = F.lit(p.lam)
-    s = (hist.withColumn("GL", F.sum("sum_g").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("HL", F.sum("sum_h").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("G", F.sum("sum_g").over(tot))
-         .withColumn("H", F.sum("sum_h").over(tot))
-         .withColumn("is_last", F.col("bin") == F.max("bin").over(tot)))
-    GR, HR = F.col("G") - F.col("GL"), F.col("H") - F.col("HL")
-    gain = (F.lit(0.5) * (F.col("GL") ** 2 / (F.col("HL") + lam) + GR ** 2 / (HR + lam)
-                          - F.col("G") ** 2 / (F.col("H") + lam)) - F.lit(p.gamma))
-    valid = (~F.col("is_last") & (F.col("HL") >= p.min_child_weight)
-             & (HR >= p.min_child_weight))
-    s = s.withColumn("gain", F.when(valid, gain))
-    return (s.groupBy("node", "feature")
-            .agg(F.first("G").alias("G"), F.first("H").alias("H"),
-                 F.max_by(F.struct("bin", "GL", "HL"), "gain").alias("best"),
-                 F.max("gain").alias("gain")))
-
-
-def _choose(rows, p: NewtonParams):
-    """Driver: per node pick (feature, bin) with the highest gain; ties to the
-    lowest feature then bin. Input is nodes x features rows."""
-    by_node: dict[int, list] = {}
-    for r in rows:
-        by_node.setdefault(r["node"], []).append(r)
+def choose_splits(hist_rows, p: NewtonParams) -> dict:
+    """Driver: from the histogram rows (nodes x features x bins, bounded) pick
+    per node the (feature, bin) with the highest gain; ties go to the lowest
+    feature, then the lowest bin. Returns node -> ("leaf", G, H) or
+    ("split", feature, bin, G_L, H_L, G_R, H_R)."""
+    cells: dict[tuple[int, int], list] = {}
+    for r in hist_rows:
+        cells.setdefault((r["node"], r["feature"]), []).append(
+            (r["bin"], float(r["sum_g"]), float(r["sum_h"])))
+    best: dict[int, list] = {}
+    totals: dict[int, tuple[float, float]] = {}
+    for (node, f), entries in cells.items():
+        entries.sort()
+        G = sum(e[1] for e in entries)
+        H = sum(e[2] for e in entries)
+        totals.setdefault(node, (G, H))
+        gl = hl = 0.0
+        parent = G * G / (H + p.lam)
+        for b, g, h in entries[:-1]:      # the last bin leaves the right side empty
+            gl += g
+            hl += h
+            gr, hr = G - gl, H - hl
+            if hl < p.min_child_weight or hr < p.min_child_weight:
+                continue
+            gain = 0.5 * (gl * gl / (hl + p.lam) + gr * gr / (hr + p.lam) - parent) - p.gamma
+            if gain > 1e-6:
+                best.setdefault(node, []).append((gain, f, b, gl, hl, gr, hr))
     out = {}
-    for node, rs in by_node.items():
-        G, H = rs[0]["G"], rs[0]["H"]
-        cands = [r for r in rs if r["gain"] is not None and r["gain"] > 1e-6]
+    for node, (G, H) in totals.items():
+        cands = best.get(node)
         if not cands:
             out[node] = ("leaf", G, H)
             continue
-        top = max(r["gain"] for r in cands)
-        tied = [r for r in cands if r["gain"] >= top - TIE_TOLERANCE * max(1.0, abs(top))]
-        r = min(tied, key=lambda r: (r["feature"], r["best"]["bin"]))
-        b = r["best"]
-        out[node] = ("split", r["feature"], b["bin"], b["GL"], b["HL"], G - b["GL"], H - b["HL"])
+        top = max(c[0] for c in cands)
+        tied = [c for c in cands if c[0] >= top - TIE_TOLERANCE * max(1.0, abs(top))]
+        _, f, b, gl, hl, gr, hr = min(tied, key=lambda c: (c[1], c[2]))
+        out[node] = ("split", f, b, gl, hl, gr, hr)
     return out
 
 
@@ -233,7 +229,7 @@ def newton_fit(df: DataFrame, label: str, features: list[str],
                     break
                 node_col = _node_expr(model, tree, set(open_nodes))
                 hist = gradient_histogram(base, nf, node_col, g, h)
-                choice = _choose(best_splits(hist, params).collect(), params)
+                choice = choose_splits(hist.collect(), params)
                 nxt = {}
                 for node in open_nodes:
                     c = choice.get(node)
