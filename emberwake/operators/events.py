@@ -98,25 +98,6 @@ def with_previous(df: DataFrame, key: str, values: Mapping[str, Column],
             .drop("__lag", "__seeded", "__carry", BUCKET))
 
 
-def with_running_max(df: DataFrame, key: str, value: Column, order: Sequence[str],
-                     bucket_width=60, out: str = "__max") -> DataFrame:
-    """Add ``out``: the running maximum of ``value`` over the key's rows up to
-    and including this one. Same bucketed plan as :func:`with_previous`, with a
-    prefix maximum over the per-(key, bucket) summary as the carry-in."""
-    order = _cols(order)
-    base = df.withColumn(BUCKET, range_bucket(df, order[0], bucket_width))
-    w = (Window.partitionBy(key, BUCKET).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = base.withColumn("__rm", F.max(value).over(w))
-    summary = base.groupBy(key, BUCKET).agg(F.max(value).alias("__bm"))
-    carry = summary.select(key, BUCKET, F.max("__bm").over(
-        Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    ).alias("__carry"))
-    return (inner.join(carry, [key, BUCKET], "left")
-            .withColumn(out, F.greatest(F.col("__rm"), F.col("__carry")))
-            .drop("__rm", "__carry", BUCKET))
-
-
 # ---------------------------------------------------------------------------
 # Displacement between consecutive samples of a key
 # ---------------------------------------------------------------------------
@@ -361,23 +342,40 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
 
     The rule is sequential, but an event more than one period after its
     predecessor always passes. Those anchor events cut each key into
-    independent segments (previous-row and running-max helpers, no per-key
-    window); segments are hash-distributed and each is scanned in order by a
-    streamed ``mapInPandas`` pass with constant memory. Only a key with no gap
-    longer than the period is one sequential scan.
+    independent segments; an event's segment is the latest anchor at or before
+    it. One window pass over (key, range bucket) finds the anchors and their
+    running maximum inside each bucket; a per-(key, bucket) summary (first and
+    last time, latest inner anchor) supplies what crosses bucket borders.
+    Segments are then hash-distributed and each is scanned in order by a
+    streamed ``mapInPandas`` pass with constant memory. Full shuffles: two.
+    Only a key with no gap longer than the period is one sequential scan.
     """
     order = _cols(order)
-    every_us = int(round(every_seconds * 1_000_000))
-    t = epoch_micros(df, order[0])
-    base = df.withColumn("__t", t)
-    prev = with_previous(base, key, {"t": F.col("__t")}, order, bucket_width)
-    first = F.col("__prev").isNull()
-    anchor = first | ((F.col("__t") - F.col("__prev.t")) > F.lit(every_us))
-    marked = prev.withColumn("__first", first).withColumn(
-        "__anchor_t", F.when(anchor, F.col("__t")))
-    seg = with_running_max(marked, key, F.col("__anchor_t"), order, bucket_width, out="__seg")
-    work = seg.select(*df.columns, "__t", "__seg", "__first")
+    every = F.lit(int(round(every_seconds * 1_000_000)))
+    base = (df.withColumn("__t", epoch_micros(df, order[0]))
+            .withColumn(BUCKET, range_bucket(df, order[0], bucket_width)))
+    w = Window.partitionBy(key, BUCKET).orderBy(*order)
+    inner = (base.withColumn("__pin", F.lag("__t").over(w))
+             .withColumn("__ia", F.when(F.col("__t") - F.col("__pin") > every, F.col("__t")))
+             .withColumn("__iam", F.max("__ia").over(
+                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    ws = Window.partitionBy(key).orderBy(BUCKET)
+    summary = (inner.groupBy(key, BUCKET)
+               .agg(F.min("__t").alias("__ft"), F.max("__t").alias("__lt"),
+                    F.max("__ia").alias("__mia"))
+               .withColumn("__pl", F.lag("__lt").over(ws))
+               .withColumn("__fa", F.when(F.col("__pl").isNull()
+                                          | (F.col("__ft") - F.col("__pl") > every), F.col("__ft")))
+               .withColumn("__cm", F.max(F.greatest("__mia", "__fa")).over(
+                   ws.rowsBetween(Window.unboundedPreceding, -1)))
+               .select(key, BUCKET, "__pl", "__fa", "__cm"))
+    joined = inner.join(summary, [key, BUCKET], "left")
+    work = joined.select(
+        *df.columns, "__t",
+        F.greatest("__iam", "__fa", "__cm").alias("__seg"),
+        (F.col("__pin").isNull() & F.col("__pl").isNull()).alias("__first"))
     drop = ["__t", "__seg", "__first"]
     return (work.repartition(key, "__seg")
             .sortWithinPartitions(key, "__seg", *order)
-            .mapInPandas(_throttle_scan(key, every_us, drop), df.schema))
+            .mapInPandas(_throttle_scan(key, int(round(every_seconds * 1_000_000)), drop),
+                         df.schema))
