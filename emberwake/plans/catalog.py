@@ -21,6 +21,7 @@ from emberwake.sources import points as P
 from emberwake.plans.load import LoadSpec, TS_NTZ_FORMAT, load, open_source, stage_as_csv
 from emberwake.session import scratch_path
 from emberwake.sinks.tables import Destination, profile, write_by_class
+from emberwake.sources.files import list_files
 from emberwake.streaming import pipelines as ST
 
 QUOTA = 20
@@ -108,6 +109,16 @@ def q_write_by_class(spark, sf_dir):
 SQL_WRITE_BY_CLASS = "SELECT * FROM events"
 
 
+def q_file_listing(spark, sf_dir):
+    """Items stored under class folders, then listed by name pattern."""
+    ev = table(spark, sf_dir, "events")
+    out = scratch_path(spark, "listing")
+    write_by_class(ev, out, cls="event_type")
+    files = list_files(spark, out, "*.parquet")
+    return files.select(F.regexp_extract("path", r"event_type=([^/]+)/", 1).alias("event_type"),
+                        "name", "length")
+
+
 # ---------------------------------------------------------------------------
 # Event operators
 # ---------------------------------------------------------------------------
@@ -566,6 +577,15 @@ def q_feature_score(spark, sf_dir):
     return B.feature_score(spark, model)
 
 
+def q_boost_embeddings(spark, sf_dir):
+    """Array column -> vector (R2), GBT on label class 0 vs the rest."""
+    emb = table(spark, sf_dir, "embeddings")
+    data = emb.select("vec_id", (F.col("label") == 0).cast("double").alias("label"),
+                      P.features("embedding").alias("features"))
+    model = B.fit_boosted(data, B.BoostParams(rounds=BOOST_ROUNDS))
+    return B.predict(model, data).select("vec_id", "label", "prediction")
+
+
 def q_newton_histogram(spark, sf_dir):
     """Round-1 gradient histogram (margin 0: g = 0.5 - y, h = 0.25)."""
     li = _returned(spark, sf_dir)
@@ -608,6 +628,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "load_write_read": (q_load_write_read, SQL_LOAD_WRITE_READ),
     "schema_profile": (q_schema_profile, SQL_SCHEMA_PROFILE),
     "write_by_class": (q_write_by_class, SQL_WRITE_BY_CLASS),
+    "file_listing": (q_file_listing, None),
     "displacement": (q_displacement, SQL_DISPLACEMENT),
     "class_route": (q_class_route, SQL_CLASS_ROUTE),
     "retain_newest": (q_retain_newest, SQL_RETAIN_NEWEST),
@@ -634,6 +655,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stream_retain": (q_stream_retain, SQL_RETAIN_NEWEST),
     "newton_histogram": (q_newton_histogram, SQL_NEWTON_HISTOGRAM),
     "boost_fit_predict": (q_boost_fit_predict, None),
+    "boost_embeddings": (q_boost_embeddings, None),
     "feature_score": (q_feature_score, None),
     "newton_fit": (q_newton_fit, None),
 }
