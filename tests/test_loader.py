@@ -161,3 +161,17 @@ def test_write_by_class_and_listing(spark, tmp_dir):
     files = list_files(spark, out, "*.parquet")
     assert files.count() >= 5
     assert set(files.columns) == {"path", "name", "modified", "length"}
+
+
+def test_console_and_foreach_batch_sinks(spark, tmp_dir):
+    from emberwake.streaming import pipelines as ST
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.write.parquet(f"{tmp_dir}/in")
+    st = ST.event_stream(spark, f"{tmp_dir}/in", ev.schema, files_per_trigger=1)
+    assert dict(st.dtypes)["ts"] == "timestamp"
+    q = st.writeStream.format("console").trigger(availableNow=True) \
+        .option("checkpointLocation", f"{tmp_dir}/ck_console").option("numRows", 1).start()
+    q.awaitTermination()
+    seen = []
+    ST.for_each_batch(st, lambda df, i: seen.append(df.count()), f"{tmp_dir}/ck_feb").awaitTermination()
+    assert sum(seen) == ev.count()
