@@ -309,7 +309,7 @@ def tick_flags(df: DataFrame, key: str, ts: str, every: str,
 # Throttle -- pass at most one event per period, the timer resetting on pass
 # ---------------------------------------------------------------------------
 
-def _throttle_scan(key: str, every_us: int, drop: list[str]):
+def _throttle_scan(key: str, every_us: int, rewind_us: int, drop: list[str]):
     import numpy as np
 
     def scan(batches):
@@ -319,63 +319,87 @@ def _throttle_scan(key: str, every_us: int, drop: list[str]):
             seg = pdf["__seg"].to_numpy()
             t = pdf["__t"].to_numpy()
             first = pdf["__first"].to_numpy()
+            elig = pdf["__elig"].to_numpy()
+            force = pdf["__force"].to_numpy()
+            rewind = pdf["__rewind"].to_numpy()
             keep = np.zeros(len(pdf), dtype=bool)
             for i in range(len(pdf)):
                 g = (k[i], seg[i])
                 if g != group:          # a segment starts with an event that passes
                     group, last = g, t[i]
                     keep[i] = not first[i]   # ... except the key's seed event
-                elif t[i] - last > every_us:
+                elif elig[i] and t[i] - last > every_us:
                     last = t[i]
                     keep[i] = True
+                if force[i]:            # passes without touching the timer
+                    keep[i] = True
+                if rewind[i]:           # passes; next timed pass due rewind_us later
+                    last = t[i] - every_us + rewind_us
+                    keep[i] = True
             if keep.any():
                 yield pdf[keep].drop(columns=drop)
     return scan
 
 
 def throttle(df: DataFrame, key: str, every_seconds: float,
-             order: Sequence[str] = ("ts", "event_id"), bucket_width=60) -> DataFrame:
+             order: Sequence[str] = ("ts", "event_id"), bucket_width=60,
+             eligible: Column | None = None, force: Column | None = None,
+             rewind: Column | None = None, rewind_delay: float = 1.0) -> DataFrame:
     """Events that pass a per-key throttle (W6): the key's first event starts
-    the timer and is not emitted; a later event passes when more than
-    ``every_seconds`` have elapsed since the last passing event, and restarts
-    the timer.
-
-    The rule is sequential, but an event more than one period after its
-    predecessor always passes. Those anchor events cut each key into
-    independent segments; an event's segment is the latest anchor at or before
-    it. One window pass over (key, range bucket) finds the anchors and their
-    running maximum inside each bucket; a per-(key, bucket) summary (first and
-    last time, latest inner anchor) supplies what crosses bucket borders.
-    Segments are then hash-distributed and each is scanned in order by a
-    streamed ``mapInPandas`` pass with constant memory. Full shuffles: two.
-    Only a key with no gap longer than the period is one sequential scan.
+    the timer and is not emitted; a later ``eligible`` event passes when more
+    than ``every_seconds`` have elapsed since the timer was last set, and sets
+    it. ``force`` rows pass without touching the timer; ``rewind`` rows pass
+    and set the timer so the next timed pass is due ``rewind_delay`` seconds
+    later. Ineligible rows never pass by time (the key-up rule).
+
+    The rule is sequential, but an eligible event more than one period after
+    its predecessor always passes (the timer is never set later than
+    ``rewind_delay - period`` before the predecessor). Those anchor events cut
+    each key into independent segments; an event's segment is the latest anchor
+    at or before it. One window pass over (key, range bucket) finds the anchors
+    and their running maximum inside each bucket; a per-(key, bucket) summary
+    (first and last time, latest inner anchor) supplies what crosses bucket
+    borders. Segments are then hash-distributed and each is scanned in order by
+    a streamed ``mapInPandas`` pass with constant memory. Full shuffles: two.
+    Only a key with no eligible event more than a period after its predecessor
+    is one sequential scan.
     """
+    if rewind_delay > every_seconds:
+        raise ValueError("rewind_delay must not exceed the period")
     order = _cols(order)
-    every = F.lit(int(round(every_seconds * 1_000_000)))
+    every_us = int(round(every_seconds * 1_000_000))
+    every = F.lit(every_us)
+    flag = (lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False)))
     base = (df.withColumn("__t", epoch_micros(df, order[0]))
-            .withColumn(BUCKET, range_bucket(df, order[0], bucket_width)))
+            .withColumn(BUCKET, range_bucket(df, order[0], bucket_width))
+            .withColumn("__elig", F.lit(True) if eligible is None else flag(eligible))
+            .withColumn("__force", flag(force))
+            .withColumn("__rewind", flag(rewind)))
     w = Window.partitionBy(key, BUCKET).orderBy(*order)
     inner = (base.withColumn("__pin", F.lag("__t").over(w))
-             .withColumn("__ia", F.when(F.col("__t") - F.col("__pin") > every, F.col("__t")))
+             .withColumn("__ia", F.when(F.col("__elig") & (F.col("__t") - F.col("__pin") > every),
+                                        F.col("__t")))
              .withColumn("__iam", F.max("__ia").over(
                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     ws = Window.partitionBy(key).orderBy(BUCKET)
     summary = (inner.groupBy(key, BUCKET)
                .agg(F.min("__t").alias("__ft"), F.max("__t").alias("__lt"),
+                    F.min_by("__elig", F.struct(*order)).alias("__fe"),
                     F.max("__ia").alias("__mia"))
                .withColumn("__pl", F.lag("__lt").over(ws))
-               .withColumn("__fa", F.when(F.col("__pl").isNull()
-                                          | (F.col("__ft") - F.col("__pl") > every), F.col("__ft")))
+               .withColumn("__fa", F.when(
+                   F.col("__pl").isNull()
+                   | (F.col("__fe") & (F.col("__ft") - F.col("__pl") > every)), F.col("__ft")))
                .withColumn("__cm", F.max(F.greatest("__mia", "__fa")).over(
                    ws.rowsBetween(Window.unboundedPreceding, -1)))
                .select(key, BUCKET, "__pl", "__fa", "__cm"))
     joined = inner.join(summary, [key, BUCKET], "left")
     work = joined.select(
-        *df.columns, "__t",
+        *df.columns, "__t", "__elig", "__force", "__rewind",
         F.greatest("__iam", "__fa", "__cm").alias("__seg"),
         (F.col("__pin").isNull() & F.col("__pl").isNull()).alias("__first"))
-    drop = ["__t", "__seg", "__first"]
+    drop = ["__t", "__seg", "__first", "__elig", "__force", "__rewind"]
+    rewind_us = int(round(rewind_delay * 1_000_000))
     return (work.repartition(key, "__seg")
             .sortWithinPartitions(key, "__seg", *order)
-            .mapInPandas(_throttle_scan(key, int(round(every_seconds * 1_000_000)), drop),
-                         df.schema))
+            .mapInPandas(_throttle_scan(key, every_us, rewind_us, drop), df.schema))

@@ -421,6 +421,55 @@ SELECT e.event_id, e.user_id, e.ts FROM r JOIN e USING (user_id, rn) WHERE r.pas
 """
 
 
+# Stand-ins: 'signup' never triggers by time (key-up), 'click' forces a pass
+# (button press), 'purchase' rewinds the timer (modifier change).
+REWIND_SECONDS = 3_600
+
+
+def _throttle_flags():
+    return dict(eligible=F.col("event_type") != "signup", force=F.col("event_type") == "click",
+                rewind=F.col("event_type") == "purchase", rewind_delay=REWIND_SECONDS)
+
+
+def q_throttle_forced(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return E.throttle(ev, "user_id", THROTTLE_SECONDS, **_throttle_flags()) \
+        .select("event_id", "user_id", "ts")
+
+
+SQL_THROTTLE_FORCED = f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, ts, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r(user_id, rn, last_ts, passed) AS (
+  SELECT user_id, rn,
+         CASE WHEN event_type = 'purchase'
+              THEN ts - INTERVAL {THROTTLE_SECONDS} SECOND + INTERVAL {REWIND_SECONDS} SECOND
+              ELSE ts END,
+         event_type IN ('click', 'purchase')
+  FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn,
+         CASE WHEN e.event_type = 'purchase'
+                THEN e.ts - INTERVAL {THROTTLE_SECONDS} SECOND + INTERVAL {REWIND_SECONDS} SECOND
+              WHEN e.event_type <> 'signup' AND e.ts - r.last_ts > INTERVAL {THROTTLE_SECONDS} SECOND
+                THEN e.ts
+              ELSE r.last_ts END,
+         (e.event_type <> 'signup' AND e.ts - r.last_ts > INTERVAL {THROTTLE_SECONDS} SECOND)
+           OR e.event_type IN ('click', 'purchase')
+  FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+SELECT e.event_id, e.user_id, e.ts FROM r JOIN e USING (user_id, rn) WHERE r.passed
+"""
+
+
+def q_stream_throttle_forced(spark, sf_dir):
+    st, base = _events_stream(spark, sf_dir, "stream_throttle_forced")
+    passed = ST.stream_throttle(st.select("event_id", "user_id", "ts", "event_type"), "user_id",
+                                THROTTLE_SECONDS, **_throttle_flags())
+    out = spark.read.parquet(_run_to_files(passed, base))
+    return out.select("event_id", "user_id", _ntz("ts"))
+
+
 # ---------------------------------------------------------------------------
 # Streams: events staged as time-ordered file groups, one group per micro-batch
 # ---------------------------------------------------------------------------
@@ -646,10 +695,12 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "top_priority": (q_top_priority, SQL_TOP_PRIORITY),
     "first_item_of_active": (q_first_item_of_active, SQL_FIRST_ITEM_OF_ACTIVE),
     "throttle": (q_throttle, SQL_THROTTLE),
+    "throttle_forced": (q_throttle_forced, SQL_THROTTLE_FORCED),
     "stream_mask_label": (q_stream_mask_label, SQL_STREAM_MASK_LABEL),
     "stream_displacement": (q_stream_displacement, SQL_DISPLACEMENT),
     "stream_take_until": (q_stream_take_until, SQL_TAKE_UNTIL),
     "stream_throttle": (q_stream_throttle, SQL_THROTTLE),
+    "stream_throttle_forced": (q_stream_throttle_forced, SQL_THROTTLE_FORCED),
     "stream_tick_flags": (q_stream_tick_flags, SQL_STREAM_TICK_FLAGS),
     "stream_last_per_second": (q_stream_last_per_second, SQL_STREAM_LAST_PER_SECOND),
     "stream_retain": (q_stream_retain, SQL_RETAIN_NEWEST),

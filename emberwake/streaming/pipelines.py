@@ -151,10 +151,12 @@ class _TakeUntil(StatefulProcessor):
 
 
 class _Throttle(StatefulProcessor):
-    """Keeps the key's last passing time; the first event seeds the timer."""
+    """Keeps the key's timer (last set time); the first event seeds it."""
 
-    def __init__(self, t_col: str, every_us: int, order: Sequence[str], out_cols: list[str]):
-        self.t_col, self.every_us, self.order, self.out_cols = t_col, every_us, list(order), out_cols
+    def __init__(self, t_col: str, every_us: int, rewind_us: int, order: Sequence[str],
+                 out_cols: list[str]):
+        self.t_col, self.every_us, self.rewind_us = t_col, every_us, rewind_us
+        self.order, self.out_cols = list(order), out_cols
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "t long")
@@ -163,14 +165,22 @@ class _Throttle(StatefulProcessor):
         import numpy as np
         pdf = _sorted_rows(rows, self.order)
         t = pdf[self.t_col].to_numpy()
+        elig = pdf["ew_elig"].to_numpy()
+        force = pdf["ew_force"].to_numpy()
+        rewind = pdf["ew_rewind"].to_numpy()
         keep = np.zeros(len(pdf), dtype=bool)
         last = self.last.get()[0] if self.last.exists() else None
         for i in range(len(pdf)):
             if last is None:
                 last = int(t[i])
-            elif t[i] - last > self.every_us:
+            elif elig[i] and t[i] - last > self.every_us:
                 last = int(t[i])
                 keep[i] = True
+            if force[i]:
+                keep[i] = True
+            if rewind[i]:
+                last = int(t[i]) - self.every_us + self.rewind_us
+                keep[i] = True
         self.last.update((int(last),))
         if keep.any():
             yield pdf[keep][self.out_cols]
@@ -206,14 +216,22 @@ def stream_take_until(stream: DataFrame, key: str, is_stop: Column,
 
 
 def stream_throttle(stream: DataFrame, key: str, every_seconds: float,
-                    order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """D3: at most one event per period per key, timer reset on pass."""
+                    order: Sequence[str] = ("ts", "event_id"), eligible: Column | None = None,
+                    force: Column | None = None, rewind: Column | None = None,
+                    rewind_delay: float = 1.0) -> DataFrame:
+    """D3: the per-key throttle of ``operators.events.throttle`` on a stream;
+    the timer is the key's only state."""
     use_rocksdb(stream.sparkSession)
     cols = list(stream.columns)
     every_us = int(round(every_seconds * 1_000_000))
-    timed = stream.withColumn("ew_t_us", F.unix_micros(F.col(order[0])))
+    flag = (lambda c, d: F.lit(d) if c is None else F.coalesce(c, F.lit(False)))
+    timed = (stream.withColumn("ew_t_us", F.unix_micros(F.col(order[0])))
+             .withColumn("ew_elig", flag(eligible, True))
+             .withColumn("ew_force", flag(force, False))
+             .withColumn("ew_rewind", flag(rewind, False)))
+    proc = _Throttle("ew_t_us", every_us, int(round(rewind_delay * 1_000_000)), order, cols)
     return timed.groupBy(key).transformWithStateInPandas(
-        _Throttle("ew_t_us", every_us, order, cols), _out_schema(stream, cols), "Append", "None")
+        proc, _out_schema(stream, cols), "Append", "None")
 
 
 # ---------------------------------------------------------------------------

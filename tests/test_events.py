@@ -233,3 +233,34 @@ def test_top_priority_and_first_active(spark):
                                    "owner int, active boolean, p int")
     first = E.first_item_of_active(owners, items, "owner", F.col("active"), "p", low, "pos").collect()
     assert [(r.owner, r.pos) for r in first] == [(2, 20)]
+
+
+@pytest.mark.parametrize("period,delay", [(120, 30), (1800, 1800)])
+def test_throttle_with_force_rewind_and_ineligible(spark, period, delay):
+    rows = _random_rows(800)
+    got = {r.event_id for r in E.throttle(
+        _events(spark, rows), "user_id", period, eligible=F.col("event_type") != "signup",
+        force=F.col("event_type") == "click", rewind=F.col("event_type") == "purchase",
+        rewind_delay=delay).collect()}
+    want = set()
+    for key, rs in _by_key(rows).items():
+        last = None
+        for r in rs:
+            t, et = r[1].timestamp(), r[3]
+            keep = False
+            if last is None:
+                last = t
+            elif et != "signup" and t - last > period:
+                last, keep = t, True
+            if et == "click":
+                keep = True
+            if et == "purchase":
+                last, keep = t - period + delay, True
+            if keep:
+                want.add(r[0])
+    assert got == want
+
+
+def test_throttle_rejects_long_rewind(spark):
+    with pytest.raises(ValueError):
+        E.throttle(_events(spark, _random_rows(5)), "user_id", 10, rewind_delay=20)
