@@ -54,13 +54,16 @@ def q_load_orders(spark, sf_dir):
                                         options={"timestampNTZFormat": TS_NTZ_FORMAT}))
     return (df.groupBy("o_orderstatus")
             .agg(F.count(F.lit(1)).alias("n_orders"),
-                 F.round(F.sum("o_totalprice"), 2).alias("total_price"),
+                 # exact decimal sum: the same total whatever the summation order
+                 F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+                 .alias("total_price"),
                  F.min("o_orderdate").alias("first_order"),
                  F.max("o_orderdate").alias("last_order")))
 
 
 SQL_LOAD_ORDERS = """
-SELECT o_orderstatus, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price,
+SELECT o_orderstatus, count(*) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
        min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
 FROM orders GROUP BY o_orderstatus
 """
