@@ -216,7 +216,7 @@ SELECT event_id, user_id, ts, event_type FROM (
 def q_take_until_turns(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations")
     kept = E.take_until(conv, "conv_id", S.is_sentinel(F.col("role"), "assistant"), ("turn",))
-    return kept.select("conv_id", "turn", "role", F.length("text").alias("n_chars"))
+    return kept.select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"))
 
 
 SQL_TAKE_UNTIL_TURNS = """
