@@ -85,6 +85,28 @@ SELECT *, (SELECT count(*) FROM orders) AS rows_written FROM orders
 """
 
 
+# Text with quotes and line breaks: one record may span lines (multiLine), and
+# quotes inside a field are doubled (RFC 4180). multiLine files are read one
+# task per file, so parallelism comes from the number of staged part files.
+TEXT_CSV = {"multiLine": True, "escape": '"'}
+
+
+def _load_text_table(spark, sf_dir, name: str, key: str):
+    src = table(spark, sf_dir, name)
+    data, spec = stage_as_csv(spark, src, f"load_{name}", not_null=(key,), options=TEXT_CSV)
+    _, df = open_source(spark, LoadSpec(data, spec, Destination("parquet", path="-"),
+                                        options=TEXT_CSV))
+    return df
+
+
+def q_load_documents(spark, sf_dir):
+    return _load_text_table(spark, sf_dir, "documents", "doc_id")
+
+
+def q_load_pages(spark, sf_dir):
+    return _load_text_table(spark, sf_dir, "pages", "page_id")
+
+
 def q_schema_profile(spark, sf_dir):
     return profile(table(spark, sf_dir, "lineitem"))
 
@@ -678,6 +700,8 @@ def q_newton_fit(spark, sf_dir):
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "load_orders": (q_load_orders, SQL_LOAD_ORDERS),
     "load_write_read": (q_load_write_read, SQL_LOAD_WRITE_READ),
+    "load_documents": (q_load_documents, "SELECT * FROM documents"),
+    "load_pages": (q_load_pages, "SELECT * FROM pages"),
     "schema_profile": (q_schema_profile, SQL_SCHEMA_PROFILE),
     "write_by_class": (q_write_by_class, SQL_WRITE_BY_CLASS),
     "file_listing": (q_file_listing, None),

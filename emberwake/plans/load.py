@@ -69,7 +69,8 @@ def load(spark: SparkSession, spec: LoadSpec, sample_rows: int = 20) -> LoadResu
 
 
 def stage_as_csv(spark: SparkSession, df: DataFrame, name: str,
-                 not_null: tuple[str, ...] = (), sep: str = ",") -> tuple[str, str]:
+                 not_null: tuple[str, ...] = (), sep: str = ",",
+                 options: dict | None = None) -> tuple[str, str]:
     """Write ``df`` as headed CSV plus a spec file below the shared folder.
 
     Returns ``(data_folder, spec_path)``. Used to feed the loader from tables.
@@ -77,7 +78,7 @@ def stage_as_csv(spark: SparkSession, df: DataFrame, name: str,
     base = scratch_path(spark, name)
     data = f"{base}/data"
     (df.write.mode("error").option("header", True).option("sep", sep)
-     .option("timestampNTZFormat", TS_NTZ_FORMAT).csv(data))
+     .option("timestampNTZFormat", TS_NTZ_FORMAT).options(**(options or {})).csv(data))
     spec = write_spec(spark, df.schema, f"{base}/spec", not_null=not_null)
     return data, spec
 
