@@ -660,6 +660,26 @@ def q_boost_embeddings(spark, sf_dir):
     return B.predict(model, data).select("vec_id", "label", "prediction")
 
 
+def q_newton_labels(spark, sf_dir):
+    """Documents joined with their quality label; features from whole texts
+    (length, lines, words, digits); second-order fit applied to labelled docs."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    text = F.col("text")
+    feats = docs.select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
+        F.size(F.split(F.trim(text), "\\s+")).cast("double").alias("n_words"),
+        (F.length(text) - F.length(F.regexp_replace(text, "[0-9]", ""))).cast("double")
+        .alias("n_digits"))
+    data = feats.join(labels.select("doc_id", F.col("quality").cast("double").alias("label")),
+                      "doc_id")
+    cols = ["n_chars", "n_lines", "n_words", "n_digits"]
+    model = N.newton_fit(data, "label", cols, N.NewtonParams(rounds=BOOST_ROUNDS))
+    return model.transform(data).select("doc_id", "label", F.round("probability", 6)
+                                        .alias("probability"), "prediction")
+
+
 def q_newton_histogram(spark, sf_dir):
     """Round-1 gradient histogram (margin 0: g = 0.5 - y, h = 0.25)."""
     li = _returned(spark, sf_dir)
@@ -736,4 +756,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "boost_embeddings": (q_boost_embeddings, None),
     "feature_score": (q_feature_score, None),
     "newton_fit": (q_newton_fit, None),
+    "newton_labels": (q_newton_labels, None),
 }
