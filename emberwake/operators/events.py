@@ -309,33 +309,79 @@ def tick_flags(df: DataFrame, key: str, ts: str, every: str,
 # Throttle -- pass at most one event per period, the timer resetting on pass
 # ---------------------------------------------------------------------------
 
+def _next_true(mask):
+    """For each position, the index of the next True at or after it (len if none)."""
+    import numpy as np
+    n = len(mask)
+    idx = np.where(mask, np.arange(n), n)
+    return np.minimum.accumulate(idx[::-1])[::-1]
+
+
+def _scan_batch(t, new_group, first, elig, force, rewind, every_us, rewind_us, last):
+    """Throttle rule over one sorted batch of segments.
+
+    Python iterates per segment and per *passing* event only: inside a segment
+    the next timed pass is found with a binary search over the sorted times
+    (first eligible event after ``last + period``), the next rewind with a
+    precomputed next-index array. ``last`` carries the open segment's timer
+    into the batch; the returned value carries it out.
+    """
+    import numpy as np
+    n = len(t)
+    keep = np.zeros(n, dtype=bool)
+    next_elig = _next_true(elig)
+    next_rew = _next_true(rewind)
+    starts = np.flatnonzero(new_group)
+    bounds = np.append(starts, n)
+    chunks = [(0, bounds[0], False)] if bounds[0] > 0 else []
+    chunks += [(int(bounds[j]), int(bounds[j + 1]), True) for j in range(len(starts))]
+    for lo, hi, fresh in chunks:
+        i = lo
+        if fresh:                       # a segment starts with an event that passes
+            last = int(t[lo])           # ... except the key's seed event
+            keep[lo] = not first[lo]
+            if rewind[lo]:
+                last = int(t[lo]) - every_us + rewind_us
+                keep[lo] = True
+            i = lo + 1
+        while i < hi:
+            j = i + int(np.searchsorted(t[i:hi], last + every_us, side="right"))
+            j = int(next_elig[j]) if j < hi else hi
+            r = int(next_rew[i])
+            if r < min(j, hi):          # a rewind before the next timed pass
+                last = int(t[r]) - every_us + rewind_us
+                keep[r] = True
+                i = r + 1
+            elif j < hi:                # the next timed pass
+                last = int(t[j])
+                keep[j] = True
+                if rewind[j]:
+                    last = int(t[j]) - every_us + rewind_us
+                i = j + 1
+            else:
+                break
+    keep |= force
+    return keep, last
+
+
 def _throttle_scan(key: str, every_us: int, rewind_us: int, drop: list[str]):
     import numpy as np
 
     def scan(batches):
-        group, last = None, None
+        prev_k, prev_seg, last = None, None, None
         for pdf in batches:
+            if len(pdf) == 0:
+                continue
             k = pdf[key].to_numpy()
             seg = pdf["__seg"].to_numpy()
-            t = pdf["__t"].to_numpy()
-            first = pdf["__first"].to_numpy()
-            elig = pdf["__elig"].to_numpy()
-            force = pdf["__force"].to_numpy()
-            rewind = pdf["__rewind"].to_numpy()
-            keep = np.zeros(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                g = (k[i], seg[i])
-                if g != group:          # a segment starts with an event that passes
-                    group, last = g, t[i]
-                    keep[i] = not first[i]   # ... except the key's seed event
-                elif elig[i] and t[i] - last > every_us:
-                    last = t[i]
-                    keep[i] = True
-                if force[i]:            # passes without touching the timer
-                    keep[i] = True
-                if rewind[i]:           # passes; next timed pass due rewind_us later
-                    last = t[i] - every_us + rewind_us
-                    keep[i] = True
+            new_group = np.ones(len(pdf), dtype=bool)
+            new_group[1:] = (k[1:] != k[:-1]) | (seg[1:] != seg[:-1])
+            new_group[0] = last is None or k[0] != prev_k or seg[0] != prev_seg
+            keep, last = _scan_batch(
+                pdf["__t"].to_numpy(), new_group, pdf["__first"].to_numpy(),
+                pdf["__elig"].to_numpy(), pdf["__force"].to_numpy(),
+                pdf["__rewind"].to_numpy(), every_us, rewind_us, last)
+            prev_k, prev_seg = k[-1], seg[-1]
             if keep.any():
                 yield pdf[keep].drop(columns=drop)
     return scan

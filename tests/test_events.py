@@ -264,3 +264,43 @@ def test_throttle_with_force_rewind_and_ineligible(spark, period, delay):
 def test_throttle_rejects_long_rewind(spark):
     with pytest.raises(ValueError):
         E.throttle(_events(spark, _random_rows(5)), "user_id", 10, rewind_delay=20)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_throttle_scan_across_batches(seed):
+    """The per-partition scan carries a segment's timer across Arrow batches."""
+    import numpy as np
+    import pandas as pd
+    rnd = random.Random(seed)
+    period, delay = 50, 20
+    rows = []
+    for key in range(4):
+        t = 0
+        for i in range(rnd.randint(1, 300)):
+            t += rnd.choice([0, 1, 3, 7, 20, 60])
+            rows.append((key, t, rnd.random() < 0.8, rnd.random() < 0.05, rnd.random() < 0.05))
+    # brute force over whole keys (one segment per key: anchors are optional)
+    want = []
+    for key in range(4):
+        last = None
+        for r in (r for r in rows if r[0] == key):
+            _, t, elig, force, rew = r
+            keep = False
+            if last is None:
+                last = t
+            elif elig and t - last > period:
+                last, keep = t, True
+            keep = keep or force
+            if rew:
+                last, keep = t - period + delay, True
+            want.append(keep)
+    pdf = pd.DataFrame(rows, columns=["k", "__t", "__elig", "__force", "__rewind"])
+    pdf["__seg"] = 0
+    pdf["__first"] = pdf.groupby("k").cumcount() == 0
+    pdf["i"] = np.arange(len(pdf))
+    cuts = sorted(rnd.sample(range(1, len(pdf)), min(5, len(pdf) - 1)))
+    batches = [pdf.iloc[a:b] for a, b in zip([0] + cuts, cuts + [len(pdf)])]
+    scan = E._throttle_scan("k", period, delay, ["__t", "__seg", "__first", "__elig",
+                                                 "__force", "__rewind"])
+    got = set(pd.concat(list(scan(iter(batches))))["i"]) if any(want) else set()
+    assert got == {i for i, w in enumerate(want) if w}
