@@ -207,7 +207,8 @@ def take_until(df: DataFrame, key: str | None, is_stop: Column,
     """
     order = _cols(order)
     pos = F.struct(*[F.col(c) for c in order])
-    stop_rows = df.filter(F.coalesce(is_stop, F.lit(False)))
+    # a filter drops null predicates, and a plain comparison reaches the scan
+    stop_rows = df.filter(is_stop)
     if key is None:
         first = stop_rows.agg(F.min(pos).alias("__stop")).withColumn("__one", F.lit(1))
         joined = df.withColumn("__one", F.lit(1)).join(F.broadcast(first), "__one", "left")

@@ -222,7 +222,7 @@ FROM events GROUP BY event_type
 
 def q_take_until(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return E.take_until(ev, "user_id", S.is_sentinel(F.col("event_type"), SENTINEL),
+    return E.take_until(ev, "user_id", F.col("event_type") == SENTINEL,
                         ("ts", "event_id")).select("event_id", "user_id", "ts", "event_type")
 
 
@@ -237,7 +237,7 @@ SELECT event_id, user_id, ts, event_type FROM (
 
 def q_take_until_turns(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations")
-    kept = E.take_until(conv, "conv_id", S.is_sentinel(F.col("role"), "assistant"), ("turn",))
+    kept = E.take_until(conv, "conv_id", F.col("role") == "assistant", ("turn",))
     return kept.select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"))
 
 
