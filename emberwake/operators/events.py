@@ -38,20 +38,13 @@ def _cols(order: Sequence[str] | str) -> list[str]:
 def range_bucket(df: DataFrame, col: str, width) -> Column:
     """A bucket number that never decreases along ``col``.
 
-    Timestamps: ``width`` minutes (no time-zone arithmetic for NTZ values, so
-    the bucket is monotone in the wall-clock value). Numbers: ``width`` units.
+    Time columns: ``width`` minutes (fractions allowed) of epoch microseconds,
+    with no time-zone arithmetic for NTZ values. Numbers: ``width`` units.
     """
     dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, T.TimestampNTZType):
-        minutes = (F.unix_date(F.to_date(c)).cast("long") * 1440
-                   + F.hour(c) * 60 + F.minute(c))
-        return F.floor(minutes / F.lit(int(width)))
-    if isinstance(dt, T.TimestampType):
-        return F.floor(F.unix_micros(c) / F.lit(int(width) * 60_000_000))
-    if isinstance(dt, T.DateType):
-        return F.floor(F.unix_date(c) / F.lit(max(1, int(width) // 1440)))
-    return F.floor(c / F.lit(width))
+    if isinstance(dt, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return F.floor(epoch_micros(df, col) / F.lit(float(width) * 60_000_000))
+    return F.floor(F.col(col) / F.lit(width))
 
 
 def epoch_micros(df: DataFrame, col: str) -> Column:
@@ -365,26 +358,33 @@ def _scan_batch(t, new_group, first, elig, force, rewind, every_us, rewind_us, l
     return keep, last
 
 
-def _throttle_scan(key: str, every_us: int, rewind_us: int, drop: list[str]):
+def _throttle_scan(key: str, every_us: int, rewind_us: int, out_cols: list[str]):
+    """Per-partition scan over Arrow record batches sorted by (key, segment,
+    order). Only the key and helper columns become numpy arrays; the rows that
+    pass are selected from the batch as Arrow data."""
     import numpy as np
+    import pyarrow as pa
 
     def scan(batches):
         prev_k, prev_seg, last = None, None, None
-        for pdf in batches:
-            if len(pdf) == 0:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            k = pdf[key].to_numpy()
-            seg = pdf["__seg"].to_numpy()
-            new_group = np.ones(len(pdf), dtype=bool)
+            col = rb.schema.get_field_index
+            k = rb.column(col(key)).to_numpy(zero_copy_only=False)
+            seg = rb.column(col("__seg")).to_numpy(zero_copy_only=False)
+            new_group = np.ones(rb.num_rows, dtype=bool)
             new_group[1:] = (k[1:] != k[:-1]) | (seg[1:] != seg[:-1])
             new_group[0] = last is None or k[0] != prev_k or seg[0] != prev_seg
-            keep, last = _scan_batch(
-                pdf["__t"].to_numpy(), new_group, pdf["__first"].to_numpy(),
-                pdf["__elig"].to_numpy(), pdf["__force"].to_numpy(),
-                pdf["__rewind"].to_numpy(), every_us, rewind_us, last)
+            flags = [rb.column(col(c)).to_numpy(zero_copy_only=False).astype(bool)
+                     for c in ("__first", "__elig", "__force", "__rewind")]
+            t = rb.column(col("__t")).to_numpy(zero_copy_only=False).astype(np.int64)
+            keep, last = _scan_batch(t, new_group, *flags, every_us, rewind_us, last)
             prev_k, prev_seg = k[-1], seg[-1]
             if keep.any():
-                yield pdf[keep].drop(columns=drop)
+                passed = rb.filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([passed.column(col(c)) for c in out_cols],
+                                                 names=out_cols)
     return scan
 
 
@@ -407,7 +407,7 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
     and their running maximum inside each bucket; a per-(key, bucket) summary
     (first and last time, latest inner anchor) supplies what crosses bucket
     borders. Segments are then hash-distributed and each is scanned in order by
-    a streamed ``mapInPandas`` pass with constant memory. Full shuffles: two.
+    a streamed ``mapInArrow`` pass with constant memory. Full shuffles: two.
     Only a key with no eligible event more than a period after its predecessor
     is one sequential scan.
     """
@@ -445,8 +445,7 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
         *df.columns, "__t", "__elig", "__force", "__rewind",
         F.greatest("__iam", "__fa", "__cm").alias("__seg"),
         (F.col("__pin").isNull() & F.col("__pl").isNull()).alias("__first"))
-    drop = ["__t", "__seg", "__first", "__elig", "__force", "__rewind"]
     rewind_us = int(round(rewind_delay * 1_000_000))
     return (work.repartition(key, "__seg")
             .sortWithinPartitions(key, "__seg", *order)
-            .mapInPandas(_throttle_scan(key, every_us, rewind_us, drop), df.schema))
+            .mapInArrow(_throttle_scan(key, every_us, rewind_us, list(df.columns)), df.schema))
