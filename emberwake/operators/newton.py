@@ -35,7 +35,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberwake.session import shared_dir
+from emberwake.session import at_least_cores, shared_dir
 
 TIE_TOLERANCE = 1e-9
 
@@ -115,11 +115,13 @@ class NewtonModel:
 
 
 def quantile_thresholds(df: DataFrame, features: list[str], bins: int,
-                        rel_error: float = 1e-3) -> list[list[float]]:
+                        rel_error: float | None = None) -> list[list[float]]:
     """Candidate thresholds per feature from approximate quantiles (bounded:
-    ``bins`` numbers per feature reach the driver)."""
+    ``bins`` numbers per feature reach the driver). The default error is a
+    quarter of the bin width."""
     probs = [i / bins for i in range(1, bins)]
-    qs = df.approxQuantile([f for f in features], probs, rel_error)
+    err = rel_error if rel_error is not None else 0.25 / bins
+    qs = df.approxQuantile([f for f in features], probs, err)
     out = []
     for f, q in zip(features, qs):
         # a threshold t splits x < t from x >= t; repeated quantiles collapse
@@ -129,11 +131,14 @@ def quantile_thresholds(df: DataFrame, features: list[str], bins: int,
 
 
 def _bin_expr(x: Column, thresholds: list[float]) -> Column:
-    """Number of thresholds <= x (0 .. n). Nulls go to bin 0."""
-    expr = F.lit(0)
-    for t in thresholds:
-        expr = expr + F.when(x >= F.lit(t), F.lit(1)).otherwise(F.lit(0))
-    return F.coalesce(expr, F.lit(0)).cast("int")
+    """Number of thresholds <= x (0 .. n) as a balanced binary search of
+    ``CASE`` comparisons: log2(n) comparisons per value. Nulls go to bin 0."""
+    def search(lo: int, hi: int) -> Column:      # the answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x >= F.lit(thresholds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+    return search(0, len(thresholds)).cast("int")
 
 
 def binned_table(df: DataFrame, label: str, features: list[str],
@@ -207,7 +212,7 @@ def newton_fit(df: DataFrame, label: str, features: list[str],
         thresholds = quantile_thresholds(df, features, params.bins)
     model = NewtonModel(list(features), [list(t) for t in thresholds], params)
     nf = len(features)
-    base = (binned_table(df, label, features, thresholds)
+    base = (at_least_cores(binned_table(df, label, features, thresholds))
             .withColumn("__m", F.lit(model.base_margin))
             .persist(StorageLevel.MEMORY_AND_DISK))
     pending: list[dict] = []
