@@ -13,8 +13,8 @@ Scale rules followed throughout (one key may hold a third of all rows):
 * Sequence questions (previous row, running maximum) are computed inside
   range buckets of (key, time) and stitched at bucket borders with a carry-in
   table, so a hot key is spread over as many tasks as it has buckets.
-* The throttle is sequential by nature; it is cut into independent segments
-  at events that must pass, and only the segments are scanned in order.
+* The throttle is sequential by nature; time chunks of a key exchange only
+  their timer through small transfer tables, so chunks run in parallel.
 """
 
 from __future__ import annotations
@@ -303,95 +303,11 @@ def tick_flags(df: DataFrame, key: str, ts: str, every: str,
 # Throttle -- pass at most one event per period, the timer resetting on pass
 # ---------------------------------------------------------------------------
 
-def _next_true(mask):
-    """For each position, the index of the next True at or after it (len if none)."""
-    import numpy as np
-    n = len(mask)
-    idx = np.where(mask, np.arange(n), n)
-    return np.minimum.accumulate(idx[::-1])[::-1]
-
-
-def _scan_batch(t, new_group, first, elig, force, rewind, every_us, rewind_us, last):
-    """Throttle rule over one sorted batch of segments.
-
-    Python iterates per segment and per *passing* event only: inside a segment
-    the next timed pass is found with a binary search over the sorted times
-    (first eligible event after ``last + period``), the next rewind with a
-    precomputed next-index array. ``last`` carries the open segment's timer
-    into the batch; the returned value carries it out.
-    """
-    import numpy as np
-    n = len(t)
-    keep = np.zeros(n, dtype=bool)
-    next_elig = _next_true(elig)
-    next_rew = _next_true(rewind)
-    starts = np.flatnonzero(new_group)
-    bounds = np.append(starts, n)
-    chunks = [(0, bounds[0], False)] if bounds[0] > 0 else []
-    chunks += [(int(bounds[j]), int(bounds[j + 1]), True) for j in range(len(starts))]
-    for lo, hi, fresh in chunks:
-        i = lo
-        if fresh:                       # a segment starts with an event that passes
-            last = int(t[lo])           # ... except the key's seed event
-            keep[lo] = not first[lo]
-            if rewind[lo]:
-                last = int(t[lo]) - every_us + rewind_us
-                keep[lo] = True
-            i = lo + 1
-        while i < hi:
-            j = i + int(np.searchsorted(t[i:hi], last + every_us, side="right"))
-            j = int(next_elig[j]) if j < hi else hi
-            r = int(next_rew[i])
-            if r < min(j, hi):          # a rewind before the next timed pass
-                last = int(t[r]) - every_us + rewind_us
-                keep[r] = True
-                i = r + 1
-            elif j < hi:                # the next timed pass
-                last = int(t[j])
-                keep[j] = True
-                if rewind[j]:
-                    last = int(t[j]) - every_us + rewind_us
-                i = j + 1
-            else:
-                break
-    keep |= force
-    return keep, last
-
-
-def _throttle_scan(key: str, every_us: int, rewind_us: int, out_cols: list[str]):
-    """Per-partition scan over Arrow record batches sorted by (key, segment,
-    order). Only the key and helper columns become numpy arrays; the rows that
-    pass are selected from the batch as Arrow data."""
-    import numpy as np
-    import pyarrow as pa
-
-    def scan(batches):
-        prev_k, prev_seg, last = None, None, None
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            col = rb.schema.get_field_index
-            k = rb.column(col(key)).to_numpy(zero_copy_only=False)
-            seg = rb.column(col("__seg")).to_numpy(zero_copy_only=False)
-            new_group = np.ones(rb.num_rows, dtype=bool)
-            new_group[1:] = (k[1:] != k[:-1]) | (seg[1:] != seg[:-1])
-            new_group[0] = last is None or k[0] != prev_k or seg[0] != prev_seg
-            flags = [rb.column(col(c)).to_numpy(zero_copy_only=False).astype(bool)
-                     for c in ("__first", "__elig", "__force", "__rewind")]
-            t = rb.column(col("__t")).to_numpy(zero_copy_only=False).astype(np.int64)
-            keep, last = _scan_batch(t, new_group, *flags, every_us, rewind_us, last)
-            prev_k, prev_seg = k[-1], seg[-1]
-            if keep.any():
-                passed = rb.filter(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([passed.column(col(c)) for c in out_cols],
-                                                 names=out_cols)
-    return scan
-
-
 def throttle(df: DataFrame, key: str, every_seconds: float,
-             order: Sequence[str] = ("ts", "event_id"), bucket_width=60,
+             order: Sequence[str] = ("ts", "event_id"),
              eligible: Column | None = None, force: Column | None = None,
-             rewind: Column | None = None, rewind_delay: float = 1.0) -> DataFrame:
+             rewind: Column | None = None, rewind_delay: float = 1.0,
+             chunk_periods: int = 64) -> DataFrame:
     """Events that pass a per-key throttle (W6): the key's first event starts
     the timer and is not emitted; a later ``eligible`` event passes when more
     than ``every_seconds`` have elapsed since the timer was last set, and sets
@@ -399,53 +315,12 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
     and set the timer so the next timed pass is due ``rewind_delay`` seconds
     later. Ineligible rows never pass by time (the key-up rule).
 
-    The rule is sequential, but an eligible event more than one period after
-    its predecessor always passes (the timer is never set later than
-    ``rewind_delay - period`` before the predecessor). Those anchor events cut
-    each key into independent segments; an event's segment is the latest anchor
-    at or before it. One window pass over (key, range bucket) finds the anchors
-    and their running maximum inside each bucket; a per-(key, bucket) summary
-    (first and last time, latest inner anchor) supplies what crosses bucket
-    borders. Segments are then hash-distributed and each is scanned in order by
-    a streamed ``mapInArrow`` pass with constant memory. Full shuffles: two.
-    Only a key with no eligible event more than a period after its predecessor
-    is one sequential scan.
+    Exact and parallel inside a key: time chunks of ``chunk_periods`` periods
+    exchange only their timer, through per-chunk transfer tables (see
+    :mod:`emberwake.operators.throttle`).
     """
-    if rewind_delay > every_seconds:
-        raise ValueError("rewind_delay must not exceed the period")
+    from emberwake.operators.throttle import throttle as _chunked
     order = _cols(order)
-    every_us = int(round(every_seconds * 1_000_000))
-    every = F.lit(every_us)
-    flag = (lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False)))
-    base = (df.withColumn("__t", epoch_micros(df, order[0]))
-            .withColumn(BUCKET, range_bucket(df, order[0], bucket_width))
-            .withColumn("__elig", F.lit(True) if eligible is None else flag(eligible))
-            .withColumn("__force", flag(force))
-            .withColumn("__rewind", flag(rewind)))
-    w = Window.partitionBy(key, BUCKET).orderBy(*order)
-    inner = (base.withColumn("__pin", F.lag("__t").over(w))
-             .withColumn("__ia", F.when(F.col("__elig") & (F.col("__t") - F.col("__pin") > every),
-                                        F.col("__t")))
-             .withColumn("__iam", F.max("__ia").over(
-                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    ws = Window.partitionBy(key).orderBy(BUCKET)
-    summary = (inner.groupBy(key, BUCKET)
-               .agg(F.min("__t").alias("__ft"), F.max("__t").alias("__lt"),
-                    F.min_by("__elig", F.struct(*order)).alias("__fe"),
-                    F.max("__ia").alias("__mia"))
-               .withColumn("__pl", F.lag("__lt").over(ws))
-               .withColumn("__fa", F.when(
-                   F.col("__pl").isNull()
-                   | (F.col("__fe") & (F.col("__ft") - F.col("__pl") > every)), F.col("__ft")))
-               .withColumn("__cm", F.max(F.greatest("__mia", "__fa")).over(
-                   ws.rowsBetween(Window.unboundedPreceding, -1)))
-               .select(key, BUCKET, "__pl", "__fa", "__cm"))
-    joined = inner.join(summary, [key, BUCKET], "left")
-    work = joined.select(
-        *df.columns, "__t", "__elig", "__force", "__rewind",
-        F.greatest("__iam", "__fa", "__cm").alias("__seg"),
-        (F.col("__pin").isNull() & F.col("__pl").isNull()).alias("__first"))
-    rewind_us = int(round(rewind_delay * 1_000_000))
-    return (work.repartition(key, "__seg")
-            .sortWithinPartitions(key, "__seg", *order)
-            .mapInArrow(_throttle_scan(key, every_us, rewind_us, list(df.columns)), df.schema))
+    return _chunked(df, key, every_seconds, epoch_micros(df, order[0]), order,
+                    eligible=eligible, force=force, rewind=rewind,
+                    rewind_delay=rewind_delay, chunk_periods=chunk_periods)

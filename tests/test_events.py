@@ -267,21 +267,23 @@ def test_throttle_rejects_long_rewind(spark):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_throttle_scan_across_batches(seed):
-    """The per-partition scan carries a segment's timer across Arrow batches."""
+def test_throttle_steps_across_batches(seed):
+    """All three steps carry their state across Arrow batch boundaries."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from emberwake.operators import throttle as TH
     rnd = random.Random(seed)
-    period, delay = 50, 20
+    period, delay, C = 50, 20, 3
     rows = []
-    for key in range(4):
-        t = 0
-        for i in range(rnd.randint(1, 300)):
-            t += rnd.choice([0, 1, 3, 7, 20, 60])
+    for key in range(3):
+        t = rnd.randint(0, 500)
+        for i in range(rnd.randint(1, 400)):
+            t += rnd.choice([0, 1, 3, 7, 20, 60, 400])
             rows.append((key, t, rnd.random() < 0.8, rnd.random() < 0.05, rnd.random() < 0.05))
-    # brute force over whole keys (one segment per key: anchors are optional)
-    want = []
-    for key in range(4):
+    want = set()
+    idx = 0
+    for key in range(3):
         last = None
         for r in (r for r in rows if r[0] == key):
             _, t, elig, force, rew = r
@@ -293,15 +295,41 @@ def test_throttle_scan_across_batches(seed):
             keep = keep or force
             if rew:
                 last, keep = t - period + delay, True
-            want.append(keep)
-    pdf = pd.DataFrame(rows, columns=["k", "__t", "__elig", "__force", "__rewind"])
-    pdf["__seg"] = 0
-    pdf["__first"] = pdf.groupby("k").cumcount() == 0
-    pdf["i"] = np.arange(len(pdf))
-    cuts = sorted(rnd.sample(range(1, len(pdf)), min(5, len(pdf) - 1)))
-    import pyarrow as pa
-    batches = [pa.RecordBatch.from_pandas(pdf.iloc[a:b], preserve_index=False)
-               for a, b in zip([0] + cuts, cuts + [len(pdf)])]
-    scan = E._throttle_scan("k", period, delay, ["k", "i"])
-    got = {i for rb in scan(iter(batches)) for i in rb.column(1).to_pylist()}
-    assert got == {i for i, w in enumerate(want) if w}
+            if keep:
+                want.add(idx)
+            idx += 1
+    n = len(rows)
+    k = np.array([r[0] for r in rows])
+    t = np.array([r[1] for r in rows], dtype=np.int64)
+    el, fo, rw = (np.array([r[j] for r in rows]) for j in (2, 3, 4))
+    blk = t // period
+    chunk = blk // C
+    halo = (blk % C) == C - 1
+
+    def split(tbl):
+        cuts = sorted(rnd.sample(range(1, tbl.num_rows), min(6, tbl.num_rows - 1)))
+        return [tbl.slice(a, b - a).to_batches()[0]
+                for a, b in zip([0] + cuts, cuts + [tbl.num_rows]) if b > a]
+
+    # step 1 input: rows plus halo copies, sorted by (key, chunk, halo first, time)
+    recs = [(k[i], chunk[i], False, t[i], el[i], rw[i]) for i in range(n)]
+    recs += [(k[i], chunk[i] + 1, True, t[i], el[i], rw[i]) for i in range(n) if halo[i]]
+    recs.sort(key=lambda r: (r[0], r[1], not r[2], r[3]))
+    tbl = pa.table({"k": [int(r[0]) for r in recs], "__chunk": [int(r[1]) for r in recs],
+                    "__halo": [r[2] for r in recs], "__t": [int(r[3]) for r in recs],
+                    "__elig": [bool(r[4]) for r in recs], "__rewind": [bool(r[5]) for r in recs]})
+    ss = TH._summary_schema("k", T.LongType())
+    summaries = pa.Table.from_batches(
+        list(TH._tables_fn("k", ss, period, delay)(iter(split(tbl)))))
+    es = TH._entry_schema("k", T.LongType())
+    summaries = summaries.sort_by([("k", "ascending"), ("__chunk", "ascending")])
+    entries = pa.Table.from_batches(list(TH._entries_fn("k", es)(iter(split(summaries)))))
+    ent = {(a, b): (c, d) for a, b, c, d in zip(*(entries.column(i).to_pylist() for i in range(4)))}
+    rows3 = pa.table({"k": k.tolist(), "__chunk": chunk.tolist(), "__t": t.tolist(),
+                      "__elig": el.tolist(), "__force": fo.tolist(), "__rewind": rw.tolist(),
+                      "__entry": [ent[(int(k[i]), int(chunk[i]))][0] for i in range(n)],
+                      "__seed": [ent[(int(k[i]), int(chunk[i]))][1] for i in range(n)],
+                      "i": list(range(n))})
+    out = TH._replay_fn("k", period, delay, ["i"])(iter(split(rows3)))
+    got = {i for rb in out for i in rb.column(0).to_pylist()}
+    assert got == want

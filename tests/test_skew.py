@@ -46,14 +46,22 @@ def test_displacement_spreads_hot_key(spark):
     assert all(b.dx == b.value - a.value for a, b in zip(rows, rows[1:]))
 
 
-def test_throttle_spreads_segments_of_hot_key(spark):
+def test_throttle_spreads_dense_hot_key(spark):
     df = _hot(spark)
-    # a 10-second period: consecutive hot-key events are 18 s apart, so every
-    # event is an anchor and segments spread over all tasks
-    out = E.throttle(df, "user_id", 10).withColumn("pid", F.spark_partition_id())
-    hot = [r for r in out.select("user_id", "pid").collect() if r.user_id == 0]
+    # hot-key events are 18 s apart and the period is 100 s: no gap is longer
+    # than a period, so the rule chains through the whole key; chunks of
+    # 8 periods still run in parallel and the result stays exact
+    out = E.throttle(df, "user_id", 100, chunk_periods=8).withColumn("pid", F.spark_partition_id())
+    hot = sorted((r for r in out.select("user_id", "ts", "pid").collect() if r.user_id == 0),
+                 key=lambda r: r.ts)
     assert len({r.pid for r in hot}) > 4
-    assert len(hot) == df.filter("user_id = 0").count() - 1
+    times = sorted(r.ts for r in df.filter("user_id = 0").select("ts").collect())
+    want, last = [], times[0]
+    for t in times[1:]:
+        if (t - last).total_seconds() > 100:
+            want.append(t)
+            last = t
+    assert [r.ts for r in hot] == want
 
 
 def test_retain_newest_plans_partial_top_k(spark):
