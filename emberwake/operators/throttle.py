@@ -134,6 +134,10 @@ def chunk_table(t, halo, elig, rew, period, rewind_us):
             states = np.full_like(states, OLD)
             if seed is not None:
                 seed = OLD
+        if seed is not None and (states == seed).all():
+            # every entry has merged into one timer: finish with a single chain
+            out = _single_exit(tr[lo:], er[lo:], rr[lo:], blk[lo:], seed, period, rewind_us)
+            return dom, np.full_like(states, out), out, int(blk[0]), int(blk[-1])
         tb, lb, eb, rb = tr[lo:hi], lr[lo:hi], er[lo:hi], rr[lo:hi]
         term = _block_terminal(tb, lb, eb, rb, period)
         states = _transfer(states, tb, lb, eb, rb, period, term)
@@ -145,6 +149,24 @@ def chunk_table(t, halo, elig, rew, period, rewind_us):
     return dom, states, int(seed), int(blk[0]), int(blk[-1])
 
 
+def _single_exit(t, elig, rew, blk, last, period, rewind_us):
+    """Exit timer of one known chain over the rest of a chunk: the timer if
+    its last setter lies in the chunk's last block, else OLD."""
+    lval = np.where(rew, t - period + rewind_us, t)
+    next_elig = _next_true(elig)
+    next_rew = _next_true(rew)
+    n, i, setter = len(t), 0, -1
+    while i < n:
+        j = i + int(np.searchsorted(t[i:], last + period, side="right"))
+        j = int(next_elig[j]) if j < n else n
+        r = int(next_rew[i])
+        s = r if r < min(j, n) else (j if j < n else -1)
+        if s < 0:
+            break
+        last, setter, i = int(lval[s]), s, s + 1
+    return last if setter >= 0 and blk[setter] == blk[-1] else OLD
+
+
 def _seed_exit(tb, lb, eb, rb, period, term):
     """Exit timer of a block whose first row is the key's seed: the seed sets
     the timer, the rest of the block continues from it (chains only move
