@@ -333,3 +333,30 @@ def test_throttle_steps_across_batches(seed):
     out = TH._replay_fn("k", period, delay, ["i"])(iter(split(rows3)))
     got = {i for rb in out for i in rb.column(0).to_pylist()}
     assert got == want
+
+
+@pytest.mark.parametrize("chunk_periods,period,delay", [(1, 60, 30), (3, 7, 3), (2, 600, 600)])
+def test_throttle_small_chunks(spark, chunk_periods, period, delay):
+    """Many chunk boundaries: entries cross chunks through the transfer tables."""
+    rows = _random_rows(900, seed=3, span_hours=6)
+    got = {r.event_id for r in E.throttle(
+        _events(spark, rows), "user_id", period, eligible=F.col("event_type") != "signup",
+        force=F.col("event_type") == "click", rewind=F.col("event_type") == "purchase",
+        rewind_delay=delay, chunk_periods=chunk_periods).collect()}
+    want = set()
+    for key, rs in _by_key(rows).items():
+        last = None
+        for r in rs:
+            t, et = r[1].timestamp(), r[3]
+            keep = False
+            if last is None:
+                last = t
+            elif et != "signup" and t - last > period:
+                last, keep = t, True
+            if et == "click":
+                keep = True
+            if et == "purchase":
+                last, keep = t - period + delay, True
+            if keep:
+                want.add(r[0])
+    assert got == want
