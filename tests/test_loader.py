@@ -175,3 +175,36 @@ def test_console_and_foreach_batch_sinks(spark, tmp_dir):
     seen = []
     ST.for_each_batch(st, lambda df, i: seen.append(df.count()), f"{tmp_dir}/ck_feb").awaitTermination()
     assert sum(seen) == ev.count()
+
+
+def test_table_destination(spark):
+    import uuid
+    name = f"ew_t_{uuid.uuid4().hex[:8]}"
+    df = spark.range(10).withColumn("v", F.col("id") * 1.5)
+    assert write_table(df, Destination("table", table=name)) == 10
+    assert spark.table(name).count() == 10
+    with pytest.raises(AnalysisException):
+        write_table(df, Destination("table", table=name))
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_reader_options(spark, tmp_dir):
+    schema = T.StructType([
+        T.StructField("d", T.DateType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("v", T.DoubleType()), T.StructField("s", T.StringType()),
+    ])
+    p = f"{tmp_dir}/opts.csv"
+    with open(p, "w", encoding="latin-1") as f:
+        f.write("d;ts;v;s\n"
+                "31/12/2024;2024-12-31 23:59:58;nix;'caf\xe9 ''x'''\n"
+                "01/01/2025;2025-01-01 00:00:01;plus;'a;b'\n"
+                "02/01/2025;2025-01-02 10:00:00;minus;plain\n")
+    df = read_delimited(spark, p, schema, sep=";", dateFormat="dd/MM/yyyy",
+                        timestampNTZFormat="yyyy-MM-dd HH:mm:ss", nanValue="nix",
+                        positiveInf="plus", negativeInf="minus", quote="'", escape="'",
+                        encoding="iso-8859-1", maxColumns=10, maxCharsPerColumn=100)
+    rows = df.orderBy("d").collect()
+    import datetime as dt
+    assert rows[0].d == dt.date(2024, 12, 31) and rows[0].ts == dt.datetime(2024, 12, 31, 23, 59, 58)
+    assert math.isnan(rows[0].v) and rows[1].v == math.inf and rows[2].v == -math.inf
+    assert rows[0].s == "caf\xe9 'x'" and rows[1].s == "a;b" and rows[2].s == "plain"
