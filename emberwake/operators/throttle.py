@@ -26,7 +26,9 @@ therefore linked only by the setter rows of each chunk's last block:
    searches, on Arrow record batches.
 
 A key with a third of all rows is spread over as many tasks as it has chunks;
-one wide shuffle (step 3) and one narrow shuffle (step 1) move rows.
+one wide shuffle (step 3) and one narrow shuffle (step 1) move rows. Entries
+reach their chunk as marker rows in the same partitioning (no join), so a null
+key is one more group, as in Spark's grouping.
 """
 
 from __future__ import annotations
@@ -308,18 +310,22 @@ def replay(t, elig, force, rew, seed_first, last, period, rewind_us):
 
 
 def _replay_fn(key: str, period: int, rewind_us: int, out_cols: list[str]):
+    """Replay over record batches sorted by (key, chunk, marker first, order):
+    each chunk's entry arrives as a marker row ahead of its data rows."""
     import pyarrow as pa
 
     def run(batches):
-        cur, last = None, None
+        cur, last, seed_pending = None, OLD, False
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             ix = rb.schema.get_field_index
-            k = rb.column(ix(key)).to_numpy(zero_copy_only=False)
+            kcol = rb.column(ix(key))
+            k = kcol.to_numpy(zero_copy_only=False)
             ch = rb.column(ix("__chunk")).to_numpy(zero_copy_only=False)
-            t = rb.column(ix("__t")).to_numpy(zero_copy_only=False).astype(np.int64)
-            el, fo, rw = (rb.column(ix(c)).to_numpy(zero_copy_only=False).astype(bool)
+            marker = rb.column(ix("__marker")).to_numpy(zero_copy_only=False).astype(bool)
+            t = rb.column(ix("__t")).to_numpy(zero_copy_only=False)
+            el, fo, rw = (rb.column(ix(c)).to_numpy(zero_copy_only=False)
                           for c in ("__elig", "__force", "__rewind"))
             entry = rb.column(ix("__entry")).to_numpy(zero_copy_only=False)
             seed = rb.column(ix("__seed")).to_numpy(zero_copy_only=False)
@@ -327,12 +333,19 @@ def _replay_fn(key: str, period: int, rewind_us: int, out_cols: list[str]):
             change = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (ch[1:] != ch[:-1])])
             bounds = np.r_[change, rb.num_rows]
             for a, b in zip(bounds[:-1], bounds[1:]):
-                g = (k[a], ch[a])
-                fresh = g != cur
-                if fresh:
-                    cur, last = g, int(entry[a])
-                kp, last = replay(t[a:b], el[a:b], fo[a:b], rw[a:b], fresh and bool(seed[a]),
+                a, b = int(a), int(b)
+                g = (kcol[a].as_py(), int(ch[a]))
+                if g != cur:
+                    cur, last, seed_pending = g, OLD, False
+                while a < b and marker[a]:
+                    last, seed_pending = int(entry[a]), bool(seed[a])
+                    a += 1
+                if a == b:
+                    continue
+                kp, last = replay(t[a:b].astype(np.int64), el[a:b].astype(bool),
+                                  fo[a:b].astype(bool), rw[a:b].astype(bool), seed_pending,
                                   last, period, rewind_us)
+                seed_pending = False
                 keep[a:b] = kp
             if keep.any():
                 passed = rb.filter(pa.array(keep))
@@ -378,11 +391,16 @@ def throttle(df: DataFrame, key: str, every_seconds: float, time_micros: Column,
     entries = (tables.repartition(key)
                .sortWithinPartitions(key, "__chunk")
                .mapInArrow(_entries_fn(key, entry_schema), entry_schema))
-    # step 3: replay every chunk from its entry
-    # rows keep their (key, chunk) partitioning: the per-chunk entries are the
-    # build side of a shuffled hash join, the rows stream through it
-    rows = base.repartition(key, "__chunk")
-    joined = rows.join(entries.hint("shuffle_hash"), [key, "__chunk"], "inner")
+    # step 3: replay every chunk from its entry. The entry travels as a marker
+    # row in the same (key, chunk) partition, ahead of the chunk's rows: no
+    # join, and a null key stays one group like everywhere else.
+    markers = (entries.withColumn("__marker", F.lit(True))
+               .withColumn("__t", F.lit(None).cast("long")))
+    data = (base.withColumn("__marker", F.lit(False))
+            .withColumn("__entry", F.lit(None).cast("long"))
+            .withColumn("__seed", F.lit(None).cast("boolean")))
     out_cols = list(df.columns)
-    return (joined.sortWithinPartitions(key, "__chunk", *order)
+    return (data.unionByName(markers, allowMissingColumns=True)
+            .repartition(key, "__chunk")
+            .sortWithinPartitions(key, "__chunk", F.col("__marker").desc(), *order)
             .mapInArrow(_replay_fn(key, period, rewind_us, out_cols), df.schema))

@@ -325,11 +325,14 @@ def test_throttle_steps_across_batches(seed):
     summaries = summaries.sort_by([("k", "ascending"), ("__chunk", "ascending")])
     entries = pa.Table.from_batches(list(TH._entries_fn("k", es)(iter(split(summaries)))))
     ent = {(a, b): (c, d) for a, b, c, d in zip(*(entries.column(i).to_pylist() for i in range(4)))}
-    rows3 = pa.table({"k": k.tolist(), "__chunk": chunk.tolist(), "__t": t.tolist(),
-                      "__elig": el.tolist(), "__force": fo.tolist(), "__rewind": rw.tolist(),
-                      "__entry": [ent[(int(k[i]), int(chunk[i]))][0] for i in range(n)],
-                      "__seed": [ent[(int(k[i]), int(chunk[i]))][1] for i in range(n)],
-                      "i": list(range(n))})
+    recs3 = [(int(a), int(b), True, None, False, False, False, e, sd, -1)
+             for (a, b), (e, sd) in ent.items()]
+    recs3 += [(int(k[i]), int(chunk[i]), False, int(t[i]), bool(el[i]), bool(fo[i]), bool(rw[i]),
+               None, None, i) for i in range(n)]
+    recs3.sort(key=lambda r: (r[0], r[1], not r[2], r[3] if r[3] is not None else -1, r[9]))
+    names = ["k", "__chunk", "__marker", "__t", "__elig", "__force", "__rewind", "__entry",
+             "__seed", "i"]
+    rows3 = pa.table({c: [r[j] for r in recs3] for j, c in enumerate(names)})
     out = TH._replay_fn("k", period, delay, ["i"])(iter(split(rows3)))
     got = {i for rb in out for i in rb.column(0).to_pylist()}
     assert got == want
@@ -360,3 +363,23 @@ def test_throttle_small_chunks(spark, chunk_periods, period, delay):
             if keep:
                 want.add(r[0])
     assert got == want
+
+
+def test_throttle_null_key_is_a_group(spark):
+    rows = _random_rows(300, seed=5)
+    rows = [(r[0], r[1], None if r[2] == 1 else r[2], r[3], r[4]) for r in rows]
+    got = {r.event_id for r in E.throttle(_events(spark, rows), "user_id", 600).collect()}
+    want = set()
+    groups = {}
+    for r in sorted(rows, key=lambda r: (r[1], r[0])):
+        groups.setdefault(r[2], []).append(r)
+    for rs in groups.values():
+        last = None
+        for r in rs:
+            t = r[1].timestamp()
+            if last is None:
+                last = t
+            elif t - last > 600:
+                last = t
+                want.add(r[0])
+    assert None in groups and got == want
