@@ -72,23 +72,28 @@ def with_previous(df: DataFrame, key: str, values: Mapping[str, Column],
     """Add ``out``: a struct of ``values`` taken from the key's previous row in
     ``order`` (null for the key's first row).
 
-    ``lag`` runs inside (key, range bucket) windows; the first row of a bucket
-    takes the previous non-empty bucket's last row from a per-(key, bucket)
-    summary (partial ``max_by``, ``lag`` over the small summary, one join). A
-    hot key is spread over as many tasks as it has buckets.
+    ``lag`` runs inside (key, range bucket) windows. Each bucket's carry-in,
+    the last row of the key's previous non-empty bucket, comes from a
+    per-(key, bucket) summary (partial ``max_by``, ``lag`` over the small
+    summary) and enters the bucket's window as a marker row ordered first, so
+    the first real row lags onto it; markers are dropped afterwards. A hot key
+    is spread over as many tasks as it has buckets, and a null key is one
+    group, as in any window.
     """
     order = _cols(order)
     base = df.withColumn(BUCKET, range_bucket(df, order[0], bucket_width))
-    w = Window.partitionBy(key, BUCKET).orderBy(*order)
     point = F.struct(*[c.alias(n) for n, c in values.items()])
-    inner = (base.withColumn("__lag", F.lag(point).over(w))
-             .withColumn("__seeded", F.lag(F.lit(True)).over(w).isNotNull()))
-    last = base.groupBy(key, BUCKET).agg(F.max_by(point, F.struct(*order)).alias("__last"))
-    carry = last.select(key, BUCKET, F.lag("__last").over(
-        Window.partitionBy(key).orderBy(BUCKET)).alias("__carry"))
-    return (inner.join(carry, [key, BUCKET], "left")
-            .withColumn(out, F.when(F.col("__seeded"), F.col("__lag")).otherwise(F.col("__carry")))
-            .drop("__lag", "__seeded", "__carry", BUCKET))
+    last = base.groupBy(key, BUCKET).agg(F.max_by(point, F.struct(*order)).alias("__pt"))
+    carry = (last.select(key, BUCKET, F.lag("__pt").over(
+        Window.partitionBy(key).orderBy(BUCKET)).alias("__pt"))
+        .filter(F.col("__pt").isNotNull())
+        .withColumn("__mk", F.lit(0)))
+    rows = base.withColumn("__pt", point).withColumn("__mk", F.lit(1))
+    w = Window.partitionBy(key, BUCKET).orderBy("__mk", *order)
+    return (rows.unionByName(carry, allowMissingColumns=True)
+            .withColumn(out, F.lag("__pt").over(w))
+            .filter(F.col("__mk") == 1)
+            .drop("__pt", "__mk", BUCKET))
 
 
 # ---------------------------------------------------------------------------
@@ -150,8 +155,9 @@ def evicted(df: DataFrame, cls: str, quota=DEFAULT_QUOTA,
     order = _cols(order)
     q, _ = _quota(cls, quota)
     kept = retain_newest(df, cls, quota, order)
-    thresholds = (kept.groupBy(cls).agg(F.min(F.struct(*order)).alias("__oldest_kept")))
-    joined = df.join(thresholds, cls, "left")
+    thresholds = (kept.groupBy(cls).agg(F.min(F.struct(*order)).alias("__oldest_kept"))
+                  .withColumnRenamed(cls, "__tcls"))
+    joined = df.join(thresholds, df[cls].eqNullSafe(thresholds["__tcls"]), "left").drop("__tcls")
     older = F.struct(*[F.col(c) for c in order]) < F.col("__oldest_kept")
     zero_quota = q <= 0
     return joined.filter(zero_quota | older).drop("__oldest_kept")
@@ -207,8 +213,10 @@ def take_until(df: DataFrame, key: str | None, is_stop: Column,
         joined = df.withColumn("__one", F.lit(1)).join(F.broadcast(first), "__one", "left")
         joined = joined.drop("__one")
     else:
-        first = stop_rows.groupBy(key).agg(F.min(pos).alias("__stop"))
-        joined = df.join(first, key, "left")
+        first = (stop_rows.groupBy(key).agg(F.min(pos).alias("__stop"))
+                 .withColumnRenamed(key, "__skey"))
+        # null-safe: a null key is a group of its own, as in a window
+        joined = df.join(first, df[key].eqNullSafe(first["__skey"]), "left").drop("__skey")
     keep = F.col("__stop").isNull() | (pos <= F.col("__stop"))
     return joined.filter(keep).select(*df.columns)
 

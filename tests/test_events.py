@@ -383,3 +383,33 @@ def test_throttle_null_key_is_a_group(spark):
                 last = t
                 want.add(r[0])
     assert None in groups and got == want
+
+
+def test_null_key_is_a_group_for_joined_operators(spark):
+    rows = _random_rows(400, seed=9)
+    rows = [(r[0], r[1], None if r[2] == 2 else r[2], r[3], r[4]) for r in rows]
+    df = _events(spark, rows)
+    groups = {}
+    for r in sorted(rows, key=lambda r: (r[1], r[0])):
+        groups.setdefault(r[2], []).append(r)
+    assert None in groups
+    # displacement: previous row inside the null group too
+    got = {r.event_id: r.dx for r in E.displacement(df, "user_id", "value", "value").collect()}
+    for rs in groups.values():
+        assert got[rs[0][0]] is None
+        assert all(got[b[0]] == b[4] - a[4] for a, b in zip(rs, rs[1:]))
+    # take-until: the null group stops at its own first sentinel
+    got = {r.event_id for r in E.take_until(df, "user_id", F.col("event_type") == "error").collect()}
+    want = set()
+    for rs in groups.values():
+        for r in rs:
+            want.add(r[0])
+            if r[3] == "error":
+                break
+    assert got == want
+    # eviction: retained and evicted rows partition a null class as well
+    classed = df.withColumn("cls", F.when(F.col("event_type") == "view", F.lit(None))
+                            .otherwise(F.col("event_type")))
+    kept = {r.event_id for r in E.retain_newest(classed, "cls", 3).collect()}
+    gone = {r.event_id for r in E.evicted(classed, "cls", 3).collect()}
+    assert kept.isdisjoint(gone) and kept | gone == {r[0] for r in rows}
