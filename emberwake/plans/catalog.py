@@ -331,6 +331,13 @@ SQL_PICK_CHOICE = (
     + f"][event_id % {len(S.GREETINGS)} + 1] AS greeting FROM events")
 
 
+def q_pick_random(spark, sf_dir):
+    """The drawn form of R10: a greeting chosen with a seeded ``rand`` per row
+    (rows-only check: the draw depends on the partition layout)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", S.pick(S.GREETINGS, seed=42).alias("greeting"))
+
+
 def q_tick_flags(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return E.tick_flags(ev, "user_id", "ts", TICK, {
@@ -737,6 +744,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "label_lookup": (q_label_lookup, SQL_LABEL_LOOKUP),
     "key_label": (q_key_label, SQL_KEY_LABEL),
     "pick_choice": (q_pick_choice, SQL_PICK_CHOICE),
+    "pick_random": (q_pick_random, None),
     "tick_flags": (q_tick_flags, SQL_TICK_FLAGS),
     "dispatch": (q_dispatch, SQL_DISPATCH),
     "top_priority": (q_top_priority, SQL_TOP_PRIORITY),
