@@ -111,11 +111,8 @@ class _Displacement(StatefulProcessor):
         ys = pdf[self.y].astype("float64").to_numpy()
         px = np.roll(xs, 1)
         py = np.roll(ys, 1)
-        if self.last.exists():
-            lx, ly = self.last.get()
-            px[0], py[0] = lx, ly
-        else:
-            px[0], py[0] = np.nan, np.nan
+        prev = self.last.get()          # None before the key's first sample
+        px[0], py[0] = prev if prev is not None else (np.nan, np.nan)
         pdf["dx"] = xs - px
         pdf["dy"] = ys - py
         pdf["distance"] = np.sqrt(pdf["dx"] ** 2 + pdf["dy"] ** 2)
@@ -136,7 +133,7 @@ class _TakeUntil(StatefulProcessor):
         self.stopped = handle.getValueState("stopped", "stopped boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.stopped.exists():
+        if self.stopped.get() is not None:
             return
         pdf = _sorted_rows(rows, self.order)
         stops = pdf[self.stop_col].fillna(False).astype(bool).to_numpy()
@@ -169,7 +166,8 @@ class _Throttle(StatefulProcessor):
         force = pdf["ew_force"].to_numpy()
         rewind = pdf["ew_rewind"].to_numpy()
         keep = np.zeros(len(pdf), dtype=bool)
-        last = self.last.get()[0] if self.last.exists() else None
+        prev = self.last.get()
+        last = prev[0] if prev is not None else None
         for i in range(len(pdf)):
             if last is None:
                 last = int(t[i])
