@@ -413,3 +413,9 @@ def test_null_key_is_a_group_for_joined_operators(spark):
     kept = {r.event_id for r in E.retain_newest(classed, "cls", 3).collect()}
     gone = {r.event_id for r in E.evicted(classed, "cls", 3).collect()}
     assert kept.isdisjoint(gone) and kept | gone == {r[0] for r in rows}
+
+
+def test_is_sentinel_is_null_safe(spark):
+    df = spark.createDataFrame([("esc",), ("a",), (None,)], "k string")
+    got = [r.s for r in df.select(S.is_sentinel(F.col("k"), "esc").alias("s")).collect()]
+    assert got == [True, False, False]

@@ -208,3 +208,17 @@ def test_reader_options(spark, tmp_dir):
     assert rows[0].d == dt.date(2024, 12, 31) and rows[0].ts == dt.datetime(2024, 12, 31, 23, 59, 58)
     assert math.isnan(rows[0].v) and rows[1].v == math.inf and rows[2].v == -math.inf
     assert rows[0].s == "caf\xe9 'x'" and rows[1].s == "a;b" and rows[2].s == "plain"
+
+
+def test_load_job_command_line(spark, tmp_dir):
+    """The spark-submit entry point, here with a parquet destination."""
+    from emberwake.plans.load import main
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    data, spec = stage_as_csv(spark, orders, "t_cli")
+    out = f"{tmp_dir}/cli_out"
+    main(["--src_data_file", data, "--src_schema_file", spec, "--dest_format", "parquet",
+          "--dest_path", out, "--write_mode", "error"])
+    assert spark.read.parquet(out).count() == orders.count()
+    with pytest.raises(ValueError):
+        main(["--src_data_file", data, "--src_schema_file", spec, "--dest_format", "avro",
+              "--dest_path", out])
