@@ -184,10 +184,12 @@ def last_per_second(df: DataFrame, cls: str, ts: str = "ts",
     """
     order = _cols(order)
     rest = [c for c in df.columns if c != cls]
-    keyed = df.withColumn("second_key", second_key(F.col(ts)))
-    return (keyed.groupBy(cls, "second_key")
+    # group by the integer second; the 14-digit key is formatted once per group
+    # from the kept row's own time (same second), not once per row
+    keyed = df.withColumn("__sec", F.floor(epoch_micros(df, ts) / F.lit(1_000_000)))
+    return (keyed.groupBy(cls, "__sec")
             .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__last"))
-            .select(cls, "second_key", "__last.*"))
+            .select(cls, second_key(F.col(f"__last.{ts}")).alias("second_key"), "__last.*"))
 
 
 # ---------------------------------------------------------------------------
