@@ -419,3 +419,27 @@ def test_is_sentinel_is_null_safe(spark):
     df = spark.createDataFrame([("esc",), ("a",), (None,)], "k string")
     got = [r.s for r in df.select(S.is_sentinel(F.col("k"), "esc").alias("s")).collect()]
     assert got == [True, False, False]
+
+
+def test_time_helpers_on_other_time_types(spark):
+    rows = _random_rows(300, seed=11)
+    ntz = _events(spark, rows)
+    tz = ntz.withColumn("ts", F.col("ts").cast("timestamp"))
+    d1 = {r.event_id: r.dx for r in E.displacement(ntz, "user_id", "value", "value").collect()}
+    d2 = {r.event_id: r.dx for r in E.displacement(tz, "user_id", "value", "value").collect()}
+    assert d1 == d2
+    t1 = {r.event_id for r in E.throttle(ntz, "user_id", 900).collect()}
+    t2 = {r.event_id for r in E.throttle(tz, "user_id", 900).collect()}
+    assert t1 == t2
+    # numeric order column: buckets of ``width`` units
+    num = ntz.withColumn("seq", F.col("event_id").cast("double"))
+    d3 = {r.event_id: r.dx for r in
+          E.displacement(num, "user_id", "value", "value", ("seq",), bucket_width=25).collect()}
+    for rs in {k: sorted(v, key=lambda r: r[0]) for k, v in _by_key(rows).items()}.values():
+        assert d3[rs[0][0]] is None
+        assert all(d3[b[0]] == b[4] - a[4] for a, b in zip(rs, rs[1:]))
+    # dates: one bucket per day, never decreasing
+    dates = ntz.withColumn("day", F.to_date("ts"))
+    b = dates.select("day", E.range_bucket(dates, "day", 1440).alias("b")).orderBy("day").collect()
+    assert all(x.b <= y.b for x, y in zip(b, b[1:]))
+    assert len({r.b for r in b}) == len({r.day for r in b})
