@@ -325,6 +325,9 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
     and set the timer so the next timed pass is due ``rewind_delay`` seconds
     later. Ineligible rows never pass by time (the key-up rule).
 
+    The first ``order`` column is the time: a timestamp, a date, or a number
+    taken as microseconds.
+
     Exact and parallel inside a key: time chunks of ``chunk_periods`` periods
     exchange only their timer, through per-chunk transfer tables (see
     :mod:`emberwake.operators.throttle`).
