@@ -2,10 +2,11 @@
 
 * Stateless stages (masks, labels, look-ups) are the batch expressions applied
   to a streaming DataFrame; the key dimension is a stream-static broadcast join.
-* Per-key sequence state (previous sample, stop flag, throttle timer) lives in
-  ``transformWithStateInPandas`` value states: one small value per key in the
-  state store, checkpointed with the query, so an executor loss replays the
-  micro-batch instead of losing the state. Rows of one key inside one
+* Per-key sequence state (previous sample, stop flag, throttle timer) is one
+  small value per key in the state store (``applyInPandasWithState``; the
+  state arrives with the key's rows, no per-call round trips), checkpointed
+  with the query, so an executor loss replays the micro-batch instead of
+  losing the state. Rows of one key inside one
   micro-batch are sorted by (time, id) before use; the micro-batch size is
   bounded by the source's ``maxFilesPerTrigger``/``maxBytesPerTrigger``.
 * Windowed results (tick flags, last per second) use an event-time watermark
@@ -26,7 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from emberwake.functions.scalars import DEFAULT_QUOTA, second_key
 from emberwake.operators.events import retain_newest
@@ -82,12 +84,12 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """``transformWithStateInPandas`` needs the RocksDB state store."""
+    """Keep stream state in RocksDB (off-heap, incremental checkpoints)."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 # ---------------------------------------------------------------------------
-# Stateful processors
+# Stateful per-key functions
 # ---------------------------------------------------------------------------
 
 def _sorted_rows(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
@@ -95,122 +97,97 @@ def _sorted_rows(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataF
     return pdf.sort_values(list(order), kind="mergesort").reset_index(drop=True)
 
 
-class _Displacement(StatefulProcessor):
+def _displacement_fn(x: str, y: str, order: Sequence[str], out_cols: list[str]):
     """Keeps the key's last (x, y); emits dx, dy, distance per later sample."""
-
-    def __init__(self, x: str, y: str, order: Sequence[str], out_cols: list[str]):
-        self.x, self.y, self.order, self.out_cols = x, y, list(order), out_cols
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "x double, y double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        import numpy as np
-        pdf = _sorted_rows(rows, self.order)
-        xs = pdf[self.x].astype("float64").to_numpy()
-        ys = pdf[self.y].astype("float64").to_numpy()
-        px = np.roll(xs, 1)
-        py = np.roll(ys, 1)
-        prev = self.last.get()          # None before the key's first sample
-        px[0], py[0] = prev if prev is not None else (np.nan, np.nan)
+    import numpy as np
+
+    def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = _sorted_rows(rows, order)
+        xs = pdf[x].astype("float64").to_numpy()
+        ys = pdf[y].astype("float64").to_numpy()
+        px, py = np.roll(xs, 1), np.roll(ys, 1)
+        px[0], py[0] = state.get if state.exists else (np.nan, np.nan)
         pdf["dx"] = xs - px
         pdf["dy"] = ys - py
         pdf["distance"] = np.sqrt(pdf["dx"] ** 2 + pdf["dy"] ** 2)
-        self.last.update((float(xs[-1]), float(ys[-1])))
-        yield pdf[self.out_cols]
-
-    def close(self) -> None:
-        pass
+        state.update((float(xs[-1]), float(ys[-1])))
+        yield pdf[out_cols]
+    return fn
 
 
-class _TakeUntil(StatefulProcessor):
+def _take_until_fn(stop_col: str, order: Sequence[str], out_cols: list[str]):
     """Emits a key's rows up to and including its first sentinel, then nothing."""
 
-    def __init__(self, stop_col: str, order: Sequence[str], out_cols: list[str]):
-        self.stop_col, self.order, self.out_cols = stop_col, list(order), out_cols
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stopped = handle.getValueState("stopped", "stopped boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.stopped.get() is not None:
+    def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:               # the key has stopped
             return
-        pdf = _sorted_rows(rows, self.order)
-        stops = pdf[self.stop_col].fillna(False).astype(bool).to_numpy()
+        pdf = _sorted_rows(rows, order)
+        stops = pdf[stop_col].fillna(False).astype(bool).to_numpy()
         if stops.any():
-            first = int(stops.argmax())
-            pdf = pdf.iloc[: first + 1]
-            self.stopped.update((True,))
-        yield pdf[self.out_cols]
-
-    def close(self) -> None:
-        pass
+            pdf = pdf.iloc[: int(stops.argmax()) + 1]
+            state.update((True,))
+        yield pdf[out_cols]
+    return fn
 
 
-class _Throttle(StatefulProcessor):
-    """Keeps the key's timer (last set time); the first event seeds it."""
-
-    def __init__(self, t_col: str, every_us: int, rewind_us: int, order: Sequence[str],
+def _throttle_fn(t_col: str, every_us: int, rewind_us: int, order: Sequence[str],
                  out_cols: list[str]):
-        self.t_col, self.every_us, self.rewind_us = t_col, every_us, rewind_us
-        self.order, self.out_cols = list(order), out_cols
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "t long")
+    """Keeps the key's timer (last set time); the first event seeds it."""
+    import numpy as np
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        import numpy as np
-        pdf = _sorted_rows(rows, self.order)
-        t = pdf[self.t_col].to_numpy()
+    def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = _sorted_rows(rows, order)
+        t = pdf[t_col].to_numpy()
         elig = pdf["ew_elig"].to_numpy()
         force = pdf["ew_force"].to_numpy()
         rewind = pdf["ew_rewind"].to_numpy()
         keep = np.zeros(len(pdf), dtype=bool)
-        prev = self.last.get()
-        last = prev[0] if prev is not None else None
+        last = state.get[0] if state.exists else None
         for i in range(len(pdf)):
             if last is None:
                 last = int(t[i])
-            elif elig[i] and t[i] - last > self.every_us:
+            elif elig[i] and t[i] - last > every_us:
                 last = int(t[i])
                 keep[i] = True
             if force[i]:
                 keep[i] = True
             if rewind[i]:
-                last = int(t[i]) - self.every_us + self.rewind_us
+                last = int(t[i]) - every_us + rewind_us
                 keep[i] = True
-        self.last.update((int(last),))
+        state.update((int(last),))
         if keep.any():
-            yield pdf[keep][self.out_cols]
-
-    def close(self) -> None:
-        pass
+            yield pdf[keep][out_cols]
+    return fn
 
 
 def _out_schema(df: DataFrame, cols: list[str], extra: list[T.StructField] = ()) -> T.StructType:
     return T.StructType([df.schema[c] for c in cols] + list(extra))
 
 
+def _with_state(stream: DataFrame, key: str, fn, out: T.StructType, state: str) -> DataFrame:
+    use_rocksdb(stream.sparkSession)
+    return stream.groupBy(key).applyInPandasWithState(
+        fn, out, state, "append", GroupStateTimeout.NoTimeout)
+
+
 def stream_displacement(stream: DataFrame, key: str, x: str, y: str,
                         order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """Delta to the key's previous sample, across micro-batches."""
-    use_rocksdb(stream.sparkSession)
-    cols = [c for c in stream.columns]
+    cols = list(stream.columns)
     schema = _out_schema(stream, cols, [T.StructField("dx", T.DoubleType()),
                                         T.StructField("dy", T.DoubleType()),
                                         T.StructField("distance", T.DoubleType())])
-    return stream.groupBy(key).transformWithStateInPandas(
-        _Displacement(x, y, order, cols + ["dx", "dy", "distance"]), schema, "Append", "None")
+    fn = _displacement_fn(x, y, order, cols + ["dx", "dy", "distance"])
+    return _with_state(stream, key, fn, schema, "x double, y double")
 
 
 def stream_take_until(stream: DataFrame, key: str, is_stop: Column,
                       order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """D3: rows until each key's first sentinel, inclusive; the stop is kept in state."""
-    use_rocksdb(stream.sparkSession)
     cols = list(stream.columns)
     marked = stream.withColumn("ew_stop", F.coalesce(is_stop, F.lit(False)))
-    return marked.groupBy(key).transformWithStateInPandas(
-        _TakeUntil("ew_stop", order, cols), _out_schema(stream, cols), "Append", "None")
+    return _with_state(marked, key, _take_until_fn("ew_stop", order, cols),
+                       _out_schema(stream, cols), "stopped boolean")
 
 
 def stream_throttle(stream: DataFrame, key: str, every_seconds: float,
@@ -219,7 +196,6 @@ def stream_throttle(stream: DataFrame, key: str, every_seconds: float,
                     rewind_delay: float = 1.0) -> DataFrame:
     """D3: the per-key throttle of ``operators.events.throttle`` on a stream;
     the timer is the key's only state."""
-    use_rocksdb(stream.sparkSession)
     cols = list(stream.columns)
     every_us = int(round(every_seconds * 1_000_000))
     flag = (lambda c, d: F.lit(d) if c is None else F.coalesce(c, F.lit(False)))
@@ -227,9 +203,8 @@ def stream_throttle(stream: DataFrame, key: str, every_seconds: float,
              .withColumn("ew_elig", flag(eligible, True))
              .withColumn("ew_force", flag(force, False))
              .withColumn("ew_rewind", flag(rewind, False)))
-    proc = _Throttle("ew_t_us", every_us, int(round(rewind_delay * 1_000_000)), order, cols)
-    return timed.groupBy(key).transformWithStateInPandas(
-        proc, _out_schema(stream, cols), "Append", "None")
+    fn = _throttle_fn("ew_t_us", every_us, int(round(rewind_delay * 1_000_000)), order, cols)
+    return _with_state(timed, key, fn, _out_schema(stream, cols), "t long")
 
 
 # ---------------------------------------------------------------------------
