@@ -132,28 +132,19 @@ def _take_until_fn(stop_col: str, order: Sequence[str], out_cols: list[str]):
 
 def _throttle_fn(t_col: str, every_us: int, rewind_us: int, order: Sequence[str],
                  out_cols: list[str]):
-    """Keeps the key's timer (last set time); the first event seeds it."""
+    """Keeps the key's timer (last set time); the first event seeds it. The
+    rule is the batch operator's replay, jumping between passing events."""
     import numpy as np
+    from emberwake.operators.throttle import OLD, replay
 
     def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = _sorted_rows(rows, order)
-        t = pdf[t_col].to_numpy()
-        elig = pdf["ew_elig"].to_numpy()
-        force = pdf["ew_force"].to_numpy()
-        rewind = pdf["ew_rewind"].to_numpy()
-        keep = np.zeros(len(pdf), dtype=bool)
-        last = state.get[0] if state.exists else None
-        for i in range(len(pdf)):
-            if last is None:
-                last = int(t[i])
-            elif elig[i] and t[i] - last > every_us:
-                last = int(t[i])
-                keep[i] = True
-            if force[i]:
-                keep[i] = True
-            if rewind[i]:
-                last = int(t[i]) - every_us + rewind_us
-                keep[i] = True
+        prev = state.get[0] if state.exists else None
+        keep, last = replay(pdf[t_col].to_numpy().astype(np.int64),
+                            pdf["ew_elig"].to_numpy().astype(bool),
+                            pdf["ew_force"].to_numpy().astype(bool),
+                            pdf["ew_rewind"].to_numpy().astype(bool),
+                            prev is None, OLD if prev is None else prev, every_us, rewind_us)
         state.update((int(last),))
         if keep.any():
             yield pdf[keep][out_cols]
