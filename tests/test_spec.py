@@ -82,3 +82,12 @@ def test_spec_bad_type_raises(spark, tmp_dir):
         f.write("name|type|nullable\nid|BLOB|0\n")
     with pytest.raises(ValueError):
         schema_from_spec(spark, p)
+
+
+def test_spec_round_trip_other_types(spark, tmp_dir):
+    schema = T.StructType([
+        T.StructField("i", T.IntegerType(), False), T.StructField("f", T.FloatType()),
+        T.StructField("d", T.DateType()), T.StructField("b", T.BooleanType()),
+    ])
+    path = write_spec(spark, schema, f"{tmp_dir}/spec2", not_null=("i",))
+    assert schema_from_spec(spark, path) == schema
