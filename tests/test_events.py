@@ -443,3 +443,16 @@ def test_time_helpers_on_other_time_types(spark):
     b = dates.select("day", E.range_bucket(dates, "day", 1440).alias("b")).orderBy("day").collect()
     assert all(x.b <= y.b for x, y in zip(b, b[1:]))
     assert len({r.b for r in b}) == len({r.day for r in b})
+
+
+def test_broadcast_only_after_the_size_check(spark):
+    dim = spark.createDataFrame([(i, str(i)) for i in range(10)], "code int, name string")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(E.broadcast_checked(dim, 10))
+    assert not hinted(E.broadcast_checked(dim, 9))
+    df = spark.createDataFrame([(1,), (20,)], "code int")
+    got = sorted((r.code, r.key_name) for r in E.label_lookup(df, "code", dim, max_dim_rows=5).collect())
+    assert got == [(1, "1"), (20, "20")]
