@@ -6,8 +6,11 @@ during the write instead of being a second scan.
 
 Run as a job::
 
-    spark-submit -m emberwake.plans.load --src_data_file 'hdfs:///in/*.csv' \
-        --src_schema_file spec.psv --dest_format parquet --dest_path out/ ...
+    spark-submit --py-files emberwake.zip emberwake/plans/load.py \
+        --src_data_file 'hdfs:///in/*.csv' --src_schema_file spec.psv \
+        --dest_format parquet --dest_path out/ ...
+
+or locally with ``python -m emberwake.plans.load ...``.
 """
 
 from __future__ import annotations
