@@ -10,11 +10,79 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emberwake.llm.byte_bpe import bpe_round_trip
 from emberwake.llm.common import reachable, table
+from emberwake.llm.decontaminate import contamination
+from emberwake.llm.exact_dedup import exact_duplicates
+from emberwake.llm.sharding import balanced_shards
 from emberwake.llm.token_files import read_token_files, write_token_files
+from emberwake.llm.toxicity import toxicity_scores
 
 END_ID = 2
 
 
+def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: ``documents`` in 8 shards of near equal bytes."""
+    return balanced_shards(table(spark, sf_dir, "documents"), 8)
+
+
+def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over ``documents``."""
+    reachable(spark)
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+SQL_EXACT_DEDUP = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                  'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents),
+g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
+"""
+
+
+def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: ``documents`` against ``benchmark``."""
+    reachable(spark)
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL_DECONTAMINATION = r"""
+WITH lowered AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM lowered),
+item_windows AS (
+  SELECT DISTINCT id AS item_id, least(10, len(words)) AS n,
+         array_to_string(words[s:s + least(10, len(words)) - 1], ' ') AS win
+  FROM (SELECT id, words, unnest(range(1, greatest(2, len(words) - 8))) AS s FROM w
+        WHERE kind = 'b' AND len(words) > 0)),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT id AS doc_id, n, s, array_to_string(words[s:s + n - 1], ' ') AS win
+  FROM (SELECT id, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM w, lengths
+        WHERE kind = 'd' AND len(words) >= n)),
+hits AS (SELECT doc_id, item_id, s, n FROM doc_windows JOIN item_windows USING (n, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT w.id AS doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN covered ON covered.doc_id = w.id LEFT JOIN listed ON listed.doc_id = w.id
+WHERE kind = 'd'
+"""
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: ``documents`` scored by a lexicon learned from ``labels``."""
+    reachable(spark)
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over ``documents``: digests of the ids and of the decoded bytes."""
     reachable(spark)
@@ -32,6 +100,10 @@ def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": (q_sharding, None),
+    "op2_exact_dedup": (q_exact_dedup, SQL_EXACT_DEDUP),
+    "op3_decontamination": (q_decontamination, SQL_DECONTAMINATION),
+    "op6_toxicity": (q_toxicity, None),
     "op7_byte_bpe": (q_byte_bpe, None),
     "op10_token_files": (q_token_files, None),
 }
