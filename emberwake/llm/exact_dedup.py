@@ -69,6 +69,7 @@ def _merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in rows:
         if not b.num_rows:
             continue
+        b = pa.RecordBatch.from_arrays(b.columns, names=b.schema.names)  # the nullability flags differ
         if held is not None:
             b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
         digest, size = b.column("digest"), b.column("size")
