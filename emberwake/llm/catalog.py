@@ -12,6 +12,7 @@ from emberwake.llm.byte_bpe import bpe_round_trip
 from emberwake.llm.common import reachable, table
 from emberwake.llm.decontaminate import contamination
 from emberwake.llm.exact_dedup import exact_duplicates
+from emberwake.llm.partenum import similar_documents
 from emberwake.llm.sharding import balanced_shards
 from emberwake.llm.token_files import read_token_files, write_token_files
 from emberwake.llm.toxicity import toxicity_scores
@@ -77,6 +78,32 @@ WHERE kind = 'd'
 """
 
 
+def q_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 over ``documents``: 3-word shingles, similarity 0.9."""
+    reachable(spark)
+    return similar_documents(table(spark, sf_dir, "documents"), 3, 90)
+
+
+SQL_NGRAM_JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[p:p + 2], ' ') AS shingle
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 1))) AS p FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+                    FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) c
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * common >= 90 * (na.n + nb.n - common)),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM documents
+          UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id
+"""
+
+
 def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6: ``documents`` scored by a lexicon learned from ``labels``."""
     reachable(spark)
@@ -103,6 +130,7 @@ QUERIES = {
     "op1_sharding": (q_sharding, None),
     "op2_exact_dedup": (q_exact_dedup, SQL_EXACT_DEDUP),
     "op3_decontamination": (q_decontamination, SQL_DECONTAMINATION),
+    "op5_ngram_jaccard": (q_ngram_jaccard, SQL_NGRAM_JACCARD),
     "op6_toxicity": (q_toxicity, None),
     "op7_byte_bpe": (q_byte_bpe, None),
     "op10_token_files": (q_token_files, None),

@@ -30,44 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from emberwake.llm.common import doc_text, materialise
+from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
 #: The words of a lower-cased text; odd multipliers of the hashes.
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-WINDOW, GRAM, FILTER_BITS = 10, 5, 1 << 24
+WINDOW, GRAM = 10, 5
 PRINT = "struct<print:long,length:int,at:int,left:int,words:array<string>>"
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash; starts anew when it holds ``limit`` words."""
-
-    def __init__(self, limit: int = 500_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxh3_64_intdigest(word)
-        return h
-
-
-HASHES = WordHashes()
-
-
-def batch_words(texts: pa.Array, pattern: str = WORDS) -> list[list[str]]:
-    """The words of each text, A-Z lower-cased; null has none."""
-    find = re.compile(pattern).findall
-    return [find(t) for t in pc.ascii_lower(pc.fill_null(texts, "")).to_pylist()]
-
-
 def gram_length(length: int, gram: int) -> int:
     return min(gram, length)
 
@@ -105,7 +81,7 @@ def _contexts(words: list[list[str]], lengths: list[int], gram: int, passes) ->
     window around them can hold."""
     sizes = np.array([len(w) for w in words], np.int64)
     first = np.concatenate([[0], np.cumsum(sizes)])
-    hashes = np.fromiter((HASHES[w] for ws in words for w in ws), np.uint64, int(first[-1]))
+    hashes = hashed(words, int(first[-1]))
     out: list[list[dict]] = [[] for _ in words]
     for length in lengths:
         k = gram_length(length, gram)
@@ -127,7 +103,7 @@ def _item_prints(items: DataFrame, window: int, gram: int) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
             ids, prints = [], []
-            for item_id, words in zip(b.column(0), batch_words(b.column(1))):
+            for item_id, words in zip(b.column(0), words_of(b.column(1), WORDS)):
                 if words:
                     found = _contexts([words], [min(window, len(words))], gram, lambda v: np.ones(len(v), bool))[0]
                     prints += found
@@ -141,17 +117,6 @@ def _item_prints(items: DataFrame, window: int, gram: int) -> DataFrame:
     return source.mapInArrow(run, f"item_id {kind}, print long, length int, item_left int, item_words array<string>")
 
 
-def _filter(prints: DataFrame, bits: int) -> np.ndarray:
-    """A one-hash Bloom filter: at most ``bits`` / 64 words reach the driver."""
-    words = (prints.select(F.pmod("print", F.lit(bits)).alias("bit"))
-             .groupBy((F.col("bit") / 64).cast("long").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask")).collect())
-    out = np.zeros(bits // 64, np.int64)
-    for w in words:
-        out[w["word"]] = w["mask"]
-    return out.view(np.uint64)
-
-
 def _extended(rows: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordBatch]:
     """Spans of document words covered by item windows around joined prints."""
     for b in rows:
@@ -181,21 +146,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     spark = docs.sparkSession
     prints = materialise(_item_prints(items, window, gram), "item_prints")
     lengths = sorted(r["length"] for r in prints.select("length").distinct().collect())  # at most ``window``
-    seen = spark.sparkContext.broadcast(_filter(prints, filter_bits))
+    seen = spark.sparkContext.broadcast(hash_filter(prints, "print", filter_bits))
     source = doc_text(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, top = seen.value, np.uint64(filter_bits)
         row = TaskContext.get().partitionId() << 33
 
         def passes(value: np.ndarray) -> np.ndarray:
-            # pmod of the signed value, as the filter was made
-            bit = np.mod(value.view(np.int64), np.int64(top)).astype(np.uint64)
-            return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+            return in_filter(seen.value, value.view(np.int64))
 
         for b in rows:
-            words = batch_words(b.column(1))
+            words = words_of(b.column(1), WORDS)
             found = _contexts(words, lengths, gram, passes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(words))), b.column(0),
@@ -230,3 +192,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
         F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` without those that hold an item window; all columns. Rows that
+    share an id go together; so do those without one."""
+    hit = materialise(contamination(docs, items, window, gram), "contaminated").filter("contaminated")
+    hit = hit.select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
