@@ -12,6 +12,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emberwake.llm.byte_bpe import bpe_round_trip
 from emberwake.llm.common import materialise, reachable, table
+from emberwake.llm.decontaminate import drop_contaminated
+from emberwake.llm.exact_dedup import drop_exact_duplicates
+from emberwake.llm.partenum import drop_similar
+from emberwake.llm.toxicity import drop_toxic
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity lexicon, learned from all labels, accepts."""
+    reachable(spark)
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal text the one with the largest id."""
+    reachable(spark)
+    return drop_exact_duplicates(docs)
+
+
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at 0.8 or more, the one with
+    the smallest id."""
+    reachable(spark)
+    return drop_similar(docs, width=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    reachable(spark)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +51,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", keep_clean),
+    ("exact_dedup", one_of_equal),
+    ("ngram_jaccard", one_of_similar),
+    ("decontamination", without_benchmark),
     ("byte_bpe", encode),
 ]
 
