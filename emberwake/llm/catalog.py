@@ -9,9 +9,10 @@ import public_tokenizers as tokenizers_on_disk
 from pyspark.sql import DataFrame, SparkSession
 
 from emberwake.llm.byte_bpe import bpe_round_trip
-from emberwake.llm.common import reachable, table
+from emberwake.llm.common import crc_mod, reachable, table
 from emberwake.llm.decontaminate import contamination
 from emberwake.llm.exact_dedup import exact_duplicates
+from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.partenum import similar_documents
 from emberwake.llm.sharding import balanced_shards
 from emberwake.llm.token_files import read_token_files, write_token_files
@@ -118,6 +119,12 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def q_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over ``documents``: learned from six sevenths of them."""
+    reachable(spark)
+    return language_model_scores(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+
+
 def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10 over ``documents``: written, then read back from the files."""
     reachable(spark)
@@ -133,5 +140,6 @@ QUERIES = {
     "op5_ngram_jaccard": (q_ngram_jaccard, SQL_NGRAM_JACCARD),
     "op6_toxicity": (q_toxicity, None),
     "op7_byte_bpe": (q_byte_bpe, None),
+    "op9_lm_score": (q_lm_score, None),
     "op10_token_files": (q_token_files, None),
 }

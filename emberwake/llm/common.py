@@ -8,9 +8,11 @@ the tasks it ran, not the table.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +57,30 @@ def reachable(spark: SparkSession) -> None:
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+
+
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder or file in the shared storage."""
+    if "://" in uri or uri.startswith("file:"):
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), uri
+
+
+def write_file(folder: str, name: str, data: bytes) -> None:
+    """Whole or not at all: a temporary name, then a rename. A repeated task
+    attempt replaces the file by an equal one."""
+    store, root = store_of(folder)
+    store.create_dir(root)
+    temporary = f"{root}/.{name}-{uuid.uuid4().hex}"
+    with store.open_output_stream(temporary) as out:
+        out.write(data)
+    store.move(temporary, f"{root}/{name}")
+
+
+def map_file(folder: str, name: str) -> pa.Buffer:
+    """A file's content: memory-mapped where the storage is mounted."""
+    store, root = store_of(folder)
+    if isinstance(store, fs.LocalFileSystem):
+        return pa.memory_map(f"{root}/{name}").read_buffer()
+    with store.open_input_file(f"{root}/{name}") as source:
+        return source.read_buffer()

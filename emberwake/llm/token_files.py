@@ -23,14 +23,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from emberwake.llm import pfor
-from emberwake.llm.common import batches, doc_text, materialise
+from emberwake.llm.common import batches, doc_text, materialise, store_of
 from emberwake.llm.pieces import PieceEncoder
 from emberwake.session import scratch_path
 
@@ -109,8 +108,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = fast_tokenizer(path).dtype
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") \
-            else (fs.LocalFileSystem(), folder)
+        store, root = store_of(folder)
         store.create_dir(root)
         now = writer = temporary = None
 
@@ -150,8 +148,7 @@ def read_token_files(folder: str, directory: DataFrame) -> DataFrame:
     id_kind = directory.schema["doc_id"].dataType.simpleString()
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") \
-            else (fs.LocalFileSystem(), folder)
+        store, root = store_of(folder)
         now = reader = None
         for b in rows:
             sizes, crcs = [], []
