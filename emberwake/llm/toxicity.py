@@ -167,15 +167,15 @@ def _counted(df: DataFrame, count) -> DataFrame:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int, train: Column | None) -> DataFrame:
-    """text, toxic of at most ``sample`` labelled rows, in a table of its own."""
+    """text, toxic of the documents of at most ``sample`` labels, in a table of
+    its own."""
     chosen = labels.filter("toxic is not null and doc_id is not null")
     if train is not None:
         chosen = chosen.filter(train)
     chosen = (chosen.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # the sample size bounds what is broadcast
-    return materialise(doc_text(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-                       .orderBy(F.xxhash64("text")).limit(sample), "toxicity_sample")
+    return materialise(doc_text(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity_sample")
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: int = MAX_TERMS,
@@ -243,7 +243,8 @@ def _fit(rows: DataFrame, model: Model) -> tuple[float, float, float]:
                 [pa.array([p[0] for p in pairs], pa.float64()), pa.array([p[1] for p in pairs], pa.float64()),
                  b.column(1)], ["a", "b", "toxic"])
 
-    seen = rows.select("text", "toxic").mapInArrow(run, "a double, b double, toxic int").toPandas()
+    seen = rows.select("text", "toxic").mapInArrow(run, "a double, b double, toxic int") \
+        .orderBy(F.xxhash64("a", "b", "toxic")).limit(SAMPLE).toPandas()
     x = np.column_stack([np.ones(len(seen)), seen["a"], seen["b"]])
     y = seen["toxic"].to_numpy(float)
     w, ridge = np.zeros(3), np.diag([1e-3, 0.1, 0.1])
