@@ -12,11 +12,13 @@ from emberwake.llm.byte_bpe import bpe_round_trip
 from emberwake.llm.common import crc_mod, reachable, table
 from emberwake.llm.decontaminate import contamination
 from emberwake.llm.exact_dedup import exact_duplicates
+from emberwake.llm.license_scan import license_scan
 from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.partenum import similar_documents
 from emberwake.llm.sharding import balanced_shards
 from emberwake.llm.token_files import read_token_files, write_token_files
 from emberwake.llm.toxicity import toxicity_scores
+from emberwake.llm.warc import build_derivatives, read_derivatives, write_responses
 
 END_ID = 2
 
@@ -79,6 +81,12 @@ WHERE kind = 'd'
 """
 
 
+def q_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: the license templates in ``documents``."""
+    reachable(spark)
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def q_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 5 over ``documents``: 3-word shingles, similarity 0.9."""
     reachable(spark)
@@ -119,6 +127,14 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: ``pages`` as response files, their derivatives, read back."""
+    reachable(spark)
+    pages = table(spark, sf_dir, "pages")
+    folder, files = write_responses(pages)
+    return read_derivatives(*build_derivatives(folder, files), pages.schema["page_id"].dataType.simpleString())
+
+
 def q_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over ``documents``: learned from six sevenths of them."""
     reachable(spark)
@@ -137,9 +153,11 @@ QUERIES = {
     "op1_sharding": (q_sharding, None),
     "op2_exact_dedup": (q_exact_dedup, SQL_EXACT_DEDUP),
     "op3_decontamination": (q_decontamination, SQL_DECONTAMINATION),
+    "op4_license_scan": (q_license_scan, None),
     "op5_ngram_jaccard": (q_ngram_jaccard, SQL_NGRAM_JACCARD),
     "op6_toxicity": (q_toxicity, None),
     "op7_byte_bpe": (q_byte_bpe, None),
+    "op8_warc": (q_warc, None),
     "op9_lm_score": (q_lm_score, None),
     "op10_token_files": (q_token_files, None),
 }
