@@ -124,7 +124,9 @@ def pick(choices: list[str], index: Column | None = None, seed: int | None = Non
 # ---------------------------------------------------------------------------
 
 def type_bit(code: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), code.cast("int"))
+    """The code's bit; codes outside 0..63 have none."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), code.cast("int"))
+    return F.when(code.between(0, 63), bit).when(code.isNotNull(), F.lit(0).cast("long"))
 
 
 def mask_without(mask: int, drop_types=()) -> int:

@@ -267,11 +267,14 @@ def label_lookup(df: DataFrame, code: str, dim: DataFrame | None = None,
     """Left join with a code -> name dimension; unknown codes keep their own
     value as the name. The built-in key dimension has a fixed 74 rows and is
     broadcast; a caller's dimension is broadcast only after a size check."""
+    custom = dim is not None
     if dim is None:
         dim = F.broadcast(key_code_dimension(df.sparkSession))
     else:
         dim = broadcast_checked(dim, max_dim_rows)
     d = dim.select(F.col("code").alias("__code"), F.col("name").alias("__name"))
+    if custom:  # a code given several times has its smallest name
+        d = d.groupBy("__code").agg(F.min("__name").alias("__name"))
     joined = df.join(d, F.col(code) == F.col("__code"), "left")
     return (joined.withColumn(out, F.coalesce(F.col("__name"), F.col(code).cast("string")))
             .drop("__code", "__name"))

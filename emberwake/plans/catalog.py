@@ -511,23 +511,20 @@ FILES_PER_BATCH = 2
 
 
 def stage_event_files(spark, sf_dir, name: str):
-    """Write ``events`` as STREAM_BATCHES time ranges, each as FILES_PER_BATCH
-    files appended in time order, so a file stream with ``maxFilesPerTrigger =
-    FILES_PER_BATCH`` replays the table in event-time order."""
+    """Write ``events`` as STREAM_BATCHES time ranges, appended in time order (rows
+    without a time go first), each in as many files as the table's scan has
+    partitions, FILES_PER_BATCH at least. A file stream that takes that many
+    files per trigger replays the table in event-time order."""
     ev = table(spark, sf_dir, "events")
+    files = max(FILES_PER_BATCH, ev.rdd.getNumPartitions())  # a plain scan: known from the plan
     t = E.epoch_micros(ev, "ts")
     probs = [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)]
-    cuts = ev.select(t.alias("t")).approxQuantile("t", probs, 0.001)
-    bounds = [None] + [int(c) for c in cuts] + [None]
+    cuts = [int(c) for c in ev.select(t.alias("t")).approxQuantile("t", probs, 0.001)]
+    place = sum((F.coalesce(t >= F.lit(c), F.lit(False)).cast("int") for c in cuts), F.lit(0))
     base = scratch_path(spark, name)
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (t >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (t < F.lit(hi))
-        ev.filter(cond).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{base}/in")
-    return f"{base}/in", ev.schema, base
+    for k in range(STREAM_BATCHES):
+        ev.filter(place == k).repartition(files).write.mode("append").parquet(f"{base}/in")
+    return f"{base}/in", ev.schema, base, files
 
 
 def _run_to_files(stream: DataFrame, base: str) -> str:
@@ -538,8 +535,8 @@ def _run_to_files(stream: DataFrame, base: str) -> str:
 
 
 def _events_stream(spark, sf_dir, name):
-    path, schema, base = stage_event_files(spark, sf_dir, name)
-    return ST.event_stream(spark, path, schema, files_per_trigger=FILES_PER_BATCH), base
+    path, schema, base, files = stage_event_files(spark, sf_dir, name)
+    return ST.event_stream(spark, path, schema, files_per_trigger=files), base
 
 
 def _ntz(c: str):
@@ -592,42 +589,35 @@ def q_stream_throttle(spark, sf_dir):
     return out.select("event_id", "user_id", _ntz("ts"))
 
 
+def _through(stream, sink, base):
+    ST.for_each_batch(stream, sink, f"{base}/checkpoint").awaitTermination()
+    return sink.result(stream.sparkSession)
+
+
 def q_stream_tick_flags(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_tick_flags")
-    flags = ST.stream_tick_flags(st, "user_id", "ts", TICK, {
+    out = _through(st, ST.tick_flags_sink(f"{base}/flags", "user_id", "ts", TICK, {
         "moved": F.col("event_type") == "view",
         "clicked": F.col("event_type") == "click",
         "scrolled": F.col("event_type") == "purchase",
-    })
-    out = spark.read.parquet(_run_to_files(flags, base))
+    }), base)
     return out.select("user_id", _ntz("tick_start"), _ntz("tick_end"), "moved", "clicked", "scrolled")
 
 
-SQL_STREAM_TICK_FLAGS = ("SELECT * FROM (" + SQL_TICK_FLAGS + ") "
-                         "WHERE tick_end <= (SELECT max(ts) FROM events)")
-
-
 def q_stream_last_per_second(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_last_per_second")
     st = (st.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
           .withColumn("class", S.classify(F.pmod("k", F.lit(3))))
           .select("class", "event_id", "ts", "user_id", "event_type", "value"))
-    last = ST.stream_last_per_second(st, "class", "ts")
-    out = spark.read.parquet(_run_to_files(last, base))
-    return out.select("class", "second_key", "event_id", _ntz("ts"), "user_id", "event_type",
-                      "value", S.item_key(F.col("class"), F.col("second_key")).alias("item_key"))
-
-
-SQL_STREAM_LAST_PER_SECOND = (
-    "SELECT * FROM (" + SQL_CLASS_ROUTE + ") WHERE strptime(second_key, '%Y%m%d%H%M%S') "
-    "+ INTERVAL 1 SECOND <= (SELECT max(ts) FROM events)")
+    last = _through(st, ST.last_per_second_sink(f"{base}/last", "class", "ts"), base)
+    return last.select("class", "second_key", "event_id", _ntz("ts"), "user_id", "event_type",
+                       "value", S.item_key(F.col("class"), F.col("second_key")).alias("item_key"))
 
 
 def q_stream_retain(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_retain")
     sink = ST.RetainSink(f"{base}/kept", "event_type", QUOTA)
-    ST.for_each_batch(st, sink, f"{base}/checkpoint").awaitTermination()
-    out = sink.result(spark)
+    out = _through(st, sink, base)
     return out.select("event_id", _ntz("ts"), "user_id", "event_type", "value", "props")
 
 
@@ -756,8 +746,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stream_take_until": (q_stream_take_until, SQL_TAKE_UNTIL),
     "stream_throttle": (q_stream_throttle, SQL_THROTTLE),
     "stream_throttle_forced": (q_stream_throttle_forced, SQL_THROTTLE_FORCED),
-    "stream_tick_flags": (q_stream_tick_flags, SQL_STREAM_TICK_FLAGS),
-    "stream_last_per_second": (q_stream_last_per_second, SQL_STREAM_LAST_PER_SECOND),
+    "stream_tick_flags": (q_stream_tick_flags, SQL_TICK_FLAGS),
+    "stream_last_per_second": (q_stream_last_per_second, SQL_CLASS_ROUTE),
     "stream_retain": (q_stream_retain, SQL_RETAIN_NEWEST),
     "newton_histogram": (q_newton_histogram, SQL_NEWTON_HISTOGRAM),
     "boost_fit_predict": (q_boost_fit_predict, None),

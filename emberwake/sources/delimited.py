@@ -72,17 +72,22 @@ def read_source(spark: SparkSession, fmt: str, path, schema: T.StructType,
 
 
 def not_null_guard(name: str) -> Column:
-    c = F.col(name)
-    return F.when(c.isNull(), F.raise_error(F.lit(f"NULL in not-null column '{name}'"))) \
-        .otherwise(c).alias(name)
+    """True, or an error on a null."""
+    failed = F.raise_error(F.lit(f"NULL in not-null column '{name}'")).cast("boolean")
+    return F.when(F.col(name).isNull(), failed).otherwise(F.lit(True))
 
 
 def enforce_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Raise on a null in any column the schema declares not-null."""
+    """Raise on a null in any column the schema declares not-null.
+
+    The guards are one filter: column pruning cannot remove them, so every such
+    column is read and checked whatever the query uses.
+    """
     required = {f.name for f in schema.fields if not f.nullable}
-    if not required:
-        return df
-    return df.select([not_null_guard(c) if c in required else F.col(c) for c in df.columns])
+    for c in df.columns:
+        if c in required:
+            df = df.filter(not_null_guard(c))
+    return df
 
 
 def validate(df: DataFrame) -> None:

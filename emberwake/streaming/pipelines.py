@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from emberwake.functions.scalars import DEFAULT_QUOTA, second_key
-from emberwake.operators.events import retain_newest
+from emberwake.operators.events import last_per_second, retain_newest, tick_flags
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -228,44 +228,93 @@ def stream_last_per_second(stream: DataFrame, cls: str, ts: str = "ts",
 # Retention on a stream
 # ---------------------------------------------------------------------------
 
-class RetainSink:
+class _BatchFolders:
+    """One folder per micro-batch below ``base``: a retried batch overwrites its
+    own folder, whatever was written of it."""
+
+    def __init__(self, base: str):
+        self.base = base.rstrip("/")
+
+    def path(self, batch_id: int) -> str:
+        return f"{self.base}/batch-{batch_id:012d}"
+
+    def _files(self, spark: SparkSession):
+        jvm = spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.base)
+        return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+    def complete(self, spark: SparkSession) -> list[int]:
+        """Ids of the batches whose folder was written to the end."""
+        fs, root = self._files(spark)
+        if not fs.exists(root):
+            return []
+        found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "batch-*/_SUCCESS"))
+        return sorted(int(f.getPath().getParent().getName().removeprefix("batch-")) for f in found)
+
+    def expire(self, spark: SparkSession, below: int) -> None:
+        fs, _ = self._files(spark)
+        for b in self.complete(spark):
+            if b < below:
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(self.path(b)), True)
+
+
+class RetainSink(_BatchFolders):
     """``foreachBatch`` handler keeping the newest ``quota`` rows per class.
 
-    Batch b reads the kept table written by batch b-1 and writes folder
-    ``b % 2``; a retried batch rewrites its own folder from an intact input.
+    Batch b reads the table kept by batch b-1, and nothing else: a missing or
+    unreadable one fails the batch. The folders of b-1 and b stay, older ones go.
     """
 
     def __init__(self, base: str, cls: str, quota=DEFAULT_QUOTA,
                  order: Sequence[str] = ("ts", "event_id")):
-        self.base, self.cls, self.quota, self.order = base.rstrip("/"), cls, quota, list(order)
-        self.last_path: str | None = None
-
-    def path(self, batch_id: int) -> str:
-        return f"{self.base}/kept-{batch_id % 2}"
+        super().__init__(base)
+        self.cls, self.quota, self.order = cls, quota, list(order)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marker = f"{self.base}/last-batch"
-        prev = self._read_marker(spark, marker) if batch_id > 0 else None
-        if prev is not None and prev >= batch_id:   # a retried batch
-            prev = batch_id - 1 if batch_id > 0 else None
         rows = batch
-        if prev is not None:
-            rows = spark.read.parquet(self.path(prev)).unionByName(batch)
+        if batch_id > 0:
+            rows = spark.read.parquet(self.path(batch_id - 1)).unionByName(batch)
         kept = retain_newest(rows, self.cls, self.quota, self.order)
         kept.write.mode("overwrite").parquet(self.path(batch_id))
-        spark.createDataFrame([(batch_id,)], "batch long").coalesce(1) \
-            .write.mode("overwrite").parquet(marker)
-        self.last_path = self.path(batch_id)
-
-    @staticmethod
-    def _read_marker(spark: SparkSession, marker: str) -> int | None:
-        try:
-            r = spark.read.parquet(marker).collect()
-        except Exception:  # no batch has completed yet
-            return None
-        return int(r[0][0]) if r else None
+        self.expire(spark, batch_id - 1)
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path(self.complete(spark)[-1]))
+
+
+# ---------------------------------------------------------------------------
+# D4 / D5 without lateness: every group of every micro-batch, merged on reading
+# ---------------------------------------------------------------------------
+
+class MergeSink(_BatchFolders):
+    """``foreachBatch`` handler for aggregates that merge.
+
+    Each batch writes ``partial(batch)``; ``result`` is ``merge`` of all partial
+    rows. No group waits for a watermark and no late row is dropped.
+    """
+
+    def __init__(self, base: str, partial: Callable[[DataFrame], DataFrame],
+                 merge: Callable[[DataFrame], DataFrame]):
+        super().__init__(base)
+        self.partial, self.merge = partial, merge
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.partial(batch).write.mode("overwrite").parquet(self.path(batch_id))
 
     def result(self, spark: SparkSession) -> DataFrame:
-        b = self._read_marker(spark, f"{self.base}/last-batch")
-        return spark.read.parquet(self.path(b))
+        return self.merge(spark.read.parquet(*[self.path(b) for b in self.complete(spark)]))
+
+
+def tick_flags_sink(base: str, key: str, ts: str, every: str, flags: dict[str, Column]) -> MergeSink:
+    """Every tick's flags, the last open one and late rows included."""
+    return MergeSink(
+        base, lambda batch: tick_flags(batch, key, ts, every, flags),
+        lambda rows: rows.groupBy(key, "tick_start", "tick_end").agg(*[F.bool_or(n).alias(n) for n in flags]))
+
+
+def last_per_second_sink(base: str, cls: str, ts: str = "ts",
+                         order: Sequence[str] = ("ts", "event_id")) -> MergeSink:
+    """The newest row of every (class, second)."""
+    return MergeSink(base, lambda batch: last_per_second(batch, cls, ts, order),
+                     lambda rows: last_per_second(rows.drop("second_key"), cls, ts, order))

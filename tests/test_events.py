@@ -456,3 +456,16 @@ def test_broadcast_only_after_the_size_check(spark):
     df = spark.createDataFrame([(1,), (20,)], "code int")
     got = sorted((r.code, r.key_name) for r in E.label_lookup(df, "code", dim, max_dim_rows=5).collect())
     assert got == [(1, "1"), (20, "20")]
+
+
+def test_masks_have_no_bit_outside_the_word(spark):
+    df = spark.createDataFrame([(1,), (63,), (65,), (70,), (-63,), (None,)], "code int")
+    assert [r.code for r in E.mask_filter(df, "code", 0b10).collect()] == [1]
+    assert E.mask_union(df.filter("code > 63 or code < 0"), None, "code").first()[0] == 0
+
+
+def test_label_lookup_of_a_repeated_code(spark):
+    df = spark.createDataFrame([(1,), (2,)], "code int")
+    dim = spark.createDataFrame([(1, "b"), (1, "a")], "code int, name string")
+    got = sorted((r.code, r.key_name) for r in E.label_lookup(df, "code", dim).collect())
+    assert got == [(1, "a"), (2, "2")]

@@ -12,6 +12,8 @@ from emberwake.plans.load import TS_NTZ_FORMAT, LoadSpec, load, open_source, sta
 from emberwake.sinks.tables import (
     PHOENIX, Destination, describe_schema, profile, write_by_class, write_table,
 )
+import __spark_entry__ as entry_mod
+from conftest import SF_SMALL
 from emberwake.sources.delimited import enforce_not_null, read_delimited, read_source, validate
 from emberwake.sources.files import list_files
 
@@ -72,6 +74,14 @@ def test_not_null_contract(spark, tmp_dir):
     df = enforce_not_null(read_delimited(spark, p, SCHEMA), SCHEMA)
     with pytest.raises(Exception, match="not-null"):
         df.collect()
+    # the column itself need not be asked for
+    with pytest.raises(Exception, match="not-null"):
+        df.groupBy("name").count().collect()
+
+
+def test_not_null_contract_stays_in_the_flagship_plan(spark):
+    df = entry_mod.queries()["load_orders"](spark, SF_SMALL)
+    assert "raise_error" in df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_glob_and_options(spark, tmp_dir):

@@ -1,8 +1,12 @@
 """Streaming helpers that are not covered by the stream = batch queries."""
 
+import shutil
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from emberwake.plans import catalog
 from emberwake.operators.events import retain_newest
 from emberwake.streaming.pipelines import RetainSink
 
@@ -20,3 +24,20 @@ def test_retain_sink_is_replay_safe(spark, tmp_dir):
     got = {r.event_id for r in sink.result(spark).collect()}
     want = {r.event_id for r in retain_newest(ev, "event_type", 7).collect()}
     assert got == want and len(got) == 7 * ev.select("event_type").distinct().count()
+
+
+def test_retain_sink_fails_without_the_kept_table(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    sink = RetainSink(f"{tmp_dir}/kept", "event_type", 7)
+    sink(ev, 0)
+    shutil.move(sink.path(0), f"{tmp_dir}/elsewhere")
+    with pytest.raises(Exception):
+        sink(ev, 1)
+    assert not sink.complete(spark)
+
+
+def test_staging_keeps_rows_without_a_time(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.withColumn("ts", F.when(F.col("event_id") % 10 != 0, F.col("ts"))).write.parquet(f"{tmp_dir}/events.parquet")
+    path, schema, _, _ = catalog.stage_event_files(spark, tmp_dir, "staging_test")
+    assert spark.read.schema(schema).parquet(path).count() == ev.count()
