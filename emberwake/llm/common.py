@@ -11,7 +11,9 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,20 @@ def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str
             yield b.column(0), [t or "" for t in b.column(1).to_pylist()]
 
 
+def bounded(rows: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``limit`` bytes of text, so that what a
+    worker builds from a slice does not grow with the batch. A longer text is a
+    slice of its own; no text is cut."""
+    for b in rows:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < b.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield b.slice(start, stop - start)
+            start = stop
+
+
 def crc_mod(doc_id, divisor: int):
     """crc32 of the id's decimal text modulo ``divisor`` (null id: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import doc_text, materialise
+from emberwake.llm.common import bounded, doc_text, materialise
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
 #: The words of a lower-cased text; odd multipliers of the hashes.
@@ -156,7 +156,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
         def passes(value: np.ndarray) -> np.ndarray:
             return in_filter(seen.value, value.view(np.int64))
 
-        for b in rows:
+        for b in bounded(rows, 1):
             words = words_of(b.column(1), WORDS)
             found = _contexts(words, lengths, gram, passes)
             yield pa.RecordBatch.from_arrays(

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import doc_text, materialise
+from emberwake.llm.common import bounded, doc_text, materialise
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
 #: Words of a lower-cased text; odd multipliers of the hashes.
@@ -194,7 +194,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows:
+        for b in bounded(rows, 1):
             values, ends = shingle_sets(b.column(1), width)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.diff(ends, prepend=0)), pa.array(digests(values, ends), LONG),
@@ -207,7 +207,7 @@ def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """sig, cid: the signatures of every set, equal sets once per task."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(percent), set()
-        for b in rows:
+        for b in bounded(rows, 0):
             values, ends = shingle_sets(b.column(0), width)
             cid = digests(values, ends)
             sig, text = signatures(values, ends, bands)
@@ -348,7 +348,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     ids = spark.sparkContext.broadcast(hash_filter(wanted.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows:
+        for b in bounded(rows, 0):
             b = b.filter(pa.array(in_filter(ids.value, b.column(1).to_numpy())))
             values, ends = shingle_sets(b.column(0), width)
             data = values.astype("<u8").tobytes()
