@@ -21,7 +21,7 @@ of words seen once for the one unknown word, the rest in proportion to counts.
    them and writes its file into the shared folder.
 2. Texts are read again, words looked up, and distinct pairs shipped the same way
    to the shard of their context, which writes its trie.
-3. Scoring tasks memory-map the files and look up whole batches at a time.
+3. Scoring tasks memory-map the files and look up slices of a few MB of text.
 
 What a task ships grows with its input; nothing is pruned. The driver sees four
 numbers per shard.
@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import doc_text, map_file, materialise, write_file
+from emberwake.llm.common import bounded, doc_text, map_file, materialise, write_file
 from emberwake.llm.elias_fano import EliasFano, from_buffer, to_bytes
 from emberwake.llm.words import hashed, words_of
 from emberwake.session import scratch_path
@@ -55,7 +55,7 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: The end token's place among the word hashes.
 END = np.uint64(0x51ED270B0A3F5C11)
 #: Tokens that a task counts together before it ships them.
-HELD = 4_000_000
+HELD = 2_000_000
 #: Eight-bit codes: code k stands for exp(-k * STEP).
 STEP = 0.09
 CODES = np.exp(-STEP * np.arange(256))
@@ -124,9 +124,7 @@ def _ship(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarr
                 [pa.array([int(shard[lo]) for lo, _ in spans], pa.int32()),
                  pa.array([squeeze(k[lo:hi], c[lo:hi]) for lo, hi in spans], pa.binary())], ["shard", "data"])
 
-        for b in rows:
-            if not b.num_rows:
-                continue
+        for b in bounded(rows, 0):
             k, c = np.unique(keys_of(*tokens(b.column(0))), return_counts=True)
             keys.append(k)
             counts.append(c.astype(np.uint64))
@@ -351,9 +349,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v, pairs = model.total, sum(model.sizes), model.levels()[1]
         unknown = (model.once + 1) / (n + 2)
-        for b in rows:
-            if not b.num_rows:
-                continue
+        for b in bounded(rows, 1):
             hashes, sizes = tokens(b.column(1))
             context, number, count = model.pairs(hashes, sizes)
             base = np.log10((count + 1) / (n + (v + 1)))
