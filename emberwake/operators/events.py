@@ -255,23 +255,15 @@ def first_item_of_active(owners: DataFrame, items: DataFrame, owner: str, active
 # Code -> name look-up with the code itself as fallback
 # ---------------------------------------------------------------------------
 
-def broadcast_checked(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``small`` only after a bounded check that it has at most
-    ``max_rows`` rows; otherwise leave the join strategy to AQE."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def label_lookup(df: DataFrame, code: str, dim: DataFrame | None = None,
-                 out: str = "key_name", max_dim_rows: int = 1_000_000) -> DataFrame:
+                 out: str = "key_name") -> DataFrame:
     """Left join with a code -> name dimension; unknown codes keep their own
     value as the name. The built-in key dimension has a fixed 74 rows and is
-    broadcast; a caller's dimension is broadcast only after a size check."""
+    broadcast; how a caller's dimension is joined follows from Spark's own size
+    threshold and the measured sizes (AQE)."""
     custom = dim is not None
     if dim is None:
         dim = F.broadcast(key_code_dimension(df.sparkSession))
-    else:
-        dim = broadcast_checked(dim, max_dim_rows)
     d = dim.select(F.col("code").alias("__code"), F.col("name").alias("__name"))
     if custom:  # a code given several times has its smallest name
         d = d.groupBy("__code").agg(F.min("__name").alias("__name"))
@@ -320,7 +312,7 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
              order: Sequence[str] = ("ts", "event_id"),
              eligible: Column | None = None, force: Column | None = None,
              rewind: Column | None = None, rewind_delay: float = 1.0,
-             chunk_periods: int = 64) -> DataFrame:
+             chunk_periods: int = 4) -> DataFrame:
     """Events that pass a per-key throttle (W6): the key's first event starts
     the timer and is not emitted; a later ``eligible`` event passes when more
     than ``every_seconds`` have elapsed since the timer was last set, and sets

@@ -29,10 +29,15 @@ A key with a third of all rows is spread over as many tasks as it has chunks;
 one wide shuffle (step 3) and one narrow shuffle (step 1) move rows. Entries
 reach their chunk as marker rows in the same partitioning (no join), so a null
 key is one more group, as in Spark's grouping.
+
+A table is kept as steps: entry timers that lead to one exit and lie side by
+side are one entry. Rows without a time neither pass by time nor set the timer;
+a forced one passes.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -68,6 +73,24 @@ def _arrow_type(dt: T.DataType):
     return to_arrow_type(dt)
 
 
+def _groups(rb, key: str) -> tuple[np.ndarray, list]:
+    """(bounds of the runs of equal key and chunk in a batch, their names).
+
+    Keys are compared by dictionary codes, so integers beside a null keep all
+    their digits and NaN equals itself, as in Spark's grouping.
+    """
+    column = rb.column(rb.schema.get_field_index(key))
+    code = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+    chunk = rb.column(rb.schema.get_field_index("__chunk")).to_numpy()
+    change = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (chunk[1:] != chunk[:-1])])
+    return np.r_[change, rb.num_rows], [(column[a].as_py(), int(chunk[a])) for a in change.tolist()]
+
+
+def _same(a, b) -> bool:
+    """Whether two keys are one group: null and NaN equal themselves."""
+    return a == b or (a != a and b != b)
+
+
 def _next_true(mask: np.ndarray) -> np.ndarray:
     """Index of the next True at or after each position; ``len`` if none. One
     extra trailing entry (``len``) so ``i + 1`` lookups stay in range."""
@@ -194,7 +217,9 @@ def _tables_fn(key: str, schema: T.StructType, period: int, rewind_us: int):
         if res is None:
             return None
         dom, cod, seed, fb, lb = res
-        return (k, int(chunk), fb, lb, dom.tolist(), [int(x) for x in cod], seed)
+        # entries that lead to one exit and lie side by side are one step
+        step = np.flatnonzero(np.r_[True, cod[1:] != cod[:-1]])
+        return (k, int(chunk), fb, lb, dom[step].tolist(), [int(x) for x in cod[step]], seed)
 
     def batch(rows):
         return pa.RecordBatch.from_arrays(
@@ -207,15 +232,10 @@ def _tables_fn(key: str, schema: T.StructType, period: int, rewind_us: int):
             if rb.num_rows == 0:
                 continue
             ix = rb.schema.get_field_index
-            kcol = rb.column(ix(key))
-            k = kcol.to_numpy(zero_copy_only=False)
-            ch = rb.column(ix("__chunk")).to_numpy(zero_copy_only=False)
             data = {c: rb.column(ix(c)).to_numpy(zero_copy_only=False) for c in cols}
-            change = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (ch[1:] != ch[:-1])])
-            bounds = np.r_[change, rb.num_rows]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                g = (kcol[int(a)].as_py(), int(ch[a]))
-                if cur is not None and g != cur:
+            bounds, names_of = _groups(rb, key)
+            for a, b, g in zip(bounds[:-1], bounds[1:], names_of):
+                if cur is not None and not (g[1] == cur[1] and _same(g[0], cur[0])):
                     row = emit(cur[0], cur[1], parts)
                     if row:
                         out.append(row)
@@ -253,17 +273,14 @@ def _entries_fn(key: str, schema: T.StructType):
             out_k, out_c, out_e, out_s = [], [], [], []
             for i in range(rb.num_rows):
                 k, c = d[key][i], d["__chunk"][i]
-                if k != cur_key:       # the key's first chunk holds its seed
+                if not _same(k, cur_key):  # the key's first chunk holds its seed
                     cur_key, seed, entry = k, True, OLD
                     exit_l = d["__seed_exit"][i]
                 else:
                     seed = False
                     entry = exit_l if d["__first_blk"][i] == last_blk + 1 else OLD
                     dom, cod = d["__dom"][i], d["__cod"][i]
-                    pos = int(np.searchsorted(dom, entry))
-                    if pos >= len(dom) or dom[pos] != entry:   # cannot happen: entries come from the halo
-                        raise AssertionError("entry timer missing from the chunk's table")
-                    exit_l = cod[pos]
+                    exit_l = cod[bisect_right(dom, entry) - 1]  # the step that holds the entry
                 last_blk = d["__last_blk"][i]
                 out_k.append(k)
                 out_c.append(c)
@@ -320,9 +337,6 @@ def _replay_fn(key: str, period: int, rewind_us: int, out_cols: list[str]):
             if rb.num_rows == 0:
                 continue
             ix = rb.schema.get_field_index
-            kcol = rb.column(ix(key))
-            k = kcol.to_numpy(zero_copy_only=False)
-            ch = rb.column(ix("__chunk")).to_numpy(zero_copy_only=False)
             marker = rb.column(ix("__marker")).to_numpy(zero_copy_only=False).astype(bool)
             t = rb.column(ix("__t")).to_numpy(zero_copy_only=False)
             el, fo, rw = (rb.column(ix(c)).to_numpy(zero_copy_only=False)
@@ -330,12 +344,9 @@ def _replay_fn(key: str, period: int, rewind_us: int, out_cols: list[str]):
             entry = rb.column(ix("__entry")).to_numpy(zero_copy_only=False)
             seed = rb.column(ix("__seed")).to_numpy(zero_copy_only=False)
             keep = np.zeros(rb.num_rows, dtype=bool)
-            change = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (ch[1:] != ch[:-1])])
-            bounds = np.r_[change, rb.num_rows]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                a, b = int(a), int(b)
-                g = (kcol[a].as_py(), int(ch[a]))
-                if g != cur:
+            bounds, names_of = _groups(rb, key)
+            for a, b, g in zip(bounds[:-1].tolist(), bounds[1:].tolist(), names_of):
+                if cur is None or not (g[1] == cur[1] and _same(g[0], cur[0])):
                     cur, last, seed_pending = g, OLD, False
                 while a < b and marker[a]:
                     last, seed_pending = int(entry[a]), bool(seed[a])
@@ -369,12 +380,13 @@ def throttle(df: DataFrame, key: str, every_seconds: float, time_micros: Column,
     if period <= 0:
         raise ValueError("the period must be positive")
     flag = (lambda c, d: F.lit(d) if c is None else F.coalesce(c, F.lit(False)))
-    blk = F.floor(F.col("__t") / F.lit(period))
-    base = (df.withColumn("__t", time_micros)
+    # block and chunk numbers in whole-number arithmetic, exact for any time
+    blk = F.expr(f"(__t - pmod(__t, {period}L)) div {period}L")
+    base = (df.filter(time_micros.isNotNull()).withColumn("__t", time_micros)
             .withColumn("__elig", flag(eligible, True))
             .withColumn("__force", flag(force, False))
             .withColumn("__rewind", flag(rewind, False))
-            .withColumn("__chunk", F.floor(blk / F.lit(chunk_periods)).cast("long")))
+            .withColumn("__chunk", F.expr(f"(__t - pmod(__t, {period * chunk_periods}L)) div {period * chunk_periods}L")))
     # step 1: narrow rows plus the previous block as halo, one table per chunk
     narrow = base.select(key, *order, "__t", "__elig", "__rewind", "__chunk",
                          F.lit(False).alias("__halo"))
@@ -395,12 +407,18 @@ def throttle(df: DataFrame, key: str, every_seconds: float, time_micros: Column,
     # row in the same (key, chunk) partition, ahead of the chunk's rows: no
     # join, and a null key stays one group like everywhere else.
     markers = (entries.withColumn("__marker", F.lit(True))
-               .withColumn("__t", F.lit(None).cast("long")))
+               .withColumn("__t", F.lit(0).cast("long"))
+               .withColumns({c: F.lit(False) for c in ("__elig", "__force", "__rewind")}))
+    # no nulls in the numbers: Arrow columns with nulls turn into doubles
     data = (base.withColumn("__marker", F.lit(False))
-            .withColumn("__entry", F.lit(None).cast("long"))
-            .withColumn("__seed", F.lit(None).cast("boolean")))
+            .withColumn("__entry", F.lit(OLD).cast("long"))
+            .withColumn("__seed", F.lit(False)))
     out_cols = list(df.columns)
-    return (data.unionByName(markers, allowMissingColumns=True)
-            .repartition(key, "__chunk")
-            .sortWithinPartitions(key, "__chunk", F.col("__marker").desc(), *order)
-            .mapInArrow(_replay_fn(key, period, rewind_us, out_cols), df.schema))
+    passed = (data.unionByName(markers, allowMissingColumns=True)
+              .repartition(key, "__chunk")
+              .sortWithinPartitions(key, "__chunk", F.col("__marker").desc(), *order)
+              .mapInArrow(_replay_fn(key, period, rewind_us, out_cols), df.schema))
+    if force is None:
+        return passed
+    # rows without a time are outside the timer: only a forced one passes
+    return passed.unionByName(df.filter(time_micros.isNull() & flag(force, False)))

@@ -434,8 +434,8 @@ THROTTLE_SECONDS = 86_400
 
 
 def q_throttle(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return E.throttle(ev, "user_id", THROTTLE_SECONDS).select("event_id", "user_id", "ts")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return E.throttle(ev, "user_id", THROTTLE_SECONDS)
 
 
 SQL_THROTTLE = f"""
@@ -464,7 +464,7 @@ def _throttle_flags():
 
 
 def q_throttle_forced(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     return E.throttle(ev, "user_id", THROTTLE_SECONDS, **_throttle_flags()) \
         .select("event_id", "user_id", "ts")
 

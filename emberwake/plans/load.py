@@ -97,12 +97,16 @@ def main(argv=None) -> None:
     p.add_argument("--dest_url")
     p.add_argument("--dest_path")
     p.add_argument("--write_mode", default="error")
+    p.add_argument("--header_by_position", action="store_true",
+                   help="take the spec's names in order, whatever the header says")
     a = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO,
                         format="%(asctime)s %(levelname)s %(name)s %(message)s")
     dest = Destination(a.dest_format, a.dest_table, a.dest_url, a.dest_path, a.write_mode).check()
     spark = SparkSession.builder.enableHiveSupport().getOrCreate()
-    res = load(spark, LoadSpec(a.src_data_file, a.src_schema_file, dest, a.src_format, a.sep))
+    options = {"strict_header": False} if a.header_by_position else {}
+    res = load(spark, LoadSpec(a.src_data_file, a.src_schema_file, dest, a.src_format, a.sep,
+                               options=options))
     for r in describe_schema(spark, spark.createDataFrame([], res.schema)).collect():
         log.info("%s", r)
     log.info("records: %d", res.rows)

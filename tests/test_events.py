@@ -445,17 +445,32 @@ def test_time_helpers_on_other_time_types(spark):
     assert len({r.b for r in b}) == len({r.day for r in b})
 
 
-def test_broadcast_only_after_the_size_check(spark):
+def test_a_callers_dimension_is_not_hinted(spark):
     dim = spark.createDataFrame([(i, str(i)) for i in range(10)], "code int, name string")
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(E.broadcast_checked(dim, 10))
-    assert not hinted(E.broadcast_checked(dim, 9))
     df = spark.createDataFrame([(1,), (20,)], "code int")
-    got = sorted((r.code, r.key_name) for r in E.label_lookup(df, "code", dim, max_dim_rows=5).collect())
-    assert got == [(1, "1"), (20, "20")]
+    found = E.label_lookup(df, "code", dim)
+    assert "broadcast" not in found._jdf.queryExecution().analyzed().toString().lower()
+    assert sorted((r.code, r.key_name) for r in found.collect()) == [(1, "1"), (20, "20")]
+
+
+def test_throttle_of_large_keys_beside_a_null_key(spark):
+    a = 1 << 60
+    rows = [(1, a, 0), (2, a + 1, 1), (3, None, 2), (4, a, 40), (5, a + 1, 45), (6, None, 50), (7, a, 60)]
+    df = spark.createDataFrame([(i, k, t * 1_000_000) for i, k, t in rows], "event_id long, k long, t long")
+    got = E.throttle(df, "k", 30, ("t", "event_id"), chunk_periods=1).collect()
+    assert sorted(r.event_id for r in got) == [4, 5, 6]
+    nan = spark.createDataFrame([(i, float("nan"), i * 20_000_000) for i in range(6)], "event_id long, k double, t long")
+    assert sorted(r.event_id for r in E.throttle(nan, "k", 30, ("t", "event_id"), chunk_periods=1).collect()) == [2, 4]
+
+
+def test_throttle_of_times_beyond_doubles_and_null_times(spark):
+    base = (1 << 55) + 1
+    rows = [(i, 1, base + i) for i in range(6)] + [(9, 1, None), (10, 1, None)]
+    df = spark.createDataFrame(rows, "event_id long, k long, t long")
+    got = E.throttle(df, "k", 1e-6, ("t", "event_id"), rewind_delay=1e-6).collect()
+    assert sorted(r.event_id for r in got) == [2, 4]  # more than one microsecond later
+    forced = E.throttle(df, "k", 1e-6, ("t", "event_id"), force=F.col("event_id") == 10, rewind_delay=1e-6).collect()
+    assert sorted(r.event_id for r in forced) == [2, 4, 10]
 
 
 def test_masks_have_no_bit_outside_the_word(spark):
