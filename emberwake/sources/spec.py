@@ -7,8 +7,10 @@ distributed scan. Nothing about the *data* passes through the driver.
 
 Type rules (match on the leading word, any case, cells trimmed):
 
-* ``VARCHAR(n)``, ``CHAR(n)``, ``STRING`` -> string (length is not enforced)
-* ``DOUBLE`` -> double, ``FLOAT`` -> float, ``INTEGER`` -> int
+* words with ``CHAR`` (``VARCHAR(n)``, ``NVARCHAR(n)``, ``VARCHAR2(n)``,
+  ``CHARACTER(n)``), ``STRING``, ``TEXT`` -> string (length is not enforced)
+* ``DOUBLE``, ``DOUBLE PRECISION`` -> double, ``FLOAT`` -> float, ``INTEGER`` ->
+  int; a size is accepted and ignored
 * extensions: ``BIGINT`` -> long, ``DECIMAL(p,s)``/``NUMERIC(p,s)`` -> decimal,
   ``DATE``, ``TIMESTAMP`` (no time zone), ``BOOLEAN``
 * a parenthesis without its partner, unknown words or trailing text raise.
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _TYPE_RE = re.compile(
-    r"^(?P<word>[A-Za-z_]+)\s*(?:\(\s*(?P<p>\d+)\s*(?:,\s*(?P<s>\d+)\s*)?\))?$")
+    r"^(?P<word>[A-Za-z_]+2?(?:\s+PRECISION)?)\s*(?:\(\s*(?P<p>\d+)\s*(?:,\s*(?P<s>\d+)\s*)?\))?$", re.IGNORECASE)
 
 _TRUE = ("true", "1", "t")
 _FALSE = ("false", "0", "f")
@@ -41,14 +43,12 @@ def parse_type(text: str | None) -> T.DataType:
     m = _TYPE_RE.match(raw)
     if not m:
         raise ValueError(f"Invalid SQL data type {raw}")
-    word = m.group("word").upper()
+    word = " ".join(m.group("word").upper().split())
     p, s = m.group("p"), m.group("s")
-    if word in ("VARCHAR", "CHAR", "STRING", "TEXT"):
+    if "CHAR" in word or word in ("STRING", "TEXT"):
         return T.StringType()
-    if p is not None and word not in ("DECIMAL", "NUMERIC"):
-        # only the character and decimal families take a size
-        raise ValueError(f"Invalid SQL data type {raw}")
-    if word == "DOUBLE":
+    # a size means something to decimals alone; the others accept and ignore it
+    if word in ("DOUBLE", "DOUBLE PRECISION"):
         return T.DoubleType()
     if word == "FLOAT":
         return T.FloatType()

@@ -22,14 +22,21 @@ from emberwake.sources.spec import (
     ("DATE", T.DateType()),
     ("TIMESTAMP", T.TimestampNTZType()),
     ("BOOLEAN", T.BooleanType()),
+    ("FLOAT(24)", T.FloatType()),
+    ("INTEGER(11)", T.IntegerType()),
+    ("DOUBLE(10,2)", T.DoubleType()),
+    ("double  precision", T.DoubleType()),
+    ("VARCHAR2(20)", T.StringType()),
+    ("NVARCHAR(5)", T.StringType()),
+    ("CHARACTER(3)", T.StringType()),
 ])
 def test_types_accepted(text, expected):
     assert parse_type(text) == expected
 
 
 @pytest.mark.parametrize("text", [
-    "VARCHAR(10", "VARCHAR 10)", "BLOB", "", None, "DOUBLE(3)", "DECIMAL(40,2)",
-    "VARCHAR(10) extra",
+    "VARCHAR(10", "VARCHAR 10)", "BLOB", "", None, "DECIMAL(40,2)", "VARCHAR(10) extra",
+    "FLOAT PRECISION", "DOUBLE(3",
 ])
 def test_types_rejected(text):
     with pytest.raises(ValueError):
