@@ -44,34 +44,22 @@ class PieceEncoder:
         self.known: dict[str, bytes] = {}  # split part -> ids of the piece
 
     def __call__(self, text: str) -> bytes:
-        known = self.known
-        parts = text.replace("\n", " \n").split(" ")
         # a first part has no space before it: never remembered as a part
-        found = list(map(known.get, parts))
-        found[0] = None
-        if None not in found[1:]:
-            return self.encode([parts[0]])[0] + b"".join(found[1:])
-        return self._with_misses(text, parts, found)
-
-    def _with_misses(self, text: str, parts: list[str], found: list[bytes | None]) -> bytes:
+        first, *parts = text.replace("\n", " \n").split(" ")
+        if len(self.known) > self.limit:
+            self.known.clear()
         known = self.known
-        if len(known) > self.limit:
-            known.clear()
-            found = [None] * len(parts)
-        new = {p for p, v in zip(parts, found) if v is None}
-        odd = parts[0] == "" or parts[0][-1:].isspace()
-        names, pieces = [], []
+        new = list(set(parts).difference(known))
+        if not new:
+            return self.encode([first])[0] + b"".join(map(known.__getitem__, parts))
+        if not first or first[-1].isspace():
+            return b"".join(self.encode(cut(text)))
+        pieces = []
         for p in new:
             body = p[1:] if p[:1] == "\n" else p
             if not body or body[0].isspace() or body[-1].isspace():
-                odd = odd or p is not parts[0]
-            else:
-                names.append(p)
-                pieces.append(p if p[:1] == "\n" else " " + p)
-        if odd:
-            return b"".join(self.encode(cut(text)))
-        ids = self.encode([parts[0], *pieces])
-        known.update(zip(names, ids[1:]))
-        rest = iter(parts)
-        next(rest)
-        return ids[0] + b"".join(map(known.__getitem__, rest))
+                return b"".join(self.encode(cut(text)))
+            pieces.append(p if body is not p else " " + p)
+        ids = self.encode([first, *pieces])
+        known.update(zip(new, ids[1:]))
+        return ids[0] + b"".join(map(known.__getitem__, parts))

@@ -53,15 +53,13 @@ class FastTokenizer:
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """One call for all pieces; token sizes tell where each ends."""
-        ids = np.array(self.tokenizer.encode("".join(pieces), add_special_tokens=False).ids, self.dtype)
-        ends = np.cumsum([len(p.encode()) for p in pieces])
+        text = "".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        ends = np.cumsum(list(map(len, pieces if text.isascii() else [p.encode() for p in pieces])))
         reached = np.cumsum(self.size[ids])
-        stop = np.searchsorted(reached, ends, side="right").tolist()
-        out, at = [], 0
-        for k in stop:
-            out.append(ids[at:k].tobytes())
-            at = k
-        return out
+        stop = (np.searchsorted(reached, ends, side="right") * ids.itemsize).tolist()
+        data = ids.tobytes()
+        return [data[at:k] for at, k in zip([0, *stop], stop)]
 
     def encode(self, text: str) -> bytes:
         return self.pieces(text)
