@@ -9,9 +9,10 @@ in two shards is cut.
 2. Linked documents start in a shard by hash. In each round a (group, shard)
    histogram, aggregated before it is shuffled, tells each document how many
    bytes of neighbours every shard holds; it asks for the shard with the most
-   that still has room. Requests are granted in group order while their running
-   sum fits the shard's room (capacity, an equal share of all bytes, less its
-   load). Rounds end when no request is granted, or after ``rounds``.
+   whose room (capacity, an equal share of all bytes, less its load) the document
+   fits. Requests are granted in group order while their running sum fits the
+   room, so the first of each shard always is. Rounds end when no document has a
+   better shard with room, or after ``rounds`` and one more per shard.
    A group beyond a shard's capacity thus fills one shard, then the next.
 3. Documents without links fill the rooms that are left. Those of at least
    1/64 share (fewer than 64 per shard exist, by their size) go one by one, the
@@ -73,17 +74,17 @@ def _propagate(linked: DataFrame, shards: int, capacity: int, rounds: int) -> Da
     state = materialise(
         linked.select("row", "text_hash", "size", _bucket(F.col("text_hash"), F.col("row")).alias("bucket"),
                       F.pmod(F.xxhash64("row", F.lit(2)), F.lit(shards)).cast("int").alias("shard")), "shard_state")
-    for _ in range(rounds):
+    for _ in range(rounds + shards):  # a group that fills every shard needs a round for each
         load = state.groupBy("shard").agg(F.sum("size").alias("load"))
         room = {r["shard"]: capacity - (r["load"] or 0) for r in every.join(load, "shard", "left").collect()}  # one per shard
         room_of = F.create_map(*[F.lit(x) for pair in room.items() for x in pair])
         # per group: the bytes of neighbours in each shard that a member may ask for
-        held = state.groupBy("text_hash", "shard").agg(F.sum("size").alias("bytes"))
+        held = state.groupBy("text_hash", "shard").agg(F.sum("size").alias("bytes"), F.max("size").alias("size"))
         choice = held.groupBy("text_hash").agg(
-            F.collect_list(F.struct("bytes", "shard")).alias("held")).filter(F.size("held") > 1)  # at most one per shard
+            F.max("size").alias("fits"), F.collect_list(F.struct("bytes", "shard")).alias("held")).filter(F.size("held") > 1)  # at most one per shard
         turn = F.pmod(F.xxhash64("text_hash", "shard"), F.lit(1 << 30))
         best = F.transform("held", lambda h: F.struct(
-            F.when(room_of[h["shard"]] > 0, h["bytes"]).otherwise(0).alias("bytes"),
+            F.when(room_of[h["shard"]] >= F.col("fits"), h["bytes"]).otherwise(0).alias("bytes"),
             F.pmod(F.xxhash64("text_hash", h["shard"]), F.lit(1 << 30)).alias("turn"), h["shard"].alias("wanted")))
         choice = choice.select("text_hash", F.array_max(best).alias("best"),
                                F.map_from_entries(F.transform("held", lambda h: F.struct(h["shard"], h["bytes"]))).alias("bytes_of"))

@@ -1,6 +1,7 @@
 """Sharding, exact duplicates, decontamination and the similarity join against
 brute force, on awkward rows and on the small tables."""
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -56,6 +57,19 @@ def test_shards_are_even_and_cut_few_links(spark):
     assert sum(len(groups[t]) > 1 for t in several) <= 0.2 * len(several)
 
 
+def test_a_hot_group_fills_one_shard_then_the_next(spark):
+    texts = ["h" * 100] * 3000 + [f"{k:05d}" * 20 for k in range(6007)]  # rooms end above 0 bytes
+    docs, _ = unique(spark, texts)
+    got = balanced_shards(docs, 8).collect()
+    load, copies = Counter(), Counter()
+    for r in got:
+        load[r["shard"]] += r["size"]
+        copies[r["shard"]] += r["doc_id"] < 3000
+    share = sum(load.values()) / 8
+    assert len(got) == len(texts) and all(abs(v - share) <= 101 for v in load.values())
+    assert len([s for s, n in copies.items() if n]) == math.ceil(3000 * 101 / share)
+
+
 def test_exact_duplicates(spark):
     docs, rows = unique(spark)
     groups = defaultdict(list)
