@@ -70,6 +70,21 @@ def test_a_hot_group_fills_one_shard_then_the_next(spark):
     assert len([s for s, n in copies.items() if n]) == math.ceil(3000 * 101 / share)
 
 
+@pytest.mark.parametrize("texts", [
+    [f"{k:03d}" * (20 + k) for k in range(150)] * 2,                                   # every text has a copy
+    [f"long {k}" * 3000 for k in range(9)] * 3 + [f"{k:04d}" * 9 for k in range(900)] * 2,  # a few very long ones
+])
+def test_shards_of_linked_documents_are_even(spark, texts):
+    docs, _ = unique(spark, texts)
+    got = balanced_shards(docs, 4).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
+    load = Counter()
+    for r in got:
+        load[r["shard"]] += r["size"]
+    share, largest = sum(load.values()) / 4, max(r["size"] for r in got)
+    assert all(abs(load[k] - share) <= largest for k in range(4))
+
+
 def test_exact_duplicates(spark):
     docs, rows = unique(spark)
     groups = defaultdict(list)
