@@ -1,11 +1,17 @@
 """License scans by patience alignment.
 
 A template occurs where a stretch of a text covers at least ``percent`` of the
-template's words in order. Words are runs of letters and digits, lower-cased.
+template's words in order, among them, word after word, the phrases that tell
+the license from its neighbours (name, version, nc, sa, affero, clause 3), and
+no word that only a neighbour has stands in it or just behind. A license without
+a template thus has no name rather than a wrong one. Words are runs of letters
+and digits, lower-cased.
 
 1. A template of n words needs ``percent`` of them, so a document that lacks
-   too many of its distinct words is passed over, and so is every stretch with
-   too few words of the template. Both tests lose no occurrence.
+   too many of its distinct words, or one of the phrases' words, is passed over,
+   and so is every stretch with too few words of the template. These tests lose
+   no occurrence. Whole texts begin with such a phrase, their heading, and are
+   aligned from where it stands; without it they have no name.
 2. A stretch that is left (n words and a quarter more) is aligned: common ends
    are matched, words that are unique in both sides and lie on the longest
    increasing subsequence become anchors, and the gaps between anchors are
@@ -35,10 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from emberwake.llm.common import batches, doc_text
-from emberwake.llm.license_texts import TEMPLATES
+from emberwake.llm.license_texts import BARRED, HEADINGS, TELLING, TEMPLATES
 
 WORDS = re.compile(r"[^\W_]+")
 PERCENT = 80
+BEHIND = 30  # words behind a match that may hold a barred one
 MATCH = [("license", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("matched", pa.int32()),
          ("coverage", pa.float64())]
 
@@ -100,25 +107,46 @@ class Template:
     distinct: frozenset[str]
     need: int  # words that must match
     reach: int  # words of a stretch
+    phrases: tuple[tuple[str, ...], ...] = ()  # each must be matched word after word
+    telling: frozenset[str] = frozenset()  # their words
+    barred: frozenset[str] = frozenset()
+    headed: bool = False  # begins with its first phrase
 
     @classmethod
-    def of(cls, name: str, text: str, percent: int) -> Template:
+    def of(cls, name: str, text: str, percent: int, telling: tuple[str, ...] = (), barred: tuple[str, ...] = (),
+           headed: bool = False) -> Template:
         words = tuple(words_of(text))
-        return cls(name, words, frozenset(words), -(-percent * len(words) // 100), len(words) + len(words) // 4)
+        phrases = tuple(tuple(words_of(p)) for p in telling)
+        return cls(name, words, frozenset(words), -(-percent * len(words) // 100), len(words) + len(words) // 4,
+                   phrases, frozenset(w for p in phrases for w in p), frozenset(barred), headed)
+
+    def told(self, words: list[str], start: int, pairs: list[tuple[int, int]]) -> bool:
+        """Whether the match has every phrase and no barred word."""
+        at = {j: i for i, j in pairs}
+        if any(w in self.barred for w in words[start + pairs[0][0]:start + pairs[-1][0] + 1 + BEHIND]):
+            return False
+        return all(any(all(at.get(q + k, -1) == at[q] + k for k in range(len(p)))
+                       for q in places(self.words, p) if q in at) for p in self.phrases)
+
+
+def places(words, phrase: tuple[str, ...]) -> list[int]:
+    """Positions where ``phrase`` stands in ``words``."""
+    n, first = len(phrase), phrase[0]
+    return [k for k, w in enumerate(words) if w == first and tuple(words[k:k + n]) == phrase]
 
 
 def occurrences(words: list[str], template: Template) -> Iterator[tuple[str, int, int, int, float]]:
     """(license, start, stop, matched, coverage) of disjoint stretches, in order."""
     known = np.fromiter((w in template.distinct for w in words), bool, len(words))
     held = np.concatenate([[0], np.cumsum(known)])
-    starts = np.flatnonzero(known)
+    starts = np.array(places(words, template.phrases[0]), int) if template.headed else np.flatnonzero(known)
     stops = np.minimum(starts + template.reach, len(words))
     free = 0
     for start in starts[held[stops] - held[starts] >= template.need].tolist():
         if start < free:
             continue
         pairs = align(words[start:start + template.reach], template.words)
-        if len(pairs) >= template.need:
+        if len(pairs) >= template.need and template.told(words, start, pairs):
             free = start + pairs[-1][0] + 1
             yield (template.name, start + pairs[0][0], free, len(pairs), len(pairs) / len(template.words))
 
@@ -126,8 +154,8 @@ def occurrences(words: list[str], template: Template) -> Iterator[tuple[str, int
 def scan(words: list[str], templates: list[Template]) -> list[tuple[str, int, int, int, float]]:
     """The occurrences that stay, by position."""
     seen = set(words)
-    found = [m for t in templates if t.words and len(t.distinct - seen) <= len(t.words) - t.need
-             for m in occurrences(words, t)]
+    found = [m for t in templates if t.words and t.need <= len(words) and t.telling <= seen
+             and len(t.distinct - seen) <= len(t.words) - t.need for m in occurrences(words, t)]
     kept: list[tuple[str, int, int, int, float]] = []
     for m in sorted(found, key=lambda m: (-m[3], -m[4], m[0], m[1])):
         if all(m[2] <= k[1] or k[2] <= m[1] for k in kept):
@@ -135,13 +163,22 @@ def scan(words: list[str], templates: list[Template]) -> list[tuple[str, int, in
     return sorted(kept, key=lambda m: m[1])
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
+def known_licenses(percent: int = PERCENT) -> list[Template]:
+    """The licenses of ``license_texts`` with what tells them apart."""
+    return [Template.of(name, text, percent, TELLING.get(name, ()), BARRED.get(name, ()), name in HEADINGS)
+            for name, text in sorted(TEMPLATES.items())]
+
+
+def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_words, n_matches, license (of the match
     with the most words, the first of equals; else null), covered_words, and
     matches: array of license, start, stop (word positions), matched, coverage."""
     source = doc_text(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
-    known = [Template.of(name, text, percent) for name, text in sorted(templates.items())]
+    if templates is None:
+        known = known_licenses(percent)
+    else:
+        known = [Template.of(name, text, percent) for name, text in sorted(templates.items())]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, texts in batches(rows):

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 import __spark_entry__ as entry_mod
 from emberwake.llm.common import reachable
-from emberwake.llm.license_scan import align, license_scan, rising, words_of
+from emberwake.llm.license_scan import align, known_licenses, license_scan, places, rising, scan, words_of
 from emberwake.llm.license_texts import TEMPLATES
 from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.toxicity import drop_toxic, fold, toxicity_scores
@@ -87,6 +87,33 @@ def test_license_query_against_whole_lines(spark):
     assert want and {d for d, r in got.items() if r["n_matches"]} == want
 
 
+@pytest.mark.parametrize("text, name", [
+    ("Released under the BSD License.", "BSD"), ("Released under the Foo License.", None),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("Licensed under CC BY-NC-SA 3.0.", "CC-BY-NC-SA-3.0"), ("Licensed under CC BY-NC 9.0.", None),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 9. See 3 files.", None),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"), ("Licensed under the Apache License, Version 7.3.", None),
+    (TEMPLATES["GPL-3.0"].replace("either version 3", "either version 2"), "GPL-2.0"),
+    (TEMPLATES["GPL-3.0"].replace("General Public", "Affero General Public"), "AGPL-3.0"),
+    (TEMPLATES["BSD-3-Clause (full)"].replace("copyright holder nor", "University nor"), "BSD-3-Clause"),
+    (TEMPLATES["BSD-2-Clause"] + " 3. Do not endorse or promote.", None),
+    ("x " * 99 + TEMPLATES["LGPL-2.1 (full)"], "LGPL-2.1"), (TEMPLATES["Apache-2.0 (full)"] + " x" * 99, "Apache-2.0"),
+])
+def test_near_miss_licenses_keep_their_own_name(text, name):
+    found = scan(words_of(text), known_licenses())
+    assert {m[0].split(" (")[0] for m in found} == ({name} if name else set())
+
+
+def test_what_tells_licenses_apart_stands_in_their_texts():
+    for t in known_licenses():
+        assert all(places(t.words, p) for p in t.phrases) and not t.barred & t.distinct
+        assert not t.headed or t.words[:len(t.phrases[0])] == t.phrases[0]
+
+
 def test_folding():
     assert fold("ｈ3llО w​orld!").split() == ["hello", "world"]
 
