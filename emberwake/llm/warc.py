@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberwake.llm.common import materialise, store_of
-from emberwake.llm.warc_records import digest, header_lines, http_parts, page_text, record, records
+from emberwake.llm.warc_records import Fields, digest, header_lines, http_parts, page_text, record, records
 from emberwake.session import scratch_path
 
 FILE_BYTES = 64 << 20
@@ -159,19 +159,20 @@ def build_derivatives(folder: str, files: DataFrame, out: str | None = None,
     return out, materialise(_dealt(files).mapInArrow(run, FILES), "warc_files")
 
 
-def _row(fields: dict[str, str], block: bytes) -> dict:
+def _row(fields: Fields, block: bytes) -> dict:
     row = {"warc_type": fields["warc-type"], "record_id": fields["warc-record-id"],
-           "refers_to": fields.get("warc-refers-to"), "concurrent_to": fields.get("warc-concurrent-to"),
+           "refers_to": fields.get("warc-refers-to"), "concurrent_to": fields.all("warc-concurrent-to"),
            "target_uri": fields.get("warc-target-uri"), "warc_date": fields.get("warc-date"),
            "content_type": fields.get("content-type"), "page_id": fields.get("x-page-id"),
            "source_digest": fields.get("x-source-payload-digest"),
            "block_digest_ok": fields.get("warc-block-digest") == digest(block), "n_bytes": len(block),
            "block_sha256": hashlib.sha256(block).hexdigest()}
     if fields["warc-type"] == "metadata":
-        meta = dict(line.split(": ", 1) for line in block.decode().split("\r\n") if line)
+        lines = [line.split(": ", 1) for line in block.decode().split("\r\n") if line]  # a header may be repeated
+        meta = dict(lines)
         row |= {"page_id": meta.get("http-header-x-page-id"), "source_digest": meta.get("source-payload-digest"),
                 "source_digest_ok": meta.get("source-payload-digest-holds") == "true",
-                "source_headers": "\n".join(f"{k.removeprefix('http-header-')}: {v}" for k, v in meta.items()
+                "source_headers": "\n".join(f"{k.removeprefix('http-header-')}: {v}" for k, v in lines
                                             if k.startswith("http-"))}
     return row
 

@@ -46,8 +46,20 @@ def parsed_lines(lines: Iterable[bytes]) -> list[tuple[str, str]]:
     return [(name.strip(), value.strip()) for name, colon, value in pairs if colon]
 
 
-def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of every record of a file."""
+class Fields(dict):
+    """Header lines by lower-case name; ``pairs`` has every line, in order."""
+
+    def __init__(self, pairs: list[tuple[str, str]]):
+        self.pairs = [(name.lower(), value) for name, value in pairs]
+        super().__init__(self.pairs)
+
+    def all(self, name: str) -> str | None:
+        """The values of a field that may be repeated, one a line."""
+        return "\n".join(v for n, v in self.pairs if n == name) if name in self else None
+
+
+def records(source: BinaryIO) -> Iterator[tuple[Fields, bytes]]:
+    """(headers, block) of every record of a file."""
     with gzip.GzipFile(fileobj=source) as stream:
         while line := stream.readline():
             if not line.strip():
@@ -57,7 +69,7 @@ def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
             lines = []
             while (line := stream.readline()).strip():
                 lines.append(line)
-            fields = {name.lower(): value for name, value in parsed_lines(lines)}
+            fields = Fields(parsed_lines(lines))
             size = int(fields["content-length"])
             block = stream.read(size)
             if len(block) != size:

@@ -15,8 +15,8 @@ from emberwake.llm.license_scan import align, known_licenses, license_scan, plac
 from emberwake.llm.license_texts import TEMPLATES
 from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.toxicity import drop_toxic, fold, toxicity_scores
-from emberwake.llm.warc import build_derivatives, read_derivatives, write_responses
-from emberwake.llm.warc_records import page_text, records
+from emberwake.llm.warc import build_derivatives, derivatives, read_derivatives, write_responses
+from emberwake.llm.warc_records import page_text, record, records
 from helpers import LONG, awkward, empty, lower, sha, unique
 from pyspark.sql import functions as F
 
@@ -218,6 +218,20 @@ def test_warc_derivatives(spark):
     assert Counter((r["page_id"], r["target_uri"], r["block_sha256"]) for r in text.values()) == want
 
 
+def test_repeated_headers_are_all_read(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nVia: one\r\nSet-Cookie: b=2\r\n\r\n<p>x"
+    made = derivatives({"warc-record-id": "<urn:x>"}, block)
+    (tmp_path / "f.warc.gz").write_bytes(b"".join(made) + record(
+        [("WARC-Type", "conversion"), ("WARC-Record-ID", "<urn:y>"), ("WARC-Concurrent-To", "<urn:p>"),
+         ("WARC-Concurrent-To", "<urn:q>")], b""))
+    files = spark.createDataFrame([("f.warc.gz", 3, 0)], "file string, records long, bytes long")
+    rows = {r["record_id"]: r for r in read_derivatives(str(tmp_path), files).collect()}
+    meta, = (r for r in rows.values() if r["warc_type"] == "metadata")
+    assert [line for line in meta["source_headers"].split("\n") if not line.startswith("http-status")] == \
+        ["set-cookie: a=1", "via: one", "set-cookie: b=2"]
+    assert rows["<urn:y>"]["concurrent_to"] == "<urn:p>\n<urn:q>"
+
+
 def test_warc_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder, files = write_responses(pages)
