@@ -2,10 +2,13 @@
 
 Texts are folded first: lower case, accents and compatibility forms removed,
 look-alike letters and digit substitutions undone, invisible characters
-dropped, everything else that is no letter turned into a space.
+dropped, everything else that is no letter turned into a space. i, l and 1 are
+one letter. !, |, 6 and 9 inside a word or before it have two readings, which
+both count: the letter (l, l, g, g), and a space.
 
 The lexicon is learned from labelled rows. Terms are beginnings of words (whole
-words among them). A term's weight is the smoothed log ratio of its document
+words among them); in scripts without spaces every letter is a word and terms
+are runs of 2 to 5 letters. A term's weight is the smoothed log ratio of its document
 rates in the two classes; of nested terms with the same evidence one is kept.
 Exception phrases are learned too: two-word phrases around a term that mostly
 clean rows use; an occurrence inside one does not count. The score is a
@@ -25,6 +28,7 @@ different values count as toxic; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from bisect import bisect_right
 from collections import Counter
@@ -41,7 +45,14 @@ from pyspark.sql import functions as F
 from emberwake.llm.common import crc_mod, doc_text, materialise
 
 # Digits and signs that stand for letters.
-SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
+SUBSTITUTES = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "i": "l"}
+# Signs that stand for a letter or for none, and their marks in a folded word.
+JOINTS = {"!": "\x01", "|": "\x01", "6": "\x02", "9": "\x02"}
+JOINT, LETTERS = re.compile("[\x01\x02]+"), str.maketrans("\x01\x02", "lg")
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\U00020000-\U0003ffff]")
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ғ": "f", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l",
@@ -53,6 +64,7 @@ LOOKALIKES = {
 #: Invisible characters.
 INVISIBLE = "­᠎​‌‍⁠﻿"
 SHORTEST, LONGEST = 3, 10
+LETTER_RUNS = range(2, 6)
 SAMPLE, MAX_TERMS = 20_000, 5_000
 
 
@@ -65,8 +77,10 @@ class Folding(dict):
             for d in unicodedata.normalize("NFKD", c):
                 d = LOOKALIKES.get(d, d)
                 d = SUBSTITUTES.get(d, d)
-                if d.isalpha():
-                    out.append(d)
+                if d in JOINTS:
+                    out.append(JOINTS[d])
+                elif d.isalpha():
+                    out.append(f" {d} " if UNSPACED.match(d) else d)
                 elif unicodedata.category(d) not in ("Mn", "Me", "Cf") and d not in INVISIBLE:
                     out.append(" ")
         self[code] = text = "".join(out)
@@ -76,9 +90,21 @@ class Folding(dict):
 FOLDING = Folding()
 
 
+def readings(word: str) -> list[str]:
+    """``word`` with its joints as letters, then what stands behind each joint."""
+    word = word.rstrip("\x01")  # punctuation
+    first, *rest = JOINT.split(word)
+    if not first and not any(rest):
+        return []
+    return [word.translate(LETTERS), *(w for w in rest if w)]
+
+
 def fold(text: str) -> str:
     """Words of letters between single spaces, one at either end."""
-    return " " + " ".join(text.translate(FOLDING).split()) + " "
+    words = text.translate(FOLDING).split()
+    if any("\x01" in w or "\x02" in w for w in words):
+        words = [r for w in words for r in (readings(w) if JOINT.search(w) else (w,))]
+    return " " + " ".join(words) + " "
 
 
 @dataclass(frozen=True)
@@ -145,8 +171,14 @@ def score(text: str, model: Model) -> float:
 
 
 def _beginnings(folded: str) -> set[str]:
-    words = set(folded.split())
-    return {w[:k] for w in words for k in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    words = folded.split()
+    out = {w[:k] for w in set(words) for k in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    if UNSPACED.search(folded):
+        run = 0  # letters of such a script up to here
+        for i, w in enumerate(words, 1):
+            run = run + 1 if UNSPACED.match(w) else 0
+            out |= {" ".join(words[i - k:i]) for k in LETTER_RUNS if k <= run}
+    return out
 
 
 def _counted(df: DataFrame, count) -> DataFrame:

@@ -14,7 +14,7 @@ from emberwake.llm.common import reachable
 from emberwake.llm.license_scan import align, known_licenses, license_scan, places, rising, scan, words_of
 from emberwake.llm.license_texts import TEMPLATES
 from emberwake.llm.ngram_lm import language_model_scores
-from emberwake.llm.toxicity import drop_toxic, fold, toxicity_scores
+from emberwake.llm.toxicity import drop_toxic, fold, learn, score, toxicity_scores
 from emberwake.llm.warc import build_derivatives, derivatives, read_derivatives, write_responses
 from emberwake.llm.warc_records import page_text, record, records
 from helpers import LONG, awkward, empty, lower, sha, unique
@@ -118,6 +118,25 @@ def test_folding():
     assert fold("ｈ3llО w​orld!").split() == ["hello", "world"]
 
 
+@pytest.mark.parametrize("written, meant", [
+    ("c1own", "clown"), ("worth1ess", "worthless"), ("1d1ot", "idiot"), ("!diot!", "idiot"), ("c|own", "clown"),
+    ("CIown", "clown"), ("pi9", "pig"), ("6arba9e", "garbage")])
+def test_signs_with_several_readings(written, meant):
+    assert fold(written).split()[0] == fold(meant).split()[0]
+
+
+def test_a_sign_still_parts_words():
+    assert fold("Stop!clown a|b 69 x9clown")[1:-1].split() == ["stoplclown", "clown", "alb", "b", "xgclown", "clown"]
+
+
+def test_terms_inside_sentences_without_spaces(spark):
+    rows = [(k, f"今天{c}笨蛋{c}啊", 1) for k, c in enumerate("天地人山水火木金土日月星")]
+    rows += [(100 + k, f"今天{chr(0x5000 + k)}天气很好啊", 0) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert score("他说那个笨蛋来了", model) > 0.3 > score("他说天气很好", model)
+
+
 def test_toxicity_on_held_out_rows(spark):
     # 120 held-out toxic rows; some labels have no sign in the text
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
