@@ -393,8 +393,9 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def similar_documents(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _compared(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all documents, and of each digest: cid, component (least
+    doc_id), comp (label of the component, never null)."""
     found = document_sets(docs, width)
     classes = materialise(found.filter("cid is not null").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
@@ -426,17 +427,43 @@ def similar_documents(docs: DataFrame, width: int = 3, percent: int = 90) -> Dat
 
     named = classes.select("cid", "rep").join(labels, "cid")
     least = named.groupBy("comp").agg(F.min("rep").alias("least"))
-    component = named.join(least, "comp").select("cid", "least")
+    component = named.join(least, "comp").select("cid", "least", "comp")
     component = classes.select("cid", "rep").join(component, "cid", "left").select(
-        "cid", F.coalesce("least", "rep").alias("component"))
+        "cid", F.coalesce("least", "rep").alias("component"), F.coalesce("comp", "cid").alias("comp"))
+    return found, component
+
+
+def _named(found: DataFrame, component: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", "cid").join(component, "cid", "left").select(
         "doc_id", "n_shingles", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
+def similar_documents(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return _named(*_compared(docs, width, percent))
+
+
 def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: its least doc_id; all
-    columns. Rows without an id stay, rows that share an id stay together."""
-    stays = materialise(similar_documents(docs, width, percent), "similar").select(
+    """``docs`` with one document of each component: its least doc_id, of rows
+    that share it or have none the first by row number; all columns. A row
+    without shingles is its own component and stays."""
+    found, component = _compared(docs, width, percent)
+    repeated = materialise(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                           .filter("n > 1").select(F.col("doc_id").alias("_repeated")), "repeated_ids")
+    stays = materialise(_named(found, component), "similar").select(
         F.col("component_id").alias("_stays")).filter("_stays is not null").distinct()
-    named = docs.filter("doc_id is not null").join(stays, F.col("doc_id") == F.col("_stays"), "left_semi")
-    return named.unionByName(docs.filter("doc_id is null"))
+    unclear = docs.join(repeated, F.col("doc_id") == F.col("_repeated"), "left_semi").unionByName(docs.filter("doc_id is null"))
+    if repeated.isEmpty() and found.filter("doc_id is null").isEmpty():
+        return docs.join(stays, F.col("doc_id") == F.col("_stays"), "left_semi")
+
+    # an id on several rows, or none, does not tell which row stays: these rows are kept with a number
+    unclear = materialise(unclear.withColumn("_row", F.monotonically_increasing_id()), "unclear_rows")
+    sets = document_sets(unclear.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("doc_id"), "text"),
+                         width).join(component, "cid", "left").select("doc_id", "cid", "component", "comp")
+    # a component whose least id is on one row keeps that row
+    first = (sets.filter("cid is not null").join(repeated, F.col("component") == F.col("_repeated"), "left")
+             .filter("component is null or _repeated is not null").groupBy("comp").agg(F.min("doc_id").alias("doc_id")))
+    chosen = first.select(F.col("doc_id._row").alias("_row")).union(sets.filter("cid is null").select("doc_id._row"))
+    clear = stays.join(repeated, F.col("_stays") == F.col("_repeated"), "left_anti")
+    return docs.join(clear, F.col("doc_id") == F.col("_stays"), "left_semi").unionByName(
+        unclear.join(chosen, "_row", "left_semi").drop("_row"))

@@ -162,6 +162,21 @@ def test_similar_documents_of_awkward_rows(spark):
     assert drop_similar(empty(spark)).count() == 0
 
 
+def test_one_row_stays_of_rows_without_an_id_or_with_a_shared_one(spark):
+    base = [f"word{k}" for k in range(60)]
+    near = [" ".join(base[:60 - k]) for k in range(3)]
+    other, third, fourth = ([f"{c}{k}" for k in range(60)] for c in "xyz")
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (None, None), (None, None),       # ids: none
+            (7, " ".join(other)), (7, " ".join(other[:-1])), (9, " ".join(other[:-2])),          # a shared id is the least
+            (7, " ".join(third)), (3, " ".join(third[:-1])), (None, " ".join(third[:-2])),       # a single id is the least
+            (7, " ".join(fourth)), (7, " ".join(fourth)), (None, " ".join(fourth[:-1]))]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, extra string")
+    left = drop_similar(docs, 5, 80)
+    assert left.columns == docs.columns
+    kept = Counter((r["doc_id"], (r["text"] or " ").split(" ")[0]) for r in left.collect())
+    assert kept == Counter({(None, "word0"): 1, (None, ""): 2, (7, "x0"): 1, (3, "y0"): 1, (7, "z0"): 1})
+
+
 def test_similar_documents_of_the_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
