@@ -1,17 +1,20 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-The trie has two levels, words and their followers. Tokens are the words of a
-text and one end; the first token's context is a begin mark.
+The trie has ``order`` levels (3 unless said otherwise): words, their followers,
+the followers of these pairs, and so on. Tokens are the words of a text and one
+end; the first token's context is a begin mark, and no context reaches beyond it.
 
 * Vocabulary: word hashes (64 bits) in ascending order as an Elias-Fano
   sequence; a word's number is its position. Exact counts lie beside it.
-* Followers: per context its followers' numbers, ascending, as one Elias-Fano
+* Followers: a context is its position in the level above (for the second level
+  a word's number), shards counted one after another. Per context its followers' numbers, ascending, as one Elias-Fano
   sequence made monotone by adding the last value of the context before; the
   pointers to each context's first follower are another such sequence. A look-up
   finds the context, reads its pointers, and searches the follower as a successor
   relative to that context.
 
-Probabilities are interpolated: p(w | h) = a(h, w) + b(h) p(w), with absolute
+Probabilities are interpolated: p(w | h) = a(h, w) + b(h) p(w | h'), where h' is h
+without its first word, up to p(w), with absolute
 discounting a = (c - D) / c(h), b = D followers(h) / c(h), both stored in eight
 bits, rounded down, so they sum to one at most. p(w) keeps the Good-Turing share
 of words seen once for the one unknown word, the rest in proportion to counts.
@@ -19,8 +22,9 @@ of words seen once for the one unknown word, the rest in proportion to counts.
 1. Training texts are counted where they are read; each task ships its distinct
    words, sorted and compressed, to the shard of their hash range. A shard merges
    them and writes its file into the shared folder.
-2. Texts are read again, words looked up, and distinct pairs shipped the same way
-   to the shard of their context, which writes its trie.
+2. Texts are read again for each further level, words and contexts looked up in
+   the levels so far, and distinct pairs of context and follower shipped the same
+   way to the shard of their context, which writes its part of the level.
 3. Scoring tasks memory-map the files and look up slices of a few MB of text.
 
 What a task ships grows with its input; nothing is pruned. The driver sees four
@@ -215,16 +219,17 @@ def context_shard(contexts: np.ndarray, shards: int) -> np.ndarray:
 
 
 class Followers:
-    """Shards of the second level: (context, follower) to a and b."""
+    """Shards of a further level: (context, follower) to a, b and position."""
 
-    def __init__(self, folder: str, shards: int, present: frozenset[int]):
-        self.folder, self.shards, self.present = folder, shards, present
+    def __init__(self, folder: str, level: int, shards: int, sizes: tuple[int, ...]):
+        self.folder, self.level, self.shards, self.sizes = folder, level, shards, sizes
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.open: dict[int, tuple] = {}
 
     @staticmethod
-    def build(keys: np.ndarray, counts: np.ndarray) -> bytes:
-        """File of a shard's pairs (context << 32 | follower), ascending."""
-        context, follower = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
+    def build(keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
+        """File of a shard's pairs (context << bits | follower), ascending."""
+        context, follower = keys >> np.uint64(bits), keys & np.uint64((1 << bits) - 1)
         head = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         size = np.diff(head, append=len(keys))
         total = np.add.reduceat(counts, head).astype(np.float64)
@@ -243,21 +248,22 @@ class Followers:
 
     def _shard(self, k: int) -> tuple:
         if k not in self.open:
-            arrays = from_buffer(map_file(self.folder, f"followers-{k:05d}.ef"))
+            arrays = from_buffer(map_file(self.folder, f"followers-{self.level}-{k:05d}.ef"))
             self.open[k] = (*(EliasFano.of(arrays, n) for n in ("contexts", "pointers", "followers")),
                             arrays["a"], arrays["b"])
         return self.open[k]
 
-    def look_up(self, context: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """a (0 where the pair is new) and b (1 where the context is)."""
-        a, b = np.zeros(len(context)), np.ones(len(context))
+    def look_up(self, context: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """a (0 where the pair is new), b (1 where the context is), and the
+        pair's position in the level (-1: new)."""
+        a, b, place = np.zeros(len(context)), np.ones(len(context)), np.full(len(context), -1, np.int64)
         known = np.flatnonzero(context >= 0)
         shard = context_shard(context[known], self.shards)
         order = known[np.argsort(shard, kind="stable")]
         cut = np.searchsorted(np.sort(shard), np.arange(self.shards + 1))
         for k in range(self.shards):
             rows = order[cut[k]:cut[k + 1]]
-            if not len(rows) or k not in self.present:
+            if not len(rows) or not self.sizes[k]:
                 continue
             contexts, pointers, followers, a_code, b_code = self._shard(k)
             unique, back = np.unique(context[rows], return_inverse=True)
@@ -274,14 +280,14 @@ class Followers:
             at = followers.find(base[back[ask]] + follower[rows[ask]].astype(np.uint64), lo[back[ask]], hi[back[ask]])
             found = at >= 0
             a[rows[ask[found]]] = CODES[a_code[at[found]]]
-        return a, b
+            place[rows[ask[found]]] = self.first[k] + at[found]
+        return a, b, place
 
 
 @lru_cache(maxsize=2)
-def _levels(folder: str, shards: int, sizes: tuple[int, ...], present: frozenset[int] | None):
+def _levels(folder: str, shards: int, sizes: tuple[int, ...], further: tuple[tuple[int, ...], ...]):
     """Opened once per worker and model."""
-    return (Vocabulary(folder, shards, sizes),
-            Followers(folder, shards, present) if present is not None else None)
+    return Vocabulary(folder, shards, sizes), [Followers(folder, 2 + i, shards, s) for i, s in enumerate(further)]
 
 
 class Model:
@@ -289,26 +295,39 @@ class Model:
 
     def __init__(self, folder: str, shards: int, sizes: tuple[int, ...], total: int, once: int):
         self.folder, self.shards, self.sizes, self.total, self.once = folder, shards, sizes, total, once
-        self.present: frozenset[int] | None = None
+        self.further: tuple[tuple[int, ...], ...] = ()  # pairs of each shard, per further level
 
     def levels(self):
-        return _levels(self.folder, self.shards, self.sizes, self.present)
+        return _levels(self.folder, self.shards, self.sizes, self.further)
 
     @property
     def begin(self) -> int:
         """The begin mark's number as a context."""
         return sum(self.sizes)
 
-    def pairs(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context, token, count of the token) of each token."""
-        number, count = self.levels()[0].look_up(hashes)
-        context = np.concatenate([[-1], number[:-1]]) if len(number) else number
-        context[np.cumsum(sizes) - sizes] = self.begin
-        return context, number, count
-
-
-def train(texts: DataFrame, folder: str | None = None) -> Model:
-    """A model of the one column of ``texts``."""
+    def pairs(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(context in the level to come, token, count of the token, and per
+        further level a and b) of each token; context -1 was never seen."""
+        words, further = self.levels()
+        number, count = words.look_up(hashes)
+        first = np.cumsum(sizes) - sizes
+
+        def moved(place: np.ndarray, start: int) -> np.ndarray:
+            context = np.concatenate([[-1], place[:-1]]) if len(place) else place
+            context[first] = start
+            return context
+
+        context, shares = moved(number, self.begin), []
+        for level in further:
+            a, b, place = level.look_up(context, number)
+            shares.append((a, b))
+            context = moved(place, -1)
+        return context, number, count, shares
+
+
+def train(texts: DataFrame, folder: str | None = None, order: int = 3) -> Model:
+    """A model of the one column of ``texts``; its longest context is
+    ``order`` - 1 tokens."""
     spark = texts.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = folder or scratch_path(spark, "language_model")
@@ -323,21 +342,33 @@ def train(texts: DataFrame, folder: str | None = None) -> Model:
     types = {r["shard"]: r["types"] for r in made}
     model = Model(folder, shards, tuple(types.get(k, 0) for k in range(shards)),
                   sum(r["tokens"] for r in made), sum(r["once"] for r in made))
-    if model.begin >= 1 << 32:
-        raise ValueError("more than 2**32 - 1 distinct words: pair keys are 64 bits")
+    bits = max(1, model.begin.bit_length())  # a follower's number; the rest of a key is its context
+    above = model.begin + 1
+    for level in range(2, order + 1):
+        if above.bit_length() + bits > 64:
+            raise ValueError(f"level {level}: contexts and words do not fit keys of 64 bits")
+        model.further += (_further(texts, model, level, bits),)
+        above = sum(model.further[-1])
+    return model
+
+
+def _further(texts: DataFrame, model: Model, level: int, bits: int) -> tuple[int, ...]:
+    """Writes a level below those of ``model``; the pairs of each shard."""
+    shards, folder = model.shards, model.folder
 
     def pair_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        context, number, _ = model.pairs(hashes, sizes)
-        return context.astype(np.uint64) << np.uint64(32) | number.astype(np.uint64)
+        context, number, *_ = model.pairs(hashes, sizes)
+        seen = context >= 0  # all but the first tokens of a text, which have no longer context
+        return context[seen].astype(np.uint64) << np.uint64(bits) | number[seen].astype(np.uint64)
 
     def followers(shard: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
-        write_file(folder, f"followers-{shard:05d}.ef", Followers.build(keys, counts))
+        write_file(folder, f"followers-{level}-{shard:05d}.ef", Followers.build(keys, counts, bits))
         return (shard, len(keys))
 
-    made = materialise(_per_shard(_ship(texts, pair_keys, lambda k: context_shard(k >> np.uint64(32), shards)), shards,
+    made = materialise(_per_shard(_ship(texts, pair_keys, lambda k: context_shard(k >> np.uint64(bits), shards)), shards,
                                   followers, "shard int, pairs long"), "lm_followers").collect()  # a row per shard
-    model.present = frozenset(r["shard"] for r in made)
-    return model
+    size = {r["shard"]: r["pairs"] for r in made}
+    return tuple(size.get(k, 0) for k in range(shards))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -347,15 +378,16 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     rest = docs.columns[2:]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v, pairs = model.total, sum(model.sizes), model.levels()[1]
+        n, v = model.total, sum(model.sizes)
         unknown = (model.once + 1) / (n + 2)
         for b in bounded(rows, 1):
             hashes, sizes = tokens(b.column(1))
-            context, number, count = model.pairs(hashes, sizes)
+            _, _, count, shares = model.pairs(hashes, sizes)
             base = np.log10((count + 1) / (n + (v + 1)))
             word = np.where(count > 0, (1 - unknown) * count / max(1, n), unknown)
-            a, back = pairs.look_up(context, number)
-            own = np.log10(a + back * word)
+            for a, back in shares:
+                word = a + back * word
+            own = np.log10(word)
             first = np.cumsum(sizes) - sizes
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(sizes), pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
@@ -368,8 +400,9 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, ", ".join([schema, *(f"{c} {kinds[c]}" for c in rest)]))
 
 
-def language_model_scores(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Scores of every document by a model of those that are not ``held_out``."""
+def language_model_scores(docs: DataFrame, held_out: Column, order: int = 3) -> DataFrame:
+    """Scores of every document by a model, of this order, of those that are not
+    ``held_out``."""
     rows = doc_text(docs).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    model = train(rows.filter("not held_out").select("text"))
+    model = train(rows.filter("not held_out").select("text"), order=order)
     return scores(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

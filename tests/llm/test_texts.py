@@ -201,6 +201,43 @@ def test_language_model_beats_the_base_and_sums_to_one(spark):
     assert sum(10 ** r["score"] for r in scored) <= 1 + 1e-9
 
 
+def brute_force(train_texts, text, order):
+    """Interpolated log10 score without the eight-bit codes, one discount a level."""
+    seqs = [[None, *t.split(), ""] for t in train_texts]
+    words = Counter(w for s in seqs for w in s[1:])
+    n, once = sum(words.values()), sum(c == 1 for c in words.values())
+    grams = {k: Counter(tuple(s[i - k + 1:i + 1]) for s in seqs for i in range(k - 1, len(s))) for k in range(2, order + 1)}
+    unknown, total, s = (once + 1) / (n + 2), 0.0, [None, *text.split(), ""]
+    for i in range(1, len(s)):
+        p = (1 - unknown) * words[s[i]] / n if words[s[i]] else unknown
+        for k in range(2, min(order, i + 1) + 1):
+            h = tuple(s[i - k + 1:i])
+            after = {g: c for g, c in grams[k].items() if g[:-1] == h}
+            if after:
+                one, two = (sum(c == m for c in grams[k].values()) for m in (1, 2))
+                d = min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
+                p = max(0, after.get((*h, s[i]), d) - d) / sum(after.values()) + d * len(after) / sum(after.values()) * p
+        total += math.log10(p)
+    return total
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model_uses_contexts_of_its_order(spark, order):
+    known = ["a b c", "a b c", "x b d", "x b d", "a b c d", "e", "x b d c"]
+    asked = ["a b c", "x b d", "a b d", "x b c", "e a b c d", "new b c", ""]
+    docs = spark.createDataFrame(list(enumerate(known + asked)), "doc_id long, text string").coalesce(1)
+    shards = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # one discount a level
+    try:
+        got = {r["doc_id"]: r["score"] for r in language_model_scores(docs, F.col("doc_id") >= len(known), order).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shards)
+    for k, t in enumerate(asked, len(known)):
+        # a code is rounded down by less than 0.09, in natural logarithms, a level
+        tokens, exact = len(t.split()) + 1, brute_force(known, t, order)
+        assert exact - 0.04 * order * tokens <= got[k] <= exact + 1e-9
+
+
 PAGES = [(1, "http://a.example/x", "<html><head><title>T &amp; U</title><style>p{}</style><script>x('<p>')</script></head>"
                                    "<body><p>One <b>two</b>&nbsp;three<!-- no --><br>four</p></body></html>"),
          (2, None, "plain"), (None, "http://b.example/\r\nX: y", "<p>a null id"), (4, "", None), (5, "http://c.example", ""),
