@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from emberwake.operators import boost as B
 from emberwake.operators import newton as N
 from emberwake.sources.points import TOY_POINTS, labelled_points, to_rows

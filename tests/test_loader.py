@@ -7,13 +7,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from emberwake.plans.load import TS_NTZ_FORMAT, LoadSpec, load, open_source, stage_as_csv
 from emberwake.sinks.tables import (
     PHOENIX, Destination, describe_schema, profile, write_by_class, write_table,
 )
 import __spark_entry__ as entry_mod
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from emberwake.sources.delimited import enforce_not_null, read_delimited, read_source, validate
 from emberwake.sources.files import list_files
 

@@ -5,7 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from emberwake.plans import catalog
 from emberwake.operators.events import retain_newest
 from emberwake.streaming.pipelines import RetainSink
