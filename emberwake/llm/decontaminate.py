@@ -195,8 +195,19 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``docs`` without those that hold an item window; all columns. Rows that
-    share an id go together; so do those without one."""
-    hit = materialise(contamination(docs, items, window, gram), "contaminated").filter("contaminated")
-    hit = hit.select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    """``docs`` without those that hold an item window; all columns. Each row is
+    judged by its own text, also where rows share an id or have none."""
+    verdict = materialise(contamination(docs, items, window, gram), "contaminated")
+    hit = verdict.filter("contaminated").select(F.col("doc_id").alias("_hit"))
+    unclear = materialise(verdict.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                          .filter("n > 1 or doc_id is null").select(F.col("doc_id").alias("_unclear")), "unclear_ids")
+    clean = docs.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")
+    if unclear.isEmpty():
+        return clean
+    # the id does not tell which row was judged: these rows are judged again by a number
+    same = F.col("doc_id").eqNullSafe(F.col("_unclear"))
+    rows = materialise(docs.join(unclear, same, "left_semi").withColumn("_row", F.monotonically_increasing_id()),
+                       "unclear_rows")
+    again = materialise(contamination(rows.select(F.col("_row").alias("doc_id"), "text"), items, window, gram),
+                        "contaminated_rows").filter("contaminated").select(F.col("doc_id").alias("_row"))
+    return clean.join(unclear, same, "left_anti").unionByName(rows.join(again, "_row", "left_anti").drop("_row"))

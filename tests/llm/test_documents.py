@@ -133,6 +133,13 @@ def test_contamination(spark):
     assert Counter(r["doc_id"] for r in left.collect()) == Counter(d for d, t in rows if not benchmark_hits(t, ITEMS)[1])
 
 
+def test_rows_without_an_id_are_judged_one_by_one(spark):
+    rows = [(None, SHARED), (None, "clean"), (None, "clean"), (7, SHARED), (7, "clean too"), (8, "x " + SHARED), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = drop_contaminated(docs, items(spark))
+    assert Counter(map(tuple, left.collect())) == Counter([(None, "clean"), (None, "clean"), (7, "clean too"), (9, None)])
+
+
 def test_contamination_of_empty_tables(spark):
     docs, rows = unique(spark)
     assert contamination(empty(spark), items(spark)).count() == 0
