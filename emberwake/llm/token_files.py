@@ -38,11 +38,12 @@ LIMIT = 600_000
 
 
 class FastTokenizer:
-    """The library's byte-level tokenizer over remembered pieces."""
+    """The library's byte-level tokenizer over remembered pieces. A string of an
+    added token in a text is that token, as in the library; it holds no space,
+    so a piece holds it whole."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = id_type(max(vocabulary.values(), default=0))
         #: in this alphabet a character of a token is a byte of the text

@@ -17,7 +17,7 @@ import corpus_pipeline
 from emberwake.llm import pfor
 from emberwake.llm.byte_bpe import bpe_round_trip, coder
 from emberwake.llm.common import reachable
-from emberwake.llm.token_files import read_token_files, write_token_files
+from emberwake.llm.token_files import fast_tokenizer, read_token_files, write_token_files
 from helpers import awkward, benchmark_hits, component_ids, empty, lower, sha
 
 SMALL = "/root/testdata/sf0.001"
@@ -74,7 +74,6 @@ def test_blocks_round_trip(ids):
 
 def token_rows(rows):
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     out, start = [], 0
     for d, t in rows:
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
@@ -91,6 +90,28 @@ def test_token_files_of_awkward_rows(spark):
     assert read_token_files(*write_token_files(empty(spark), P.path("byte_bpe_50k.json"), 2)).count() == 0
 
 
+SPECIAL = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> y", "x\n<|endoftext|>\ny", "a  <|endoftext|>  b",
+           "<|endoftext|><|endoftext|>", "<|endof text|>", "ab<|endoftext|> <|endoftext|>cd \n", " <|endoftext|>\t<|endoftext|> "]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", " ", "\n", "\t", "a", "word", "É", "'s", "1", "<|", "|>"]), max_size=14))
+def test_special_tokens_as_in_the_library(parts):
+    text = "".join(parts)
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    coder = fast_tokenizer(P.path("byte_bpe_50k.json"))
+    assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_token_files_with_special_tokens(spark):
+    rows = list(enumerate(SPECIAL))
+    got = read_token_files(*write_token_files(spark.createDataFrame(rows, "doc_id long, text string"),
+                                              P.path("byte_bpe_50k.json"), 2)).collect()
+    want = token_rows(rows)
+    assert any(50256 in Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode(t).ids for t in SPECIAL)
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_token_files_query(spark):
     rows = sorted((r[0], r[1]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect())
     got = entry_mod.queries()["op10_token_files"](spark, SMALL).select("doc_id", "start", "n_tokens", "ids_crc32")
