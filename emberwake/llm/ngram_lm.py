@@ -27,7 +27,7 @@ of words seen once for the one unknown word, the rest in proportion to counts.
    way to the shard of their context, which writes its part of the level.
 3. Scoring tasks memory-map the files and look up slices of a few MB of text.
 
-What a task ships grows with its input; nothing is pruned. The driver sees four
+What a task ships grows with its input; nothing is pruned. The driver sees five
 numbers per shard.
 
 Cases: null text is empty and has the end alone; rows without doc_id are not
@@ -60,6 +60,8 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 END = np.uint64(0x51ED270B0A3F5C11)
 #: Tokens that a task counts together before it ships them.
 HELD = 2_000_000
+#: What the driver sees of a shard.
+COUNTED = ["shard", "types", "tokens", "once", "twice"]
 #: Eight-bit codes: code k stands for exp(-k * STEP).
 STEP = 0.09
 CODES = np.exp(-STEP * np.arange(256))
@@ -142,37 +144,54 @@ def _ship(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarr
     return texts.mapInArrow(run, "shard int, data binary")
 
 
-def _per_shard(shipped: DataFrame, shards: int, make: Callable[[int, np.ndarray, np.ndarray], tuple], schema: str) -> DataFrame:
-    """One row per shard from ``make``(shard, keys, counts)."""
+def _merged(shipped: DataFrame, shards: int, name: str) -> tuple[DataFrame, list]:
+    """A table of one row per shard: its distinct keys with their counts; and
+    the rows without the keys: shard, types, tokens, once, twice."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts, out = None, [], [], []
+        now, keys, counts = None, [], []
 
         def merge() -> None:  # like runs together, so memory follows the distinct keys
             k, c = summed(keys, counts)
             keys[:], counts[:] = [k], [c]
 
+        def row() -> pa.RecordBatch:
+            merge()
+            c = counts[0]
+            numbers = [now, len(c), int(c.sum()), int((c == 1).sum()), int((c == 2).sum())]
+            return pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in numbers),
+                                               pa.array([squeeze(keys[0], c)], pa.binary())], [*COUNTED, "data"])
+
         for b in rows:
             for shard, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if shard != now:
                     if now is not None:
-                        merge()
-                        out.append(make(now, keys[0], counts[0]))
-                    now, keys, counts = shard, [], []
+                        yield row()
+                    now = shard
+                    keys.clear()
+                    counts.clear()
                 k, c = unsqueeze(data)
                 keys.append(k)
                 counts.append(c)
                 if len(keys) >= 16:
                     merge()
         if now is not None:
-            merge()
-            out.append(make(now, keys[0], counts[0]))
-        names = [f.split()[0] for f in schema.split(", ")]
-        columns = list(zip(*out)) or [[] for _ in names]
-        kinds = {"int": pa.int32(), "long": pa.int64()}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, kinds[f.split()[1]]) for c, f in zip(columns, schema.split(", "))], names)
+            yield row()
+
+    schema = ", ".join(f"{c} long" for c in COUNTED) + ", data binary"
+    merged = materialise(shipped.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")
+                         .mapInArrow(run, schema), name)
+    return merged, merged.select(COUNTED).collect()  # a row per shard
+
 
-    return (shipped.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard").mapInArrow(run, schema))
+def _written(merged: DataFrame, write: Callable[[int, np.ndarray, np.ndarray], None]) -> None:
+    """``write``(shard, keys, counts) for every shard, in tasks."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows:
+            for shard, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                write(shard, *unsqueeze(data))
+            yield b.select([0])
+
+    merged.select("shard", "data").mapInArrow(run, "shard long").write.format("noop").mode("overwrite").save()
 
 
 class Vocabulary:
@@ -227,14 +246,12 @@ class Followers:
         self.open: dict[int, tuple] = {}
 
     @staticmethod
-    def build(keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
+    def build(keys: np.ndarray, counts: np.ndarray, bits: int, discount: float) -> bytes:
         """File of a shard's pairs (context << bits | follower), ascending."""
         context, follower = keys >> np.uint64(bits), keys & np.uint64((1 << bits) - 1)
         head = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         size = np.diff(head, append=len(keys))
         total = np.add.reduceat(counts, head).astype(np.float64)
-        once, twice = float((counts == 1).sum()), float((counts == 2).sum())
-        discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
         # a context's followers come after the last value of the one before
         last = follower[head + size - 1] + np.uint64(1)
         base = np.concatenate([[0], np.cumsum(last)[:-1]]).astype(np.uint64)
@@ -332,13 +349,12 @@ def train(texts: DataFrame, folder: str | None = None, order: int = 3) -> Model:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = folder or scratch_path(spark, "language_model")
 
-    def words(shard: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
+    def words(shard: int, keys: np.ndarray, counts: np.ndarray) -> None:
         write_file(folder, f"words-{shard:05d}.ef", to_bytes(
             {**EliasFano.arrays(keys, "words"), "counts": counts.astype("<u4" if counts.max() < 1 << 32 else "<u8")}))
-        return shard, len(keys), int(counts.sum()), int((counts == 1).sum())
 
-    made = materialise(_per_shard(_ship(texts, lambda h, _: h, lambda k: hash_shard(k, shards)), shards, words,
-                                  "shard int, types long, tokens long, once long"), "lm_words").collect()  # a row per shard
+    merged, made = _merged(_ship(texts, lambda h, _: h, lambda k: hash_shard(k, shards)), shards, "lm_words")
+    _written(merged, words)
     types = {r["shard"]: r["types"] for r in made}
     model = Model(folder, shards, tuple(types.get(k, 0) for k in range(shards)),
                   sum(r["tokens"] for r in made), sum(r["once"] for r in made))
@@ -361,13 +377,17 @@ def _further(texts: DataFrame, model: Model, level: int, bits: int) -> tuple[int
         seen = context >= 0  # all but the first tokens of a text, which have no longer context
         return context[seen].astype(np.uint64) << np.uint64(bits) | number[seen].astype(np.uint64)
 
-    def followers(shard: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
-        write_file(folder, f"followers-{level}-{shard:05d}.ef", Followers.build(keys, counts, bits))
-        return (shard, len(keys))
+    merged, made = _merged(_ship(texts, pair_keys, lambda k: context_shard(k >> np.uint64(bits), shards)), shards,
+                           "lm_followers")
+    once, twice = (sum(r[c] for r in made) for c in ("once", "twice"))
+    # one discount for the level, however many shards it has
+    discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+
+    def followers(shard: int, keys: np.ndarray, counts: np.ndarray) -> None:
+        write_file(folder, f"followers-{level}-{shard:05d}.ef", Followers.build(keys, counts, bits, discount))
 
-    made = materialise(_per_shard(_ship(texts, pair_keys, lambda k: context_shard(k >> np.uint64(bits), shards)), shards,
-                                  followers, "shard int, pairs long"), "lm_followers").collect()  # a row per shard
-    size = {r["shard"]: r["pairs"] for r in made}
+    _written(merged, followers)
+    size = {r["shard"]: r["types"] for r in made}
     return tuple(size.get(k, 0) for k in range(shards))
 
 

@@ -225,19 +225,27 @@ def brute_force(train_texts, text, order):
 def test_language_model_uses_contexts_of_its_order(spark, order):
     known = ["a b c", "a b c", "x b d", "x b d", "a b c d", "e", "x b d c"]
     asked = ["a b c", "x b d", "a b d", "x b c", "e a b c d", "new b c", ""]
-    docs = spark.createDataFrame(list(enumerate(known + asked)), "doc_id long, text string").coalesce(1)
-    shards = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")  # one discount a level
-    try:
-        got = {r["doc_id"]: r["score"] for r in language_model_scores(docs, F.col("doc_id") >= len(known), order).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", shards)
+    docs = spark.createDataFrame(list(enumerate(known + asked)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in language_model_scores(docs, F.col("doc_id") >= len(known), order).collect()}
     for k, t in enumerate(asked, len(known)):
         # a code is rounded down by less than 0.09, in natural logarithms, a level
         tokens, exact = len(t.split()) + 1, brute_force(known, t, order)
         assert exact - 0.04 * order * tokens <= got[k] <= exact + 1e-9
 
 
+def test_language_model_does_not_depend_on_partitions(spark):
+    rows = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect() if r["doc_id"] % 5 == 0]
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in (1, 4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+            found.append(sorted(map(tuple, language_model_scores(docs, F.col("doc_id") % 3 == 0).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+
+
 PAGES = [(1, "http://a.example/x", "<html><head><title>T &amp; U</title><style>p{}</style><script>x('<p>')</script></head>"
                                    "<body><p>One <b>two</b>&nbsp;three<!-- no --><br>four</p></body></html>"),
          (2, None, "plain"), (None, "http://b.example/\r\nX: y", "<p>a null id"), (4, "", None), (5, "http://c.example", ""),
