@@ -9,6 +9,7 @@ import public_tokenizers as tokenizers_on_disk
 from pyspark.sql import DataFrame, SparkSession
 
 from emberwake.llm.byte_bpe import bpe_round_trip
+from emberwake.llm.centroids import vector_clusters
 from emberwake.llm.common import crc_mod, reachable, table
 from emberwake.llm.decontaminate import contamination
 from emberwake.llm.exact_dedup import exact_duplicates
@@ -18,6 +19,7 @@ from emberwake.llm.partenum import similar_documents
 from emberwake.llm.sharding import balanced_shards
 from emberwake.llm.token_files import read_token_files, write_token_files
 from emberwake.llm.toxicity import toxicity_scores
+from emberwake.llm.vector_codes import compressed_vectors
 from emberwake.llm.warc import build_derivatives, read_derivatives, write_responses
 
 END_ID = 2
@@ -149,6 +151,72 @@ def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(folder, directory)
 
 
+def q_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over ``embeddings``: 8 centroids, 10 rounds."""
+    reachable(spark)
+    return vector_clusters(table(spark, sf_dir, "embeddings"), 8, 10, 64)
+
+
+def q_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over ``embeddings``: 4 parts, 256 entries, 4 rounds."""
+    reachable(spark)
+    return compressed_vectors(table(spark, sf_dir, "embeddings"), 64)
+
+
+#: DuckDB: whole finite vectors as integers.
+KEPT_VECTORS = """
+kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)"""
+
+
+def mean_floor(sums: str, count: str) -> str:
+    """DuckDB: exact floor of a quotient; its integer division truncates."""
+    return f"CAST(({sums} - (({sums} % {count}) + {count}) % {count}) // {count} AS BIGINT)"
+
+
+def sql_centroids(centroids: int = 8, rounds: int = 10, seed: int = 3) -> str:
+    """Operator 11 as one query, a table per round."""
+    steps = [f"""WITH {KEPT_VECTORS},
+x AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS p FROM kept),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM kept),
+c0 AS MATERIALIZED (SELECT c, p, x AS y FROM s JOIN x USING (vec_id) WHERE c < {centroids})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""d{k} AS (SELECT vec_id, c, sum((x - y) * (x - y)) AS d FROM x JOIN c{k} USING (p) GROUP BY vec_id, c),
+a{k} AS MATERIALIZED (SELECT vec_id, min(d) AS d, arg_min(c, (d, c)) AS c FROM d{k} GROUP BY vec_id)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT c, p, sum(x) AS s, count(*) AS n FROM a{k} JOIN x USING (vec_id) GROUP BY c, p),
+c{k + 1} AS MATERIALIZED (SELECT c, p, coalesce({mean_floor("m.s", "m.n")}, y) AS y FROM c{k} LEFT JOIN m{k} m USING (c, p))""")
+    return ",\n".join(steps) + f""",
+sha AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM a{rounds} JOIN sha USING (c)"""
+
+
+def sql_vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Operator 12 as one query, a table per round."""
+    size = 64 // parts
+    steps = [f"""WITH {KEPT_VECTORS},
+x AS MATERIALIZED (SELECT vec_id, g // {size} AS k, g % {size} AS p, x
+                   FROM (SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS g FROM kept)),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept),
+b0 AS MATERIALIZED (SELECT k, e, p, x AS y FROM s JOIN x USING (vec_id) WHERE e < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (SELECT vec_id, k, e, sum((x - y) * (x - y)) AS d FROM x JOIN b{r} USING (k, p) GROUP BY vec_id, k, e),
+a{r} AS MATERIALIZED (SELECT vec_id, k, min(d) AS d, arg_min(e, (d, e)) AS e FROM d{r} GROUP BY vec_id, k)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT k, e, p, sum(x) AS s, count(*) AS n FROM a{r} JOIN x USING (vec_id, k) GROUP BY k, e, p),
+b{r + 1} AS MATERIALIZED (SELECT k, e, p, coalesce({mean_floor("m.s", "m.n")}, y) AS y FROM b{r} LEFT JOIN m{r} m USING (k, e, p))""")
+    return ",\n".join(steps) + f""",
+coded AS (SELECT vec_id, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY k) AS code, sum(d) AS error
+          FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY k, e, p)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
 QUERIES = {
     "op1_sharding": (q_sharding, None),
     "op2_exact_dedup": (q_exact_dedup, SQL_EXACT_DEDUP),
@@ -160,4 +228,6 @@ QUERIES = {
     "op8_warc": (q_warc, None),
     "op9_lm_score": (q_lm_score, None),
     "op10_token_files": (q_token_files, None),
+    "op11_centroids": (q_centroids, sql_centroids()),
+    "op12_vector_codes": (q_vector_codes, sql_vector_codes()),
 }

@@ -27,10 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back."""
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``materialise``, with the folder, for tables that are discarded once
+    another table holds what is needed of them."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``stored`` made."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def doc_text(docs: DataFrame, *more: str) -> DataFrame:
