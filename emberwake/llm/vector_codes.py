@@ -14,11 +14,11 @@ sum of squared differences of the coefficients: no rounding anywhere.
 3. The last scan writes the codes to a narrow table in the shared folder.
 
 The nearest entry: squared differences are accumulated in sequency order (rows
-of the matrix by their sign changes), over all entries for the first quarter of
-the coefficients. The entry ahead then gives an upper bound, its whole distance;
-entries beyond it are dropped there and after each further step, those equal to
-it stay, and of the ones that reach the end the nearest with the lowest number
-wins.
+of the matrix by their sign changes). After the first quarter of the coefficients
+the entry ahead gives an upper bound, its whole distance, and the one ahead half
+way may lower it; after each step entries beyond the bound are dropped, those
+equal to it stay, and of the ones that reach the end the nearest with the lowest
+number wins.
 
 Cases: rows whose vector is null, has another number of components than
 ``dims``, or holds a null or non-finite component are dropped; fewer vectors
@@ -42,8 +42,9 @@ from pyspark.sql import functions as F
 from emberwake.llm.common import materialise
 from emberwake.llm.vectors import group_sums, integers, longs, magnitude, scaled, squared, valid, with_total
 
-#: Vectors compared with all entries at a time.
-BLOCK = 1024
+#: Vectors compared with all entries at a time, while more than one entry in
+#: ``FEW`` is left; then each pair of a vector and an entry is taken by itself.
+BLOCK, FEW = 512, 12
 
 
 @lru_cache(maxsize=8)
@@ -71,27 +72,37 @@ def nearest(x: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """(entry, width * squared distance) of each row of coefficients ``x``;
     of entries equally near, the lowest."""
     width = x.shape[1]
-    first = max(1, width // 4)
-    step = max(1, width // 8)
+    first, step = max(1, width // 4), max(1, width // 8)
+    by_place = np.ascontiguousarray(entries.T)
     best, least = [], []
     for lo in range(0, len(x), BLOCK):
         part = x[lo:lo + BLOCK]
         total = np.zeros((len(part), len(entries)), x.dtype)
-        for j in range(first):
-            d = part[:, j, None] - entries[None, :, j]
-            total += d * d
-        ahead = total.argmin(axis=1)
-        bound = squared(part - entries[ahead])
-        row, col = np.nonzero(total <= bound[:, None])
-        total = total[row, col]
-        for j in range(first, width, step):
-            total = total + squared(part[row, j:j + step] - entries[col, j:j + step])
-            stays = total <= bound[row]
-            row, col, total = row[stays], col[stays], total[stays]
+        d = np.empty_like(total)
+        j, row, bound = 0, None, None
+        while j < width:
+            stop = min(width, j + (step if j else first))
+            if row is None:  # all entries of the block
+                for k in range(j, stop):
+                    np.subtract(part[:, k, None], by_place[k], out=d)
+                    np.multiply(d, d, out=d)
+                    np.add(total, d, out=total)
+                if bound is None or 2 * stop == width:
+                    ahead = squared(part - entries[total.argmin(axis=1)])
+                    bound = ahead if bound is None else np.minimum(bound, ahead)
+                stays = total <= bound[:, None]
+                if stop == width or np.count_nonzero(stays) * FEW < stays.size:
+                    row, col = np.nonzero(stays)
+                    total = total[row, col]
+            else:  # the few that are left
+                total = total + squared(part[row, j:stop] - entries[col, j:stop])
+                stays = total <= bound[row]
+                row, col, total = row[stays], col[stays], total[stays]
+            j = stop
         head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         smallest = np.minimum.reduceat(total, head)
         # entries of a row ascend: the first of its smallest is the lowest
-        hit = np.flatnonzero(total == smallest[row])
+        hit = np.flatnonzero(total == np.repeat(smallest, np.diff(head, append=len(row))))
         own = hit[np.concatenate([[True], row[hit][1:] != row[hit][:-1]])]
         best.append(col[own])
         least.append(smallest)
