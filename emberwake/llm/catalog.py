@@ -14,6 +14,7 @@ from emberwake.llm.common import crc_mod, reachable, table
 from emberwake.llm.decontaminate import contamination
 from emberwake.llm.exact_dedup import exact_duplicates
 from emberwake.llm.license_scan import license_scan
+from emberwake.llm.minhash import near_duplicates
 from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.partenum import similar_documents
 from emberwake.llm.sharding import balanced_shards
@@ -95,7 +96,7 @@ def q_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"), 3, 90)
 
 
-SQL_NGRAM_JACCARD = r"""
+SIMILAR_CTES = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -106,9 +107,11 @@ links AS (
   SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
                     FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) c
   JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-  WHERE 100 * common >= 90 * (na.n + nb.n - common)),
+  WHERE 100 * common >= {percent} * (na.n + nb.n - common)),
 reach AS (SELECT doc_id AS id, doc_id AS other FROM documents
           UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other)
+"""
+SQL_NGRAM_JACCARD = SIMILAR_CTES.replace("{percent}", "90") + """
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id
@@ -163,6 +166,19 @@ def q_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compressed_vectors(table(spark, sf_dir, "embeddings"), 64)
 
 
+def q_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over ``documents``: 3-word shingles, similarity 0.85."""
+    reachable(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
+
+
+SQL_MINHASH = SIMILAR_CTES.replace("{percent}", "85") + """
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id
+"""
+
+
 #: DuckDB: whole finite vectors as integers.
 KEPT_VECTORS = """
 kept AS MATERIALIZED (
@@ -230,4 +246,5 @@ QUERIES = {
     "op10_token_files": (q_token_files, None),
     "op11_centroids": (q_centroids, sql_centroids()),
     "op12_vector_codes": (q_vector_codes, sql_vector_codes()),
+    "op13_minhash": (q_minhash, SQL_MINHASH),
 }

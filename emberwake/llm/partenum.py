@@ -254,7 +254,7 @@ def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x], LONG) for x in held[:3]], ["sig", "cid", "pivot"])
 
 
-def _close(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def close_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of (a, b, sizes, sketches): the pairs that their sketches allow."""
     bands = Bands(percent)
     for r in rows:
@@ -270,7 +270,7 @@ def _close(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(1)], ["a", "b"])
 
 
-def _linked(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def linked_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of (a, b, sets): the pairs that link."""
     for r in rows:
         keep = []
@@ -367,7 +367,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     a = sets.select(F.col("cid").alias("a"), F.col("elements").alias("x"))
     b = sets.select(F.col("cid").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return materialise(both.mapInArrow(lambda rows: _linked(rows, percent), "a long, b long"), name)
+    return materialise(both.mapInArrow(lambda rows: linked_pairs(rows, percent), "a long, b long"), name)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -405,7 +405,7 @@ def _compared(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     b = classes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
     with_pivot = (shared.filter("cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
                   .join(a, "a").join(b, "b").select("a", "b", "na", "nb", "x", "y"))
-    pairs = materialise(with_pivot.mapInArrow(lambda rows: _close(rows, percent), "a long, b long"), "pivot_pairs")
+    pairs = materialise(with_pivot.mapInArrow(lambda rows: close_pairs(rows, percent), "a long, b long"), "pivot_pairs")
     links = _verified(docs, classes, pairs, width, percent, "links")
     labels = components(links)
 
