@@ -13,8 +13,8 @@ Scale rules followed throughout (one key may hold a third of all rows):
 * Sequence questions (previous row, running maximum) are computed inside
   range buckets of (key, time) and stitched at bucket borders with a carry-in
   table, so a hot key is spread over as many tasks as it has buckets.
-* The throttle is sequential by nature; time chunks of a key exchange only
-  their timer through small transfer tables, so chunks run in parallel.
+* The throttle is sequential by nature; ranges of rows exchange only their
+  timers, through step functions that compose, so ranges run in parallel.
 """
 
 from __future__ import annotations
@@ -312,7 +312,7 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
              order: Sequence[str] = ("ts", "event_id"),
              eligible: Column | None = None, force: Column | None = None,
              rewind: Column | None = None, rewind_delay: float = 1.0,
-             chunk_periods: int = 4) -> DataFrame:
+             partitions: int | None = None, fan: int = 64) -> DataFrame:
     """Events that pass a per-key throttle (W6): the key's first event starts
     the timer and is not emitted; a later ``eligible`` event passes when more
     than ``every_seconds`` have elapsed since the timer was last set, and sets
@@ -323,12 +323,13 @@ def throttle(df: DataFrame, key: str, every_seconds: float,
     The first ``order`` column is the time: a timestamp, a date, or a number
     taken as microseconds.
 
-    Exact and parallel inside a key: time chunks of ``chunk_periods`` periods
-    exchange only their timer, through per-chunk transfer tables (see
-    :mod:`emberwake.operators.throttle`).
+    Exact, and parallel inside a key: rows are dealt evenly to ``partitions``
+    ranges (the session's shuffle partitions unless given), whose effects on the
+    timer are composed ``fan`` at a time (see :mod:`emberwake.operators.throttle`).
+    The first pass runs when this is called.
     """
-    from emberwake.operators.throttle import throttle as _chunked
+    from emberwake.operators.throttle import throttle as by_ranges
     order = _cols(order)
-    return _chunked(df, key, every_seconds, epoch_micros(df, order[0]), order,
-                    eligible=eligible, force=force, rewind=rewind,
-                    rewind_delay=rewind_delay, chunk_periods=chunk_periods)
+    return by_ranges(df, key, every_seconds, epoch_micros(df, order[0]), order,
+                     eligible=eligible, force=force, rewind=rewind,
+                     rewind_delay=rewind_delay, partitions=partitions, fan=fan)

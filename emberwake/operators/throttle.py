@@ -1,4 +1,4 @@
-"""Per-key throttle (W6) as a parallel prefix over time chunks.
+"""Per-key throttle (W6) over row-balanced ranges, as a parallel prefix.
 
 Rule, per key in (time, id) order, with timer ``L``:
 
@@ -8,64 +8,51 @@ Rule, per key in (time, id) order, with timer ``L``:
 * a ``rewind`` event passes and sets ``L = t - period + rewind_delay``, so the
   next timed pass is due ``rewind_delay`` later.
 
-The rule is sequential, but its state is one number, and only a little of it
-crosses time. Cut the time axis into blocks of one period on a global grid.
-At the start of block ``b`` the timer was set by a row of block ``b - 1`` or
-it is so old that any eligible row passes ("OLD"). Chunks of ``C`` blocks are
-therefore linked only by the setter rows of each chunk's last block:
-
-1. **transfer tables** (parallel per (key, chunk)): each chunk receives a copy
-   of the previous block (the halo, narrow columns only) and maps every
-   possible entry timer (OLD, the seed rule, or a halo row's setting) to its
-   exit timer. Blocks are processed with vectorized searches over all distinct
-   entry states at once; after a gap every state collapses to OLD.
-2. **entries** (one small row per chunk): a sequential pass per key over the
-   tables gives each chunk its true entry timer.
-3. **scan** (parallel per (key, chunk)): each chunk replays its rows from the
-   known entry, jumping from one passing event to the next with binary
-   searches, on Arrow record batches.
-
-A key with a third of all rows is spread over as many tasks as it has chunks;
-one wide shuffle (step 3) and one narrow shuffle (step 1) move rows. Entries
-reach their chunk as marker rows in the same partitioning (no join), so a null
-key is one more group, as in Spark's grouping.
-
-A table is kept as steps: entry timers that lead to one exit and lie side by
-side are one entry. Rows without a time neither pass by time nor set the timer;
-a forced one passes.
+The rule is sequential, but what a stretch of rows does to the timer is a step
+function: the entry timer decides which row passes first, and from there the
+chain is fixed; an entry too late for any row of the stretch leaves as it came.
+Such functions compose.
+
+1. Rows are range-partitioned and sorted by (key, time, order), so partitions
+   are even in rows and a key with a third of them has a third of the
+   partitions. A key that starts inside a partition is replayed at once. Only
+   the first key of a partition may have begun before it: its rows are kept as
+   they are, with the step function of the stretch. All of this is one written
+   table.
+2. Functions are composed in groups of ``FAN`` neighbours, and these again,
+   until one group is left for a key; then the entries are handed down the same
+   way, each level in parallel. There is one function a partition; it is stored
+   in rows of at most ``SEGMENT`` steps.
+3. The kept rows, at most one key's of a partition, are replayed from their
+   entries, one task for a partition.
+
+Rows without a time neither pass by time nor set the timer; a forced one passes.
+A null key is a group, as in Spark's grouping. ``initial`` timers (one row a key)
+stand for the rows before; :func:`throttle_from` returns the timers afterwards.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-OLD = -(1 << 62)          # a timer so old that every eligible row passes
-
-def _summary_schema(key: str, key_type: T.DataType) -> T.StructType:
-    return T.StructType([
-        T.StructField(key, key_type),
-        T.StructField("__chunk", T.LongType()),
-        T.StructField("__first_blk", T.LongType()),
-        T.StructField("__last_blk", T.LongType()),
-        T.StructField("__dom", T.ArrayType(T.LongType())),
-        T.StructField("__cod", T.ArrayType(T.LongType())),
-        T.StructField("__seed_exit", T.LongType()),
-    ])
+from emberwake.session import scratch_path
 
-
-def _entry_schema(key: str, key_type: T.DataType) -> T.StructType:
-    return T.StructType([
-        T.StructField(key, key_type),
-        T.StructField("__chunk", T.LongType()),
-        T.StructField("__entry", T.LongType()),
-        T.StructField("__seed", T.BooleanType()),
-    ])
+OLD = -(1 << 62)          # a timer so old that every eligible row passes
+SAME = 1 << 62            # the step whose entries leave as they came
+FAN = 64                  # functions that one task composes
+SEGMENT = 1 << 16         # steps of a stored row
+ROW, KEPT, STEPS, TIMER = range(4)   # kinds of rows that step 1 writes
+STEP_FIELDS = [("__part", T.IntegerType()), ("__segment", T.IntegerType()), ("__seed_exit", T.LongType()),
+               ("__dom", T.ArrayType(T.LongType())), ("__cod", T.ArrayType(T.LongType()))]
+RULE_FIELDS = [("__t", T.LongType()), ("__elig", T.BooleanType()), ("__force", T.BooleanType()),
+               ("__rewind", T.BooleanType())]
+Steps = tuple[np.ndarray, np.ndarray]
 
 
 def _arrow_type(dt: T.DataType):
@@ -73,17 +60,26 @@ def _arrow_type(dt: T.DataType):
     return to_arrow_type(dt)
 
 
-def _groups(rb, key: str) -> tuple[np.ndarray, list]:
-    """(bounds of the runs of equal key and chunk in a batch, their names).
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(*f) for f in fields])
+
+
+def _batch(schema: T.StructType, columns: dict[str, object], rows: int):
+    """A record batch of ``schema``; columns not given are null."""
+    import pyarrow as pa
+    types = {f.name: _arrow_type(f.dataType) for f in schema.fields}
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c := columns.get(n), pa.Array) else pa.nulls(rows, t) if c is None else pa.array(c, type=t)
+         for n, t in types.items()], names=list(types))
 
-    Keys are compared by dictionary codes, so integers beside a null keep all
-    their digits and NaN equals itself, as in Spark's grouping.
-    """
-    column = rb.column(rb.schema.get_field_index(key))
+
+def _runs(column) -> list[tuple[int, int]]:
+    """Runs of equal values of a column. Values are compared by dictionary
+    codes, so integers beside a null keep all their digits and NaN equals
+    itself, as in Spark's grouping."""
     code = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
-    chunk = rb.column(rb.schema.get_field_index("__chunk")).to_numpy()
-    change = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (chunk[1:] != chunk[:-1])])
-    return np.r_[change, rb.num_rows], [(column[a].as_py(), int(chunk[a])) for a in change.tolist()]
+    start = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return list(zip(start.tolist(), [*start[1:].tolist(), len(code)]))
 
 
 def _same(a, b) -> bool:
@@ -103,199 +99,52 @@ def _next_true(mask: np.ndarray) -> np.ndarray:
 
 
 # ---------------------------------------------------------------------------
-# step 1: transfer table of one chunk
+# step functions of the timer
 # ---------------------------------------------------------------------------
 
-def _block_terminal(tb, lval, elig, rew, period):
-    """For each row of a block, the timer after following the chain of setters
-    that starts with that row (rewinds can re-arm the timer inside a block)."""
-    nb = len(tb)
-    if not rew.any():                 # a timed pass cannot chain within its block
-        return lval
-    next_elig = _next_true(elig)
-    next_rew = _next_true(rew)
-    after = np.searchsorted(tb, lval + period, side="right")
-    nxt = np.minimum(next_rew[np.arange(1, nb + 1)], next_elig[after])
-    ptr = np.where(nxt < nb, nxt, np.arange(nb))
-    while True:                        # pointer doubling to the chain's end
-        nptr = ptr[ptr]
-        if np.array_equal(nptr, ptr):
-            break
-        ptr = nptr
-    return lval[ptr]
-
-
-def _transfer(states, tb, lval, elig, rew, period, term):
-    """Exit timer of one block for every entry state (vectorized)."""
-    u, inv = np.unique(states, return_inverse=True)
-    nb = len(tb)
-    next_elig = _next_true(elig)
-    first_rew = int(_next_true(rew)[0])
-    j = np.where(u == OLD, 0, np.searchsorted(tb, u + period, side="right"))
-    f = np.minimum(next_elig[j], first_rew)
-    out = np.where(f < nb, term[np.minimum(f, nb - 1)], OLD)
-    return out[inv]
-
-
-def chunk_table(t, halo, elig, rew, period, rewind_us):
-    """Transfer table of one chunk: (domain, codomain, seed exit, first block,
-    last block), or None when the chunk has only halo rows."""
-    lval = np.where(rew, t - period + rewind_us, t)
-    n_halo = int(halo.sum())
-    rows = slice(n_halo, len(t))
-    tr, lr, er, rr = t[rows], lval[rows], elig[rows], rew[rows]
-    if len(tr) == 0:
-        return None
-    dom = np.unique(np.concatenate([[OLD], lval[:n_halo]]))
-    blk = tr // period
-    starts = np.flatnonzero(np.r_[True, blk[1:] != blk[:-1]])
-    ends = np.r_[starts[1:], len(tr)]
-    prev_blk = int(t[n_halo - 1] // period) if n_halo else None
-    states = dom.copy()
-    seed = None
-    for lo, hi in zip(starts, ends):
-        b = int(blk[lo])
-        if prev_blk is None or b != prev_blk + 1:
-            states = np.full_like(states, OLD)
-            if seed is not None:
-                seed = OLD
-        if seed is not None and (states == seed).all():
-            # every entry has merged into one timer: finish with a single chain
-            out = _single_exit(tr[lo:], er[lo:], rr[lo:], blk[lo:], seed, period, rewind_us)
-            return dom, np.full_like(states, out), out, int(blk[0]), int(blk[-1])
-        tb, lb, eb, rb = tr[lo:hi], lr[lo:hi], er[lo:hi], rr[lo:hi]
-        term = _block_terminal(tb, lb, eb, rb, period)
-        states = _transfer(states, tb, lb, eb, rb, period, term)
-        if seed is None:               # the seed rule: the chunk's first row sets the timer
-            seed = _seed_exit(tb, lb, eb, rb, period, term)
-        else:
-            seed = int(_transfer(np.array([seed]), tb, lb, eb, rb, period, term)[0])
-        prev_blk = b
-    return dom, states, int(seed), int(blk[0]), int(blk[-1])
-
-
-def _single_exit(t, elig, rew, blk, last, period, rewind_us):
-    """Exit timer of one known chain over the rest of a chunk: the timer if
-    its last setter lies in the chunk's last block, else OLD."""
+def steps_of(t, elig, rew, period, rewind_us) -> Steps:
+    """(starts, exits) of the steps of a stretch of rows: an entry timer leaves
+    with the exit of the last step that starts at or before it."""
+    n = len(t)
     lval = np.where(rew, t - period + rewind_us, t)
-    next_elig = _next_true(elig)
-    next_rew = _next_true(rew)
-    n, i, setter = len(t), 0, -1
-    while i < n:
-        j = i + int(np.searchsorted(t[i:], last + period, side="right"))
-        j = int(next_elig[j]) if j < n else n
-        r = int(next_rew[i])
-        s = r if r < min(j, n) else (j if j < n else -1)
-        if s < 0:
+    next_elig, next_rew = _next_true(elig), _next_true(rew)
+    # where the chain that sets the timer at a row ends: the next setter, doubled
+    after = np.maximum(np.searchsorted(t, lval + period, side="right"), np.arange(1, n + 1))
+    nxt = np.minimum(next_rew[1:], next_elig[after])
+    end = np.where(nxt < n, nxt, np.arange(n))
+    while True:
+        further = end[end]
+        if np.array_equal(further, end):
             break
-        last, setter, i = int(lval[s]), s, s + 1
-    return last if setter >= 0 and blk[setter] == blk[-1] else OLD
-
-
-def _seed_exit(tb, lb, eb, rb, period, term):
-    """Exit timer of a block whose first row is the key's seed: the seed sets
-    the timer, the rest of the block continues from it (chains only move
-    forward, so the block's terminal table serves the sub-block too)."""
-    if len(tb) == 1:
-        return int(lb[0])
-    r = int(_transfer(np.array([lb[0]]), tb[1:], lb[1:], eb[1:], rb[1:], period, term[1:])[0])
-    return int(lb[0]) if r == OLD else r
-
-
-def _tables_fn(key: str, schema: T.StructType, period: int, rewind_us: int):
-    import pyarrow as pa
-
-    cols = ["__t", "__halo", "__elig", "__rewind"]
-    types = [_arrow_type(f.dataType) for f in schema.fields]
-    names = [f.name for f in schema.fields]
-
-    def emit(k, chunk, parts):
-        arr = {c: np.concatenate([p[c] for p in parts]) for c in cols}
-        res = chunk_table(arr["__t"].astype(np.int64), arr["__halo"].astype(bool),
-                          arr["__elig"].astype(bool), arr["__rewind"].astype(bool),
-                          period, rewind_us)
-        if res is None:
-            return None
-        dom, cod, seed, fb, lb = res
-        # entries that lead to one exit and lie side by side are one step
-        step = np.flatnonzero(np.r_[True, cod[1:] != cod[:-1]])
-        return (k, int(chunk), fb, lb, dom[step].tolist(), [int(x) for x in cod[step]], seed)
-
-    def batch(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], type=types[i]) for i in range(len(names))],
-            names=names)
-
-    def run(batches):
-        cur, parts, out = None, [], []
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ix = rb.schema.get_field_index
-            data = {c: rb.column(ix(c)).to_numpy(zero_copy_only=False) for c in cols}
-            bounds, names_of = _groups(rb, key)
-            for a, b, g in zip(bounds[:-1], bounds[1:], names_of):
-                if cur is not None and not (g[1] == cur[1] and _same(g[0], cur[0])):
-                    row = emit(cur[0], cur[1], parts)
-                    if row:
-                        out.append(row)
-                    parts = []
-                cur = g
-                parts.append({c: data[c][a:b] for c in cols})
-            if len(out) >= 1024:
-                yield batch(out)
-                out = []
-        if cur is not None:
-            row = emit(cur[0], cur[1], parts)
-            if row:
-                out.append(row)
-        if out:
-            yield batch(out)
-
-    return run
+        end = further
+    exits = lval[end]
+    first_rew = int(next_rew[0])
+    due = np.flatnonzero(elig[:first_rew])
+    due = due[np.r_[True, t[due][1:] != t[due][:-1]]] if len(due) else due
+    dom = np.r_[OLD, t[due] - period].astype(np.int64)
+    cod = np.r_[exits[due], exits[first_rew] if first_rew < n else SAME].astype(np.int64)
+    return merged(dom, cod)
 
 
-# ---------------------------------------------------------------------------
-# step 2: entry timer of every chunk (sequential per key, one row per chunk)
-# ---------------------------------------------------------------------------
+def merged(dom: np.ndarray, cod: np.ndarray) -> Steps:
+    """Neighbouring steps of one exit as one."""
+    first = np.r_[True, cod[1:] != cod[:-1]]
+    return dom[first], cod[first]
 
-def _entries_fn(key: str, schema: T.StructType):
-    import pyarrow as pa
 
-    key_type = _arrow_type(schema[key].dataType)
+def applied(g: Steps, timers: np.ndarray) -> np.ndarray:
+    out = g[1][np.searchsorted(g[0], timers, side="right") - 1]
+    return np.where(out == SAME, timers, out)
 
-    def run(batches):
-        cur_key, last_blk, exit_l = object(), None, None
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            d = rb.to_pydict()
-            out_k, out_c, out_e, out_s = [], [], [], []
-            for i in range(rb.num_rows):
-                k, c = d[key][i], d["__chunk"][i]
-                if not _same(k, cur_key):  # the key's first chunk holds its seed
-                    cur_key, seed, entry = k, True, OLD
-                    exit_l = d["__seed_exit"][i]
-                else:
-                    seed = False
-                    entry = exit_l if d["__first_blk"][i] == last_blk + 1 else OLD
-                    dom, cod = d["__dom"][i], d["__cod"][i]
-                    exit_l = cod[bisect_right(dom, entry) - 1]  # the step that holds the entry
-                last_blk = d["__last_blk"][i]
-                out_k.append(k)
-                out_c.append(c)
-                out_e.append(int(entry))
-                out_s.append(seed)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_k, type=key_type), pa.array(out_c, pa.int64()),
-                 pa.array(out_e, pa.int64()), pa.array(out_s, pa.bool_())],
-                names=[f.name for f in schema.fields])
-    return run
 
+def composed(f: Steps, g: Steps) -> Steps:
+    """First ``f``, then ``g``. Only the last step can be SAME."""
+    dom, cod = f
+    if cod[-1] != SAME:
+        return merged(dom, applied(g, cod))
+    at = int(np.searchsorted(g[0], dom[-1], side="right")) - 1
+    return merged(np.r_[dom, g[0][at + 1:]], np.r_[applied(g, cod[:-1]), g[1][at:]])
 
-# ---------------------------------------------------------------------------
-# step 3: replay each chunk from its entry
-# ---------------------------------------------------------------------------
 
 def replay(t, elig, force, rew, seed_first, last, period, rewind_us):
     """Keep flags of one run of rows from timer ``last``; returns (keep, last)."""
@@ -326,42 +175,201 @@ def replay(t, elig, force, rew, seed_first, last, period, rewind_us):
     return keep | force, last
 
 
-def _replay_fn(key: str, period: int, rewind_us: int, out_cols: list[str]):
-    """Replay over record batches sorted by (key, chunk, marker first, order):
-    each chunk's entry arrives as a marker row ahead of its data rows."""
+# ---------------------------------------------------------------------------
+# step 1: one pass over a sorted range
+# ---------------------------------------------------------------------------
+
+def _rule_columns(rb) -> list[np.ndarray]:
+    return [rb.column(rb.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n, _ in RULE_FIELDS]
+
+
+def _step_rows(key: str, names: list, found: list[tuple]) -> dict:
+    """Columns of step rows of (key, position, seed exit, steps)."""
+    rows = []
+    for k, pos, seed, (dom, cod) in found:
+        rows += [(k, pos, at // SEGMENT, seed, dom[at:at + SEGMENT], cod[at:at + SEGMENT])
+                 for at in range(0, len(dom), SEGMENT)]
+    return dict(zip([key, *names], map(list, zip(*rows)))) if rows else {n: [] for n in [key, *names]}
+
+
+def _first_pass(key: str, schema: T.StructType, out_cols: list[str], period: int, rewind_us: int):
     import pyarrow as pa
 
-    def run(batches):
-        cur, last, seed_pending = None, OLD, False
+    step_names = [n for n, _ in STEP_FIELDS]
+
+    def stretch(k, part, last, steps):
+        rows = _step_rows(key, step_names, [(k, part, last, steps)])
+        return _batch(schema, rows | {"__kind": [STEPS] * len(rows[key])}, len(rows[key]))
+
+    def run(batches: Iterator) -> Iterator:
+        part = TaskContext.get().partitionId()
+        started = is_open = False       # is_open: the run may have begun before this partition
+        now = steps = None              # the run's key; its steps, if it is open
+        last, timers = OLD, []          # its timer, of an open run as if it began here
         for rb in batches:
-            if rb.num_rows == 0:
+            if not rb.num_rows:
+                continue
+            column = rb.column(rb.schema.get_field_index(key))
+            t, elig, force, rew = _rule_columns(rb)
+            mark = rb.column(rb.schema.get_field_index("__initial")).to_numpy(zero_copy_only=False)
+            keep, kept = np.zeros(rb.num_rows, bool), np.zeros(rb.num_rows, bool)
+            for a, b in _runs(column):
+                value = column[a].as_py()
+                begins = not (started and _same(value, now))
+                if begins:
+                    if is_open:
+                        yield stretch(now, part, last, steps)
+                    elif started:
+                        timers.append((now, last))
+                    is_open = not started and not mark[a]
+                    started, now, steps = True, value, None
+                    if mark[a]:
+                        last, a, begins = int(t[a]), a + 1, False
+                    if a == b:
+                        continue
+                rows = slice(a, b)
+                flags, last = replay(t[rows], elig[rows], force[rows], rew[rows], begins, last, period, rewind_us)
+                if is_open:
+                    kept[rows] = True
+                    f = steps_of(t[rows], elig[rows], rew[rows], period, rewind_us)
+                    steps = f if steps is None else composed(steps, f)
+                else:
+                    keep[rows] = flags
+            for kind, which in ((ROW, keep), (KEPT, kept)):
+                if which.any():
+                    some = rb.filter(pa.array(which))
+                    names = out_cols + ([n for n, _ in RULE_FIELDS] if kind == KEPT else [])
+                    columns = {n: some.column(some.schema.get_field_index(n)) for n in names}
+                    if kind == KEPT:
+                        columns["__part"] = [part] * some.num_rows
+                    yield _batch(schema, columns | {"__kind": [kind] * some.num_rows}, some.num_rows)
+        if started:
+            # the last run may go on in the next partition; a timer that is known is a constant function
+            yield stretch(now, part, last, steps if is_open else (np.array([OLD]), np.array([last])))
+        if timers:
+            yield _batch(schema, {key: [k for k, _ in timers], "__seed_exit": [x for _, x in timers],
+                                  "__kind": [TIMER] * len(timers)}, len(timers))
+
+    return run
+
+
+# ---------------------------------------------------------------------------
+# step 2: composing functions up, handing entries down
+# ---------------------------------------------------------------------------
+
+def _stretches(batches: Iterator, key: str) -> Iterator[tuple]:
+    """(key, group, position, entry, seed, seed exit, steps) of each stretch of
+    sorted step rows, its segments put together; steps are None for a marker."""
+    held = None
+    for rb in batches:
+        for r in rb.to_pylist():
+            dom, cod = (None, None) if r["__dom"] is None else (np.array(r["__dom"], np.int64), np.array(r["__cod"], np.int64))
+            if held and dom is not None and held[6] is not None and held[2] == r["__part"] and _same(held[0], r[key]):
+                held = (*held[:6], (np.r_[held[6][0], dom], np.r_[held[6][1], cod]))
+                continue
+            if held:
+                yield held
+            held = (r[key], r["__group"], r["__part"], r["__entry"], r["__seed"], r["__seed_exit"],
+                    None if dom is None else (dom, cod))
+    if held:
+        yield held
+
+
+def _up(key: str, schema: T.StructType):
+    """One function per (key, group) of those of its members."""
+    names = [n for n, _ in STEP_FIELDS]
+
+    def run(batches: Iterator) -> Iterator:
+        now, seed, steps = None, OLD, None
+        for k, group, _, _, _, seed_exit, f in _stretches(batches, key):
+            if now and now[1] == group and _same(now[0], k):
+                seed, steps = int(applied(f, np.array([seed]))[0]), composed(steps, f)
+                continue
+            if now:
+                rows = _step_rows(key, names, [(*now, seed, steps)])
+                yield _batch(schema, rows, len(rows[key]))
+            now, seed, steps = (k, group), seed_exit, f
+        if now:
+            rows = _step_rows(key, names, [(*now, seed, steps)])
+            yield _batch(schema, rows, len(rows[key]))
+
+    return run
+
+
+def _down(key: str, schema: T.StructType):
+    """Entry and exit of every member of a group; a group without a marker
+    begins with its key's first stretch."""
+    def run(batches: Iterator) -> Iterator:
+        out: list[tuple] = []
+        now, timer, seed = None, OLD, True
+        for k, group, pos, entry, is_seed, seed_exit, f in _stretches(batches, key):
+            if not (now and now[1] == group and _same(now[0], k)):
+                now, timer, seed = (k, group), OLD, True
+            if f is None:
+                timer, seed = entry, is_seed
+                continue
+            leaves = seed_exit if seed else int(applied(f, np.array([timer]))[0])
+            out.append((k, pos, timer, seed, leaves))
+            timer, seed = leaves, False
+            if len(out) >= 4096:
+                yield _batch(schema, dict(zip(schema.names, map(list, zip(*out)))), len(out))
+                out = []
+        if out:
+            yield _batch(schema, dict(zip(schema.names, map(list, zip(*out)))), len(out))
+
+    return run
+
+
+def _entries(steps: DataFrame, key: str, positions: int, fan: int) -> DataFrame:
+    """key, __part, __entry, __seed, __exit of every stretch; positions are
+    below ``positions``."""
+    kind = steps.schema[key].dataType
+    up_schema = _schema((key, kind), *STEP_FIELDS)
+    entry_schema = _schema((key, kind), ("__part", T.IntegerType()), ("__entry", T.LongType()),
+                           ("__seed", T.BooleanType()), ("__exit", T.LongType()))
+    members = (steps.withColumn("__group", F.expr(f"__part div {fan}").cast("int"))
+               .withColumn("__entry", F.lit(None).cast("long")).withColumn("__seed", F.lit(None).cast("boolean"))
+               .select(key, "__group", "__part", "__segment", "__entry", "__seed", "__seed_exit", "__dom", "__cod"))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(key, "__group").sortWithinPartitions(
+            key, "__group", F.col("__part").asc_nulls_first(), "__segment")
+
+    if positions > fan:
+        above = dealt(members).mapInArrow(_up(key, up_schema), up_schema)
+        markers = _entries(above, key, -(-positions // fan), fan)
+        members = members.unionByName(
+            markers.select(key, F.col("__part").alias("__group"), "__entry", "__seed"), allowMissingColumns=True)
+    return dealt(members).mapInArrow(_down(key, entry_schema), entry_schema)
+
+
+# ---------------------------------------------------------------------------
+# step 3: the kept rows from their entries
+# ---------------------------------------------------------------------------
+
+def _replay_fn(period: int, rewind_us: int, out_cols: list[str]):
+    """Rows sorted by partition of step 1 and order; each holds its entry."""
+    import pyarrow as pa
+
+    def run(batches: Iterator) -> Iterator:
+        now, last = None, OLD
+        for rb in batches:
+            if not rb.num_rows:
                 continue
             ix = rb.schema.get_field_index
-            marker = rb.column(ix("__marker")).to_numpy(zero_copy_only=False).astype(bool)
-            t = rb.column(ix("__t")).to_numpy(zero_copy_only=False)
-            el, fo, rw = (rb.column(ix(c)).to_numpy(zero_copy_only=False)
-                          for c in ("__elig", "__force", "__rewind"))
-            entry = rb.column(ix("__entry")).to_numpy(zero_copy_only=False)
-            seed = rb.column(ix("__seed")).to_numpy(zero_copy_only=False)
+            t, elig, force, rew = _rule_columns(rb)
+            part, entry, seed = (rb.column(ix(c)).to_numpy(zero_copy_only=False) for c in ("__part", "__entry", "__seed"))
             keep = np.zeros(rb.num_rows, dtype=bool)
-            bounds, names_of = _groups(rb, key)
-            for a, b, g in zip(bounds[:-1].tolist(), bounds[1:].tolist(), names_of):
-                if cur is None or not (g[1] == cur[1] and _same(g[0], cur[0])):
-                    cur, last, seed_pending = g, OLD, False
-                while a < b and marker[a]:
-                    last, seed_pending = int(entry[a]), bool(seed[a])
-                    a += 1
-                if a == b:
-                    continue
-                kp, last = replay(t[a:b].astype(np.int64), el[a:b].astype(bool),
-                                  fo[a:b].astype(bool), rw[a:b].astype(bool), seed_pending,
-                                  last, period, rewind_us)
-                seed_pending = False
-                keep[a:b] = kp
+            for a, b in _runs(rb.column(ix("__part"))):
+                begins = now != part[a]
+                if begins:
+                    now, last = part[a], int(entry[a])
+                rows = slice(a, b)
+                keep[rows], last = replay(t[rows], elig[rows], force[rows], rew[rows],
+                                          begins and bool(seed[a]), last, period, rewind_us)
             if keep.any():
                 passed = rb.filter(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([passed.column(ix(c)) for c in out_cols],
-                                                 names=out_cols)
+                yield pa.RecordBatch.from_arrays([passed.column(ix(c)) for c in out_cols], names=out_cols)
     return run
 
 
@@ -369,56 +377,64 @@ def _replay_fn(key: str, period: int, rewind_us: int, out_cols: list[str]):
 # the operator
 # ---------------------------------------------------------------------------
 
-def throttle(df: DataFrame, key: str, every_seconds: float, time_micros: Column,
-             order: Sequence[str], eligible: Column | None = None,
-             force: Column | None = None, rewind: Column | None = None,
-             rewind_delay: float = 1.0, chunk_periods: int = 64) -> DataFrame:
+def throttle_from(df: DataFrame, key: str, every_seconds: float, time_micros: Column,
+                  order: Sequence[str], eligible: Column | None = None,
+                  force: Column | None = None, rewind: Column | None = None,
+                  rewind_delay: float = 1.0, initial: DataFrame | None = None,
+                  partitions: int | None = None, fan: int = FAN) -> tuple[DataFrame, DataFrame]:
+    """(the rows that pass, the timers afterwards: the key and ``timer``, one
+    row for every key of ``df`` and ``initial``). Step 1 runs at once; its table
+    lies in the shared folder."""
     if rewind_delay > every_seconds:
         raise ValueError("rewind_delay must not exceed the period")
     period = int(round(every_seconds * 1_000_000))
     rewind_us = int(round(rewind_delay * 1_000_000))
     if period <= 0:
         raise ValueError("the period must be positive")
+    spark = df.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     flag = (lambda c, d: F.lit(d) if c is None else F.coalesce(c, F.lit(False)))
-    # block and chunk numbers in whole-number arithmetic, exact for any time
-    blk = F.expr(f"(__t - pmod(__t, {period}L)) div {period}L")
+    out_cols, kind = list(df.columns), df.schema[key].dataType
     base = (df.filter(time_micros.isNotNull()).withColumn("__t", time_micros)
             .withColumn("__elig", flag(eligible, True))
             .withColumn("__force", flag(force, False))
             .withColumn("__rewind", flag(rewind, False))
-            .withColumn("__chunk", F.expr(f"(__t - pmod(__t, {period * chunk_periods}L)) div {period * chunk_periods}L")))
-    # step 1: narrow rows plus the previous block as halo, one table per chunk
-    narrow = base.select(key, *order, "__t", "__elig", "__rewind", "__chunk",
-                         F.lit(False).alias("__halo"))
-    halo = (narrow.filter(F.pmod(blk, F.lit(chunk_periods)) == chunk_periods - 1)
-            .withColumn("__chunk", F.col("__chunk") + 1).withColumn("__halo", F.lit(True)))
-    key_type = df.schema[key].dataType
-    summary_schema = _summary_schema(key, key_type)
-    tables = (narrow.unionByName(halo)
-              .repartition(key, "__chunk")
-              .sortWithinPartitions(key, "__chunk", F.col("__halo").desc(), *order)
-              .mapInArrow(_tables_fn(key, summary_schema, period, rewind_us), summary_schema))
-    # step 2: entry timers, sequential per key over one row per chunk
-    entry_schema = _entry_schema(key, key_type)
-    entries = (tables.repartition(key)
-               .sortWithinPartitions(key, "__chunk")
-               .mapInArrow(_entries_fn(key, entry_schema), entry_schema))
-    # step 3: replay every chunk from its entry. The entry travels as a marker
-    # row in the same (key, chunk) partition, ahead of the chunk's rows: no
-    # join, and a null key stays one group like everywhere else.
-    markers = (entries.withColumn("__marker", F.lit(True))
-               .withColumn("__t", F.lit(0).cast("long"))
-               .withColumns({c: F.lit(False) for c in ("__elig", "__force", "__rewind")}))
-    # no nulls in the numbers: Arrow columns with nulls turn into doubles
-    data = (base.withColumn("__marker", F.lit(False))
-            .withColumn("__entry", F.lit(OLD).cast("long"))
-            .withColumn("__seed", F.lit(False)))
-    out_cols = list(df.columns)
-    passed = (data.unionByName(markers, allowMissingColumns=True)
-              .repartition(key, "__chunk")
-              .sortWithinPartitions(key, "__chunk", F.col("__marker").desc(), *order)
-              .mapInArrow(_replay_fn(key, period, rewind_us, out_cols), df.schema))
-    if force is None:
-        return passed
-    # rows without a time are outside the timer: only a forced one passes
-    return passed.unionByName(df.filter(time_micros.isNull() & flag(force, False)))
+            .withColumn("__initial", F.lit(False)))
+    if initial is not None:
+        base = base.unionByName(
+            initial.select(F.col(key).cast(kind).alias(key), F.col("timer").alias("__t"),
+                           *(F.lit(False).alias(n) for n, _ in RULE_FIELDS[1:]), F.lit(True).alias("__initial")),
+            allowMissingColumns=True)
+    place = [F.col(key), F.col("__initial").desc(), F.col("__t"), *map(F.col, order)]
+    fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
+    schema = T.StructType(fields + list(_schema(("__kind", T.IntegerType()), *STEP_FIELDS, *RULE_FIELDS).fields))
+    path = scratch_path(spark, "throttle")
+    (base.repartitionByRange(partitions, *place).sortWithinPartitions(*place)
+     .mapInArrow(_first_pass(key, schema, out_cols, period, rewind_us), schema).write.parquet(path))
+    made = spark.read.schema(schema).parquet(path)
+    steps = made.filter(F.col("__kind") == STEPS).select(key, *(n for n, _ in STEP_FIELDS))
+    entries = _entries(steps, key, partitions, fan)
+    # one row a partition, so the broadcast is bounded by their number. A partition's last key may be another
+    # than the one whose rows it keeps; that one is its first
+    kept = (made.filter(F.col("__kind") == KEPT).select(*out_cols, "__part", *(n for n, _ in RULE_FIELDS))
+            .join(F.broadcast(entries.select(F.col(key).alias("__key"), "__part", "__entry", "__seed")
+                              .withColumnRenamed("__part", "__of")),
+                  (F.col("__part") == F.col("__of")) & F.col(key).eqNullSafe(F.col("__key"))))
+    later = (kept.repartitionById(partitions, F.col("__part")).sortWithinPartitions("__part", "__t", *order)
+             .mapInArrow(_replay_fn(period, rewind_us, out_cols), T.StructType(fields)))
+    passed = made.filter(F.col("__kind") == ROW).select(*out_cols).unionByName(later)
+    if force is not None:
+        # rows without a time are outside the timer: only a forced one passes
+        passed = passed.unionByName(df.filter(time_micros.isNull() & flag(force, False)))
+    timers = made.filter(F.col("__kind") == TIMER).select(key, F.col("__seed_exit").alias("timer")).unionByName(
+        entries.groupBy(key).agg(F.max_by("__exit", "__part").alias("timer")))
+    return passed, timers
+
+
+def throttle(df: DataFrame, key: str, every_seconds: float, time_micros: Column,
+             order: Sequence[str], eligible: Column | None = None,
+             force: Column | None = None, rewind: Column | None = None,
+             rewind_delay: float = 1.0, partitions: int | None = None, fan: int = FAN) -> DataFrame:
+    """The rows of ``df`` that pass."""
+    return throttle_from(df, key, every_seconds, time_micros, order, eligible, force, rewind, rewind_delay,
+                         None, partitions, fan)[0]

@@ -266,86 +266,101 @@ def test_throttle_rejects_long_rewind(spark):
         E.throttle(_events(spark, _random_rows(5)), "user_id", 10, rewind_delay=20)
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_throttle_steps_across_batches(seed):
-    """All three steps carry their state across Arrow batch boundaries."""
+def _sequential(rows, period, delay, last=None):
+    """(places that pass, timer) of (t, eligible, force, rewind) rows."""
+    passed = set()
+    for i, (t, elig, force, rew) in enumerate(rows):
+        keep = False
+        if last is None:
+            last = t
+        elif elig and t - last > period:
+            last, keep = t, True
+        if rew:
+            last, keep = t - period + delay, True
+        if keep or force:
+            passed.add(i)
+    return passed, last
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_throttle_steps_compose(seed):
+    """Step functions of stretches, and of their compositions, against the rule."""
     import numpy as np
-    import pyarrow as pa
-    from pyspark.sql import types as T
     from emberwake.operators import throttle as TH
     rnd = random.Random(seed)
-    period, delay, C = 50, 20, 3
-    rows = []
-    for key in range(3):
-        t = rnd.randint(0, 500)
-        for i in range(rnd.randint(1, 400)):
-            t += rnd.choice([0, 1, 3, 7, 20, 60, 400])
-            rows.append((key, t, rnd.random() < 0.8, rnd.random() < 0.05, rnd.random() < 0.05))
-    want = set()
-    idx = 0
-    for key in range(3):
-        last = None
-        for r in (r for r in rows if r[0] == key):
-            _, t, elig, force, rew = r
-            keep = False
-            if last is None:
-                last = t
-            elif elig and t - last > period:
-                last, keep = t, True
-            keep = keep or force
-            if rew:
-                last, keep = t - period + delay, True
-            if keep:
-                want.add(idx)
-            idx += 1
-    n = len(rows)
-    k = np.array([r[0] for r in rows])
-    t = np.array([r[1] for r in rows], dtype=np.int64)
-    el, fo, rw = (np.array([r[j] for r in rows]) for j in (2, 3, 4))
-    blk = t // period
-    chunk = blk // C
-    halo = (blk % C) == C - 1
-
-    def split(tbl):
-        cuts = sorted(rnd.sample(range(1, tbl.num_rows), min(6, tbl.num_rows - 1)))
-        return [tbl.slice(a, b - a).to_batches()[0]
-                for a, b in zip([0] + cuts, cuts + [tbl.num_rows]) if b > a]
-
-    # step 1 input: rows plus halo copies, sorted by (key, chunk, halo first, time)
-    recs = [(k[i], chunk[i], False, t[i], el[i], rw[i]) for i in range(n)]
-    recs += [(k[i], chunk[i] + 1, True, t[i], el[i], rw[i]) for i in range(n) if halo[i]]
-    recs.sort(key=lambda r: (r[0], r[1], not r[2], r[3]))
-    tbl = pa.table({"k": [int(r[0]) for r in recs], "__chunk": [int(r[1]) for r in recs],
-                    "__halo": [r[2] for r in recs], "__t": [int(r[3]) for r in recs],
-                    "__elig": [bool(r[4]) for r in recs], "__rewind": [bool(r[5]) for r in recs]})
-    ss = TH._summary_schema("k", T.LongType())
-    summaries = pa.Table.from_batches(
-        list(TH._tables_fn("k", ss, period, delay)(iter(split(tbl)))))
-    es = TH._entry_schema("k", T.LongType())
-    summaries = summaries.sort_by([("k", "ascending"), ("__chunk", "ascending")])
-    entries = pa.Table.from_batches(list(TH._entries_fn("k", es)(iter(split(summaries)))))
-    ent = {(a, b): (c, d) for a, b, c, d in zip(*(entries.column(i).to_pylist() for i in range(4)))}
-    recs3 = [(int(a), int(b), True, None, False, False, False, e, sd, -1)
-             for (a, b), (e, sd) in ent.items()]
-    recs3 += [(int(k[i]), int(chunk[i]), False, int(t[i]), bool(el[i]), bool(fo[i]), bool(rw[i]),
-               None, None, i) for i in range(n)]
-    recs3.sort(key=lambda r: (r[0], r[1], not r[2], r[3] if r[3] is not None else -1, r[9]))
-    names = ["k", "__chunk", "__marker", "__t", "__elig", "__force", "__rewind", "__entry",
-             "__seed", "i"]
-    rows3 = pa.table({c: [r[j] for r in recs3] for j, c in enumerate(names)})
-    out = TH._replay_fn("k", period, delay, ["i"])(iter(split(rows3)))
-    got = {i for rb in out for i in rb.column(0).to_pylist()}
-    assert got == want
+    period, delay = rnd.choice([(50, 20), (7, 7), (400, 1)])
+    rows, t = [], 0
+    for _ in range(300):
+        t += rnd.choice([0, 1, 3, 7, 20, 60, 400])
+        rows.append((t, rnd.random() < 0.7, rnd.random() < 0.05, rnd.random() < rnd.choice([0, 0.05])))
+    cuts = [0, *sorted(rnd.sample(range(1, 300), 7)), 300]
+    whole = None
+    for a, b in zip(cuts, cuts[1:]):
+        cols = [np.array(c) for c in zip(*rows[a:b])]
+        f = TH.steps_of(cols[0].astype(np.int64), cols[1], cols[3], period, delay)
+        assert (np.diff(f[0]) > 0).all() and (f[1][:-1] != TH.SAME).all()
+        entries = [TH.OLD, rows[a][0], *(rows[a][0] - rnd.randint(-20, 2 * period) for _ in range(20))]
+        got = TH.applied(f, np.array(entries)).tolist()
+        assert got == [_sequential(rows[a:b], period, delay, e)[1] for e in entries]
+        whole = f if whole is None else TH.composed(whole, f)
+    entries = [TH.OLD, *(rows[0][0] + k for k in range(-2 * period, 30))]
+    assert TH.applied(whole, np.array(entries)).tolist() == [_sequential(rows, period, delay, e)[1] for e in entries]
+
+
+@pytest.mark.parametrize("partitions,fan", [(1, 64), (5, 64), (40, 2), (23, 3)])
+def test_throttle_by_ranges_with_timers(spark, partitions, fan, monkeypatch):
+    """One key holds most rows and lies on many ranges; fans of two and three
+    make several levels; segments of four steps split the stored functions."""
+    from emberwake.operators import throttle as TH
+    rnd = random.Random(partitions)
+    keys = [None, 1, 2, *range(10, 30)]
+    rows = [(i, 1 if rnd.random() < 0.6 else rnd.choice(keys), rnd.randrange(100_000), rnd.random() < 0.8,
+             rnd.random() < 0.03, rnd.random() < 0.03) for i in range(3000)]
+    first = {k: rnd.randrange(-500, 100) for k in (1, 2, 77, None)}
+    schema = "event_id long, k long, t long, elig boolean, force boolean, rew boolean"
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    initial = spark.createDataFrame(list(first.items()), "k long, timer long")
+    for given in (None, initial):
+        passed, timers = TH.throttle_from(df, "k", 0.0004, F.col("t"), ["t", "event_id"], F.col("elig"), F.col("force"),
+                                          F.col("rew"), 0.0001, given, partitions, fan)
+        want, left = set(), {} if given is None else dict(first)
+        for k in keys:
+            own = sorted((r for r in rows if r[1] == k), key=lambda r: (r[2], r[0]))
+            if own:
+                at, left[k] = _sequential([r[2:] for r in own], 400, 100, None if given is None else first.get(k))
+                want |= {own[i][0] for i in at}
+        assert sorted(r.event_id for r in passed.collect()) == sorted(want)
+        assert {r.k: r.timer for r in timers.collect()} == left
+        assert timers.count() == len(left)
+
+
+def test_throttle_functions_are_stored_in_segments(spark):
+    from emberwake.operators import throttle as TH
+    from pyspark.sql import types as T
+    import numpy as np
+    kind = TH._schema(("k", T.LongType()), *TH.STEP_FIELDS)
+    dom, cod = np.arange(2 * TH.SEGMENT + 5) - 9, np.arange(2 * TH.SEGMENT + 5) * 2
+    rows = TH._step_rows("k", [n for n, _ in TH.STEP_FIELDS], [(7, 3, 1, (dom, cod))])
+    assert [len(d) for d in rows["__dom"]] == [TH.SEGMENT, TH.SEGMENT, 5]
+    df = spark.createDataFrame([(7, 3, i, 1, d.tolist(), c.tolist()) for i, (d, c) in
+                                enumerate(zip(rows["__dom"], rows["__cod"]))], kind)
+    got = TH._entries(df, "k", 8, 2).collect()
+    assert [(r["__part"], r["__seed"], r["__exit"]) for r in got] == [(3, True, 1)]
+
+
+def test_throttle_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "event_id long, user_id long, ts timestamp")
+    assert E.throttle(df, "user_id", 5).count() == 0
 
 
-@pytest.mark.parametrize("chunk_periods,period,delay", [(1, 60, 30), (3, 7, 3), (2, 600, 600)])
-def test_throttle_small_chunks(spark, chunk_periods, period, delay):
-    """Many chunk boundaries: entries cross chunks through the transfer tables."""
+@pytest.mark.parametrize("partitions,period,delay", [(30, 60, 30), (50, 7, 3), (12, 600, 600)])
+def test_throttle_small_ranges(spark, partitions, period, delay):
+    """Many borders: entries cross ranges through the step functions."""
     rows = _random_rows(900, seed=3, span_hours=6)
     got = {r.event_id for r in E.throttle(
         _events(spark, rows), "user_id", period, eligible=F.col("event_type") != "signup",
         force=F.col("event_type") == "click", rewind=F.col("event_type") == "purchase",
-        rewind_delay=delay, chunk_periods=chunk_periods).collect()}
+        rewind_delay=delay, partitions=partitions, fan=4).collect()}
     want = set()
     for key, rs in _by_key(rows).items():
         last = None
@@ -457,10 +472,10 @@ def test_throttle_of_large_keys_beside_a_null_key(spark):
     a = 1 << 60
     rows = [(1, a, 0), (2, a + 1, 1), (3, None, 2), (4, a, 40), (5, a + 1, 45), (6, None, 50), (7, a, 60)]
     df = spark.createDataFrame([(i, k, t * 1_000_000) for i, k, t in rows], "event_id long, k long, t long")
-    got = E.throttle(df, "k", 30, ("t", "event_id"), chunk_periods=1).collect()
+    got = E.throttle(df, "k", 30, ("t", "event_id"), partitions=5, fan=2).collect()
     assert sorted(r.event_id for r in got) == [4, 5, 6]
     nan = spark.createDataFrame([(i, float("nan"), i * 20_000_000) for i in range(6)], "event_id long, k double, t long")
-    assert sorted(r.event_id for r in E.throttle(nan, "k", 30, ("t", "event_id"), chunk_periods=1).collect()) == [2, 4]
+    assert sorted(r.event_id for r in E.throttle(nan, "k", 30, ("t", "event_id"), partitions=5, fan=2).collect()) == [2, 4]
 
 
 def test_throttle_of_times_beyond_doubles_and_null_times(spark):
