@@ -51,8 +51,10 @@ SIGMA, PI1, PI2 = (np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xBF58476D1CE4E5B9
 MISS = 1e-8
 #: Elements hashed at a time: they stay in the processor's cache.
 CHUNK = 1 << 15
+#: Bytes of text that a task turns into sets at a time.
+SLICE = 1 << 20
 #: Members of a bucket that one comparison holds: two blocks of this size.
-BLOCK = 2048
+BLOCK = 512
 #: More than one in so many rows make a class heavy.
 SHARE = 10_000
 #: Classes whose numbers are broadcast to find their sets; more are joined by a shuffle.
@@ -105,7 +107,7 @@ def signed_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in bounded(batches, 1):
+        for b in bounded(batches, 1, SLICE):
             values, ends = shingle_sets(b.column(1), width)
             cid = digests(values, ends)
             firsts = {c: k for k, c in reversed(list(enumerate(cid))) if c is not None}
