@@ -29,6 +29,7 @@ from emberwake.functions.scalars import (
     DEFAULT_QUOTA, key_code_dimension, mask_match, mask_union as _mask_union, mask_without,
     norm, second_key,
 )
+from emberwake.operators import newest
 
 
 def _cols(order: Sequence[str] | str) -> list[str]:
@@ -136,31 +137,41 @@ def _quota(cls: str, quota) -> tuple[Column, int]:
 def retain_newest(df: DataFrame, cls: str, quota=DEFAULT_QUOTA,
                   order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """Keep the newest ``quota`` rows per class (``quota`` may be a per-class
-    mapping; 0 keeps none). ``row_number() <= k`` is planned as a partial
-    top-k before the shuffle, so a hot class ships only k rows per task."""
+    mapping; 0 keeps none). Up to ``newest.TOP_K`` ``row_number() <= k`` is
+    planned as a partial top-k before the shuffle, so a hot class ships only k
+    rows per task; larger quotas are selected by histograms, without sorting a
+    class (see :mod:`emberwake.operators.newest`; these passes run when this is
+    called). Rows equal in ``order`` are told apart by a hash of the whole row."""
     order = _cols(order)
     q, qmax = _quota(cls, quota)
-    w = Window.partitionBy(cls).orderBy(*[F.col(c).desc() for c in order])
-    ranked = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= qmax)
-    if not isinstance(quota, Mapping):
-        return ranked.drop("__rn")
-    return ranked.filter(F.col("__rn") <= q).drop("__rn")
+    if qmax > newest.TOP_K:
+        return newest.parted(df, cls, q, order)[0]
+    ranked = newest.ranked(newest.total_order(df), cls, order, qmax)
+    return ranked.filter(F.col("__rn") <= q).select(*df.columns)
 
 
 def evicted(df: DataFrame, cls: str, quota=DEFAULT_QUOTA,
             order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """The complement of :func:`retain_newest`: rows past the quota (the
     delete list). Per class, the oldest kept row is a threshold; rows older
-    than it go. Built from the kept rows (k per class), never a full-class window."""
+    than it go. Built from the kept rows (k per class), never a full-class
+    window. Of identical rows at the threshold as many go as were not kept."""
     order = _cols(order)
-    q, _ = _quota(cls, quota)
-    kept = retain_newest(df, cls, quota, order)
-    thresholds = (kept.groupBy(cls).agg(F.min(F.struct(*order)).alias("__oldest_kept"))
-                  .withColumnRenamed(cls, "__tcls"))
-    joined = df.join(thresholds, df[cls].eqNullSafe(thresholds["__tcls"]), "left").drop("__tcls")
-    older = F.struct(*[F.col(c) for c in order]) < F.col("__oldest_kept")
-    zero_quota = q <= 0
-    return joined.filter(zero_quota | older).drop("__oldest_kept")
+    q, qmax = _quota(cls, quota)
+    if qmax > newest.TOP_K:
+        return newest.parted(df, cls, q, order)[1]
+    rows = newest.total_order(df)
+    place = F.struct(*order, newest.HASH)
+    kept = (newest.ranked(rows, cls, order, qmax).filter(F.col("__rn") <= q)
+            .groupBy(cls, place.alias("__at")).agg(F.count(F.lit(1)).alias("__stay")))
+    oldest = (kept.groupBy(cls).agg(F.min(F.struct("__at", "__stay")).alias("__oldest"))
+              .select(F.col(cls).alias("__tcls"), "__oldest.*"))
+    joined = rows.join(oldest, rows[cls].eqNullSafe(oldest["__tcls"]), "left")
+    older = joined.filter((q <= 0) | (place < F.col("__at"))).select(*df.columns)
+    tied = (joined.filter((q > 0) & (place == F.col("__at"))).groupBy(*df.columns, "__stay")
+            .agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > F.col("__stay"))
+            .withColumn("__k", F.explode(F.sequence(F.lit(1), (F.col("__n") - F.col("__stay")).cast("int")))))
+    return older.unionByName(tied.select(*df.columns))
 
 
 def excess_counts(df: DataFrame, cls: str, quota=DEFAULT_QUOTA) -> DataFrame:

@@ -5,6 +5,7 @@ hot key whose rows span many time buckets."""
 import datetime as dt
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -348,6 +349,43 @@ def test_throttle_functions_are_stored_in_segments(spark):
     assert [(r["__part"], r["__seed"], r["__exit"]) for r in got] == [(3, True, 1)]
 
 
+@pytest.mark.parametrize("quota", [0, 1, 3, 50, 400, 1500, 10_000])
+def test_kept_and_evicted_part_the_rows_on_ties(spark, quota):
+    """Few distinct times and ids, identical rows, null times, a null class; the
+    selection for large quotas (histograms, then the next column) equals the rank."""
+    from emberwake.operators import newest
+    rnd = random.Random(quota)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([None, *range(9)]), rnd.randrange(4), rnd.randrange(3))
+            for _ in range(1500)]
+    df = spark.createDataFrame(rows, "cls string, t long, event_id int, value int").repartition(5)
+    order = ("t", "event_id")
+
+    def tally(found):
+        return Counter(tuple(r) for r in found.collect())
+
+    kept, gone = newest.parted(df, "cls", F.lit(quota), order, few=7)
+    small = (E.retain_newest(df, "cls", quota, order), E.evicted(df, "cls", quota, order))
+    for a, b in ((kept, gone), small):
+        a, b = tally(a), tally(b)
+        assert a + b == Counter(rows)
+        for c in ("a", "b", None):
+            own = sorted(((-1 if r[1] is None else r[1], r[2]) for r in rows if r[0] == c), reverse=True)
+            assert sorted(((-1 if r[1] is None else r[1], r[2]) for r in a.elements() if r[0] == c), reverse=True) == own[:quota]
+    assert tally(kept) == tally(small[0])
+
+
+def test_a_large_quota_sorts_no_class(spark):
+    from emberwake.operators import newest
+    df = spark.range(30_000).select(F.lit("x").alias("cls"), (F.col("id") * 7 % 30_011).alias("t"), "id")
+    kept = E.retain_newest(df, "cls", 12_345, ("t", "id"))
+    assert kept.count() == 12_345 and E.evicted(df, "cls", 12_345, ("t", "id")).count() == 30_000 - 12_345
+    cut = sorted((r.t for r in df.collect()), reverse=True)[12_344]
+    assert {r.t >= cut for r in kept.collect()} == {True}
+    bounds = newest._narrowed(df.select(F.col("cls").alias("__cls"), F.col("t").alias("__pos")),
+                              spark.createDataFrame([("x", 12_345)], "__cls string, need long"), 1000).first()
+    assert bounds["m"] <= 1000 and bounds["need"] <= bounds["m"]
+
+
 def test_throttle_of_an_empty_table(spark):
     df = spark.createDataFrame([], "event_id long, user_id long, ts timestamp")
     assert E.throttle(df, "user_id", 5).count() == 0
