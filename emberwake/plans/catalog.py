@@ -496,9 +496,8 @@ SELECT e.event_id, e.user_id, e.ts FROM r JOIN e USING (user_id, rn) WHERE r.pas
 
 def q_stream_throttle_forced(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_throttle_forced")
-    passed = ST.stream_throttle(st.select("event_id", "user_id", "ts", "event_type"), "user_id",
-                                THROTTLE_SECONDS, **_throttle_flags())
-    out = spark.read.parquet(_run_to_files(passed, base))
+    sink = ST.throttle_sink(base, "user_id", THROTTLE_SECONDS, **_throttle_flags())
+    out = _through(st.select("event_id", "user_id", "ts", "event_type"), sink, base)
     return out.select("event_id", "user_id", _ntz("ts"))
 
 
@@ -566,9 +565,8 @@ FROM kv WHERE ((CAST(1 AS BIGINT) << (k % 24)) & {MASK}) <> 0
 def q_stream_displacement(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_displacement")
     st = st.withColumn("y", F.get_json_object("props", "$.k").cast("double"))
-    d = ST.stream_displacement(st.select("event_id", "user_id", "ts", "value", "y"),
-                               "user_id", "value", "y")
-    out = spark.read.parquet(_run_to_files(d, base))
+    out = _through(st.select("event_id", "user_id", "ts", "value", "y"),
+                   ST.displacement_sink(base, "user_id", "value", "y"), base)
     return E.moved(out).select("event_id", "user_id", _ntz("ts"),
                                F.round("dx", 6).alias("dx"), F.round("dy", 6).alias("dy"),
                                F.round("distance", 6).alias("distance"))
@@ -576,16 +574,15 @@ def q_stream_displacement(spark, sf_dir):
 
 def q_stream_take_until(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_take_until")
-    kept = ST.stream_take_until(st.select("event_id", "user_id", "ts", "event_type"), "user_id",
-                                F.col("event_type") == SENTINEL)
-    out = spark.read.parquet(_run_to_files(kept, base))
+    out = _through(st.select("event_id", "user_id", "ts", "event_type"),
+                   ST.take_until_sink(base, "user_id", F.col("event_type") == SENTINEL), base)
     return out.select("event_id", "user_id", _ntz("ts"), "event_type")
 
 
 def q_stream_throttle(spark, sf_dir):
     st, base = _events_stream(spark, sf_dir, "stream_throttle")
-    passed = ST.stream_throttle(st.select("event_id", "user_id", "ts"), "user_id", THROTTLE_SECONDS)
-    out = spark.read.parquet(_run_to_files(passed, base))
+    out = _through(st.select("event_id", "user_id", "ts"),
+                   ST.throttle_sink(base, "user_id", THROTTLE_SECONDS), base)
     return out.select("event_id", "user_id", _ntz("ts"))
 
 

@@ -2,18 +2,18 @@
 
 * Stateless stages (masks, labels, look-ups) are the batch expressions applied
   to a streaming DataFrame; the key dimension is a stream-static broadcast join.
-* Per-key sequence state (previous sample, stop flag, throttle timer) is one
-  small value per key in the state store (``applyInPandasWithState``; the
-  state arrives with the key's rows, no per-call round trips), checkpointed
-  with the query, so an executor loss replays the micro-batch instead of
-  losing the state. Rows of one key inside one
-  micro-batch are sorted by (time, id) before use; the micro-batch size is
-  bounded by the source's ``maxFilesPerTrigger``/``maxBytesPerTrigger``.
-* Windowed results (tick flags, last per second) use an event-time watermark
-  and append mode, so state is dropped once a window closes.
-* Retention keeps the newest N in a table rewritten per micro-batch through
-  ``foreachBatch``; it alternates between two folders so a batch never
-  overwrites what it reads, and a retried batch rewrites the same folder.
+* Per-key sequence state (previous sample, stop flag, throttle timer) is a
+  table of one row per key. Each micro-batch runs the batch operator over its
+  rows and the state (``foreachBatch``), so a key with half of a micro-batch is
+  spread like in a batch, and no frame of a key is ever built. Output and state
+  are folders per batch: a retried batch reads the state before it and writes
+  its own folders again. Keys silent for ``ttl_seconds`` of event time are
+  forgotten and start anew.
+* Aggregates that merge (tick flags, last per second) keep partial rows per
+  batch, merged in tiers so that the number of folders grows with the logarithm
+  of the batches.
+* Retention keeps the newest N in a table rewritten per micro-batch; a batch
+  never overwrites what it reads, and a retried batch rewrites the same folder.
 
 Event time must be a ``TIMESTAMP`` (with zone); NTZ columns are cast in the
 session zone by :func:`event_stream`.
@@ -21,19 +21,18 @@ session zone by :func:`event_stream`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from emberwake.functions.scalars import DEFAULT_QUOTA, second_key
-from emberwake.operators.events import last_per_second, retain_newest, tick_flags
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from emberwake.functions.scalars import DEFAULT_QUOTA
+from emberwake.operators.events import (
+    displacement, epoch_micros, last_per_second, retain_newest, take_until, tick_flags,
+)
+from emberwake.operators.throttle import throttle_from
 
 
 # ---------------------------------------------------------------------------
@@ -83,149 +82,8 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     return w.start()
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep stream state in RocksDB (off-heap, incremental checkpoints)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
-# ---------------------------------------------------------------------------
-# Stateful per-key functions
-# ---------------------------------------------------------------------------
-
-def _sorted_rows(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(list(order), kind="mergesort").reset_index(drop=True)
-
-
-def _displacement_fn(x: str, y: str, order: Sequence[str], out_cols: list[str]):
-    """Keeps the key's last (x, y); emits dx, dy, distance per later sample."""
-    import numpy as np
-
-    def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _sorted_rows(rows, order)
-        xs = pdf[x].astype("float64").to_numpy()
-        ys = pdf[y].astype("float64").to_numpy()
-        px, py = np.roll(xs, 1), np.roll(ys, 1)
-        px[0], py[0] = state.get if state.exists else (np.nan, np.nan)
-        pdf["dx"] = xs - px
-        pdf["dy"] = ys - py
-        pdf["distance"] = np.sqrt(pdf["dx"] ** 2 + pdf["dy"] ** 2)
-        state.update((float(xs[-1]), float(ys[-1])))
-        yield pdf[out_cols]
-    return fn
-
-
-def _take_until_fn(stop_col: str, order: Sequence[str], out_cols: list[str]):
-    """Emits a key's rows up to and including its first sentinel, then nothing."""
-
-    def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:               # the key has stopped
-            return
-        pdf = _sorted_rows(rows, order)
-        stops = pdf[stop_col].fillna(False).astype(bool).to_numpy()
-        if stops.any():
-            pdf = pdf.iloc[: int(stops.argmax()) + 1]
-            state.update((True,))
-        yield pdf[out_cols]
-    return fn
-
-
-def _throttle_fn(t_col: str, every_us: int, rewind_us: int, order: Sequence[str],
-                 out_cols: list[str]):
-    """Keeps the key's timer (last set time); the first event seeds it. The
-    rule is the batch operator's replay, jumping between passing events."""
-    import numpy as np
-    from emberwake.operators.throttle import OLD, replay
-
-    def fn(key, rows, state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _sorted_rows(rows, order)
-        prev = state.get[0] if state.exists else None
-        keep, last = replay(pdf[t_col].to_numpy().astype(np.int64),
-                            pdf["ew_elig"].to_numpy().astype(bool),
-                            pdf["ew_force"].to_numpy().astype(bool),
-                            pdf["ew_rewind"].to_numpy().astype(bool),
-                            prev is None, OLD if prev is None else prev, every_us, rewind_us)
-        state.update((int(last),))
-        if keep.any():
-            yield pdf[keep][out_cols]
-    return fn
-
-
-def _out_schema(df: DataFrame, cols: list[str], extra: list[T.StructField] = ()) -> T.StructType:
-    return T.StructType([df.schema[c] for c in cols] + list(extra))
-
-
-def _with_state(stream: DataFrame, key: str, fn, out: T.StructType, state: str) -> DataFrame:
-    use_rocksdb(stream.sparkSession)
-    return stream.groupBy(key).applyInPandasWithState(
-        fn, out, state, "append", GroupStateTimeout.NoTimeout)
-
-
-def stream_displacement(stream: DataFrame, key: str, x: str, y: str,
-                        order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """Delta to the key's previous sample, across micro-batches."""
-    cols = list(stream.columns)
-    schema = _out_schema(stream, cols, [T.StructField("dx", T.DoubleType()),
-                                        T.StructField("dy", T.DoubleType()),
-                                        T.StructField("distance", T.DoubleType())])
-    fn = _displacement_fn(x, y, order, cols + ["dx", "dy", "distance"])
-    return _with_state(stream, key, fn, schema, "x double, y double")
-
-
-def stream_take_until(stream: DataFrame, key: str, is_stop: Column,
-                      order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """D3: rows until each key's first sentinel, inclusive; the stop is kept in state."""
-    cols = list(stream.columns)
-    marked = stream.withColumn("ew_stop", F.coalesce(is_stop, F.lit(False)))
-    return _with_state(marked, key, _take_until_fn("ew_stop", order, cols),
-                       _out_schema(stream, cols), "stopped boolean")
-
-
-def stream_throttle(stream: DataFrame, key: str, every_seconds: float,
-                    order: Sequence[str] = ("ts", "event_id"), eligible: Column | None = None,
-                    force: Column | None = None, rewind: Column | None = None,
-                    rewind_delay: float = 1.0) -> DataFrame:
-    """D3: the per-key throttle of ``operators.events.throttle`` on a stream;
-    the timer is the key's only state."""
-    cols = list(stream.columns)
-    every_us = int(round(every_seconds * 1_000_000))
-    flag = (lambda c, d: F.lit(d) if c is None else F.coalesce(c, F.lit(False)))
-    timed = (stream.withColumn("ew_t_us", F.unix_micros(F.col(order[0])))
-             .withColumn("ew_elig", flag(eligible, True))
-             .withColumn("ew_force", flag(force, False))
-             .withColumn("ew_rewind", flag(rewind, False)))
-    fn = _throttle_fn("ew_t_us", every_us, int(round(rewind_delay * 1_000_000)), order, cols)
-    return _with_state(timed, key, fn, _out_schema(stream, cols), "t long")
-
-
 # ---------------------------------------------------------------------------
-# Watermarked windows
-# ---------------------------------------------------------------------------
-
-def stream_tick_flags(stream: DataFrame, key: str, ts: str, every: str,
-                      flags: dict[str, Column], lateness: str = "0 seconds") -> DataFrame:
-    """Per key and tick, whether each kind of event happened; emitted when
-    the tick closes (append mode)."""
-    aggs = [F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()]
-    return (stream.withWatermark(ts, lateness)
-            .groupBy(key, F.window(ts, every).alias("__tick")).agg(*aggs)
-            .select(key, F.col("__tick.start").alias("tick_start"),
-                    F.col("__tick.end").alias("tick_end"), *flags.keys()))
-
-
-def stream_last_per_second(stream: DataFrame, cls: str, ts: str = "ts",
-                           order: Sequence[str] = ("ts", "event_id"),
-                           lateness: str = "0 seconds") -> DataFrame:
-    """Newest row per (class, second), emitted when the second closes."""
-    rest = [c for c in stream.columns if c != cls]
-    return (stream.withWatermark(ts, lateness)
-            .groupBy(cls, F.window(ts, "1 second").alias("__sec"))
-            .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__last"))
-            .select(cls, second_key(F.col("__sec.start")).alias("second_key"), "__last.*"))
-
-
-# ---------------------------------------------------------------------------
-# Retention on a stream
+# Folders per micro-batch
 # ---------------------------------------------------------------------------
 
 class _BatchFolders:
@@ -258,6 +116,121 @@ class _BatchFolders:
                 fs.delete(spark._jvm.org.apache.hadoop.fs.Path(self.path(b)), True)
 
 
+    def read(self, spark: SparkSession, paths: list[str], schema: T.StructType | None) -> DataFrame:
+        """The folders' rows; without any, an empty table of ``schema``."""
+        if paths:
+            return spark.read.parquet(*paths)
+        if schema is None:
+            raise ValueError("the stream has had no batch: give the schema of the result")
+        return spark.createDataFrame([], schema)
+
+
+# ---------------------------------------------------------------------------
+# State per key, carried by the batch operators
+# ---------------------------------------------------------------------------
+
+Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
+
+
+class KeyedSink:
+    """``foreachBatch`` handler for operators with a state per key.
+
+    ``step(batch, state)`` gives the batch's output and the state after it; the
+    state is None for the first batch, and its column ``seen`` holds the
+    microsecond of the key's last event.
+    """
+
+    def __init__(self, base: str, step: Step, ttl_seconds: float | None = None):
+        self.step, self.ttl = step, None if ttl_seconds is None else int(ttl_seconds * 1_000_000)
+        self.out, self.kept = _BatchFolders(f"{base.rstrip('/')}/out"), _BatchFolders(f"{base.rstrip('/')}/state")
+
+    def state(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The state after a batch, without the keys that have expired."""
+        rows = spark.read.parquet(self.kept.path(batch_id))
+        if self.ttl is None:
+            return rows
+        newest = rows.agg(F.max("seen")).first()[0]
+        return rows if newest is None else rows.filter(F.col("seen") >= newest - self.ttl)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            out, after = self.step(batch, self.state(spark, batch_id - 1) if batch_id else None)
+            out.write.mode("overwrite").parquet(self.out.path(batch_id))
+            after.write.mode("overwrite").parquet(self.kept.path(batch_id))
+        finally:
+            batch.unpersist()
+        self.kept.expire(spark, batch_id - 1)
+
+    def result(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
+        return self.out.read(spark, [self.out.path(b) for b in self.out.complete(spark)], schema)
+
+
+def _without(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows whose key, null included, is not among ``keys``."""
+    return rows.join(keys.select(F.col(key).alias("__gone")), F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+
+
+def displacement_sink(base: str, key: str, x: str, y: str, order: Sequence[str] = ("ts", "event_id"),
+                      bucket_width=60, ttl_seconds: float | None = None) -> KeyedSink:
+    """Delta to the key's previous sample, across micro-batches. The state,
+    a key's last sample, enters the batch ahead of the key's first row."""
+    time, *rest = order
+
+    def step(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        rows = batch.withColumn("__own", F.lit(1))
+        if state is not None:
+            first = batch.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*order)).alias("__first"))
+            carried = (state.join(first, F.col(key).eqNullSafe(F.col("__key")))
+                       .select(key, *(F.col(last).alias(c) for c, last in {x: "last_x", y: "last_y"}.items()), "__first.*",
+                               F.lit(0).alias("__own")))
+            rows = rows.unionByName(carried, allowMissingColumns=True)
+        out = (displacement(rows, key, x, y, (time, "__own", *rest), bucket_width)
+               .filter("__own = 1").drop("__own"))
+        point = F.struct(F.col(x).alias("last_x"), F.col(y).alias("last_y"))
+        last = (batch.groupBy(key).agg(F.max_by(point, F.struct(*order)).alias("__last"),
+                                       F.max(epoch_micros(batch, time)).alias("seen"))
+                .select(key, "__last.*", "seen"))
+        return out, last if state is None else last.unionByName(_without(state, key, last))
+
+    return KeyedSink(base, step, ttl_seconds)
+
+
+def take_until_sink(base: str, key: str, is_stop: Column, order: Sequence[str] = ("ts", "event_id"),
+                    ttl_seconds: float | None = None) -> KeyedSink:
+    """D3: rows until each key's first sentinel, inclusive. The state is the
+    keys that have stopped."""
+    def step(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        live = batch if state is None else _without(batch, key, state)
+        stopped = (live.filter(F.coalesce(is_stop, F.lit(False))).groupBy(key)
+                   .agg(F.max(epoch_micros(batch, order[0])).alias("seen")))
+        return take_until(live, key, is_stop, order), stopped if state is None else state.unionByName(stopped)
+
+    return KeyedSink(base, step, ttl_seconds)
+
+
+def throttle_sink(base: str, key: str, every_seconds: float, order: Sequence[str] = ("ts", "event_id"),
+                  eligible: Column | None = None, force: Column | None = None, rewind: Column | None = None,
+                  rewind_delay: float = 1.0, ttl_seconds: float | None = None) -> KeyedSink:
+    """D3: the per-key throttle of ``operators.events.throttle`` on a stream;
+    the state is the keys' timers."""
+    def step(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        time = epoch_micros(batch, order[0])
+        passed, timers = throttle_from(batch, key, every_seconds, time, list(order), eligible, force, rewind, rewind_delay,
+                                       None if state is None else state.select(key, "timer"))
+        seen = batch.filter(time.isNotNull()).select(key, time.alias("seen"))
+        seen = (seen if state is None else seen.unionByName(state.select(key, "seen"))) \
+            .groupBy(F.col(key).alias("__key")).agg(F.max("seen").alias("seen"))
+        return passed, timers.join(seen, F.col(key).eqNullSafe(F.col("__key"))).select(key, "timer", "seen")
+
+    return KeyedSink(base, step, ttl_seconds)
+
+
+# ---------------------------------------------------------------------------
+# Retention on a stream
+# ---------------------------------------------------------------------------
+
 class RetainSink(_BatchFolders):
     """``foreachBatch`` handler keeping the newest ``quota`` rows per class.
 
@@ -279,8 +252,8 @@ class RetainSink(_BatchFolders):
         kept.write.mode("overwrite").parquet(self.path(batch_id))
         self.expire(spark, batch_id - 1)
 
-    def result(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path(self.complete(spark)[-1]))
+    def result(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
+        return self.read(spark, [self.path(b) for b in self.complete(spark)[-1:]], schema)
 
 
 # ---------------------------------------------------------------------------
@@ -290,20 +263,66 @@ class RetainSink(_BatchFolders):
 class MergeSink(_BatchFolders):
     """``foreachBatch`` handler for aggregates that merge.
 
-    Each batch writes ``partial(batch)``; ``result`` is ``merge`` of all partial
-    rows. No group waits for a watermark and no late row is dropped.
+    Each batch writes ``partial(batch)``; ``fan`` folders of a tier in a row are
+    merged into one of the next, so that after n batches at most ``fan - 1``
+    folders of each of log(n) tiers are read. ``result`` is ``merge`` of these.
+    No group waits for a watermark and no late row is dropped. A retried batch
+    writes its own folder and tiers again; folders that a tier holds go with the
+    batch after.
     """
 
     def __init__(self, base: str, partial: Callable[[DataFrame], DataFrame],
-                 merge: Callable[[DataFrame], DataFrame]):
+                 merge: Callable[[DataFrame], DataFrame], fan: int = 8):
         super().__init__(base)
-        self.partial, self.merge = partial, merge
+        self.partial, self.merge, self.fan = partial, merge, fan
+
+    def tier(self, level: int, batch_id: int) -> str:
+        """The folder of the ``fan ** level`` batches that end with this one."""
+        return self.path(batch_id) if not level else f"{self.base}/tier-{level:03d}-{batch_id:012d}"
+
+    def folders(self, spark: SparkSession) -> set[str]:
+        """Folders that were written to the end."""
+        fs, root = self._files(spark)
+        if not fs.exists(root):
+            return set()
+        found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "*/_SUCCESS"))
+        return {f"{self.base}/{f.getPath().getParent().getName()}" for f in found}
+
+    def cover(self, spark: SparkSession, batch_id: int, have: set[str] | None = None) -> list[str]:
+        """The folders that hold all batches up to this one, the widest first."""
+        have, out, end = self.folders(spark) if have is None else have, [], batch_id
+        while end >= 0:
+            level = 0
+            while (end + 1) % self.fan ** (level + 1) == 0 and self.tier(level + 1, end) in have:
+                level += 1
+            if self.tier(level, end) not in have:
+                raise FileNotFoundError(self.tier(level, end))
+            out.append(self.tier(level, end))
+            end -= self.fan ** level
+        return out
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        have = self.folders(spark)
+        if batch_id:
+            used = set(self.cover(spark, batch_id - 1, have))
+            fs, _ = self._files(spark)
+            for folder in have:
+                if folder not in used and int(folder.rsplit("-", 1)[1]) < batch_id:
+                    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
         self.partial(batch).write.mode("overwrite").parquet(self.path(batch_id))
-
-    def result(self, spark: SparkSession) -> DataFrame:
-        return self.merge(spark.read.parquet(*[self.path(b) for b in self.complete(spark)]))
+        level = 1
+        while (batch_id + 1) % self.fan ** level == 0:
+            below = [self.tier(level - 1, batch_id - k * self.fan ** (level - 1)) for k in range(self.fan)]
+            self.merge(spark.read.parquet(*below)).write.mode("overwrite").parquet(self.tier(level, batch_id))
+            level += 1
+
+    def result(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
+        """Without a batch so far, an empty table for a stream of ``schema``."""
+        done = [int(f.rsplit("-", 1)[1]) for f in self.folders(spark)]
+        if not done:
+            return self.merge(self.partial(self.read(spark, [], schema)))
+        return self.merge(spark.read.parquet(*self.cover(spark, max(done))))
 
 
 def tick_flags_sink(base: str, key: str, ts: str, every: str, flags: dict[str, Column]) -> MergeSink:
