@@ -7,9 +7,12 @@ the tasks it ran, not the table.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +61,7 @@ def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str
             yield b.column(0), [t or "" for t in b.column(1).to_pylist()]
 
 
-def bounded(rows: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def bounded(rows: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes of text, so that what a
     worker builds from a slice does not grow with the batch. A longer text is a
     slice of its own; no text is cut."""
@@ -72,6 +75,20 @@ def bounded(rows: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -
             start = stop
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, whose task hands the memory it no longer uses back to the system
+    at its end: a worker lives on and runs the tasks of later stages."""
+    def held(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(rows)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps the memory
+                ctypes.CDLL(None).malloc_trim(0)
+    return held
+
+
 def crc_mod(doc_id, divisor: int):
     """crc32 of the id's decimal text modulo ``divisor`` (null id: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import bounded, doc_text, materialise
+from emberwake.llm.common import bounded, doc_text, materialise, trimmed
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
 #: The words of a lower-cased text; odd multipliers of the hashes.
@@ -168,7 +168,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
             row += len(words)
 
     seen_docs = materialise(
-        source.mapInArrow(scan, f"row long, doc_id {kind}, n_words long, prints array<{PRINT}>"), "doc_prints")
+        source.mapInArrow(trimmed(scan), f"row long, doc_id {kind}, n_words long, prints array<{PRINT}>"), "doc_prints")
     item_kind = prints.schema["item_id"].dataType.simpleString()
     hits = (seen_docs.select("row", F.explode("prints").alias("p")).select("row", "p.*")
             .join(prints, ["print", "length"])

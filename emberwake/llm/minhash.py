@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import bounded, doc_text, materialise
+from emberwake.llm.common import bounded, doc_text, materialise, trimmed
 from emberwake.llm.partenum import Bands, close_pairs, components, digests, folded, linked_pairs, mix, shingle_sets, sketches
 
 #: Odd multipliers and an offset of the two permutations.
@@ -51,8 +51,6 @@ SIGMA, PI1, PI2 = (np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xBF58476D1CE4E5B9
 MISS = 1e-8
 #: Elements hashed at a time: they stay in the processor's cache.
 CHUNK = 1 << 15
-#: Bytes of text that a task turns into sets at a time.
-SLICE = 1 << 20
 #: Members of a bucket that one comparison holds: two blocks of this size.
 BLOCK = 512
 #: More than one in so many rows make a class heavy.
@@ -107,7 +105,7 @@ def signed_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in bounded(batches, 1, SLICE):
+        for b in bounded(batches, 1):
             values, ends = shingle_sets(b.column(1), width)
             cid = digests(values, ends)
             firsts = {c: k for k, c in reversed(list(enumerate(cid))) if c is not None}
@@ -130,7 +128,7 @@ def signed_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame
                  pa.array(sketches(held, own_ends), BINARY).take(at), pa.array(elements, BINARY).take(at)],
                 ["doc_id", "n_shingles", "cid", "keys", "sketch", "elements"])
 
-    return materialise(source.mapInArrow(run, f"doc_id {kind}, n_shingles long, cid long, keys array<long>, "
+    return materialise(source.mapInArrow(trimmed(run), f"doc_id {kind}, n_shingles long, cid long, keys array<long>, "
                                               "sketch binary, elements binary"), "signed_sets")
 
 
@@ -144,7 +142,7 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> Data
     a = held.select(F.col("cid").alias("a"), F.col("elements").alias("x"))
     b = held.select(F.col("cid").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return materialise(both.mapInArrow(lambda r: linked_pairs(r, percent), "a long, b long"), name)
+    return materialise(both.mapInArrow(trimmed(lambda r: linked_pairs(r, percent)), "a long, b long"), name)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, comp: np.ndarray) -> np.ndarray:

@@ -58,6 +58,8 @@ from emberwake.session import scratch_path
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: The end token's place among the word hashes.
 END = np.uint64(0x51ED270B0A3F5C11)
+#: Bytes of text that are looked up together.
+SLICE = 4 << 20
 #: Tokens that a task counts together before it ships them.
 HELD = 2_000_000
 #: What the driver sees of a shard.
@@ -130,7 +132,7 @@ def _ship(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarr
                 [pa.array([int(shard[lo]) for lo, _ in spans], pa.int32()),
                  pa.array([squeeze(k[lo:hi], c[lo:hi]) for lo, hi in spans], pa.binary())], ["shard", "data"])
 
-        for b in bounded(rows, 0):
+        for b in bounded(rows, 0, SLICE):
             k, c = np.unique(keys_of(*tokens(b.column(0))), return_counts=True)
             keys.append(k)
             counts.append(c.astype(np.uint64))
@@ -400,7 +402,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v = model.total, sum(model.sizes)
         unknown = (model.once + 1) / (n + 2)
-        for b in bounded(rows, 1):
+        for b in bounded(rows, 1, SLICE):
             hashes, sizes = tokens(b.column(1))
             _, _, count, shares = model.pairs(hashes, sizes)
             base = np.log10((count + 1) / (n + (v + 1)))

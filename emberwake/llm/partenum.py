@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import bounded, doc_text, materialise
+from emberwake.llm.common import bounded, doc_text, materialise, trimmed
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
 #: Words of a lower-cased text; odd multipliers of the hashes.
@@ -56,6 +56,8 @@ BASE, MIX, MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 SUBPARTS, SLACK = 3, 0.1
 #: Members of a bucket that one comparison holds: two blocks of this size.
 BLOCK = 2048
+#: Sets that a task remembers to have signed, in one place each.
+SIGNED = 1 << 16
 LONG, BINARY = pa.int64(), pa.binary()
 
 
@@ -200,29 +202,40 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
                 [b.column(0), pa.array(np.diff(ends, prepend=0)), pa.array(digests(values, ends), LONG),
                  pa.array(sketches(values, ends), BINARY)], ["doc_id", "n_shingles", "cid", "sketch"])
 
-    return materialise(source.mapInArrow(run, f"doc_id {kind}, n_shingles long, cid long, sketch binary"), "shingle_sets")
+    return materialise(source.mapInArrow(trimmed(run), f"doc_id {kind}, n_shingles long, cid long, sketch binary"), "shingle_sets")
+
+
+class Signed:
+    """Remembers sets, each in the one place its digest gives it; a later set of
+    the same place takes it. What it forgets is signed again, no more."""
+
+    def __init__(self, places: int = SIGNED):
+        self.held = np.zeros(places, np.int64)
+        self.used = np.zeros(places, bool)
+
+    def first(self, numbers: np.ndarray) -> np.ndarray:
+        """Which of the digests are not remembered, equal ones once."""
+        new = np.zeros(len(numbers), bool)
+        values, at = np.unique(numbers, return_index=True)
+        place = values & (len(self.held) - 1)
+        fresh = ~(self.used[place] & (self.held[place] == values))
+        self.held[place], self.used[place] = values, True
+        new[at[fresh]] = True
+        return new
 
 
 def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """sig, cid: the signatures of every set, equal sets once per task."""
+    """sig, cid: the signatures of every set, equal sets about once per task."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent), set()
+        bands, seen = Bands(percent), Signed()
         for b in bounded(rows, 0):
             values, ends = shingle_sets(b.column(0), width)
-            cid = digests(values, ends)
+            numbers = np.array([c or 0 for c in digests(values, ends)], np.int64)
             sig, text = signatures(values, ends, bands)
-            new = np.zeros(len(cid), bool)
-            for i, c in enumerate(cid):
-                if c is not None and c not in seen:
-                    seen.add(c)
-                    new[i] = True
-            if len(seen) > 1_000_000:  # a matter of saving work only
-                seen.clear()
-            keep = new[text]
-            numbers = np.array([c or 0 for c in cid], np.int64)
+            keep = seen.first(numbers)[text]
             yield pa.RecordBatch.from_arrays([_long(sig[keep]), pa.array(numbers[text[keep]])], ["sig", "cid"])
 
-    return docs.select("text").mapInArrow(run, "sig long, cid long")
+    return docs.select("text").mapInArrow(trimmed(run), "sig long, cid long")
 
 
 def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +369,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(digests(values, ends), LONG), pa.array(elements, BINARY)],
                                              ["cid", "elements"])
 
-    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "cid long, elements binary")
+    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(trimmed(run), "cid long, elements binary")
     return materialise(found.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "class_sets")
 
 
@@ -367,7 +380,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     a = sets.select(F.col("cid").alias("a"), F.col("elements").alias("x"))
     b = sets.select(F.col("cid").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return materialise(both.mapInArrow(lambda rows: linked_pairs(rows, percent), "a long, b long"), name)
+    return materialise(both.mapInArrow(trimmed(lambda rows: linked_pairs(rows, percent)), "a long, b long"), name)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -400,7 +413,7 @@ def _compared(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     classes = materialise(found.filter("cid is not null").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     shared = materialise(_signed(docs, width, percent).repartition("sig").sortWithinPartitions("sig", "cid")
-                         .mapInArrow(_shared, "sig long, cid long, pivot long"), "shared_signatures")
+                         .mapInArrow(trimmed(_shared), "sig long, cid long, pivot long"), "shared_signatures")
     a = classes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
     b = classes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
     with_pivot = (shared.filter("cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 #: Words a worker remembers before it starts anew.
-WORDS_HELD = 300_000
+WORDS_HELD = 100_000
 FILTER_BITS = 1 << 24
 
 

@@ -5,6 +5,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +190,16 @@ def test_similar_documents_of_the_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     got = similar_documents(docs.withColumn("extra", F.lit(1)), 5, 80).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == component_ids(rows, 5, 80)
+
+
+def test_signed_sets_are_remembered_or_signed_again():
+    from emberwake.llm.partenum import Signed
+    seen = Signed(4)
+    assert seen.first(np.array([0, 1, 1, 2, 0])).tolist() == [True, True, False, True, False]
+    assert not seen.first(np.array([0, 1, 2])).any() and seen.first(np.array([5])).all() and seen.first(np.array([1])).all()
+    seen = Signed(1 << 10)
+    rng = np.random.default_rng(1)
+    numbers = rng.integers(-2**62, 2**62, 200)
+    assert seen.first(np.concatenate([numbers, numbers])).sum() == 200
+    again = seen.first(numbers)
+    assert 0 < again.sum() < 100  # those whose place another set took
