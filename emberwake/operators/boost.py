@@ -15,7 +15,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberwake.session import at_least_cores, scratch_path
+from emberwake.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def fit_boosted(df: DataFrame, params: BoostParams = BoostParams(), workers: int
     """Train (M2). ``workers`` sets the partition count (M6); ``spill`` keeps the
     training input on disk instead of memory (the external-memory mode)."""
     data = df.select(label, features)
-    data = data.repartition(int(workers)) if workers else at_least_cores(data)
+    data = data.repartition(int(workers)) if workers else data
     if spill:
         data = data.persist(StorageLevel.DISK_ONLY)
     try:

@@ -669,6 +669,10 @@ def q_newton_labels(spark, sf_dir):
     data = feats.join(labels.select("doc_id", F.col("quality").cast("double").alias("label")),
                       "doc_id")
     cols = ["n_chars", "n_lines", "n_words", "n_digits"]
+    # the features of the labelled documents, worked out once: texts are not read again to fit and to score
+    path = scratch_path(spark, "newton_labels")
+    data.write.parquet(path)
+    data = spark.read.schema(data.schema).parquet(path)
     model = N.newton_fit(data, "label", cols, N.NewtonParams(rounds=BOOST_ROUNDS))
     return model.transform(data).select("doc_id", "label", F.round("probability", 6)
                                         .alias("probability"), "prediction")
@@ -698,6 +702,51 @@ FROM e GROUP BY feature, bin
 """
 
 
+def q_newton_round(spark, sf_dir):
+    """One round of depth one at given thresholds; each tenth line's quantity is
+    unknown, so the split also says on which side the unknown go."""
+    li = _returned(spark, sf_dir).withColumn(
+        "quantity", F.when(F.col("l_orderkey") % 10 != 0, F.col("l_quantity")))
+    model = N.newton_fit(li, "label", ["quantity", "l_discount"], N.NewtonParams(rounds=1, max_depth=1, min_child_weight=0.5),
+                         HIST_THRESHOLDS)
+    return model.transform(li).select("l_orderkey", "l_linenumber", "label",
+                                      F.round("probability", 6).alias("probability"), "prediction")
+
+
+def _bin_or_null_sql(col: str, ts: list[float]) -> str:
+    return f"CASE WHEN {col} IS NULL THEN -1 ELSE {_bin_sql(col, ts)} END"
+
+
+SQL_NEWTON_ROUND = f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS DOUBLE) AS y,
+                   CASE WHEN l_orderkey % 10 <> 0 THEN l_quantity END AS quantity, l_discount FROM lineitem),
+b AS (SELECT *, {_bin_or_null_sql('quantity', HIST_THRESHOLDS[0])} AS bin0,
+             {_bin_or_null_sql('l_discount', HIST_THRESHOLDS[1])} AS bin1 FROM li),
+e AS (SELECT 0 AS f, bin0 AS bin, y FROM b UNION ALL SELECT 1, bin1, y FROM b),
+hist AS (SELECT f, bin, sum(CAST(0.5 AS DOUBLE) - y) AS g, sum(CAST(0.25 AS DOUBLE)) AS h FROM e GROUP BY f, bin),
+t AS (SELECT sum(g) AS g, sum(h) AS h FROM hist WHERE f = 0),
+nul AS (SELECT f, sum(CASE WHEN bin = -1 THEN g ELSE 0 END) AS g, sum(CASE WHEN bin = -1 THEN h ELSE 0 END) AS h,
+               max(bin) AS top FROM hist GROUP BY f),
+cum AS (SELECT f, bin, sum(g) OVER w AS g, sum(h) OVER w AS h FROM hist WHERE bin >= 0
+        WINDOW w AS (PARTITION BY f ORDER BY bin)),
+side AS (SELECT true AS left_nulls UNION ALL SELECT false),
+cand AS (SELECT cum.f, cum.bin, left_nulls, cum.g + CASE WHEN left_nulls THEN nul.g ELSE 0 END AS gl,
+                cum.h + CASE WHEN left_nulls THEN nul.h ELSE 0 END AS hl
+         FROM cum JOIN nul USING (f) CROSS JOIN side
+         WHERE (nul.h > 0 OR left_nulls) AND (cum.bin < nul.top OR (NOT left_nulls AND nul.h > 0))),
+gain AS (SELECT cand.*, t.g - gl AS gr, t.h - hl AS hr,
+                0.5 * (gl * gl / (hl + 1) + (t.g - gl) * (t.g - gl) / (t.h - hl + 1) - t.g * t.g / (t.h + 1)) AS gain
+         FROM cand, t WHERE hl >= 0.5 AND t.h - hl >= 0.5),
+best AS (SELECT * FROM gain WHERE gain > 1e-6 ORDER BY round(gain, 7) DESC, f, bin, left_nulls DESC LIMIT 1),
+m AS (SELECT b.*, -0.1 * CASE
+          WHEN CASE WHEN (CASE WHEN best.f = 0 THEN bin0 ELSE bin1 END) = -1 THEN left_nulls
+                    ELSE (CASE WHEN best.f = 0 THEN bin0 ELSE bin1 END) <= best.bin END
+          THEN gl / (hl + 1) ELSE gr / (hr + 1) END AS margin FROM b, best)
+SELECT l_orderkey, l_linenumber, y AS label, round(1 / (1 + exp(-margin)), 6) AS probability,
+       CAST(1 / (1 + exp(-margin)) > 0.5 AS DOUBLE) AS prediction FROM m
+"""
+
+
 def q_newton_fit(spark, sf_dir):
     """Second-order boosted trees on all lines, applied to all lines."""
     li = _returned(spark, sf_dir)
@@ -750,6 +799,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "boost_fit_predict": (q_boost_fit_predict, None),
     "boost_embeddings": (q_boost_embeddings, None),
     "feature_score": (q_feature_score, None),
+    "newton_round": (q_newton_round, SQL_NEWTON_ROUND),
     "newton_fit": (q_newton_fit, None),
     "newton_labels": (q_newton_labels, None),
 }

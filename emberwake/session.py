@@ -70,11 +70,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared folder (never reused)."""
     base = shared_dir(spark)
     return f"{base}/emberwake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def at_least_cores(df):
-    """Raise ``df`` to at least one partition per core for iterative jobs
-    (model fits re-read their input many times). Never lowers the count, so
-    a large input keeps its own splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
