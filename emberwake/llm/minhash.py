@@ -18,11 +18,9 @@ without a common band with a probability of at most ``MISS`` (85 in a hundred an
 3. A pair is dropped when its sketches differ in more bits than linked sets may
    differ in elements (no link is lost); the others are compared on full sets.
 4. Links are united into components by minimum propagation.
-5. Members of one bucket that still lie in different components are compared by
-   sketch inside tasks, those of similar size at a time, in blocks bounded by
-   number. Two rounds emit a spanning forest of the pairs that pass, at most one
-   pair a member, since most will turn out linked; the last emits all that are
-   left. Each is verified like those before.
+5. Buckets whose members still lie in different components are taken up again
+   (see ``buckets``): with other pivots, then by sketch inside tasks. Pairs that
+   pass are verified like those before.
 6. Classes that hold more than one in ``SHARE`` of all documents (so at most
    ``SHARE`` of them) meet their documents by a broadcast, the others by a shuffle.
 
@@ -43,16 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberwake.llm.buckets import close_pairs, joined_buckets
 from emberwake.llm.common import bounded, doc_text, materialise, trimmed
-from emberwake.llm.partenum import Bands, close_pairs, components, digests, folded, linked_pairs, mix, shingle_sets, sketches
+from emberwake.llm.partenum import components, digests, linked_pairs, mix, shingle_sets, sketches
 
 #: Odd multipliers and an offset of the two permutations.
 SIGMA, PI1, PI2 = (np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 MISS = 1e-8
 #: Elements hashed at a time: they stay in the processor's cache.
 CHUNK = 1 << 15
-#: Members of a bucket that one comparison holds: two blocks of this size.
-BLOCK = 512
 #: More than one in so many rows make a class heavy.
 SHARE = 10_000
 #: Classes whose numbers are broadcast to find their sets; more are joined by a shuffle.
@@ -145,104 +142,6 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> Data
     return materialise(both.mapInArrow(trimmed(lambda r: linked_pairs(r, percent)), "a long, b long"), name)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, comp: np.ndarray) -> np.ndarray:
-    """Which pairs (places in ``comp``) join components not yet joined by pairs
-    before them."""
-    top: dict[int, int] = {}
-
-    def find(c: int) -> int:
-        while c in top:
-            c = top[c]
-        return c
-
-    keep = np.zeros(len(a), bool)
-    for k, (p, q) in enumerate(zip(comp[a].tolist(), comp[b].tolist())):
-        p, q = find(p), find(q)
-        if p != q:
-            top[max(p, q)] = min(p, q)
-            keep[k] = True
-    return keep
-
-
-def _compared(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in groups that their sketches allow.
-
-    Columns: sig, step, i, j, block, low, cid, comp, n, sketch; rows of a group
-    (sig, step, i, j) lie together. A group holds two blocks at most.
-    """
-    bands = Bands(percent)
-
-    def pairs(group: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(group).combine_chunks()
-        i, j, block, low, cid, comp, n = (t.column(k).to_numpy() for k in range(2, 9))
-        raw = t.column(9).to_pylist()
-        words = min(map(len, raw)) // 8
-        sketch = np.concatenate([folded(np.frombuffer(x, "<u8").reshape(1, -1), words) for x in raw])
-        out_a, out_b = [], []
-        rows = max(1, (1 << 22) // (len(raw) * words * 8))
-        for lo in range(0, len(raw), rows):
-            hi = min(len(raw), lo + rows)
-            room = bands.differences(n[lo:hi, None] + n[None, lo:])
-            ok = (comp[lo:hi, None] != comp[None, lo:]) & (np.abs(n[None, lo:] - n[lo:hi, None]) <= room)
-            ok &= np.arange(lo, hi)[:, None] < np.arange(lo, len(raw))[None]
-            ok &= low[lo:hi, None] | low[None, lo:]
-            if i[0] != j[0]:
-                ok &= block[lo:hi, None] != block[None, lo:]
-            x, y = np.nonzero(ok)
-            near = np.bitwise_count(sketch[lo + x] ^ sketch[lo + y]).sum(axis=1) <= room[x, y]
-            out_a.append(lo + x[near])
-            out_b.append(lo + y[near])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        if forest:
-            keep = _forest(a, b, comp)
-            a, b = a[keep], b[keep]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))],
-                                          ["a", "b"])
-
-    group: list[pa.RecordBatch] = []
-    now = None
-    for r in batches:
-        if not r.num_rows:
-            continue
-        r = pa.RecordBatch.from_arrays(r.columns, names=r.schema.names)  # the nullability flags differ
-        keys = np.stack([r.column(k).to_numpy().astype(np.int64) for k in range(4)], axis=1)
-        cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(keys)]):
-            key = tuple(keys[lo].tolist())
-            if key != now and group:
-                yield pairs(group)
-                group = []
-            now = key
-            group.append(r.slice(lo, hi - lo))
-    if group:
-        yield pairs(group)
-
-
-def _left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """A table of pairs (a, b) of one bucket, in different components, that
-    their sketches allow."""
-    member = shared.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    split = (member.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("m > 2 and lo != hi").select("sig"))
-    # sets that link differ in size by less than one step: a group holds two
-    size = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
-    inside = (member.join(split, "sig").join(classes.select("cid", "n", "sketch"), "cid")
-              .withColumn("low", F.explode(F.array(F.lit(True), F.lit(False))))
-              .withColumn("step", F.when(F.col("low"), size).otherwise(size - 1)))
-    inside = materialise(inside.select("sig", "step", "low", "cid", "comp", "n", "sketch"), "split_buckets")
-    groups = (inside.groupBy("sig", "step").agg(F.count(F.lit(1)).alias("m"), F.max("low").alias("some"),
-                                                F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-              .filter("some and m > 1 and lo != hi")
-              .select("sig", "step", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    cells = (inside.join(groups, ["sig", "step"])
-             .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("sig", "step", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "low", "cid", "comp", "n", "sketch"))
-    return materialise(cells.repartition("sig", "step", "i", "j").sortWithinPartitions("sig", "step", "i", "j")
-                       .mapInArrow(lambda r: _compared(r, percent, forest), "a long, b long").distinct(), "bucket_pairs")
-
-
 def class_components(sets: DataFrame, percent: int) -> DataFrame:
     """cid, copies (documents of the class), component (least doc_id)."""
     classes = materialise(
@@ -260,14 +159,8 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
     pairs = materialise(starred.mapInArrow(lambda r: close_pairs(r, percent), "a long, b long"), "pivot_pairs")
     links = verified(sets, pairs, percent, "links")
     labels = components(links)
-    for forest in (True, True, False):
-        pairs = _left_over(shared, classes, labels, percent, forest)
-        if pairs.isEmpty():
-            break
-        more = verified(sets, pairs, percent, "more_links")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
+    labels = joined_buckets(shared, classes, links, labels, percent, components,
+                            lambda more: verified(sets, more, percent, "more_links"))
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component"))
     return materialise(named.join(least, "comp").select("cid", "copies", "component"), "class_components")

@@ -25,10 +25,10 @@ for the next one.
    verified on the sets, read from the texts of just these classes.
 4. Verified links are united into components by minimum propagation with
    shortcuts over tables in the shared folder.
-5. Members of one bucket that still lie in different components are compared by
-   sketch inside tasks, in blocks of bounded size; only pairs that pass are
-   emitted and verified like those before. So every pair with a common
-   signature is linked, in one component, ruled out by its sketch, or verified.
+5. Buckets whose members still lie in different components are taken up again
+   (see ``buckets``): with other pivots, then by sketch inside tasks. Pairs that
+   pass are verified like those before. So every pair with a common signature is
+   linked, in one component, ruled out by its sketch, or verified.
 
 Cases: a text of fewer words than a shingle is one shingle; a null text or one
 without words has no shingles, is linked with nothing and is its own component;
@@ -47,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberwake.llm.buckets import Bands, close_pairs, joined_buckets
 from emberwake.llm.common import bounded, doc_text, materialise, trimmed
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
@@ -54,8 +55,6 @@ from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, wor
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 BASE, MIX, MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 SUBPARTS, SLACK = 3, 0.1
-#: Members of a bucket that one comparison holds: two blocks of this size.
-BLOCK = 2048
 #: Sets that a task remembers to have signed, in one place each.
 SIGNED = 1 << 16
 LONG, BINARY = pa.int64(), pa.binary()
@@ -90,29 +89,6 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return value[new], np.cumsum(np.bincount(text[new], minlength=len(words)))
 
 
-class Bands:
-    """Size bands for a similarity of ``percent`` in a hundred."""
-
-    def __init__(self, percent: int, largest: int = 1 << 40):
-        if not 0 < percent < 100:
-            raise ValueError("percent must lie between 0 and 100")
-        self.percent = percent
-        tops, top = [], 1
-        while top < largest:
-            tops.append(top)
-            # two steps of the size ratio that similar sets can have
-            top = max(top + 1, top * 100 // percent * 100 // percent)
-        self.tops = np.array([*tops, top, top * 2], np.int64)
-
-    def of(self, size: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.tops, size)
-
-    def differences(self, total):
-        """The most elements in which similar sets of ``total`` elements in
-        all differ."""
-        return total * (100 - self.percent) // (100 + self.percent)
-
-
 def signatures(values: np.ndarray, ends: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """(signature, text) of all texts; equal sets need none of their own, so
     bands without room for a difference give none."""
@@ -181,11 +157,6 @@ def sketches(values: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return out
 
 
-def folded(sketch: np.ndarray, words: int) -> np.ndarray:
-    """Sketches (rows of 64-bit words) as they would be with fewer cells."""
-    return np.bitwise_xor.reduce(sketch.reshape(len(sketch), -1, words), axis=1)
-
-
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
@@ -267,22 +238,6 @@ def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x], LONG) for x in held[:3]], ["sig", "cid", "pivot"])
 
 
-def close_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of (a, b, sizes, sketches): the pairs that their sketches allow."""
-    bands = Bands(percent)
-    for r in rows:
-        keep = []
-        for na, nb, x, y in zip(*(r.column(i).to_pylist() for i in (2, 3, 4, 5))):
-            room = int(bands.differences(na + nb))
-            if abs(na - nb) <= room and len(x) != len(y):
-                words = min(len(x), len(y)) // 8
-                x, y = (folded(np.frombuffer(z, "<u8").reshape(1, -1), words).tobytes() for z in (x, y))
-            keep.append(abs(na - nb) <= room and
-                        (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count() <= room)
-        r = r.filter(pa.array(keep, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([r.column(0), r.column(1)], ["a", "b"])
-
-
 def linked_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of (a, b, sets): the pairs that link."""
     for r in rows:
@@ -295,66 +250,6 @@ def linked_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(1)], ["a", "b"])
 
 
-def _within(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, i, j): pairs of one group that lie in different
-    components, were not paired with a pivot, and that their sketches allow.
-
-    Columns: sig, i, j, block, cid, pivot, comp, n, sketch. A group holds at
-    most two blocks.
-    """
-    bands = Bands(percent)
-
-    def pairs(group: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(group)
-        i, j, block, cid, pivot, comp, n = (t.column(k).to_numpy() for k in range(1, 8))
-        raw = t.column(8).to_pylist()
-        words = min(map(len, raw)) // 8
-        sketch = np.zeros((len(raw), words), np.uint64)
-        sizes = np.array([len(x) for x in raw])
-        for size in np.unique(sizes):
-            rows = np.flatnonzero(sizes == size)
-            sketch[rows] = folded(np.frombuffer(b"".join(raw[k] for k in rows), "<u8").reshape(len(rows), -1), words)
-        order = np.argsort(n, kind="stable")
-        a_out, b_out = [], []
-        step = max(1, (1 << 22) // (len(raw) * words * 8))
-        block, cid, comp, n, sketch, pivot = (x[order] for x in (block, cid, comp, n, sketch, pivot))
-        apart = i[0] != j[0]
-        for lo in range(0, len(raw), step):
-            hi = min(len(raw), lo + step)
-            # partners come after, by size
-            room = bands.differences(n[lo:hi, None] + n[None, lo:])
-            ok = (comp[lo:hi, None] != comp[None, lo:]) & (n[None, lo:] - n[lo:hi, None] <= room)
-            ok &= np.arange(lo, hi)[:, None] < np.arange(lo, len(raw))[None]
-            ok &= (cid != pivot)[lo:hi, None] & (cid != pivot)[None, lo:]
-            if apart:
-                ok &= block[lo:hi, None] != block[None, lo:]
-            x, y = np.nonzero(ok)
-            differ = np.bitwise_count(sketch[lo + x] ^ sketch[lo + y]).sum(axis=1)
-            near = differ <= room[x, y]
-            a_out.append(cid[lo + x[near]])
-            b_out.append(cid[lo + y[near]])
-        a, b = np.concatenate(a_out), np.concatenate(b_out)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    group: list[pa.RecordBatch] = []
-    now = None
-    for r in rows:
-        if not r.num_rows:
-            continue
-        r = pa.RecordBatch.from_arrays(r.columns, names=r.schema.names)
-        keys = np.stack([r.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
-        cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(keys)]):
-            key = tuple(keys[lo].tolist())
-            if key != now and group:
-                yield pairs(group)
-                group = []
-            now = key
-            group.append(r.slice(lo, hi - lo))
-    if group:
-        yield pairs(group)
-
-
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """cid, elements of the ``wanted`` classes (cid, rep), from their texts."""
     spark = docs.sparkSession
@@ -422,21 +317,8 @@ def _compared(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     links = _verified(docs, classes, pairs, width, percent, "links")
     labels = components(links)
 
-    member = shared.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    # two members were paired as pivot and other; three or more may hold pairs not yet compared
-    split = member.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .filter("m > 2 and lo != hi").select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rest = (member.join(split, "sig").join(classes.select("cid", "n", "sketch"), "cid")
-            .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "cid", "pivot", "comp", "n", "sketch"))
-    left = materialise(
-        rest.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-        .mapInArrow(lambda rows: _within(rows, percent), "a long, b long").distinct(), "bucket_pairs")
-    if not left.isEmpty():
-        more = _verified(docs, classes, left, width, percent, "more_links")
-        labels = components(links.union(more))
+    labels = joined_buckets(shared, classes, links, labels, percent, components, lambda more: _verified(
+        docs, classes, more, width, percent, "more_links"))
 
     named = classes.select("cid", "rep").join(labels, "cid")
     least = named.groupBy("comp").agg(F.min("rep").alias("least"))

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_mod
-from emberwake.llm import minhash
+from emberwake.llm import buckets, minhash
 from emberwake.llm.common import reachable
 from emberwake.llm.minhash import band_count, band_keys, coordinates, near_duplicates
 from emberwake.llm.partenum import mix, shingle_sets
@@ -72,7 +72,8 @@ def test_chains_need_more_than_a_star(spark):
 
 
 def test_split_buckets_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(buckets, "BLOCK", 3)
+    monkeypatch.setattr(buckets, "PIVOTS", 0)
     check(spark, families(3, 2, 20, 60, 5), 1, 85)
 
 
