@@ -50,7 +50,7 @@ def test_throttle_spreads_dense_hot_key(spark):
     df = _hot(spark)
     # hot-key events are 18 s apart and the period is 100 s: the rule chains
     # through the whole key; its ranges still run in parallel, exactly
-    out = E.throttle(df, "user_id", 100).withColumn("pid", F.spark_partition_id())
+    out = E.throttle(df, "user_id", 100, partitions=16).withColumn("pid", F.spark_partition_id())
     hot = sorted((r for r in out.select("user_id", "ts", "pid").collect() if r.user_id == 0),
                  key=lambda r: r.ts)
     assert len({r.pid for r in hot}) > 4
