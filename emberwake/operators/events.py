@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberwake.functions.scalars import (
-    DEFAULT_QUOTA, key_code_dimension, mask_match, mask_union as _mask_union, mask_without,
+    DEFAULT_QUOTA, key_code_dimension, key_override, mask_match, mask_union as _mask_union, mask_without,
     norm, second_key,
 )
 from emberwake.operators import newest
@@ -283,6 +283,18 @@ def label_lookup(df: DataFrame, code: str, dim: DataFrame | None = None,
             .drop("__code", "__name"))
 
 
+def key_names(df: DataFrame, key_code: str, char: str, out: str = "key_name") -> DataFrame:
+    """The name of a key event (R19, then J1): two key codes override the
+    character; a character of one sign is then looked up in the built-in
+    dimension by its code point, and one without a name there is its own name."""
+    d = F.broadcast(key_code_dimension(df.sparkSession))
+    d = d.select(F.col("code").alias("__code"), F.col("name").alias("__name"))
+    said = df.withColumn("__char", key_override(F.col(key_code), F.col(char)))
+    point = F.when(F.length("__char") == 1, F.ascii("__char"))
+    return (said.withColumn("__point", point).join(d, F.col("__point") == F.col("__code"), "left")
+            .withColumn(out, F.coalesce("__name", "__char")).drop("__char", "__point", "__code", "__name"))
+
+
 # ---------------------------------------------------------------------------
 # Type masks
 # ---------------------------------------------------------------------------

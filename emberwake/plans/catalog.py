@@ -303,6 +303,25 @@ def q_key_label(spark, sf_dir):
         S.key_override(F.col("k"), ch).alias("character"))
 
 
+def q_key_names(spark, sf_dir):
+    """Key events by their character: letters for k < 26, signs of the function
+    area from there on, none for 'view' rows; k is the key code."""
+    sign = F.decode(F.unhex(F.hex(F.lit(S.FUNCTION_AREA_START) + F.col("k"))), "UTF-16BE")
+    ev = device_events(spark, sf_dir).withColumn(
+        "character", F.when(F.col("event_type") == "view", F.lit(None).cast("string"))
+        .when(F.col("k") < 26, F.char(F.col("k") + 97)).otherwise(sign))
+    return E.key_names(ev, "k", "character").select("event_id", "k", "key_name")
+
+
+SQL_KEY_NAMES = EV + f""",
+dim(code, name) AS (VALUES {_key_values_sql()}),
+c AS (SELECT event_id, k, CASE k WHEN 36 THEN 'Enter' WHEN 51 THEN 'Backspace'
+        ELSE CASE WHEN event_type = 'view' THEN NULL WHEN k < 26 THEN chr(CAST(97 + k AS INTEGER))
+                  ELSE chr(CAST({S.FUNCTION_AREA_START} + k AS INTEGER)) END END AS ch FROM ev)
+SELECT event_id, k, coalesce(dim.name, ch) AS key_name
+FROM c LEFT JOIN dim ON length(ch) = 1 AND dim.code = unicode(ch)
+"""
+
 KEY_VIEW_SQL = EV + f""",
 dim(code, name) AS (VALUES {_key_values_sql()}),
 kv AS (SELECT ev.*, CASE WHEN k < 26 THEN chr(k + 97) END AS ch,
@@ -779,6 +798,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "mask_union": (q_mask_union, SQL_MASK_UNION),
     "label_lookup": (q_label_lookup, SQL_LABEL_LOOKUP),
     "key_label": (q_key_label, SQL_KEY_LABEL),
+    "key_names": (q_key_names, SQL_KEY_NAMES),
     "pick_choice": (q_pick_choice, SQL_PICK_CHOICE),
     "pick_random": (q_pick_random, None),
     "tick_flags": (q_tick_flags, SQL_TICK_FLAGS),

@@ -386,6 +386,15 @@ def test_a_large_quota_sorts_no_class(spark):
     assert bounds["m"] <= 1000 and bounds["need"] <= bounds["m"]
 
 
+def test_key_names_chain(spark):
+    """Key code first, then the character's name, then the character itself."""
+    rows = [(36, "x"), (51, None), (48, "\t"), (53, "\x1b"), (126, "\uf700"), (1, "\uf704"), (0, "a"), (7, "ab"), (9, None),
+            (None, "\t"), (2, "")]
+    df = spark.createDataFrame(rows, "code int, character string")
+    got = {(r.code, r.character): r.key_name for r in E.key_names(df, "code", "character").collect()}
+    assert [got[r] for r in rows] == ["Enter", "Backspace", "Tab", "Escape", "Up", "F1", "a", "ab", None, "Tab", ""]
+
+
 def test_throttle_of_an_empty_table(spark):
     df = spark.createDataFrame([], "event_id long, user_id long, ts timestamp")
     assert E.throttle(df, "user_id", 5).count() == 0
