@@ -107,13 +107,25 @@ def item_key(cls: Column, key: Column, prefix: str = ITEM_PREFIX) -> Column:
     return F.concat_ws("-", F.lit(prefix), cls, key)
 
 
-def pick(choices: list[str], index: Column | None = None, seed: int | None = None) -> Column:
-    """One element of a fixed list (R10): keyed by ``index`` (deterministic) or
-    drawn with ``rand(seed)``."""
+def draw_hash(seed: int, *ids: Column) -> Column:
+    """A number below 2^60 drawn by ``seed`` and ``ids`` (R10, T3): equal under any
+    partitioning and on a repeated attempt. A null id counts as its own value."""
+    texts = [F.coalesce(F.concat(F.lit("="), i.cast("string")), F.lit("")) for i in ids]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *texts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def pick(choices: list[str], index: Column | None = None, seed: int | None = None,
+         key: Column | None = None) -> Column:
+    """One element of a fixed list (R10): keyed by ``index`` (deterministic),
+    drawn by ``seed`` and a row's ``key`` (the same whatever the partitioning), or
+    drawn with ``rand(seed)``, which depends on partitions."""
     arr = F.array(*[F.lit(c) for c in choices])
     n = len(choices)
     if index is not None:
         pos = F.pmod(index.cast("long"), F.lit(n)) + 1
+    elif key is not None:
+        pos = F.pmod(draw_hash(seed or 0, key), F.lit(n)) + 1
     else:
         pos = F.floor(F.rand(seed) * n).cast("int") + 1
     return F.element_at(arr, pos.cast("int"))

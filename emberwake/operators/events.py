@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberwake.functions.scalars import (
-    DEFAULT_QUOTA, key_code_dimension, key_override, mask_match, mask_union as _mask_union, mask_without,
+    DEFAULT_QUOTA, draw_hash, key_code_dimension, key_override, mask_match, mask_union as _mask_union, mask_without,
     norm, second_key,
 )
 from emberwake.operators import newest
@@ -174,6 +174,22 @@ def evicted(df: DataFrame, cls: str, quota=DEFAULT_QUOTA,
     return older.unionByName(tied.select(*df.columns))
 
 
+def draw_rows(df: DataFrame, n: int, ids: Sequence[str] | str, seed: int = 0, cls: str | None = None) -> DataFrame:
+    """``n`` rows drawn without replacement (T3), of each class with ``cls``: those
+    whose number drawn by ``seed`` and ``ids`` is largest, so the sample is the same
+    under any partitioning and merges from parts (a part's ``n`` largest hold all
+    that it can give). Fewer rows than ``n``: all of them. Rows that share their
+    ``ids`` have one number and are told apart by a hash of the whole row.
+
+    A selection like :func:`retain_newest`: a partial top-k, or histogram passes
+    for a large ``n``; no class is sorted.
+    """
+    drawn = df.withColumn("__draw", draw_hash(seed, *[F.col(c) for c in _cols(ids)]))
+    if cls is None:
+        drawn = drawn.withColumn("__all", F.lit(0))
+    return retain_newest(drawn, cls or "__all", n, order=("__draw",)).select(*df.columns)
+
+
 def excess_counts(df: DataFrame, cls: str, quota=DEFAULT_QUOTA) -> DataFrame:
     """Rows per class and how many exceed the quota (A2)."""
     q, _ = _quota(cls, quota)

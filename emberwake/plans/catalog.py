@@ -21,7 +21,7 @@ from emberwake.sources import points as P
 from emberwake.plans.load import LoadSpec, TS_NTZ_FORMAT, load, open_source, stage_as_csv
 from emberwake.session import scratch_path
 from emberwake.sinks.tables import Destination, profile, write_by_class
-from emberwake.sources.files import list_files
+from emberwake.sources.files import list_files, list_tree
 from emberwake.streaming import pipelines as ST
 
 QUOTA = 20
@@ -144,6 +144,42 @@ def q_file_listing(spark, sf_dir):
                         "name", "length")
 
 
+def _stored_items(spark, sf_dir, name: str) -> str:
+    out = scratch_path(spark, name)
+    write_by_class(table(spark, sf_dir, "events"), out, cls="event_type", ts="ts")
+    return out
+
+
+def q_write_by_second(spark, sf_dir):
+    """Items stored under class and second (K7), read back with the keys."""
+    items = spark.read.parquet(_stored_items(spark, sf_dir, "by_second"))
+    return items.select("event_id", "user_id", "ts", "event_type", "value", "second_key", "item",
+                        F.col("day").cast("string").alias("day"))
+
+
+SQL_WRITE_BY_SECOND = """
+SELECT event_id, user_id, ts, event_type, value, strftime(ts, '%Y%m%d%H%M%S') AS second_key,
+       concat_ws('-', 'webcam', event_type, strftime(ts, '%Y%m%d%H%M%S')) AS item, strftime(ts, '%Y%m%d') AS day
+FROM events
+"""
+
+
+def q_item_folders(spark, sf_dir):
+    """The folders of stored items and the classes' items by a listing in tasks
+    (S11): a folder for each class and day that has items, and no other."""
+    files = list_tree(spark, _stored_items(spark, sf_dir, "item_tree"), "*.parquet")
+    return files.select(F.regexp_extract("path", r"event_type=([^/]+)/", 1).alias("event_type"),
+                        F.regexp_extract("path", r"day=([^/]+)/", 1).alias("day"),
+                        F.regexp_replace("path", r"/[^/]+$", "").alias("folder")).distinct()
+
+
+SQL_ITEM_FOLDERS = """
+SELECT DISTINCT event_type, strftime(ts, '%Y%m%d') AS day,
+       'event_type=' || event_type || '/day=' || strftime(ts, '%Y%m%d') AS folder
+FROM events
+"""
+
+
 # ---------------------------------------------------------------------------
 # Event operators
 # ---------------------------------------------------------------------------
@@ -350,11 +386,34 @@ SQL_PICK_CHOICE = (
     + f"][event_id % {len(S.GREETINGS)} + 1] AS greeting FROM events")
 
 
+DRAW_SQL = "CAST('0x' || substr(md5('{seed}|=' || event_id), 1, 15) AS BIGINT)"
+
+
 def q_pick_random(spark, sf_dir):
-    """The drawn form of R10: a greeting chosen with a seeded ``rand`` per row
-    (rows-only check: the draw depends on the partition layout)."""
+    """The drawn form of R10: a greeting per row by a seed and the row's id, the
+    same under any partitioning."""
     ev = table(spark, sf_dir, "events")
-    return ev.select("event_id", S.pick(S.GREETINGS, seed=42).alias("greeting"))
+    return ev.select("event_id", S.pick(S.GREETINGS, seed=42, key=F.col("event_id")).alias("greeting"))
+
+
+SQL_PICK_RANDOM = (
+    "SELECT event_id, ["
+    + ", ".join("'" + g.replace("'", "''") + "'" for g in S.GREETINGS)
+    + f"][{DRAW_SQL.format(seed=42)} % {len(S.GREETINGS)} + 1] AS greeting FROM events")
+
+DRAW = 1200
+
+
+def q_draw_rows(spark, sf_dir):
+    """A seeded sample of each class without replacement."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    return E.draw_rows(ev, DRAW, "event_id", seed=7, cls="event_type")
+
+
+SQL_DRAW_ROWS = f"""
+SELECT event_id, event_type, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY {DRAW_SQL.format(seed=7)} DESC) <= {DRAW}
+"""
 
 
 def q_tick_flags(spark, sf_dir):
@@ -787,6 +846,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "schema_profile": (q_schema_profile, SQL_SCHEMA_PROFILE),
     "write_by_class": (q_write_by_class, SQL_WRITE_BY_CLASS),
     "file_listing": (q_file_listing, None),
+    "write_by_second": (q_write_by_second, SQL_WRITE_BY_SECOND),
+    "item_folders": (q_item_folders, SQL_ITEM_FOLDERS),
     "displacement": (q_displacement, SQL_DISPLACEMENT),
     "class_route": (q_class_route, SQL_CLASS_ROUTE),
     "retain_newest": (q_retain_newest, SQL_RETAIN_NEWEST),
@@ -800,7 +861,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "key_label": (q_key_label, SQL_KEY_LABEL),
     "key_names": (q_key_names, SQL_KEY_NAMES),
     "pick_choice": (q_pick_choice, SQL_PICK_CHOICE),
-    "pick_random": (q_pick_random, None),
+    "pick_random": (q_pick_random, SQL_PICK_RANDOM),
+    "draw_rows": (q_draw_rows, SQL_DRAW_ROWS),
     "tick_flags": (q_tick_flags, SQL_TICK_FLAGS),
     "dispatch": (q_dispatch, SQL_DISPATCH),
     "top_priority": (q_top_priority, SQL_TOP_PRIORITY),

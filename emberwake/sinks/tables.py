@@ -11,9 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from emberwake.functions.scalars import item_key, second_key
+
 PHOENIX = "org.apache.phoenix.spark"
 PATH_FORMATS = ("parquet", "orc", "json", "csv")
 DEST_FORMATS = (PHOENIX, "table") + PATH_FORMATS
+#: Columns that write_by_class adds to items stored by class and second.
+ITEM_COLUMNS = ("second_key", "item", "day")
 SAVE_MODES = ("error", "errorifexists", "append", "overwrite", "ignore")
 
 
@@ -86,11 +90,35 @@ def sample(df: DataFrame, n: int = 20) -> list:
 
 
 def write_by_class(df: DataFrame, path: str, cls: str = "class", mode: str = "error",
-                   fmt: str = "parquet") -> None:
+                   fmt: str = "parquet", ts: str | None = None) -> None:
     """Store items under their class (K7): one folder per class value.
 
-    Rows are sorted by class inside each task so a task keeps one open file at a
-    time; a hot class is written by every task that holds its rows, never
-    funnelled into one.
+    With a time column ``ts`` an item is kept under class and second: the columns
+    ``second_key`` and ``item`` (its name) are added, a class is divided into
+    folders by ``day``, and a file's rows are ordered by second, so that a look-up
+    (:func:`read_item`) reads one folder and of its files the row groups around
+    the second. Items of one second all stay. A row without a time lies in the
+    class's folder of the null day; a table that has one of the added names
+    already is an error.
+
+    The rows are rebalanced by folder: AQE splits a hot folder by its measured size
+    and puts small ones together, so the number of files follows the data and not
+    the number of tasks that hold a class.
     """
-    (df.sortWithinPartitions(cls).write.mode(mode).partitionBy(cls).format(fmt).save(path))
+    folders, order = [cls], [cls]
+    if ts is not None:
+        taken = {c.lower() for c in df.columns} & set(ITEM_COLUMNS)
+        if taken:
+            raise ValueError(f"columns {sorted(taken)} are added to stored items and exist already")
+        key = second_key(F.col(ts))
+        df = df.select("*", key.alias("second_key"), item_key(F.col(cls).cast("string"), key).alias("item"),
+                       F.substring(key, 1, 8).alias("day"))
+        folders, order = [cls, "day"], [cls, "day", "second_key"]
+    (df.hint("rebalance", *folders).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy(*folders).format(fmt).save(path))
+
+
+def read_item(items: DataFrame, cls: str, value: str, second: str) -> DataFrame:
+    """The items of one class and 14-digit second key in a table that
+    :func:`write_by_class` stored with a time column."""
+    return items.filter((F.col(cls) == value) & (F.col("day") == second[:8]) & (F.col("second_key") == second))

@@ -546,3 +546,21 @@ def test_label_lookup_of_a_repeated_code(spark):
     dim = spark.createDataFrame([(1, "b"), (1, "a")], "code int, name string")
     got = sorted((r.code, r.key_name) for r in E.label_lookup(df, "code", dim).collect())
     assert got == [(1, "a"), (2, "2")]
+
+
+def test_drawn_rows_and_picks_do_not_depend_on_partitions(spark):
+    rows = spark.range(5000).select((F.col("id") % 2500).alias("id"), F.col("id").alias("row"), F.when(F.col("id") % 3 > 0, "a").alias("cls"))
+    for n in (0, 10, 1500, 9000):
+        first = sorted(map(tuple, E.draw_rows(rows.repartition(3), n, "id", 5, "cls").collect()), key=repr)
+        again = sorted(map(tuple, E.draw_rows(rows.repartition(17, "row"), n, "id", 5, "cls").collect()), key=repr)
+        assert first == again
+        assert len(first) == sum(min(n, k) for k in (1667, 3333))
+    assert E.draw_rows(rows, 10, "id", 5).exceptAll(E.draw_rows(rows, 10, "id", 6)).count() > 0
+    assert E.draw_rows(rows.limit(0), 10, "id").count() == 0
+    picked = rows.select("row", S.pick(S.GREETINGS, seed=3, key=F.col("row")).alias("g"))
+    assert sorted(picked.collect()) == sorted(
+        rows.repartition(5).select("row", S.pick(S.GREETINGS, seed=3, key=F.col("row")).alias("g")).collect())
+    shares = [r["count"] for r in picked.groupBy("g").count().collect()]
+    assert len(shares) == len(S.GREETINGS) and max(shares) < 1.3 * min(shares)
+    null = rows.limit(1).select(S.pick(["x", "y"], seed=1, key=F.lit(None).cast("string")).alias("g")).first().g
+    assert null in ("x", "y")

@@ -1,6 +1,7 @@
 """Strict delimited scans, sinks and the load job."""
 
 import math
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,12 +11,12 @@ from pyspark.sql import types as T
 from paths import SF_SMALL
 from emberwake.plans.load import TS_NTZ_FORMAT, LoadSpec, load, open_source, stage_as_csv
 from emberwake.sinks.tables import (
-    PHOENIX, Destination, describe_schema, profile, write_by_class, write_table,
+    PHOENIX, Destination, describe_schema, profile, read_item, write_by_class, write_table,
 )
 import __spark_entry__ as entry_mod
 from paths import SF_SMALL
 from emberwake.sources.delimited import enforce_not_null, read_delimited, read_source, validate
-from emberwake.sources.files import list_files
+from emberwake.sources.files import list_files, list_tree
 
 SCHEMA = T.StructType([
     T.StructField("id", T.IntegerType(), False),
@@ -173,6 +174,71 @@ def test_write_by_class_and_listing(spark, tmp_dir):
     assert set(files.columns) == {"path", "name", "modified", "length"}
 
 
+def _files(folder):
+    return sorted(os.path.relpath(os.path.join(at, n), folder) for at, _, names in os.walk(folder)
+                  for n in names if n.endswith(".parquet"))
+
+
+def test_files_of_a_class_follow_its_size_not_the_tasks(spark, tmp_dir):
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("c"), (F.col("id") % 5).cast("string"))).alias("class"))
+    for tasks in (2, 40):
+        write_by_class(rows.repartition(tasks), f"{tmp_dir}/{tasks}")
+    assert len(_files(f"{tmp_dir}/2")) == len(_files(f"{tmp_dir}/40")) == 6
+    wide = rows.repartition(8).withColumn("text", F.when(F.col("class") == "hot", F.repeat(F.sha2(F.col("id").cast("string"), 256), 8)))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "128k")
+    try:
+        write_by_class(wide, f"{tmp_dir}/split")
+    finally:
+        spark.conf.unset(key)
+    made = _files(f"{tmp_dir}/split")
+    assert sum(f.startswith("class=hot/") for f in made) >= 3  # split by its size
+    assert all(sum(f.startswith(f"class=c{k}/") for f in made) == 1 for k in range(5))
+    assert spark.read.parquet(f"{tmp_dir}/split").count() == 40_000
+
+
+def test_items_by_class_and_second(spark, tmp_dir):
+    rows = spark.sql("""SELECT * FROM VALUES (1, 'facial', timestamp_ntz'2024-01-31 23:59:59.9'), (2, 'facial', timestamp_ntz'2024-01-31 23:59:59.1'),
+        (3, 'nonfacial', timestamp_ntz'2024-01-31 23:59:59'), (4, 'facial', timestamp_ntz'2024-02-01 00:00:00'),
+        (5, 'facial', null), (6, null, timestamp_ntz'2024-02-01 00:00:00') AS t(id, class, at)""")
+    out = f"{tmp_dir}/items"
+    write_by_class(rows, out, ts="at")
+    back = spark.read.option("basePath", out).parquet(out)
+    got = {r.id: (r["class"], r.second_key, r.item, r.at) for r in back.collect()}
+    assert got[1][:3] == ("facial", "20240131235959", "webcam-facial-20240131235959")
+    assert got[5][:3] == ("facial", None, "webcam-facial") and got[6][0] is None
+    assert {r.id: (r["class"], r.at) for r in rows.collect()} == {k: (v[0], v[3]) for k, v in got.items()}
+    found = read_item(back, "class", "facial", "20240131235959")
+    assert sorted(r.id for r in found.collect()) == [1, 2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(class" in plan and "second_key" in plan.split("PushedFilters")[1]
+    empty = f"{tmp_dir}/none"
+    write_by_class(rows.limit(0), empty, ts="at")
+    assert _files(empty) == [] or spark.read.parquet(empty).count() == 0
+    with pytest.raises(ValueError, match="item"):
+        write_by_class(rows.withColumn("Item", F.lit(1)), f"{tmp_dir}/clash", ts="at")
+
+
+def test_tree_is_listed_level_by_level(spark, tmp_dir):
+    root, names = f"{tmp_dir}/tree", ["a.png", "x/b.png", "x/y/c.PNG", "x/y/z/d e%20.png", "_hidden/e.png", "x/.f.png",
+                                      "x/_g.png", "w/h.txt", "ü/i.png"]
+    for n in names:
+        os.makedirs(os.path.dirname(f"{root}/{n}"), exist_ok=True)
+        with open(f"{root}/{n}", "w") as f:
+            f.write("12345")
+    os.makedirs(f"{root}/empty/below")
+    listed = list_tree(spark, root, "*.png").collect()
+    assert sorted(r.path for r in listed) == ["a.png", "x/b.png", "x/y/z/d e%20.png", "ü/i.png"]
+    assert {r.length for r in listed} == {5}
+    scanned = list_files(spark, root, "*.png").collect()
+    assert sorted(r.name for r in listed) == sorted(r.name for r in scanned)
+    assert {(r.name, r.modified.replace(microsecond=0)) for r in listed} == {(r.name, r.modified.replace(microsecond=0)) for r in scanned}
+    assert list_tree(spark, f"{root}/empty").count() == 0
+    with pytest.raises(FileNotFoundError):
+        list_tree(spark, f"{root}/absent")
+
+
 def test_console_and_foreach_batch_sinks(spark, tmp_dir):
     from emberwake.streaming import pipelines as ST
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
