@@ -188,13 +188,14 @@ def other_pivots(shared: DataFrame, labels: DataFrame, tried: DataFrame, turn: i
     return materialise(pairs.join(tried, ["a", "b"], "left_anti"), "other_pivots")
 
 
-def joined_buckets(shared: DataFrame, classes: DataFrame, links: DataFrame, labels: DataFrame, percent: int,
+def joined_buckets(shared: DataFrame, classes: DataFrame, labels: DataFrame, percent: int,
                    components: Callable[[DataFrame], DataFrame],
                    verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The labels (cid, comp) after all pairs of a bucket are settled.
 
-    ``shared``: sig, cid, pivot; ``classes``: cid, n, sketch; ``links``: those
-    found so far (a, b); ``verified`` keeps the linked ones of pairs (a, b).
+    ``shared``: sig, cid, pivot; ``classes``: cid, n, sketch; ``labels``: by the
+    links found so far; ``components`` labels the ends of links (a, b);
+    ``verified`` keeps the linked ones of pairs (a, b).
     """
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     tried = shared.filter("cid != pivot").select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
@@ -210,17 +211,25 @@ def joined_buckets(shared: DataFrame, classes: DataFrame, links: DataFrame, labe
         if pairs.isEmpty():
             break
         tried = tried.unionByName(pairs)
-        links, labels = _more(links, labels, verified(allowed(pairs)), components)
+        labels = _more(labels, verified(allowed(pairs)), components)
     for turn in (*range(FORESTS), None):
         pairs = left_over(shared, classes, labels, percent, turn)
         if pairs.isEmpty():
             break
-        links, labels = _more(links, labels, verified(pairs.select(*ordered)), components)
+        labels = _more(labels, verified(pairs.select(*ordered)), components)
     return labels
 
 
-def _more(links: DataFrame, labels: DataFrame, found: DataFrame, components) -> tuple[DataFrame, DataFrame]:
+def _more(labels: DataFrame, found: DataFrame, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``labels`` after the links ``found``: components of the graph whose nodes
+    are the components so far, so earlier links are not gone through again."""
     if found.isEmpty():
-        return links, labels
-    links = links.union(found)
-    return links, components(links)
+        return labels
+    a = labels.select(F.col("cid").alias("a"), F.col("comp").alias("p"))
+    b = labels.select(F.col("cid").alias("b"), F.col("comp").alias("q"))
+    between = (found.join(a, "a", "left").join(b, "b", "left")
+               .select(F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b")).filter("a != b").distinct())
+    joined = components(materialise(between, "component_links")).select(F.col("cid").alias("comp"), F.col("comp").alias("top"))
+    ends = found.select(F.col("a").alias("cid")).union(found.select("b")).distinct()
+    known = labels.unionByName(ends.join(labels, "cid", "left_anti").select("cid", F.col("cid").alias("comp")))
+    return materialise(known.join(joined, "comp", "left").select("cid", F.coalesce("top", "comp").alias("comp")), "labels")

@@ -159,7 +159,7 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
     pairs = materialise(starred.mapInArrow(lambda r: close_pairs(r, percent), "a long, b long"), "pivot_pairs")
     links = verified(sets, pairs, percent, "links")
     labels = components(links)
-    labels = joined_buckets(shared, classes, links, labels, percent, components,
+    labels = joined_buckets(shared, classes, labels, percent, components,
                             lambda more: verified(sets, more, percent, "more_links"))
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component"))

@@ -316,8 +316,7 @@ def _compared(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     pairs = materialise(with_pivot.mapInArrow(lambda rows: close_pairs(rows, percent), "a long, b long"), "pivot_pairs")
     links = _verified(docs, classes, pairs, width, percent, "links")
     labels = components(links)
-
-    labels = joined_buckets(shared, classes, links, labels, percent, components, lambda more: _verified(
+    labels = joined_buckets(shared, classes, labels, percent, components, lambda more: _verified(
         docs, classes, more, width, percent, "more_links"))
 
     named = classes.select("cid", "rep").join(labels, "cid")

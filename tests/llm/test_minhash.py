@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_mod
-from emberwake.llm import buckets, minhash
+from emberwake.llm import buckets, minhash, partenum
 from emberwake.llm.common import reachable
 from emberwake.llm.minhash import band_count, band_keys, coordinates, near_duplicates
 from emberwake.llm.partenum import mix, shingle_sets
@@ -77,6 +77,31 @@ def test_split_buckets_in_blocks(spark, monkeypatch):
     check(spark, families(3, 2, 20, 60, 5), 1, 85)
 
 
+def _least_reachable(links):
+    top = {}
+
+    def find(c):
+        while top.get(c, c) != c:
+            c = top[c]
+        return c
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        top[b] = top[a] = a
+    return {c: find(c) for c in top}
+
+
+def test_components_of_a_contracted_graph(spark):
+    rng = np.random.default_rng(6)
+    frame = lambda rows, names: spark.createDataFrame([tuple(map(int, r)) for r in rows], " long, ".join(names) + " long")
+    for before, after in ((0, 5), (40, 0), (40, 40), (5, 120)):
+        old, new = rng.integers(0, 100, (before, 2)), rng.integers(0, 100, (after, 2))
+        old, new = old[old[:, 0] != old[:, 1]], new[new[:, 0] != new[:, 1]]
+        labels = frame(_least_reachable(old.tolist()).items(), ["cid", "comp"])
+        got = buckets._more(labels, frame(new, ["a", "b"]), partenum.components)
+        assert sorted(map(tuple, got.collect())) == sorted(_least_reachable([*old.tolist(), *new.tolist()]).items())
+
+
 def test_heavy_classes_and_classes_joined_by_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(minhash, "SHARE", 4)
     monkeypatch.setattr(minhash, "FEW", 1)
