@@ -9,6 +9,9 @@
    record (the page's text), both with ``WARC-Refers-To`` naming the response,
    and the metadata record with ``WARC-Concurrent-To`` naming the conversion.
    Target URI and date are those of the response. Other records are passed over.
+   Chunked, gzip and deflate bodies are decoded, the charset is honoured and
+   folded header lines are joined; a body in another coding gives empty text and
+   a ``source-coding-unknown`` field.
 3. ``read_derivatives`` returns a row per record from the files themselves.
 
 The tables passed on hold file names alone; files are dealt out evenly, and
@@ -34,7 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberwake.llm.common import materialise, store_of
-from emberwake.llm.warc_records import Fields, digest, header_lines, http_parts, page_text, record, records
+from emberwake.llm.warc_records import (
+    Fields, decoded, digest, header_lines, http_parts, page_text, plain_body, record, records,
+)
 from emberwake.session import scratch_path
 
 FILE_BYTES = 64 << 20
@@ -118,25 +123,31 @@ def derivatives(fields: dict[str, str], block: bytes) -> tuple[bytes, bytes]:
     """The metadata and the conversion record of one response."""
     status, headers, payload = http_parts(block)
     source, uri, date = fields.get("warc-record-id"), fields.get("warc-target-uri"), fields.get("warc-date", NO_DATE)
-    named = fields.get("warc-payload-digest")
-    text = page_text(payload.decode("utf-8", "replace")).encode()
+    named, http = fields.get("warc-payload-digest"), Fields(headers)
+    body, plain = plain_body(http, payload)
+    text = b"" if plain is None else page_text(decoded(http, plain)).encode()
+    # writers take the payload's digest with the chunks or without
+    holds = named is not None and (named == digest(payload) or body is not payload and named == digest(body))
     ids = {kind: f"<{record_id(kind, source)}>" for kind in ("metadata", "conversion")}
     common = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", source)]
     meta = header_lines([
         ("source-payload-digest", named), ("source-block-digest", fields.get("warc-block-digest")),
-        ("source-payload-digest-holds", None if named is None else str(named == digest(payload)).lower()),
+        ("source-payload-digest-holds", None if named is None else str(holds).lower()),
+        ("source-coding-unknown", http.get("content-encoding") if plain is None else None),
         ("http-status", status), *((f"http-header-{name.lower()}", value) for name, value in headers)])
     return (
         record([("WARC-Type", "metadata"), ("WARC-Record-ID", ids["metadata"]), *common,
                 ("WARC-Concurrent-To", ids["conversion"]), ("Content-Type", "application/warc-fields")], meta),
         record([("WARC-Type", "conversion"), ("WARC-Record-ID", ids["conversion"]), *common,
                 ("Content-Type", "text/plain; charset=utf-8"), ("X-Source-Payload-Digest", named),
-                ("X-Page-Id", dict((n.lower(), v) for n, v in headers).get("x-page-id"))], text))
+                ("X-Page-Id", http.get("x-page-id"))], text))
 
 
 def _dealt(files: DataFrame) -> DataFrame:
-    """A task per file; the list has a row per ``file_bytes`` of records."""
-    return files.select("file").repartition(max(1, files.count()))
+    """A task per file: ranges of names as many as there are files, and no more
+    names than the ranges are sampled from. The list has a row per ``file_bytes``
+    of records."""
+    return files.select("file").repartitionByRange(max(1, files.count()), "file")
 
 
 def build_derivatives(folder: str, files: DataFrame, out: str | None = None,

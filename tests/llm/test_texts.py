@@ -1,5 +1,6 @@
 """License scans, toxicity, language-model scores and WARC derivatives."""
 
+import gzip
 import math
 import re
 import zlib
@@ -16,7 +17,7 @@ from emberwake.llm.license_texts import TEMPLATES
 from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.toxicity import drop_toxic, fold, learn, score, toxicity_scores
 from emberwake.llm.warc import build_derivatives, derivatives, read_derivatives, write_responses
-from emberwake.llm.warc_records import page_text, record, records
+from emberwake.llm.warc_records import page_text, parsed_lines, record, records, unchunked
 from helpers import LONG, awkward, empty, lower, sha, unique
 from pyspark.sql import functions as F
 
@@ -296,6 +297,83 @@ def test_repeated_headers_are_all_read(spark, tmp_path):
     assert rows["<urn:y>"]["concurrent_to"] == "<urn:p>\n<urn:q>"
 
 
+def _conversion(head: bytes, body: bytes) -> bytes:
+    import io
+    made = derivatives({"warc-record-id": "<urn:x>"}, b"HTTP/1.1 200 OK\r\n" + head + b"\r\n" + body)
+    (_, _), (fields, text) = records(io.BytesIO(b"".join(made)))
+    assert fields["warc-type"] == "conversion"
+    return text.decode()
+
+
+PAGE = "<p>caf\u00e9 one</p><p>two".encode()
+RAW_DEFLATE = zlib.compressobj(wbits=-15)
+RAW_DEFLATE = RAW_DEFLATE.compress(PAGE) + RAW_DEFLATE.flush()
+
+
+@pytest.mark.parametrize("head, body, want", [
+    (b"", PAGE, "caf\u00e9 one\ntwo"),
+    (b"Transfer-Encoding: chunked\r\n", b"9\r\n<p>caf\xc3\xa9 \r\n5;x=y\r\none</\r\n7\r\np><p>tw\r\n1\r\no\r\n0\r\n\r\n", "caf\u00e9 one\ntwo"),
+    (b"Transfer-Encoding: chunked\r\n", b"4\r\n<p>a\r\nnot a size", "anot a size"),
+    (b"Transfer-Encoding: chunked\r\n", b"<p>stored without chunks", "stored without chunks"),
+    (b"Content-Encoding: gzip\r\n", gzip.compress(PAGE), "caf\u00e9 one\ntwo"),
+    (b"Content-Encoding: GZIP\r\n", gzip.compress(PAGE[:7]) + gzip.compress(PAGE[7:]), "caf\u00e9 one\ntwo"),
+    (b"Content-Encoding: gzip\r\n", PAGE, "caf\u00e9 one\ntwo"),
+    (b"Content-Encoding: deflate\r\n", zlib.compress(PAGE), "caf\u00e9 one\ntwo"),
+    (b"Content-Encoding: deflate\r\n", RAW_DEFLATE, "caf\u00e9 one\ntwo"),
+    (b"Transfer-Encoding: gzip, chunked\r\n", b"%x\r\n%s\r\n0\r\n\r\n" % (len(gzip.compress(PAGE)), gzip.compress(PAGE)), "caf\u00e9 one\ntwo"),
+    (b"Content-Encoding: deflate, gzip\r\n", gzip.compress(zlib.compress(PAGE)), "caf\u00e9 one\ntwo"),
+    (b"Content-Encoding: br\r\n", b"\x8b\x02\x80abc", ""),
+    (b"Content-Encoding: gzip\r\n", b"", ""),
+    (b"Content-Type: text/html; charset=ISO-8859-1\r\n", b"<p>caf\xe9 \x93q\x94", "caf\u00e9 \u201cq\u201d"),
+    (b"Content-Type: text/html\r\n", b'<meta charset="windows-1251"><p>\xe4\xe0', "\u0434\u0430"),
+    (b"Content-Type: text/html; charset=no-such\r\n", PAGE, "caf\u00e9 one\ntwo"),
+    (b"Content-Type: text/html; charset=idna\r\n", PAGE, "caf\u00e9 one\ntwo"),
+    (b"Content-Type: text/html;\r\n  charset=shift_jis\r\n", "<p>\u65e5\u672c".encode("shift_jis"), "\u65e5\u672c"),
+    (b"", b'\xff\xfe' + "<p>wide".encode("utf-16-le"), "wide"),
+    (b"", b'<meta charset="utf-16"><p>narrow', "narrow"),
+])
+def test_bodies_as_servers_send_them(head, body, want):
+    assert _conversion(head, body) == want
+
+
+def test_a_body_in_an_unknown_coding_is_told_and_digests_hold_with_chunks_or_without():
+    import io
+    from emberwake.llm.warc_records import digest
+    raw = b"3\r\n<p>\r\n1\r\nx\r\n0\r\n\r\n"
+    block = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Encoding: zz\r\n\r\n" + raw
+    for named, holds in ((digest(raw), b"true"), (digest(b"<p>x"), b"true"), (digest(b"other"), b"false")):
+        meta = derivatives({"warc-record-id": "<urn:x>", "warc-payload-digest": named}, block)[0]
+        (_, lines), = records(io.BytesIO(meta))
+        assert b"source-coding-unknown: zz\r\n" in lines and b"source-payload-digest-holds: " + holds in lines
+
+
+@given(st.lists(st.binary(min_size=1, max_size=40), max_size=6))
+def test_chunks_round_trip(parts):
+    sent = b"".join(b"%X\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+    assert unchunked(sent) == b"".join(parts)
+
+
+@given(st.text(alphabet=" \t\u00a0\x1c\u2003ab<p>&#10;\n\r", max_size=60))
+def test_blanks_are_joined_as_by_the_pattern(page):
+    import html
+    from emberwake.llm.warc_records import BLOCK, HIDDEN, SPACE, TAG
+    text = TAG.sub("", BLOCK.sub("\n", HIDDEN.sub(" ", page.replace("\r", " ").replace("\n", " "))))
+    lines = (SPACE.sub(" ", html.unescape(line)).strip() for line in text.split("\n"))
+    assert page_text(page) == "\n".join(line for line in lines if line)
+
+
+def test_folded_header_lines():
+    assert parsed_lines([b" lost", b"A: one", b"\ttwo ", b"no colon", b"B:", b"  three"]) == [("A", "one two"), ("B", "three")]
+
+
+def test_files_are_dealt_one_a_task(spark):
+    from emberwake.llm.warc import _dealt
+    for n in (1, 16, 200):
+        files = spark.createDataFrame([(f"f-{k:05d}", 1, 1) for k in range(n)], "file string, records long, bytes long").repartition(7)
+        sizes = _dealt(files).groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == n and {r["count"] for r in sizes} == {1}
+
+
 def test_warc_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder, files = write_responses(pages)
