@@ -7,11 +7,12 @@ end; the first token's context is a begin mark, and no context reaches beyond it
 * Vocabulary: word hashes (64 bits) in ascending order as an Elias-Fano
   sequence; a word's number is its position. Exact counts lie beside it.
 * Followers: a context is its position in the level above (for the second level
-  a word's number), shards counted one after another. Per context its followers' numbers, ascending, as one Elias-Fano
-  sequence made monotone by adding the last value of the context before; the
-  pointers to each context's first follower are another such sequence. A look-up
-  finds the context, reads its pointers, and searches the follower as a successor
-  relative to that context.
+  a word's number), dealt to shards by the remainder of its division by their
+  number; a shard keeps the quotient. Per context its followers' numbers, ascending,
+  as one Elias-Fano sequence made monotone by adding the last value of the context
+  before; the pointers to each context's first follower are another such sequence.
+  A look-up finds the context, reads its pointers, and searches the follower as a
+  successor relative to that context.
 
 Probabilities are interpolated: p(w | h) = a(h, w) + b(h) p(w | h'), where h' is h
 without its first word, up to p(w), with absolute
@@ -22,13 +23,16 @@ of words seen once for the one unknown word, the rest in proportion to counts.
 1. Training texts are counted where they are read; each task ships its distinct
    words, sorted and compressed, to the shard of their hash range. A shard merges
    them and writes its file into the shared folder.
-2. Texts are read again for each further level, words and contexts looked up in
-   the levels so far, and distinct pairs of context and follower shipped the same
-   way to the shard of their context, which writes its part of the level.
-3. Scoring tasks memory-map the files and look up slices of a few MB of text.
+2. All texts are read a second time and become rows of word numbers, with the
+   base score; what follows reads these rows.
+3. For each further level, contexts are looked up in the levels so far, and the
+   distinct pairs of context and follower shipped the same way to the shard of
+   their context, which writes its part of the level.
+4. Scoring tasks memory-map the files and look up slices of a few MB of numbers.
 
 What a task ships grows with its input; nothing is pruned. The driver sees five
-numbers per shard.
+numbers per shard. A level has as many shards as the session has shuffle
+partitions, or more where a shard's contexts and words would not fit 64 bits.
 
 Cases: null text is empty and has the end alone; rows without doc_id are not
 held out; repeated rows count each time; without training rows every token is
@@ -58,7 +62,7 @@ from emberwake.session import scratch_path
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: The end token's place among the word hashes.
 END = np.uint64(0x51ED270B0A3F5C11)
-#: Bytes of text that are looked up together.
+#: Bytes of text, or of word numbers, that are looked up together.
 SLICE = 4 << 20
 #: Tokens that a task counts together before it ships them.
 HELD = 2_000_000
@@ -113,37 +117,40 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[head], np.add.reduceat(c, head) if len(k) else c
 
 
-def _ship(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray],
-          shard_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """shard, data: the distinct keys of each run of about HELD tokens."""
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def grouped(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions by shard, and where each shard starts among them."""
+    shard = shard.astype(np.uint16 if shards <= 1 << 16 else np.int64)  # sixteen bits are sorted by radix
+    order = np.argsort(shard, kind="stable")
+    return order, np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+
+
+def _ship(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], shards: int) -> DataFrame:
+    """shard, data: the distinct keys of each run of about HELD tokens.
+    ``keys_of`` gives a column's keys and their shards."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+        places: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            k, c = summed(keys, counts)
-            shard = shard_of(k)
-            order = np.argsort(shard, kind="stable")
-            k, c, shard = k[order], c[order], shard[order]
-            cut = np.flatnonzero(np.diff(shard)) + 1
-            spans = list(zip([0, *cut.tolist()], [*cut.tolist(), len(k)])) if len(k) else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([int(shard[lo]) for lo, _ in spans], pa.int32()),
-                 pa.array([squeeze(k[lo:hi], c[lo:hi]) for lo, hi in spans], pa.binary())], ["shard", "data"])
-
-        for b in bounded(rows, 0, SLICE):
-            k, c = np.unique(keys_of(*tokens(b.column(0))), return_counts=True)
-            keys.append(k)
-            counts.append(c.astype(np.uint64))
-            held += len(k)
+            order, cut = grouped(np.concatenate(places), shards)
+            all_keys = np.concatenate(keys)[order]
+            found = np.flatnonzero(np.diff(cut)).tolist()
+            data = [squeeze(*np.unique(all_keys[cut[k]:cut[k + 1]], return_counts=True)) for k in found]
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(data, pa.binary())], ["shard", "data"])
+
+        for b in bounded(batches, 0, SLICE):
+            key, shard = keys_of(b.column(0))
+            keys.append(key)
+            places.append(shard)
+            held += len(key)
             if held >= HELD:
                 yield flush()
-                keys, counts, held = [], [], 0
+                keys, places, held = [], [], 0
         if held:
             yield flush()
 
-    return texts.mapInArrow(run, "shard int, data binary")
+    return rows.mapInArrow(run, "shard int, data binary")
 
 
 def _merged(shipped: DataFrame, shards: int, name: str) -> tuple[DataFrame, list]:
@@ -197,13 +204,11 @@ def _written(merged: DataFrame, write: Callable[[int, np.ndarray, np.ndarray], N
 
 
 class Vocabulary:
-    """Word hashes to (number, count); shards are ranges of the hash."""
+    """Word hashes to numbers, numbers to counts; shards are ranges of the hash."""
 
-    def __init__(self, folder: str, shards: int, sizes: tuple[int, ...]):
-        self.folder, self.shards = folder, shards
+    def __init__(self, folder: str, sizes: tuple[int, ...]):
+        self.folder, self.shards, self.sizes = folder, len(sizes), sizes
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.total = int(self.first[-1])
-        self.sizes = sizes
         self.open: dict[int, tuple[EliasFano, np.ndarray]] = {}
 
     def _shard(self, k: int) -> tuple[EliasFano, np.ndarray]:
@@ -212,21 +217,25 @@ class Vocabulary:
             self.open[k] = EliasFano.of(arrays, "words"), arrays["counts"]
         return self.open[k]
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers (-1: unknown) and counts (0: unknown)."""
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words; -1: unknown."""
         unique, back = np.unique(hashes, return_inverse=True)
-        number, count = np.full(len(unique), -1, np.int64), np.zeros(len(unique), np.int64)
-        shard = hash_shard(unique, self.shards)
-        cut = np.searchsorted(shard, np.arange(self.shards + 1))
-        for k in range(self.shards):
-            lo, hi = int(cut[k]), int(cut[k + 1])
-            if lo < hi and self.sizes[k]:
-                words, counts = self._shard(k)
-                at = words.find(unique[lo:hi])
-                hit = np.flatnonzero(at >= 0)
-                number[lo + hit] = self.first[k] + at[hit]
-                count[lo + hit] = counts[at[hit]]
-        return number[back], count[back]
+        number = np.full(len(unique), -1, np.int64)
+        cut = np.searchsorted(hash_shard(unique, self.shards), np.arange(self.shards + 1))
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            if self.sizes[k]:
+                at = self._shard(k)[0].find(unique[cut[k]:cut[k + 1]])
+                number[cut[k]:cut[k + 1]] = np.where(at >= 0, self.first[k] + at, -1)
+        return number[back]
+
+    def counts(self, numbers: np.ndarray) -> np.ndarray:
+        """How often the words were seen; 0: unknown."""
+        unique, back = np.unique(numbers, return_inverse=True)
+        count = np.zeros(len(unique), np.int64)
+        cut = np.searchsorted(unique, self.first)
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            count[cut[k]:cut[k + 1]] = self._shard(k)[1][unique[cut[k]:cut[k + 1]] - self.first[k]]
+        return count[back]
 
 
 def hash_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -234,16 +243,11 @@ def hash_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
 
 
-def context_shard(contexts: np.ndarray, shards: int) -> np.ndarray:
-    mixed = contexts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
-
-
 class Followers:
     """Shards of a further level: (context, follower) to a, b and position."""
 
-    def __init__(self, folder: str, level: int, shards: int, sizes: tuple[int, ...]):
-        self.folder, self.level, self.shards, self.sizes = folder, level, shards, sizes
+    def __init__(self, folder: str, level: int, bits: int, sizes: tuple[int, ...]):
+        self.folder, self.level, self.bits, self.shards, self.sizes = folder, level, bits, len(sizes), sizes
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.open: dict[int, tuple] = {}
 
@@ -274,61 +278,85 @@ class Followers:
 
     def look_up(self, context: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """a (0 where the pair is new), b (1 where the context is), and the
-        pair's position in the level (-1: new)."""
+        pair's position in the level (-1: new). Equal pairs are asked once."""
         a, b, place = np.zeros(len(context)), np.ones(len(context)), np.full(len(context), -1, np.int64)
         known = np.flatnonzero(context >= 0)
-        shard = context_shard(context[known], self.shards)
-        order = known[np.argsort(shard, kind="stable")]
-        cut = np.searchsorted(np.sort(shard), np.arange(self.shards + 1))
-        for k in range(self.shards):
-            rows = order[cut[k]:cut[k + 1]]
-            if not len(rows) or not self.sizes[k]:
+        order, cut = grouped(context[known] % self.shards, self.shards)
+        order = known[order]
+        none = np.uint64((1 << self.bits) - 1)  # the number of no word: an unknown follower
+        local = (context[order] // self.shards).astype(np.uint64) << np.uint64(self.bits)
+        keys = local | np.where(follower[order] < 0, none, follower[order].astype(np.uint64))
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            if not self.sizes[k]:
                 continue
             contexts, pointers, followers, a_code, b_code = self._shard(k)
-            unique, back = np.unique(context[rows], return_inverse=True)
-            node = contexts.find(unique.astype(np.uint64))
+            rows = order[cut[k]:cut[k + 1]]
+            unique, back = np.unique(keys[cut[k]:cut[k + 1]], return_inverse=True)
+            asked, word = unique >> np.uint64(self.bits), unique & none
+            head = np.concatenate([[True], asked[1:] != asked[:-1]])
+            group = np.cumsum(head) - 1
+            node = contexts.find(asked[head])
             hit = np.flatnonzero(node >= 0)
-            lo, hi = (np.zeros(len(unique), np.int64) for _ in range(2))
-            base = np.zeros(len(unique), np.uint64)
+            lo, hi = (np.zeros(len(node), np.int64) for _ in range(2))
+            base = np.zeros(len(node), np.uint64)
             lo[hit], hi[hit] = (pointers.access(node[hit] + step).astype(np.int64) for step in (0, 1))
             later = hit[lo[hit] > 0]
             base[later] = followers.access(lo[later] - 1) + np.uint64(1)
-            seen = node[back] >= 0
-            b[rows[seen]] = CODES[b_code[node[back][seen]]]
-            ask = np.flatnonzero(seen & (follower[rows] >= 0))
-            at = followers.find(base[back[ask]] + follower[rows[ask]].astype(np.uint64), lo[back[ask]], hi[back[ask]])
-            found = at >= 0
-            a[rows[ask[found]]] = CODES[a_code[at[found]]]
-            place[rows[ask[found]]] = self.first[k] + at[found]
+            rest = np.ones(len(node))
+            rest[hit] = CODES[b_code[node[hit]]]
+            b[rows] = rest[group][back]
+            ask = np.flatnonzero((node >= 0)[group] & (word != none))
+            of = group[ask]
+            at = followers.find(base[of] + word[ask], lo[of], hi[of])
+            share, position = np.zeros(len(unique)), np.full(len(unique), -1, np.int64)
+            found = ask[at >= 0]
+            share[found] = CODES[a_code[at[at >= 0]]]
+            position[found] = self.first[k] + at[at >= 0]
+            a[rows], place[rows] = share[back], position[back]
         return a, b, place
 
 
 @lru_cache(maxsize=2)
-def _levels(folder: str, shards: int, sizes: tuple[int, ...], further: tuple[tuple[int, ...], ...]):
+def _vocabulary(folder: str, sizes: tuple[int, ...]) -> Vocabulary:
     """Opened once per worker and model."""
-    return Vocabulary(folder, shards, sizes), [Followers(folder, 2 + i, shards, s) for i, s in enumerate(further)]
+    return Vocabulary(folder, sizes)
+
+
+@lru_cache(maxsize=8)
+def _followers(folder: str, level: int, bits: int, sizes: tuple[int, ...]) -> Followers:
+    return Followers(folder, level, bits, sizes)
 
 
 class Model:
     """Where the files lie, and the few numbers that the driver holds."""
 
-    def __init__(self, folder: str, shards: int, sizes: tuple[int, ...], total: int, once: int):
-        self.folder, self.shards, self.sizes, self.total, self.once = folder, shards, sizes, total, once
+    def __init__(self, folder: str, sizes: tuple[int, ...], total: int, once: int):
+        self.folder, self.sizes, self.total, self.once = folder, sizes, total, once
         self.further: tuple[tuple[int, ...], ...] = ()  # pairs of each shard, per further level
+        self.types = sum(sizes)
+        #: of a follower's number: one more than of the begin mark, for the number of no word
+        self.bits = (self.types + 1).bit_length()
+        #: how word numbers are stored
+        self.kind = "<i4" if self.types < 1 << 31 else "<i8"
 
-    def levels(self):
-        return _levels(self.folder, self.shards, self.sizes, self.further)
+    @property
+    def vocabulary(self) -> Vocabulary:
+        return _vocabulary(self.folder, self.sizes)
 
     @property
     def begin(self) -> int:
         """The begin mark's number as a context."""
-        return sum(self.sizes)
+        return self.types
+
+    def numbers_of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers, sizes) of rows of numbers."""
+        data = column.to_pylist()
+        number = np.frombuffer(b"".join(data), self.kind)
+        return number.astype(np.int64), np.array(list(map(len, data)), np.int64) // number.itemsize
 
-    def pairs(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(context in the level to come, token, count of the token, and per
-        further level a and b) of each token; context -1 was never seen."""
-        words, further = self.levels()
-        number, count = words.look_up(hashes)
+    def contexts(self, number: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list]:
+        """Each token's context in the level to come (-1: never seen), and a and
+        b in each further level."""
         first = np.cumsum(sizes) - sizes
 
         def moved(place: np.ndarray, start: int) -> np.ndarray:
@@ -337,50 +365,87 @@ class Model:
             return context
 
         context, shares = moved(number, self.begin), []
-        for level in further:
-            a, b, place = level.look_up(context, number)
+        for k, pairs in enumerate(self.further):
+            a, b, place = _followers(self.folder, 2 + k, self.bits, pairs).look_up(context, number)
             shares.append((a, b))
             context = moved(place, -1)
-        return context, number, count, shares
+        return context, shares
 
 
-def train(texts: DataFrame, folder: str | None = None, order: int = 3) -> Model:
-    """A model of the one column of ``texts``; its longest context is
-    ``order`` - 1 tokens."""
+def vocabulary(texts: DataFrame, folder: str | None = None) -> Model:
+    """The first level of a model of the one column of ``texts``."""
     spark = texts.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = folder or scratch_path(spark, "language_model")
 
+    def keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        hashes, _ = tokens(column)
+        return hashes, hash_shard(hashes, shards)
+
     def words(shard: int, keys: np.ndarray, counts: np.ndarray) -> None:
         write_file(folder, f"words-{shard:05d}.ef", to_bytes(
             {**EliasFano.arrays(keys, "words"), "counts": counts.astype("<u4" if counts.max() < 1 << 32 else "<u8")}))
 
-    merged, made = _merged(_ship(texts, lambda h, _: h, lambda k: hash_shard(k, shards)), shards, "lm_words")
+    merged, made = _merged(_ship(texts, keys, shards), shards, "lm_words")
     _written(merged, words)
     types = {r["shard"]: r["types"] for r in made}
-    model = Model(folder, shards, tuple(types.get(k, 0) for k in range(shards)),
-                  sum(r["tokens"] for r in made), sum(r["once"] for r in made))
-    bits = max(1, model.begin.bit_length())  # a follower's number; the rest of a key is its context
+    return Model(folder, tuple(types.get(k, 0) for k in range(shards)),
+                 sum(r["tokens"] for r in made), sum(r["once"] for r in made))
+
+
+def numbered(docs: DataFrame, model: Model) -> DataFrame:
+    """A table of the columns of ``docs`` beside its second, the text; n_tokens,
+    n_known, base_score; and numbers, the words' numbers one after another."""
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    kept = [c for k, c in enumerate(docs.columns) if k != 1]
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = model.total, model.types
+        for b in bounded(rows, 1, SLICE):
+            hashes, sizes = tokens(b.column(1))
+            number = model.vocabulary.numbers(hashes)
+            base = np.log10((model.vocabulary.counts(number) + 1) / (n + (v + 1))).tolist()
+            ends = np.cumsum(sizes)
+            spans = list(zip((ends - sizes).tolist(), ends.tolist()))
+            data = number.astype(model.kind)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *(b.column(2 + i) for i in range(len(kept) - 1)), pa.array(sizes),
+                 pa.array(np.add.reduceat((number >= 0).astype(np.int64), ends - sizes)),
+                 pa.array([math.fsum(base[lo:hi]) for lo, hi in spans], pa.float64()),
+                 pa.array([data[lo:hi].tobytes() for lo, hi in spans], pa.binary())],
+                [*kept, "n_tokens", "n_known", "base_score", "numbers"])
+
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept),
+                        "n_tokens long, n_known long, base_score double, numbers binary"])
+    return materialise(docs.mapInArrow(run, schema), "lm_numbers")
+
+
+def extended(numbers: DataFrame, model: Model, order: int = 3, key_bits: int = 64) -> Model:
+    """``model`` with the further levels, from the word numbers of its training
+    texts; its longest context is ``order`` - 1 tokens. A level has as many
+    shards as its keys need to fit ``key_bits`` bits."""
+    shards = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbers = numbers.select("numbers")
     above = model.begin + 1
     for level in range(2, order + 1):
-        if above.bit_length() + bits > 64:
-            raise ValueError(f"level {level}: contexts and words do not fit keys of 64 bits")
-        model.further += (_further(texts, model, level, bits),)
+        room = 1 << max(0, key_bits - model.bits)  # contexts that a shard can tell apart
+        model.further += (_further(numbers, model, level, max(shards, -(-above // room))),)
         above = sum(model.further[-1])
     return model
 
 
-def _further(texts: DataFrame, model: Model, level: int, bits: int) -> tuple[int, ...]:
+def _further(numbers: DataFrame, model: Model, level: int, shards: int) -> tuple[int, ...]:
     """Writes a level below those of ``model``; the pairs of each shard."""
-    shards, folder = model.shards, model.folder
+    folder, bits = model.folder, model.bits
 
-    def pair_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        context, number, *_ = model.pairs(hashes, sizes)
+    def pair_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        number, sizes = model.numbers_of(column)
+        context, _ = model.contexts(number, sizes)
         seen = context >= 0  # all but the first tokens of a text, which have no longer context
-        return context[seen].astype(np.uint64) << np.uint64(bits) | number[seen].astype(np.uint64)
+        context, number = context[seen], number[seen].astype(np.uint64)
+        return (context // shards).astype(np.uint64) << np.uint64(bits) | number, context % shards
 
-    merged, made = _merged(_ship(texts, pair_keys, lambda k: context_shard(k >> np.uint64(bits), shards)), shards,
-                           "lm_followers")
+    merged, made = _merged(_ship(numbers, pair_keys, shards), shards, "lm_followers")
     once, twice = (sum(r[c] for r in made) for c in ("once", "twice"))
     # one discount for the level, however many shards it has
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
@@ -393,38 +458,34 @@ def _further(texts: DataFrame, model: Model, level: int, bits: int) -> tuple[int
     return tuple(size.get(k, 0) for k in range(shards))
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score, and the
-    columns of ``docs`` after doc_id and text."""
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    rest = docs.columns[2:]
+def scored(numbers: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``numbered`` but numbers, with train_tokens and score."""
+    kinds = {f.name: f.dataType.simpleString() for f in numbers.schema.fields}
+    kept = numbers.columns[:-1]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v = model.total, sum(model.sizes)
+        n = model.total
         unknown = (model.once + 1) / (n + 2)
-        for b in bounded(rows, 1, SLICE):
-            hashes, sizes = tokens(b.column(1))
-            _, _, count, shares = model.pairs(hashes, sizes)
-            base = np.log10((count + 1) / (n + (v + 1)))
-            word = np.where(count > 0, (1 - unknown) * count / max(1, n), unknown)
+        for b in bounded(rows, len(kept), SLICE):
+            number, sizes = model.numbers_of(b.column(len(kept)))
+            _, shares = model.contexts(number, sizes)
+            word = np.where(number >= 0, (1 - unknown) * model.vocabulary.counts(number) / max(1, n), unknown)
             for a, back in shares:
                 word = a + back * word
-            own = np.log10(word)
-            first = np.cumsum(sizes) - sizes
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes), pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
-                 pa.array(np.full(len(sizes), n, np.int64)),
-                 pa.array([math.fsum(base[lo:lo + k]) for lo, k in zip(first.tolist(), sizes.tolist())], pa.float64()),
-                 pa.array(np.add.reduceat(own, first)), *(b.column(2 + i) for i in range(len(rest)))],
-                ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", *rest])
+                [*(b.column(i) for i in range(len(kept))), pa.array(np.full(len(sizes), n, np.int64)),
+                 pa.array(np.add.reduceat(np.log10(word), np.cumsum(sizes) - sizes))],
+                [*kept, "train_tokens", "score"])
 
-    schema = f"doc_id {kinds['doc_id']}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return docs.mapInArrow(run, ", ".join([schema, *(f"{c} {kinds[c]}" for c in rest)]))
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "train_tokens long, score double"])
+    return numbers.mapInArrow(run, schema)
 
 
-def language_model_scores(docs: DataFrame, held_out: Column, order: int = 3) -> DataFrame:
+def language_model_scores(docs: DataFrame, held_out: Column, order: int = 3, key_bits: int = 64) -> DataFrame:
     """Scores of every document by a model, of this order, of those that are not
     ``held_out``."""
     rows = doc_text(docs).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    model = train(rows.filter("not held_out").select("text"), order=order)
-    return scores(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    model = vocabulary(rows.filter("not held_out").select("text"))
+    numbers = numbered(rows, model)
+    extended(numbers.filter("not held_out"), model, order, key_bits)
+    return scored(numbers, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

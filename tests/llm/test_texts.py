@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,6 +15,7 @@ import __spark_entry__ as entry_mod
 from emberwake.llm.common import reachable
 from emberwake.llm.license_scan import align, known_licenses, license_scan, places, rising, scan, words_of
 from emberwake.llm.license_texts import TEMPLATES
+from emberwake.llm.elias_fano import EliasFano, from_buffer, to_bytes
 from emberwake.llm.ngram_lm import language_model_scores
 from emberwake.llm.toxicity import drop_toxic, fold, learn, score, toxicity_scores
 from emberwake.llm.warc import build_derivatives, derivatives, read_derivatives, write_responses
@@ -247,6 +249,30 @@ def test_language_model_does_not_depend_on_partitions(spark):
     assert found[0] == found[1] == found[2]
 
 
+def test_language_model_with_keys_beyond_a_shard(spark):
+    """Contexts that do not fit a shard's keys are dealt to more shards."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(12).collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") % 3 == 0
+    wide = sorted(map(tuple, language_model_scores(docs, held).collect()))
+    assert sorted(map(tuple, language_model_scores(docs, held, key_bits=18).collect())) == wide
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 40), st.integers(0, 2**63)), max_size=60), st.integers(0, 200),
+       st.lists(st.tuples(st.integers(0, 2**64 - 1), st.integers(0, 300), st.integers(0, 300)), max_size=20))
+def test_elias_fano_as_a_sorted_list(values, repeats, asked):
+    values = sorted([*values, *values[:1] * repeats])
+    array = np.array(values, np.uint64)
+    sequence = EliasFano.of(from_buffer(to_bytes(EliasFano.arrays(array, "x"))), "x")
+    assert sequence.access(np.arange(len(values))).tolist() == values
+    asked += [(v, lo, hi) for v in values[::7] for lo, hi in ((0, len(values)), (3, 9))]
+    want = np.array([v for v, _, _ in asked], np.uint64)
+    lo, hi = (np.array([min(len(values), a[k]) for a in asked], np.int64) for k in (1, 2))
+    first = [next((i for i in range(a, b) if values[i] == v), -1) for v, a, b in zip(want.tolist(), lo.tolist(), hi.tolist())]
+    assert sequence.find(want, lo, hi).tolist() == first
+
+
 PAGES = [(1, "http://a.example/x", "<html><head><title>T &amp; U</title><style>p{}</style><script>x('<p>')</script></head>"
                                    "<body><p>One <b>two</b>&nbsp;three<!-- no --><br>four</p></body></html>"),
          (2, None, "plain"), (None, "http://b.example/\r\nX: y", "<p>a null id"), (4, "", None), (5, "http://c.example", ""),
