@@ -20,12 +20,14 @@ ONE = np.uint64(1)
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     """``values`` of ``width`` bits one after another, as 64-bit words."""
-    out = []
-    for lo in range(0, len(values), 1 << 19):  # a multiple of 8: whole bytes
-        part = values[lo:lo + (1 << 19), None] >> np.arange(width, dtype=np.uint64) & ONE
-        out.append(np.packbits(part.astype(bool), axis=None, bitorder="little"))
-    data = np.concatenate(out) if out else np.zeros(0, np.uint8)
-    return np.concatenate([data, np.zeros(16 - len(data) % 8, np.uint8)]).view("<u8")
+    bit = np.arange(len(values)) * width
+    word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+    out = np.zeros((len(values) * width + 63) // 64 + 1, "<u8")
+    head = np.flatnonzero(np.diff(word, prepend=-1))
+    out[word[head]] = np.bitwise_or.reduceat(values << shift, head)
+    over = np.flatnonzero(shift + np.uint64(width) > np.uint64(64))  # at most one value reaches into a word
+    out[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
+    return out
 
 
 def _select_table() -> np.ndarray:

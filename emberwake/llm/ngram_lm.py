@@ -46,6 +46,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,7 @@ from pyspark.sql import functions as F
 
 from emberwake.llm.common import bounded, doc_text, map_file, materialise, write_file
 from emberwake.llm.elias_fano import EliasFano, from_buffer, to_bytes
-from emberwake.llm.words import hashed, words_of
+from emberwake.llm.words import HASHES, words_of
 from emberwake.session import scratch_path
 
 #: Fixed value: the words of a lower-cased text.
@@ -86,7 +87,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(sizes) - 1
     plain = np.ones(len(out), bool)
     plain[ends] = False
-    out[plain] = hashed(words, int(plain.sum()))
+    out[plain] = np.fromiter(map(HASHES.__getitem__, chain.from_iterable(words)), np.uint64, int(plain.sum()))
     out[ends] = END
     return out, sizes
 
@@ -230,12 +231,14 @@ class Vocabulary:
 
     def counts(self, numbers: np.ndarray) -> np.ndarray:
         """How often the words were seen; 0: unknown."""
-        unique, back = np.unique(numbers, return_inverse=True)
-        count = np.zeros(len(unique), np.int64)
-        cut = np.searchsorted(unique, self.first)
+        count = np.zeros(len(numbers), np.int64)
+        known = np.flatnonzero(numbers >= 0)
+        order, cut = grouped(np.searchsorted(self.first, numbers[known], side="right") - 1, self.shards)
+        order = known[order]
         for k in np.flatnonzero(np.diff(cut)).tolist():
-            count[cut[k]:cut[k + 1]] = self._shard(k)[1][unique[cut[k]:cut[k + 1]] - self.first[k]]
-        return count[back]
+            rows = order[cut[k]:cut[k + 1]]
+            count[rows] = self._shard(k)[1][numbers[rows] - self.first[k]]
+        return count
 
 
 def hash_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -243,6 +246,12 @@ def hash_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
 
 
+def dealt(contexts: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """A context's number within its shard, and the shard."""
+    local = contexts // shards
+    return local, contexts - local * shards
+
+
 class Followers:
     """Shards of a further level: (context, follower) to a, b and position."""
 
@@ -281,10 +290,11 @@ class Followers:
         pair's position in the level (-1: new). Equal pairs are asked once."""
         a, b, place = np.zeros(len(context)), np.ones(len(context)), np.full(len(context), -1, np.int64)
         known = np.flatnonzero(context >= 0)
-        order, cut = grouped(context[known] % self.shards, self.shards)
-        order = known[order]
+        local, shard = dealt(context[known], self.shards)
+        order, cut = grouped(shard, self.shards)
         none = np.uint64((1 << self.bits) - 1)  # the number of no word: an unknown follower
-        local = (context[order] // self.shards).astype(np.uint64) << np.uint64(self.bits)
+        local = local[order].astype(np.uint64) << np.uint64(self.bits)
+        order = known[order]
         keys = local | np.where(follower[order] < 0, none, follower[order].astype(np.uint64))
         for k in np.flatnonzero(np.diff(cut)).tolist():
             if not self.sizes[k]:
@@ -443,7 +453,8 @@ def _further(numbers: DataFrame, model: Model, level: int, shards: int) -> tuple
         context, _ = model.contexts(number, sizes)
         seen = context >= 0  # all but the first tokens of a text, which have no longer context
         context, number = context[seen], number[seen].astype(np.uint64)
-        return (context // shards).astype(np.uint64) << np.uint64(bits) | number, context % shards
+        local, shard = dealt(context, shards)
+        return local.astype(np.uint64) << np.uint64(bits) | number, shard
 
     merged, made = _merged(_ship(numbers, pair_keys, shards), shards, "lm_followers")
     once, twice = (sum(r[c] for r in made) for c in ("once", "twice"))
