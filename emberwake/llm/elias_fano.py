@@ -63,6 +63,8 @@ def select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
 class EliasFano:
     def __init__(self, n: int, low: int, lows: np.ndarray, upper: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
         self.n, self.low, self.lows, self.upper, self.ones, self.zeros = n, low, lows, upper, ones, zeros
+        #: the eight bytes from each byte of the low bits on
+        self.from_byte = np.ndarray((8 * len(lows) - 7,), "<u8", lows, strides=(1,))
 
     @staticmethod
     def arrays(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
@@ -92,6 +94,8 @@ class EliasFano:
         if not self.low:
             return np.zeros(len(k), np.uint64)
         bit = k * self.low
+        if self.low <= 57:  # eight bytes hold the value wherever it begins in the first
+            return self.from_byte[bit >> 3] >> (bit & 7).astype(np.uint64) & np.uint64((1 << self.low) - 1)
         word, shift = bit >> 6, (bit & 63).astype(np.uint64)
         value = self.lows[word] >> shift
         spill = shift + np.uint64(self.low) > np.uint64(64)

@@ -54,7 +54,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import bounded, doc_text, map_file, materialise, write_file
+from emberwake.llm.common import bounded, discard, doc_text, map_file, materialise, stored, write_file
 from emberwake.llm.elias_fano import EliasFano, from_buffer, to_bytes
 from emberwake.llm.words import HASHES, words_of
 from emberwake.session import scratch_path
@@ -154,9 +154,9 @@ def _ship(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.nd
     return rows.mapInArrow(run, "shard int, data binary")
 
 
-def _merged(shipped: DataFrame, shards: int, name: str) -> tuple[DataFrame, list]:
-    """A table of one row per shard: its distinct keys with their counts; and
-    the rows without the keys: shard, types, tokens, once, twice."""
+def _merged(shipped: DataFrame, shards: int, name: str) -> tuple[DataFrame, str, list]:
+    """A table of one row per shard: its distinct keys with their counts; its
+    folder; and the rows without the keys: shard, types, tokens, once, twice."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, counts = None, [], []
 
@@ -188,13 +188,14 @@ def _merged(shipped: DataFrame, shards: int, name: str) -> tuple[DataFrame, list
             yield row()
 
     schema = ", ".join(f"{c} long" for c in COUNTED) + ", data binary"
-    merged = materialise(shipped.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")
+    merged, path = stored(shipped.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")
                          .mapInArrow(run, schema), name)
-    return merged, merged.select(COUNTED).collect()  # a row per shard
+    return merged, path, merged.select(COUNTED).collect()  # a row per shard
 
 
-def _written(merged: DataFrame, write: Callable[[int, np.ndarray, np.ndarray], None]) -> None:
-    """``write``(shard, keys, counts) for every shard, in tasks."""
+def _written(merged: DataFrame, path: str, write: Callable[[int, np.ndarray, np.ndarray], None]) -> None:
+    """``write``(shard, keys, counts) for every shard, in tasks; then the table
+    goes, its files hold what it held."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
             for shard, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -202,6 +203,7 @@ def _written(merged: DataFrame, write: Callable[[int, np.ndarray, np.ndarray], N
             yield b.select([0])
 
     merged.select("shard", "data").mapInArrow(run, "shard long").write.format("noop").mode("overwrite").save()
+    discard(merged.sparkSession, path)
 
 
 class Vocabulary:
@@ -396,8 +398,8 @@ def vocabulary(texts: DataFrame, folder: str | None = None) -> Model:
         write_file(folder, f"words-{shard:05d}.ef", to_bytes(
             {**EliasFano.arrays(keys, "words"), "counts": counts.astype("<u4" if counts.max() < 1 << 32 else "<u8")}))
 
-    merged, made = _merged(_ship(texts, keys, shards), shards, "lm_words")
-    _written(merged, words)
+    merged, path, made = _merged(_ship(texts, keys, shards), shards, "lm_words")
+    _written(merged, path, words)
     types = {r["shard"]: r["types"] for r in made}
     return Model(folder, tuple(types.get(k, 0) for k in range(shards)),
                  sum(r["tokens"] for r in made), sum(r["once"] for r in made))
@@ -456,7 +458,7 @@ def _further(numbers: DataFrame, model: Model, level: int, shards: int) -> tuple
         local, shard = dealt(context, shards)
         return local.astype(np.uint64) << np.uint64(bits) | number, shard
 
-    merged, made = _merged(_ship(numbers, pair_keys, shards), shards, "lm_followers")
+    merged, path, made = _merged(_ship(numbers, pair_keys, shards), shards, "lm_followers")
     once, twice = (sum(r[c] for r in made) for c in ("once", "twice"))
     # one discount for the level, however many shards it has
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
@@ -464,7 +466,7 @@ def _further(numbers: DataFrame, model: Model, level: int, shards: int) -> tuple
     def followers(shard: int, keys: np.ndarray, counts: np.ndarray) -> None:
         write_file(folder, f"followers-{level}-{shard:05d}.ef", Followers.build(keys, counts, bits, discount))
 
-    _written(merged, followers)
+    _written(merged, path, followers)
     size = {r["shard"]: r["types"] for r in made}
     return tuple(size.get(k, 0) for k in range(shards))
 
