@@ -63,8 +63,10 @@ from emberwake.session import scratch_path
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: The end token's place among the word hashes.
 END = np.uint64(0x51ED270B0A3F5C11)
-#: Bytes of text, or of word numbers, that are looked up together.
+#: Bytes of text that are looked up together.
 SLICE = 4 << 20
+#: Bytes of word numbers that are looked up together.
+NUMBERS = 8 << 20
 #: Tokens that a task counts together before it ships them.
 HELD = 2_000_000
 #: What the driver sees of a shard.
@@ -125,9 +127,10 @@ def grouped(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
 
 
-def _ship(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], shards: int) -> DataFrame:
+def _ship(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], shards: int,
+          size: int) -> DataFrame:
     """shard, data: the distinct keys of each run of about HELD tokens.
-    ``keys_of`` gives a column's keys and their shards."""
+    ``keys_of`` gives the keys, and their shards, of slices of ``size`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         places: list[np.ndarray] = []
@@ -140,7 +143,7 @@ def _ship(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.nd
             data = [squeeze(*np.unique(all_keys[cut[k]:cut[k + 1]], return_counts=True)) for k in found]
             return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(data, pa.binary())], ["shard", "data"])
 
-        for b in bounded(batches, 0, SLICE):
+        for b in bounded(batches, 0, size):
             key, shard = keys_of(b.column(0))
             keys.append(key)
             places.append(shard)
@@ -398,7 +401,7 @@ def vocabulary(texts: DataFrame, folder: str | None = None) -> Model:
         write_file(folder, f"words-{shard:05d}.ef", to_bytes(
             {**EliasFano.arrays(keys, "words"), "counts": counts.astype("<u4" if counts.max() < 1 << 32 else "<u8")}))
 
-    merged, path, made = _merged(_ship(texts, keys, shards), shards, "lm_words")
+    merged, path, made = _merged(_ship(texts, keys, shards, SLICE), shards, "lm_words")
     _written(merged, path, words)
     types = {r["shard"]: r["types"] for r in made}
     return Model(folder, tuple(types.get(k, 0) for k in range(shards)),
@@ -458,7 +461,7 @@ def _further(numbers: DataFrame, model: Model, level: int, shards: int) -> tuple
         local, shard = dealt(context, shards)
         return local.astype(np.uint64) << np.uint64(bits) | number, shard
 
-    merged, path, made = _merged(_ship(numbers, pair_keys, shards), shards, "lm_followers")
+    merged, path, made = _merged(_ship(numbers, pair_keys, shards, NUMBERS), shards, "lm_followers")
     once, twice = (sum(r[c] for r in made) for c in ("once", "twice"))
     # one discount for the level, however many shards it has
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
@@ -479,7 +482,7 @@ def scored(numbers: DataFrame, model: Model) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = model.total
         unknown = (model.once + 1) / (n + 2)
-        for b in bounded(rows, len(kept), SLICE):
+        for b in bounded(rows, len(kept), NUMBERS):
             number, sizes = model.numbers_of(b.column(len(kept)))
             _, shares = model.contexts(number, sizes)
             word = np.where(number >= 0, (1 - unknown) * model.vocabulary.counts(number) / max(1, n), unknown)
