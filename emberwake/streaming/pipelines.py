@@ -292,9 +292,10 @@ class MergeSink(_BatchFolders):
         """The folders that hold all batches up to this one, the widest first."""
         have, out, end = self.folders(spark) if have is None else have, [], batch_id
         while end >= 0:
-            level = 0
-            while (end + 1) % self.fan ** (level + 1) == 0 and self.tier(level + 1, end) in have:
-                level += 1
+            # the tiers below the widest one may be gone, so a gap in them ends nothing
+            level, wider = 0, 1
+            while (end + 1) % self.fan ** wider == 0:
+                level, wider = wider if self.tier(wider, end) in have else level, wider + 1
             if self.tier(level, end) not in have:
                 raise FileNotFoundError(self.tier(level, end))
             out.append(self.tier(level, end))
