@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector as features_of
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
@@ -34,6 +35,20 @@ def test_gbt_toy_predicts_labels_and_scores_splits(spark):
     assert set(score) <= {0, 1, 2}
 
 
+def test_gbt_rows_of_a_task_are_bounded(spark, monkeypatch):
+    rows = spark.range(0, 6000, 1, 2).select((F.col("id") % 2).cast("double").alias("label"),
+                                             features_of(F.array(F.col("id").cast("double"), F.rand(1))).alias("features"))
+    assert B.even_parts(rows).rdd.getNumPartitions() == 2
+    monkeypatch.setattr(B, "TASK_BYTES", 500 * (B.ROW_BYTES + 8))
+    sizes = B.even_parts(rows).rdd.glom().map(len).collect()
+    assert len(sizes) == 12 and sum(sizes) == 6000 and max(sizes) <= 550
+    assert B.even_parts(rows.filter("id < 0")).count() == 0
+    fitted = []
+    monkeypatch.setattr(B.BoostParams, "estimator", lambda *_: type("E", (), {"fit": lambda _, d: fitted.append(d)})())
+    B.fit_boosted(rows)
+    assert fitted[0].rdd.getNumPartitions() == 12
+
+
 def test_newton_toy_golden_values(spark):
     """100 rounds, eta 0.1, depth 2, lambda 1, min child weight 1."""
     rows = [(lbl, *v) for lbl, v in TOY_POINTS]
