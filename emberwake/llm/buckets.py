@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.common import materialise, trimmed
+from emberwake.llm.common import discard, materialise, stored, trimmed
 
 PIVOTS, FORESTS = 2, 3
 #: Members of a bucket that one comparison holds: two blocks of this size.
@@ -162,7 +162,7 @@ def left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, percent:
     inside = (member.join(split, "sig").join(classes.select("cid", "n", "sketch"), "cid")
               .withColumn("low", F.explode(F.array(F.lit(True), F.lit(False))))
               .withColumn("step", F.when(F.col("low"), size).otherwise(size - 1)))
-    inside = materialise(inside.select("sig", "step", "low", "cid", "comp", "n", "sketch"), "split_buckets")
+    inside, folder = stored(inside.select("sig", "step", "low", "cid", "comp", "n", "sketch"), "split_buckets")
     groups = (inside.groupBy("sig", "step").agg(F.count(F.lit(1)).alias("m"), F.max("low").alias("some"),
                                                 F.min("comp").alias("lo"), F.max("comp").alias("hi"))
               .filter("some and m > 1 and lo != hi")
@@ -172,8 +172,10 @@ def left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, percent:
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("sig", "step", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "low", "cid", "comp", "n", "sketch"))
-    return materialise(cells.repartition("sig", "step", "i", "j").sortWithinPartitions("sig", "step", "i", "j")
-                       .mapInArrow(lambda r: _compared(r, percent, turn), "a long, b long").distinct(), "bucket_pairs")
+    found = materialise(cells.repartition("sig", "step", "i", "j").sortWithinPartitions("sig", "step", "i", "j")
+                        .mapInArrow(lambda r: _compared(r, percent, turn), "a long, b long").distinct(), "bucket_pairs")
+    discard(shared.sparkSession, folder)
+    return found
 
 
 def other_pivots(shared: DataFrame, labels: DataFrame, tried: DataFrame, turn: int) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberwake.llm.buckets import close_pairs, joined_buckets
-from emberwake.llm.common import bounded, doc_text, materialise, trimmed
+from emberwake.llm.common import bounded, discard, doc_text, materialise, stored, trimmed
 from emberwake.llm.partenum import components, digests, linked_pairs, mix, shingle_sets, sketches
 
 #: Odd multipliers and an offset of the two permutations.
@@ -134,12 +134,14 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> Data
     wanted = materialise(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct(), "wanted_classes")
     if wanted.limit(FEW + 1).count() <= FEW:
         wanted = F.broadcast(wanted)
-    held = materialise(sets.filter("elements is not null").select("cid", "elements").join(wanted, "cid", "left_semi")
-                       .dropDuplicates(["cid"]), "class_sets")
+    held, folder = stored(sets.filter("elements is not null").select("cid", "elements").join(wanted, "cid", "left_semi")
+                          .dropDuplicates(["cid"]), "class_sets")
     a = held.select(F.col("cid").alias("a"), F.col("elements").alias("x"))
     b = held.select(F.col("cid").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return materialise(both.mapInArrow(trimmed(lambda r: linked_pairs(r, percent)), "a long, b long"), name)
+    linked = materialise(both.mapInArrow(trimmed(lambda r: linked_pairs(r, percent)), "a long, b long"), name)
+    discard(sets.sparkSession, folder)
+    return linked
 
 
 def class_components(sets: DataFrame, percent: int) -> DataFrame:

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberwake.llm.buckets import Bands, close_pairs, joined_buckets
-from emberwake.llm.common import bounded, doc_text, materialise, trimmed
+from emberwake.llm.common import bounded, discard, doc_text, materialise, stored, trimmed
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
 #: Words of a lower-cased text; odd multipliers of the hashes.
@@ -250,8 +250,9 @@ def linked_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(1)], ["a", "b"])
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """cid, elements of the ``wanted`` classes (cid, rep), from their texts."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """cid, elements of the ``wanted`` classes (cid, rep), from their texts; and
+    the folder that holds them."""
     spark = docs.sparkSession
     ids = spark.sparkContext.broadcast(hash_filter(wanted.select(F.xxhash64("rep").alias("h")), "h", FILTER_BITS))
 
@@ -265,17 +266,19 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                                              ["cid", "elements"])
 
     found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(trimmed(run), "cid long, elements binary")
-    return materialise(found.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "class_sets")
+    return stored(found.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "class_sets")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The linked ones of ``pairs`` (a, b)."""
     members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    sets = _sets_of(docs, classes.select("cid", "rep").join(members, "cid", "left_semi"), width)
+    sets, folder = _sets_of(docs, classes.select("cid", "rep").join(members, "cid", "left_semi"), width)
     a = sets.select(F.col("cid").alias("a"), F.col("elements").alias("x"))
     b = sets.select(F.col("cid").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return materialise(both.mapInArrow(trimmed(lambda rows: linked_pairs(rows, percent)), "a long, b long"), name)
+    linked = materialise(both.mapInArrow(trimmed(lambda rows: linked_pairs(rows, percent)), "a long, b long"), name)
+    discard(docs.sparkSession, folder)
+    return linked
 
 
 def components(links: DataFrame) -> DataFrame:

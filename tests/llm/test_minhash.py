@@ -1,5 +1,6 @@
 """Near duplicates by circulant MinHash against all pairs."""
 
+import os
 import random
 from collections import Counter
 
@@ -12,6 +13,7 @@ from emberwake.llm import buckets, minhash, partenum
 from emberwake.llm.common import reachable
 from emberwake.llm.minhash import band_count, band_keys, coordinates, near_duplicates
 from emberwake.llm.partenum import mix, shingle_sets
+from emberwake.session import shared_dir
 from helpers import TEXTS, awkward, component_ids, empty, shingles, unique
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,6 +57,29 @@ def test_awkward_texts(spark):
     assert near_duplicates(empty(spark)).count() == 0
 
 
+def test_sets_go_once_their_pairs_are_verified(spark):
+    """Tables of sets and of split buckets, the widest of the scratch folder, do not pile up round by round."""
+    def held():
+        root = f"{shared_dir(spark)}/emberwake"
+        names = os.listdir(root) if os.path.isdir(root) else []
+        return {n for n in names if n.startswith(("class_sets-", "split_buckets-"))}
+
+    before = held()
+    docs, _ = unique(spark, families(3, 1, 2, 40, 0) + families(4, 1, 2, 40, 1))
+    sets = minhash.signed_sets(docs, 3, 2, 5)
+    ids = [r["cid"] for r in sets.orderBy("doc_id").collect()]
+    pairs = spark.createDataFrame([(min(p), max(p)) for p in [(ids[0], ids[-1])]], "a long, b long")
+    reps = sets.select("cid", sets["doc_id"].alias("rep")).dropDuplicates(["cid"])
+    assert minhash.verified(sets, pairs, 85, "links").count() == 0
+    assert partenum._verified(docs, reps, pairs, 3, 85, "links").count() == 0
+    classes = spark.createDataFrame([(c, 40, b"\0" * 8) for c in range(4)], "cid long, n long, sketch binary")
+    shared = spark.createDataFrame([(9, c) for c in range(4)], "sig long, cid long")
+    alone = spark.createDataFrame([], "cid long, comp long")
+    pairs = buckets.left_over(shared, classes, alone, 85, None).collect()
+    assert sorted(map(tuple, pairs)) == [(a, b) for a in range(4) for b in range(a + 1, 4)]
+    assert held() == before
+
+
 def test_only_rows_without_an_id(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, None)], "doc_id long, text string")
     assert [(r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()] == [(None, True)] * 3
