@@ -19,8 +19,7 @@ without a common band with a probability of at most ``MISS`` (85 in a hundred an
    differ in elements (no link is lost); the others are compared on full sets.
 4. Links are united into components by minimum propagation.
 5. Buckets whose members still lie in different components are taken up again
-   (see ``buckets``): with other pivots, then by sketch inside tasks. Pairs that
-   pass are verified like those before.
+   (see ``buckets``): with other pivots, then inside tasks by sketch and by set.
 6. Classes that hold more than one in ``SHARE`` of all documents (so at most
    ``SHARE`` of them) meet their documents by a broadcast, the others by a shuffle.
 
@@ -129,13 +128,19 @@ def signed_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame
                                               "sketch binary, elements binary"), "signed_sets")
 
 
-def verified(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
-    """Those of ``pairs`` (a, b; a written table) that link."""
-    wanted = materialise(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct(), "wanted_classes")
+def class_sets(sets: DataFrame, wanted: DataFrame) -> tuple[DataFrame, str]:
+    """cid, elements of the ``wanted`` classes (cid; a written table) and the
+    folder that holds them."""
     if wanted.limit(FEW + 1).count() <= FEW:
         wanted = F.broadcast(wanted)
-    held, folder = stored(sets.filter("elements is not null").select("cid", "elements").join(wanted, "cid", "left_semi")
-                          .dropDuplicates(["cid"]), "class_sets")
+    return stored(sets.filter("elements is not null").select("cid", "elements").join(wanted, "cid", "left_semi")
+                  .dropDuplicates(["cid"]), "class_sets")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
+    """Those of ``pairs`` (a, b; a written table) that link."""
+    held, folder = class_sets(sets, materialise(
+        pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct(), "wanted_classes"))
     a = held.select(F.col("cid").alias("a"), F.col("elements").alias("x"))
     b = held.select(F.col("cid").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
@@ -162,7 +167,8 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
     links = verified(sets, pairs, percent, "links")
     labels = components(links)
     labels = joined_buckets(shared, classes, labels, percent, components,
-                            lambda more: verified(sets, more, percent, "more_links"))
+                            lambda more: verified(sets, more, percent, "more_links"),
+                            lambda members: class_sets(sets, materialise(members, "wanted_classes")))
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component"))
     return materialise(named.join(least, "comp").select("cid", "copies", "component"), "class_components")

@@ -26,9 +26,9 @@ for the next one.
 4. Verified links are united into components by minimum propagation with
    shortcuts over tables in the shared folder.
 5. Buckets whose members still lie in different components are taken up again
-   (see ``buckets``): with other pivots, then by sketch inside tasks. Pairs that
-   pass are verified like those before. So every pair with a common signature is
-   linked, in one component, ruled out by its sketch, or verified.
+   (see ``buckets``): with other pivots, then inside tasks by sketch and by set.
+   So every pair with a common signature is linked, in one component, ruled out
+   by its sketch, or verified.
 
 Cases: a text of fewer words than a shingle is one shingle; a null text or one
 without words has no shingles, is linked with nothing and is its own component;
@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwake.llm.buckets import Bands, close_pairs, joined_buckets
+from emberwake.llm.buckets import Bands, alike, close_pairs, joined_buckets
 from emberwake.llm.common import bounded, discard, doc_text, materialise, stored, trimmed
 from emberwake.llm.words import FILTER_BITS, hash_filter, hashed, in_filter, words_of
 
@@ -241,11 +241,8 @@ def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def linked_pairs(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of (a, b, sets): the pairs that link."""
     for r in rows:
-        keep = []
-        for x, y in zip(r.column(2).to_pylist(), r.column(3).to_pylist()):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
+        keep = [alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)
+                for x, y in zip(r.column(2).to_pylist(), r.column(3).to_pylist())]
         r = r.filter(pa.array(keep, pa.bool_()))
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(1)], ["a", "b"])
 
@@ -320,7 +317,8 @@ def _compared(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     links = _verified(docs, classes, pairs, width, percent, "links")
     labels = components(links)
     labels = joined_buckets(shared, classes, labels, percent, components, lambda more: _verified(
-        docs, classes, more, width, percent, "more_links"))
+        docs, classes, more, width, percent, "more_links"), lambda members: _sets_of(
+        docs, classes.select("cid", "rep").join(members, "cid", "left_semi"), width))
 
     named = classes.select("cid", "rep").join(labels, "cid")
     least = named.groupBy("comp").agg(F.min("rep").alias("least"))
